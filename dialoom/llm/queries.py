@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, sharding
+from . import chat, html_text, packing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,12 +16,22 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chat.format_chats(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_chat_format, op9_shards)}
+    return {f.__name__: f for f in (op1_chat_format, op6_packing, op9_shards, op10_main_text)}
 
 
 OP1_SQL = r"""

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Texts handled at once by a Python worker; a single longer text is handled alone.
@@ -54,7 +55,7 @@ def sliced(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         start = total = 0
         for i, n in enumerate(sizes):
             if total and total + n > most:
