@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_text, packing, sharding
+from . import chat, html_text, minhash, packing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chat.format_chats(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -31,7 +35,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_chat_format, op6_packing, op9_shards, op10_main_text)}
+    return {f.__name__: f for f in (op1_chat_format, op2_minhash, op6_packing, op9_shards, op10_main_text)}
 
 
 OP1_SQL = r"""

@@ -81,3 +81,11 @@ def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[dict] | dict
                 yield pa.RecordBatch.from_arrays([pa.array(found[x.name], x.type) for x in arrow], schema=arrow)
 
     return df.mapInArrow(run, kind)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps, which it does once the driver has collected its garbage."""
+    import gc
+
+    gc.collect()
+    spark._jvm.System.gc()
