@@ -15,8 +15,8 @@ from .shared import Scratch, map_arrow
 
 END_ID = 0
 CAPACITY = 2048
-#: Words whose ids a worker remembers; the memory starts anew when it is full.
-CACHE_WORDS = 300_000
+#: Words in the younger of the two halves of what a worker remembers.
+CACHE_WORDS = 500_000
 #: Parts that pieces are numbered in, besides one for each length. Bounds what the driver collects.
 PARTS = 4096
 
@@ -114,19 +114,30 @@ def word_encoder(tokenizer_file: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
-    known: dict[str, bytes] = {"": b""}
+    ids_of = lambda texts: [array("I", x.ids).tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    young: dict[bytes, bytes] = {}
+    old: dict[bytes, bytes] = {}
 
     def encode(texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        if len(known) > CACHE_WORDS:
-            known.clear()
-            known[""] = b""
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            for word, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = array("I", found.ids).tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        nonlocal young, old
+        # what may hold a special token is left to the tokenizer as it is; else A-Z, which it lowers too, is lowered here
+        special = {i: t for i, t in enumerate(texts) if "<|" in t}
+        split = [[] if i in special else t.encode("utf-8", "replace").lower().replace(b"\n", b" ").replace(b"\t", b" ").split(b" ") for i, t in enumerate(texts)]
+        if len(young) > CACHE_WORDS:  # words in use move on, others are forgotten with the older half
+            young, old = {}, young
+        new = []
+        for word in set().union(*split).difference(young):
+            if word in old:
+                young[word] = old[word]
+            else:
+                new.append(word)
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            young.update(zip(part, ids_of([w.decode("utf-8") for w in part]), strict=True))
+        out = [b"".join(map(young.__getitem__, words)) for words in split]
+        for i, found in zip(special, ids_of(list(special.values())), strict=True):
+            out[i] = found
+        return out
 
     return encode
 

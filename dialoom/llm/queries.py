@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html_text, minhash, packing, sharding, substrings
+from . import chat, decontamination, html_text, language, minhash, packing, sharding, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.remainder("doc_id", 3) == 1
+    model = language.fit(docs.where(~held_out), "doc_id", "text", "lang")
+    return language.label_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -35,6 +42,19 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
+    """Fitted on labelled documents whose checksum modulo 5 is not 0."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return toxicity.fit(docs.where(language.remainder("doc_id", 5) != 0).join(labels.where("toxic is not null"), "doc_id"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_texts(docs, toxicity_model(spark, sf_dir))
+    held_out = language.remainder("doc_id", 5) == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
@@ -44,7 +64,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_chat_format, op2_minhash, op3_decontamination, op6_packing, op7_repeats, op9_shards, op10_main_text)}
+    return {f.__name__: f for f in (op1_chat_format, op2_minhash, op3_decontamination, op4_language, op6_packing, op7_repeats, op8_toxicity, op9_shards, op10_main_text)}
 
 
 OP1_SQL = r"""
