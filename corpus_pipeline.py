@@ -2,16 +2,58 @@
 
 from __future__ import annotations
 
+from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from dialoom.llm import decontamination, minhash, packing, substrings, toxicity
+from dialoom.llm.queries import toxicity_model
+from dialoom.llm.shared import Scratch
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below one half."""
+    return toxicity.score_texts(docs, toxicity_model(spark, sf_dir), score="toxicity").where("toxicity < 0.5").select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id")
+    return docs.join(kept.distinct(), "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 200 bytes that occur more than once; documents of which nothing is left go."""
+    found = substrings.remove_repeats(docs).where("n_removed = 0 or trim(text) <> ''")
+    columns = {c: F.col(f"rest.{c}") for c in docs.columns if c not in ("doc_id", "text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(columns["n_chars"])
+    return found.select(*(columns.get(c, F.col(c)).alias(c) for c in docs.columns))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages."""
+    return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash", drop_near_copies),
+    ("repeats", drop_repeats),
+    ("decontamination", drop_leaks),
+    ("packing", pack),
+]
+#: No stage but the second can be told in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, over the whole documents table."""
-    from dialoom.llm.shared import Scratch
-
     scratch, docs = Scratch(spark, "pipeline"), spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = scratch.keep(stage(spark, docs, sf_dir), name)

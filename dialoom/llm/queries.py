@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html_text, language, minhash, packing, sharding, substrings, toxicity
+from . import chat, decontamination, embeddings, html_text, language, minhash, packing, sharding, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.label_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -64,7 +68,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_chat_format, op2_minhash, op3_decontamination, op4_language, op6_packing, op7_repeats, op8_toxicity, op9_shards, op10_main_text)}
+    return {f.__name__: f for f in (op1_chat_format, op2_minhash, op3_decontamination, op4_language, op5_near_vectors, op6_packing, op7_repeats, op8_toxicity, op9_shards, op10_main_text)}
 
 
 OP1_SQL = r"""
