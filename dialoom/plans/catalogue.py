@@ -2,10 +2,603 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import scoring as S
+from ..functions import text as T
+from ..operators import align, checks, export, incremental, judge, metrics, sampling, stats, translate
+from ..operators.pairs import Rule, aligned, keyed, text_pairs
+from ..sources.tables import fingerprints
 
-def oracle_sql() -> dict:
-    return {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- DuckDB forms of the text functions ---------------------------------------------------------------------------
+
+
+def quoted(words: list[str]) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+def lit(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def ascii_flags(pattern: str) -> str:
+    """A pattern for an engine whose classes are not Unicode-aware by flag, and that has no look-behind."""
+    return pattern.replace("(?iU)", "(?i)").replace("(?Us)", "(?s)").replace("(?U)", "")
+
+
+def strip_sql(c: str) -> str:
+    return rf"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
+
+
+def norm_sql(c: str) -> str:
+    return rf"lower(regexp_replace({c}, '[^\p{{L}}\p{{N}}]', '', 'g'))"
+
+
+def letters_sql(c: str) -> str:
+    return rf"length(regexp_replace({c}, '[^\p{{L}}]', '', 'g'))"
+
+
+def tokens_sql(c: str) -> str:
+    return rf"list_filter(list_transform(regexp_extract_all(lower({c}), '[\p{{L}}'']+'), lambda t: trim(t, '''')), lambda t: t <> '')"
+
+
+def hits_sql(c: str, words: list[str]) -> str:
+    return f"len(list_filter({tokens_sql(c)}, lambda t: list_contains({quoted(words)}, t)))"
+
+
+def has_sql(c: str, pattern: str) -> str:
+    return f"regexp_matches({c}, {lit(ascii_flags(pattern))})"
+
+
+def markers_sql(c: str) -> str:
+    return rf"list_transform(list_filter(regexp_extract_all({c}, {lit(T.MARKER)}), lambda m: m[1] = '<' or regexp_matches(m[2:-2], '[0-9_:/]')), lambda m: translate(m, '–— ', '--'))"
+
+
+def technical_sql(c: str) -> str:
+    s = strip_sql(c)
+
+    def without(x: str, *patterns: str) -> str:
+        for p in patterns:
+            x = rf"regexp_replace({x}, '(^|[^\w.])@[\w.-]+', '\1', 'g')" if p == T.HANDLE else f"regexp_replace({x}, {lit(ascii_flags(p))}, '', 'g')"
+        return x
+
+    whole = lambda x, p: f"regexp_full_match({x}, {lit(ascii_flags(p))})"
+    edges = lambda x, marks: "trim(" + x + ", " + lit(marks) + ")"
+    share = rf"length(regexp_replace({s}, '[\p{{L}}\s]', '', 'g')) / greatest(1, length({s}))"
+    unlabelled = lambda x: f"list_filter({tokens_sql(x)}, lambda t: not list_contains({quoted(T.TECHNICAL_LABELS)}, t))"
+    parts = rf"list_filter(list_transform(regexp_split_to_array({s}, '\s+'), lambda p: {edges('p', '()[]{}:;,!?' + chr(34) + chr(39) + '`')}), lambda p: p <> '')"
+    model = rf"(len({parts}) between 2 and 8 and regexp_matches({s}, '\p{{Nd}}') and len(list_filter({parts}, lambda p: regexp_matches(p, '^\p{{L}}+$') and p = lower(p) and p <> upper(p) and p <> 'i')) = 0)"
+    context = " or ".join([has_sql(s, p) for p in (T.URL, T.BACKTICK, T.LATEX, T.COMMAND, T.PATH_FRAGMENT)] + [f"contains(lower({s}), '{m}')" for m in ("<code>", "<a ", "href=", "</a>")])
+    semantic = unlabelled(without(s, T.URL, T.EMAIL, T.BACKTICK, T.LATEX, T.TAG, T.HANDLE))
+    return f"""CASE WHEN {s} = '' THEN ''
+      WHEN {whole(edges(s, "()[]<>" + chr(34) + chr(39) + "`"), T.URL)} OR {whole(s, T.EMAIL)} THEN 'url_or_email'
+      WHEN {without(s, T.URL)} <> '' AND NOT regexp_matches({without(s, T.URL)}, '[\\p{{L}}\\p{{N}}]') THEN 'url_wrapped_punctuation'
+      WHEN {has_sql(s, T.ATTACHMENT)} THEN 'file_attachment' WHEN {has_sql(s, T.BARE_PATH)} THEN 'file_or_path'
+      WHEN {has_sql(s, T.HASH)} THEN 'hash_or_id' WHEN {has_sql(s, T.HASH_TOKEN)} AND {has_sql(s, T.PATH_FRAGMENT)} THEN 'hash_or_id_path'
+      WHEN {model} THEN 'model_or_product_name' WHEN {has_sql(s, T.COMMAND)} AND {share} >= 0.08 THEN 'command_or_shell'
+      WHEN ({has_sql(s, T.LATEX)} OR {has_sql(s, T.BACKTICK)}) AND len({unlabelled(without(s, T.BACKTICK, T.LATEX))}) = 0 THEN 'code_or_latex'
+      WHEN len({tokens_sql(s)}) = 0 THEN 'no_text_tokens'
+      WHEN ({context}) AND NOT list_has_any({semantic}, {quoted(T.SIGNAL_WORDS)}) THEN 'technical_context'
+      WHEN ({has_sql(s, T.URL)} OR {has_sql(s, T.EXTENSION)}) AND {hits_sql(s, T.SIGNAL_WORDS)} <= 1 AND {share} >= 0.18 THEN 'url_or_file_context' ELSE '' END"""
+
+
+# --- a parallel corpus made from the conversations ----------------------------------------------------------------
+
+CONSTANT = "Merci beaucoup pour votre aide aujourd'hui."
+
+
+def parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = keyed(table(spark, sf_dir, "conversations"), ["conv_id", "turn"], "role")
+    k, x = F.pmod(F.col("conv_id") * 31 + F.col("turn"), F.lit(8)), F.coalesce("text", F.lit(""))
+    target = F.when(k == 0, x).when(k == 1, "").when(k == 2, F.concat(F.lit("fr:"), x)).when(k == 3, F.concat_ws(" ", x, x, x, x)).when(k == 4, F.substring(x, 1, 5)).when(k == 5, F.concat(x, F.lit(" &eacute;"))).when(k == 6, F.concat(F.lit("[slot-2] "), x)).otherwise(CONSTANT)
+    field = F.concat(F.lit("dialog_fr["), F.col("turn").cast("string"), F.lit("].content"))
+    return rows.select("split", "row_idx", F.lit(0).alias("pair_ord"), field.alias("field"), F.when(k == 6, F.concat(F.lit("[slot-1] "), x)).otherwise(x).alias("source"), target.alias("translation"))
+
+
+PAIRS = f"""base AS (SELECT role AS split, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS row_idx, turn, coalesce(text, '') AS x, (conv_id * 31 + turn) % 8 AS k FROM conversations),
+pairs AS (SELECT split, row_idx, 0 AS pair_ord, 'dialog_fr[' || turn || '].content' AS field, CASE WHEN k = 6 THEN '[slot-1] ' || x ELSE x END AS source,
+  CASE k WHEN 0 THEN x WHEN 1 THEN '' WHEN 2 THEN 'fr:' || x WHEN 3 THEN x || ' ' || x || ' ' || x || ' ' || x WHEN 4 THEN left(x, 5) WHEN 5 THEN x || ' &eacute;' WHEN 6 THEN '[slot-2] ' || x ELSE {lit(CONSTANT)} END AS translation FROM base)"""
+FACTS = f"""{PAIRS}, facts AS (SELECT *, {letters_sql('source')} AS sl, {letters_sql('translation')} AS tl, {norm_sql('source')} AS sn, {norm_sql('translation')} AS tn, {technical_sql('source')} AS technical,
+  {hits_sql('source', T.SIGNAL_WORDS)} > 0 AS signal, {markers_sql('source')} AS sm, {markers_sql('translation')} AS tm, {hits_sql('translation', T.RESIDUE_WORDS)} AS residue,
+  len(list_filter(regexp_extract_all(translation, {lit(T.ENTITY)}), lambda e: not list_contains(regexp_extract_all(source, {lit(T.ENTITY)}), e))) AS leaked FROM pairs),
+marked AS (SELECT *, {strip_sql('source')} <> '' AND {strip_sql('translation')} = '' AS is_empty FROM facts),
+settled AS (SELECT *, CASE WHEN NOT is_empty AND sn = tn AND sn <> '' AND technical <> '' THEN technical END AS suppressed, sl <= 250 AND tl <= 750 AS short FROM marked),
+judged AS (SELECT *, sl >= 12 AND signal AND sn = tn AS unchanged FROM settled),
+open AS (SELECT * FROM judged WHERE NOT is_empty AND suppressed IS NULL AND NOT unchanged),
+issues AS (
+  SELECT split, row_idx, pair_ord, field, source, translation, 0 AS check_ord, 'error' AS severity, 'empty_translation' AS code FROM judged WHERE is_empty
+  UNION ALL SELECT split, row_idx, pair_ord, field, source, translation, 0, 'warning', 'unchanged_translation' FROM judged WHERE NOT is_empty AND suppressed IS NULL AND unchanged
+  UNION ALL SELECT split, row_idx, pair_ord, field, source, translation, 1, 'warning', 'html_entity_leak' FROM open WHERE leaked > 0
+  UNION ALL SELECT split, row_idx, pair_ord, field, source, translation, 2, 'warning', 'placeholder_or_marker_changed' FROM open WHERE short AND len(sm) > 0 AND sm <> tm
+  UNION ALL SELECT split, row_idx, pair_ord, field, source, translation, 3, 'warning', 'length_ratio_low' FROM open WHERE sl >= 20 AND tl > 0 AND technical = '' AND tl / sl < 0.35
+  UNION ALL SELECT split, row_idx, pair_ord, field, source, translation, 4, 'warning', 'length_ratio_high' FROM open WHERE sl >= 20 AND tl > 0 AND technical = '' AND tl / sl > 3.0
+  UNION ALL SELECT split, row_idx, pair_ord, field, source, translation, 5, 'warning', 'english_residue' FROM open WHERE {strip_sql('translation')} <> '' AND sn <> tn AND short AND tl >= 20 AND residue >= 4 AND technical = '')"""
+CUT = "CASE WHEN length({0}) > 300 THEN left({0}, 300) || '...' ELSE {0} END"
+KEYS = ["split", "row_idx", "pair_ord", "field"]
+
+
+def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.check_pairs(parallel(spark, sf_dir))
+
+
+def found_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.issues_of(checked(spark, sf_dir), KEYS)
+
+
+# --- text functions ------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, {norm_sql('text')} AS norm FROM documents")
+def norm_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.norm_text(F.col("text")).alias("norm"))
+
+
+@query(f"SELECT doc_id, {letters_sql('text')} AS letters, len({tokens_sql('text')}) AS tokens FROM documents")
+def letter_and_token_counts(spark, d):
+    x = F.col("text")
+    return table(spark, d, "documents").select("doc_id", T.letter_count(x).cast("long").alias("letters"), F.size(T.text_tokens(x)).cast("long").alias("tokens"))
+
+
+@query(f"SELECT lang, count(*) AS n, count(*) FILTER ({hits_sql('text', T.SIGNAL_WORDS)} > 0) AS with_signal, sum({hits_sql('text', T.RESIDUE_WORDS)})::BIGINT AS residue FROM documents GROUP BY lang")
+def english_signal_by_lang(spark, d):
+    x = F.col("text")
+    return table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.count_if(T.has_english_signal(x)).alias("with_signal"), F.sum(F.size(T.tokens_in(x, T.RESIDUE_WORDS))).alias("residue"))
+
+
+VARIANTS_SQL = """(SELECT page_id, unnest([url, 'see ' || url || ' and the rest', regexp_replace(url, '^https?://', ''), 'report_' || page_id || '.pdf (draft)', 'Model X' || page_id || ' Pro', 'sudo mkfs /dev/sda' || page_id, '`run ' || page_id || '`', md5(page_id::VARCHAR), left(html, 200), 'user' || page_id || '@example.com', 'Plain words stay here']) AS x FROM pages)"""
+
+
+def text_variants(spark, d) -> DataFrame:
+    """Technical and plain texts made from the pages."""
+    n, url = F.col("page_id").cast("string"), F.col("url")
+    made = [url, F.concat(F.lit("see "), url, F.lit(" and the rest")), F.regexp_replace(url, "^https?://", ""), F.concat(F.lit("report_"), n, F.lit(".pdf (draft)")), F.concat(F.lit("Model X"), n, F.lit(" Pro")), F.concat(F.lit("sudo mkfs /dev/sda"), n), F.concat(F.lit("`run "), n, F.lit("`")), F.md5(n.cast("binary")), F.substring("html", 1, 200), F.concat(F.lit("user"), n, F.lit("@example.com")), F.lit("Plain words stay here")]
+    return table(spark, d, "pages").select("page_id", F.explode(F.array(*made)).alias("x"))
+
+
+@query(f"SELECT page_id, x, {technical_sql('x')} AS reason FROM {VARIANTS_SQL}")
+def technical_reason(spark, d):
+    return text_variants(spark, d).withColumn("reason", T.technical_reason(F.col("x")))
+
+
+@query(rf"""SELECT doc_id, s <> '' AND NOT regexp_matches(s, '[\n?!]') AND length(s) <= 120 AND (CASE WHEN len(w) = 1 THEN contains(s, '-') OR contains(s, '.')
+  ELSE len(w) BETWEEN 2 AND 10 AND (len(list_filter(w, lambda t: NOT (regexp_matches(t, '^\p{{Lu}}') OR (t = upper(t) AND t <> lower(t)) OR contains(t, '.') OR contains(t, '-') OR list_contains({quoted(T.TITLE_CONNECTORS)}, lower(t))))) = 0
+    OR (len(g) > 0 AND len(list_filter(g, lambda t: NOT list_contains(['am', 'do', 'i', 'n'], t))) = 0) OR {hits_sql('s', T.DIALOGUE_WORDS)} = 0) END) AS title_like
+  FROM (SELECT doc_id, s, list_filter(list_transform(regexp_split_to_array(s, '\s+'), lambda p: trim(p, '()[]{{}}:;,"''`')), lambda p: regexp_matches(p, '\p{{L}}')) AS w, list_filter({tokens_sql('s')}, lambda t: list_contains({quoted(T.SIGNAL_WORDS)}, t)) AS g
+  FROM (SELECT doc_id, {strip_sql('left(text, 40)')} AS s FROM documents))""")
+def title_like(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.is_title_like(F.substring("text", 1, 40)).alias("title_like"))
+
+
+@query(f"SELECT page_id, len(regexp_extract_all(html, {lit(T.ENTITY)})) AS entities, len({markers_sql('html')}) AS markers, array_to_string({markers_sql('html')}[1:5], ' ') AS first_markers FROM pages")
+def entities_and_markers(spark, d):
+    x = F.col("html")
+    return table(spark, d, "pages").select("page_id", F.size(T.entities(x)).cast("long").alias("entities"), F.size(T.markers(x)).cast("long").alias("markers"), F.array_join(F.slice(T.markers(x), 1, 5), " ").alias("first_markers"))
+
+
+@query(rf"SELECT doc_id, len(regexp_extract_all(text, '(?s)\s{{1,200}}|\S{{1,200}}')) AS runs, length(text) AS n FROM documents")
+def chunk_runs(spark, d):
+    pieces = T.chunks(F.col("text"), 200)
+    whole = F.when(F.array_join(pieces, "") == F.col("text"), F.char_length("text"))
+    runs = F.size(F.regexp_extract_all("text", F.lit(r"(?Us)\s{1,200}|\S{1,200}"), F.lit(0)))
+    return table(spark, d, "documents").select("doc_id", runs.cast("long").alias("runs"), whole.cast("long").alias("n"))
+
+
+@query("SELECT conv_id, string_agg('@@' || i || '@@ ' || text, chr(10) ORDER BY i) AS marked, count(*) AS n FROM (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations) GROUP BY conv_id")
+def marked_lists(spark, d):
+    lists = align.dialogue_turns(table(spark, d, "conversations")).withColumn("marked", T.marked_text(F.col("turns")))
+    return lists.select(F.col("dialogue_id").alias("conv_id"), "marked", F.size(T.parse_marked(F.col("marked"))).cast("long").alias("n"))
+
+
+@query("SELECT page_id, split_part(url, '/', 3) AS host, 'item ' || page_id AS name, 'd' || page_id || ' <S> more' AS description FROM pages")
+def structured_entity(spark, d):
+    n = F.col("page_id").cast("string")
+    parts = T.entity_parts(F.concat(F.lit("item "), n, F.lit(" <S> tag <S> d"), n, F.lit(" <S> more")))
+    return table(spark, d, "pages").select("page_id", F.split("url", "/")[2].alias("host"), parts[0].alias("name"), parts[2].alias("description"))
+
+
+@query("SELECT event_id, 'say,click,submit' AS actions FROM events")
+def action_sequences(spark, d):
+    log = F.concat(F.lit('say(utterance="a") click(uid='), F.col("event_id").cast("string"), F.lit(") clicked(x) submit()"))
+    return table(spark, d, "events").select("event_id", F.array_join(T.action_sequence(log), ",").alias("actions"))
+
+
+@query("SELECT DISTINCT lang, CASE lang WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' WHEN 'de' THEN 'German' WHEN 'es' THEN 'Spanish' ELSE lang END AS name, 'en-' || lang AS pair FROM documents")
+def languages(spark, d):
+    rows = table(spark, d, "documents").select("lang").distinct()
+    return rows.select("lang", S.language_name(F.col("lang")).alias("name"), S.language_pair(F.concat(F.lit("corpora/x/en_"), F.col("lang"))).alias("pair"))
+
+
+# --- pairs and issues ----------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {FACTS} SELECT split, row_idx, field, sl AS source_letters, tl AS translation_letters, CASE WHEN sl > 0 THEN round(tl / sl, 4) END AS ratio, len(sm) AS markers, residue, technical FROM facts")
+def pair_diagnostics(spark, d):
+    f = checks.with_facts(parallel(spark, d))
+    return f.select("split", "row_idx", "field", F.col("source_letters").cast("long").alias("source_letters"), F.col("translation_letters").cast("long").alias("translation_letters"), T.length_ratio(F.col("source_letters"), F.col("translation_letters")).alias("ratio"), F.size("source_markers").cast("long").alias("markers"), F.col("residue").cast("long").alias("residue"), "technical")
+
+
+@query(f"WITH {FACTS} SELECT split, row_idx, field, severity, code, {CUT.format('source')} AS source, {CUT.format('translation')} AS translation FROM issues")
+def pair_issues(spark, d):
+    return found_issues(spark, d).select("split", "row_idx", "field", "severity", "code", "source", "translation")
+
+
+def one_code(code: str) -> None:
+    def run(spark, d):
+        return found_issues(spark, d).where(F.col("code") == code).select("split", "row_idx", "field", "severity")
+
+    run.__name__ = f"check_{code}"
+    query(f"WITH {FACTS} SELECT split, row_idx, field, severity FROM issues WHERE code = '{code}'")(run)
+
+
+for _code in ("empty_translation", "unchanged_translation", "html_entity_leak", "placeholder_or_marker_changed", "length_ratio_low", "length_ratio_high", "english_residue"):
+    one_code(_code)
+
+
+@query(f"SELECT page_id, x AS source, {technical_sql('x')} AS reason FROM {VARIANTS_SQL} WHERE {norm_sql('x')} <> '' AND {technical_sql('x')} <> ''")
+def suppressed_pairs(spark, d):
+    rows = text_variants(spark, d).select("page_id", F.lit("x_fr").alias("field"), F.col("x").alias("source"), F.col("x").alias("translation"))
+    return checks.check_pairs(rows).where("suppressed is not null").select("page_id", "source", F.col("suppressed").alias("reason"))
+
+
+@query(f"""WITH {FACTS}, fit AS (SELECT * FROM facts WHERE length(source) <= 500 AND length(translation) <= 500 AND sl >= 20 AND tl >= 20 AND sn <> tn AND technical = '' AND tn <> '')
+  SELECT 'dialog_fr' AS root, tn AS translation_norm, count(DISTINCT sn) AS distinct_sources, count(*) AS occurrences FROM fit GROUP BY tn HAVING count(DISTINCT sn) >= 5""")
+def repeated_translation(spark, d):
+    return checks.repeated_translations(checks.with_facts(parallel(spark, d))).select("root", "translation_norm", "distinct_sources", "occurrences")
+
+
+@query(f"WITH {FACTS} SELECT code, field, source, translation, count(*) AS duplicate_count FROM (SELECT code, field, {CUT.format('source')} AS source, {CUT.format('translation')} AS translation FROM issues WHERE severity = 'warning') GROUP BY ALL")
+def deduplicated_warnings(spark, d):
+    rows = metrics.deduplicated(found_issues(spark, d), ["split", "row_idx", "pair_ord", "check_ord"])
+    return rows.where("severity = 'warning'").select("code", "field", "source", "translation", "duplicate_count")
+
+
+@query(rf"""WITH {FACTS} SELECT code, source, translation, count(*) AS occurrences, min(row_idx) AS first_row FROM (SELECT code, row_idx, trim(regexp_replace({CUT.format('source')}, '\s+', ' ', 'g')) AS source, {CUT.format('translation')} AS translation FROM issues
+  WHERE code IN ('unchanged_translation', 'english_residue', 'html_entity_leak', 'placeholder_or_marker_changed', 'empty_translation')) WHERE source <> '' AND {strip_sql('translation')} <> '' GROUP BY ALL""")
+def fix_cases(spark, d):
+    return metrics.fix_cases(found_issues(spark, d))
+
+
+@query(rf"""WITH {FACTS} SELECT 'severity' AS kind, severity AS key, count(*) AS n FROM issues GROUP BY severity UNION ALL SELECT 'code', code, count(*) FROM issues GROUP BY code
+  UNION ALL SELECT 'field', regexp_replace(field, '\[\d+\]', '[]', 'g') AS f, count(*) FROM issues GROUP BY f""")
+def issue_counts(spark, d):
+    return metrics.issue_counts(found_issues(spark, d))
+
+
+def metrics_sql(key: str) -> str:
+    return f"""WITH {FACTS}, c AS (SELECT {key}, count(*) AS checked_pairs FROM pairs GROUP BY 1), b AS (SELECT {key}, code, count(*) AS n, count(*) FILTER (severity = 'error') AS e FROM issues GROUP BY 1, 2),
+    t AS (SELECT {key}, sum(n)::BIGINT AS issues, sum(e)::BIGINT AS errors, array_to_string((list(code || ':' || n ORDER BY n DESC, code))[1:3], ',') AS top_codes FROM b GROUP BY 1)
+    SELECT {key}, checked_pairs, coalesce(issues, 0) AS issues, coalesce(errors, 0) AS errors, coalesce(issues, 0) - coalesce(errors, 0) AS warnings, round(coalesce(issues, 0) / checked_pairs, 6) AS issue_rate, coalesce(top_codes, '') AS top_codes FROM c LEFT JOIN t USING ({key})"""
+
+
+@query(metrics_sql("field"))
+def field_metrics(spark, d):
+    c = checked(spark, d)
+    return metrics.group_metrics(c, checks.issues_of(c, KEYS), "field")
+
+
+@query(metrics_sql("split"))
+def split_metrics(spark, d):
+    c = checked(spark, d)
+    return metrics.group_metrics(c, checks.issues_of(c, KEYS), "split")
+
+
+@query(f"WITH {FACTS} SELECT code, count(*) AS n, CASE code {' '.join(f'WHEN {lit(c)} THEN {lit(r)}' for c, (r, _) in metrics.GUIDE.items())} END AS rule, CASE code {' '.join(f'WHEN {lit(c)} THEN {lit(p)}' for c, (_, p) in metrics.GUIDE.items())} END AS priority FROM issues GROUP BY code")
+def issue_guide(spark, d):
+    return metrics.issue_guide(found_issues(spark, d))
+
+
+@query(f"""WITH {FACTS}, n AS (SELECT (SELECT count(*) FROM pairs) AS checked_pairs, (SELECT count(*) FROM issues WHERE severity = 'error') AS errors, (SELECT count(*) FROM issues WHERE severity = 'warning') AS warnings)
+  SELECT *, CASE WHEN errors > 0 THEN 'fail' WHEN warnings > 0 THEN 'pass_with_warnings' ELSE 'pass' END AS verdict, CASE WHEN errors > 0 THEN 'block' WHEN warnings = 0 THEN 'pass' WHEN warnings / greatest(checked_pairs, 1) < 0.001 THEN 'sample' ELSE 'review' END AS recommendation FROM n""")
+def quality_verdict(spark, d):
+    c = checked(spark, d)
+    return metrics.verdict(c, checks.issues_of(c, KEYS))
+
+
+@query(f"WITH {FACTS}, p AS (SELECT DISTINCT regexp_extract(field, '\\[(\\d+)\\]', 1)::INT + 1 AS p FROM issues) SELECT 'dialog_fr[].content' AS field, CASE WHEN max(p) - min(p) + 1 = count(*) THEN 'turns ' || min(p) || '-' || max(p) ELSE count(*) || ' turn positions' END AS positions FROM p")
+def field_positions(spark, d):
+    return metrics.position_summary(found_issues(spark, d))
+
+
+@query("""WITH a AS (SELECT source AS split, count(*) AS n FROM documents GROUP BY 1), b AS (SELECT source AS split, count(*) AS n FROM documents WHERE source <> 'src1' AND NOT (source = 'src2' AND lang <> 'en') GROUP BY 1)
+  SELECT split, CASE WHEN b.n IS NULL THEN 'split_missing' ELSE 'row_count_mismatch' END AS code, 'error' AS severity, a.n AS source_rows, b.n AS translation_rows FROM a LEFT JOIN b USING (split) WHERE b.n IS NULL OR a.n <> b.n""")
+def split_structure(spark, d):
+    rows = table(spark, d, "documents").withColumnRenamed("source", "split")
+    return checks.split_issues(rows, rows.where("split <> 'src1' and not (split = 'src2' and lang <> 'en')"))
+
+
+def nested_rows(spark, d) -> DataFrame:
+    """Dialogues as structs, with a translated side that has lost its last turn now and then."""
+    lists = keyed(align.dialogue_turns(table(spark, d, "conversations")).where("size(turns) > 0"), ["dialogue_id"])
+    short = F.slice("turns", F.lit(1), F.size("turns") - F.when(F.col("dialogue_id") % 5 == 0, 1).otherwise(0))
+    source = lists.select("split", "row_idx", F.struct(F.col("turns")[0].alias("question"), F.transform("turns", lambda t: F.struct(t.alias("answer"), F.lit("x").alias("id"))).alias("answers")).alias("turn"), F.col("turns").alias("dialog"), F.to_json("turns").alias("history"))
+    target = lists.select("split", "row_idx", F.struct(F.col("turns")[0].alias("question"), F.transform(short, lambda t: F.struct(F.concat(F.lit("fr:"), t).alias("answer"), F.lit("y").alias("id"))).alias("answers")).alias("turn_fr"), short.alias("dialog_fr"), F.to_json(short).alias("history_fr"))
+    return aligned(source, target)
+
+
+LISTS_SQL = "l AS (SELECT conv_id, list(text ORDER BY turn) AS t, row_number() OVER (ORDER BY conv_id) - 1 AS row_idx FROM conversations GROUP BY conv_id), n AS (SELECT *, len(t) - (CASE WHEN conv_id % 5 = 0 THEN 1 ELSE 0 END) AS m FROM l)"
+
+
+@query(f"WITH {LISTS_SQL} SELECT row_idx, m AS pairs, CASE WHEN len(t) <> m THEN 1 ELSE 0 END AS errors FROM n WHERE m > 0 OR len(t) <> m")
+def list_pairs(spark, d):
+    return pair_counts(text_pairs(nested_rows(spark, d), [Rule("dialog", "dialog_fr")]))
+
+
+@query(f"WITH {LISTS_SQL} SELECT row_idx, m AS pairs, CASE WHEN len(t) <> m THEN 1 ELSE 0 END AS errors FROM n WHERE m > 0 OR len(t) <> m")
+def serialized_list_pairs(spark, d):
+    return pair_counts(text_pairs(nested_rows(spark, d), [Rule("history", "history_fr", "serialized_text_list")]))
+
+
+@query(f"WITH {LISTS_SQL} SELECT row_idx, m + 1 AS pairs, CASE WHEN len(t) <> m THEN 1 ELSE 0 END AS errors FROM n")
+def deep_map_pairs(spark, d):
+    return pair_counts(text_pairs(nested_rows(spark, d), [Rule("turn", "turn_fr", "deep_map_texts", {"exclude_keys": ["id"]})]))
+
+
+def pair_counts(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("row_idx").agg(F.count_if(F.col("error").isNull()).alias("pairs"), F.count_if(F.col("error").isNotNull()).cast("int").alias("errors"))
+
+
+# --- dialogues -----------------------------------------------------------------------------------------------------
+
+
+@query("SELECT conv_id, turn, count(*) OVER w AS turns_before, coalesce(sum(length(text)) OVER w, 0)::BIGINT AS chars_before FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+def dialog_history(spark, d):
+    return align.history_prefixes(table(spark, d, "conversations"))
+
+
+def source_rows(spark, d) -> DataFrame:
+    """One source row for every user turn."""
+    rows = table(spark, d, "conversations").where("role = 'user'").withColumn("dialogue_id", F.col("conv_id").cast("string"))
+    rows = keyed(rows, ["conv_id", "turn"])
+    return rows.select("split", "row_idx", "dialogue_id", "text", F.array(F.struct(F.lit("user").alias("role"), F.lit("old").alias("content"))).alias("history"))
+
+
+def external_dialogues(spark, d) -> DataFrame:
+    lists = align.dialogue_turns(table(spark, d, "conversations").where("role <> 'system' and conv_id % 7 <> 0"))
+    return lists.select(F.col("dialogue_id").cast("string").alias("dialogue_id"), "turns")
+
+
+DIALOGUES_SQL = """s AS (SELECT conv_id, turn, text, row_number() OVER (ORDER BY conv_id, turn) - 1 AS row_idx, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations WHERE role = 'user'),
+e AS (SELECT conv_id, list(text ORDER BY turn) AS turns FROM conversations WHERE role <> 'system' AND conv_id % 7 <> 0 GROUP BY conv_id)"""
+
+
+@query(f"WITH {DIALOGUES_SQL} SELECT row_idx, s.conv_id::VARCHAR AS dialogue_id, turns[k * 2 + 1] AS text, s.text AS source_text, k * 2 AS history_turns FROM s JOIN e USING (conv_id) WHERE len(turns) = 2 * n")
+def reformat_rows(spark, d):
+    return align.reformatted(source_rows(spark, d), external_dialogues(spark, d)).select("row_idx", "dialogue_id", "text", "source_text", F.size("history").cast("long").alias("history_turns"))
+
+
+@query(f"WITH {DIALOGUES_SQL} SELECT 'train' AS split, count(DISTINCT s.conv_id) FILTER (e.conv_id IS NOT NULL) AS covered, count(DISTINCT s.conv_id) FILTER (e.conv_id IS NULL) AS missing FROM s LEFT JOIN e USING (conv_id)")
+def dialog_coverage(spark, d):
+    return align.coverage(source_rows(spark, d), external_dialogues(spark, d))
+
+
+@query(f"WITH {DIALOGUES_SQL} SELECT n AS source_rows, len(turns) AS external_turns, count(*) AS dialogues, len(turns) = n * 2 AS matches FROM (SELECT DISTINCT conv_id, n FROM s) JOIN e USING (conv_id) GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20")
+def turn_alignment(spark, d):
+    return align.turn_alignment(source_rows(spark, d), external_dialogues(spark, d)).withColumns({"external_turns": F.col("external_turns").cast("long")})
+
+
+@query("SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS rendered FROM conversations GROUP BY conv_id")
+def dialog_render(spark, d):
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))), lambda t: F.concat(t["role"], F.lit(": "), t["text"]))
+    return table(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(lines, "\n").alias("rendered"))
+
+
+# --- scores --------------------------------------------------------------------------------------------------------
+
+
+def records(spark, d) -> DataFrame:
+    """Scores of labelled documents."""
+    both = table(spark, d, "labels").join(table(spark, d, "documents"), "doc_id")
+    return both.select("doc_id", "lang", F.col("source").alias("split"), F.when(F.col("doc_id") % 11 != 0, (F.col("doc_id") * 37 + F.col("n_chars")) % 101).cast("double").alias("score"), F.when(F.col("doc_id") % 13 == 0, "error").when(F.col("doc_id") % 17 != 0, "ok").alias("status"), ((F.col("doc_id") * 53 + F.col("n_chars")) % 101).cast("double").alias("human"), (F.col("doc_id") % 3).alias("attempts"), "n_chars")
+
+
+RECORDS = "r AS (SELECT doc_id, lang, source AS split, CASE WHEN doc_id % 11 <> 0 THEN (doc_id * 37 + n_chars) % 101 END::DOUBLE AS score, CASE WHEN doc_id % 13 = 0 THEN 'error' WHEN doc_id % 17 <> 0 THEN 'ok' END AS status, ((doc_id * 53 + n_chars) % 101)::DOUBLE AS human, doc_id % 3 AS attempts, n_chars FROM labels JOIN documents USING (doc_id))"
+
+
+@query(f"WITH {RECORDS} SELECT CASE WHEN grouping(lang) = 0 THEN 'lang' WHEN grouping(split) = 0 THEN 'split' ELSE 'overall' END AS kind, coalesce(lang, split, '') AS key, count(score) AS n, round(avg(score), 3) AS mean, min(score) AS min, max(score) AS max FROM r WHERE score IS NOT NULL GROUP BY GROUPING SETS ((lang), (split), ())")
+def evaluation_summary(spark, d):
+    return stats.evaluation_summary(records(spark, d), ["split", "lang"])
+
+
+@query(f"WITH {RECORDS}, g AS (SELECT lang, round(avg(score), 3) AS m, (SELECT count(*) FROM documents d WHERE d.lang = r.lang) AS n FROM r WHERE score IS NOT NULL GROUP BY lang) SELECT round(avg(m), 3) AS balanced_mean, round(sum(m * n) / sum(n), 3) AS weighted_mean FROM g")
+def group_means(spark, d):
+    sizes = table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("group_count"))
+    return stats.group_means(records(spark, d).join(F.broadcast(sizes), "lang"), "lang", "group_count")
+
+
+@query(f"WITH {RECORDS} SELECT coalesce(status, 'None') AS status, count(*) AS n FROM r GROUP BY 1")
+def status_counts(spark, d):
+    return stats.status_counts(records(spark, d))
+
+
+BIN_SQL = "CASE WHEN {0} IS NULL THEN NULL WHEN {0} < 20 THEN 'bin_0' WHEN {0} < 40 THEN 'bin_1' WHEN {0} < 60 THEN 'bin_2' WHEN {0} < 80 THEN 'bin_3' ELSE 'bin_4' END"
+
+
+@query(f"WITH {RECORDS} SELECT {BIN_SQL.format('score')} AS bin, count(*) AS n FROM r GROUP BY 1")
+def score_bins(spark, d):
+    return records(spark, d).groupBy(S.score_bin(F.col("score"), [20, 40, 60, 80]).alias("bin")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {RECORDS} SELECT doc_id, round((1 - least(1, greatest(0, (score - 10) / 80))) * 5, 6) AS scaled FROM r")
+def scaled_scores(spark, d):
+    return records(spark, d).select("doc_id", F.round(S.normalised_score(F.col("score"), 10, 90, False, 5), 6).alias("scaled"))
+
+
+@query(f"WITH {RECORDS} SELECT round(corr(score, human), 4) AS pearson FROM r WHERE score IS NOT NULL")
+def pearson(spark, d):
+    return records(spark, d).agg(stats.pearson("score", "human").alias("pearson"))
+
+
+@query(f"WITH {RECORDS}, k AS (SELECT rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS a, rank() OVER (ORDER BY human) + (count(*) OVER (PARTITION BY human) - 1) / 2 AS b FROM r WHERE score IS NOT NULL) SELECT round(corr(a, b), 4) AS spearman FROM k")
+def spearman(spark, d):
+    return stats.spearman(records(spark, d), "score", "human")
+
+
+def kappa_sql(weight: str) -> str:
+    return f"""WITH {RECORDS}, c AS (SELECT {BIN_SQL.format('score')} AS x, {BIN_SQL.format('human')} AS y FROM r WHERE score IS NOT NULL), b AS (SELECT right(x, 1)::INT AS i, right(y, 1)::INT AS j FROM c),
+    p AS (SELECT a.i, b.j, (SELECT count(*) FROM b t WHERE t.i = a.i) AS rn, (SELECT count(*) FROM b t WHERE t.j = b.j) AS cn FROM range(5) a(i), range(5) b(j))
+    SELECT round(1 - (SELECT sum({weight}) FROM b) / ((SELECT sum(({weight}) * rn * cn) FROM p) / (SELECT count(*) FROM b)), 4) AS kappa"""
+
+
+def binned(spark, d) -> DataFrame:
+    edges = [20, 40, 60, 80]
+    return records(spark, d).select(S.score_bin(F.col("score"), edges).alias("x"), S.score_bin(F.col("human"), edges).alias("y"))
+
+
+@query(kappa_sql("CASE WHEN i <> j THEN 1 ELSE 0 END"))
+def kappa(spark, d):
+    return stats.kappa(binned(spark, d), "x", "y", [f"bin_{i}" for i in range(5)])
+
+
+@query(kappa_sql("(i - j) * (i - j)"))
+def quadratic_kappa(spark, d):
+    return stats.kappa(binned(spark, d), "x", "y", [f"bin_{i}" for i in range(5)], True)
+
+
+@query(f"""WITH {RECORDS}, u AS (SELECT lang, CASE WHEN doc_id % 2 = 0 THEN n_chars // 4 END AS p, CASE WHEN doc_id % 2 = 0 THEN 20 END AS c, attempts FROM r)
+  SELECT lang, count(p) AS requests, coalesce(sum(p), 0)::BIGINT AS prompt_tokens, coalesce(sum(c), 0)::BIGINT AS completion_tokens, coalesce(sum(p + c), 0)::BIGINT AS total_tokens, round(sum(p + c) / count(p), 4) AS mean_tokens, sum(greatest(attempts - 1, 0))::BIGINT AS retries FROM u GROUP BY lang""")
+def usage_summary(spark, d):
+    even = F.col("doc_id") % 2 == 0
+    rows = records(spark, d).withColumns({"usage_prompt_tokens": F.when(even, F.floor(F.col("n_chars") / 4)), "usage_completion_tokens": F.when(even, F.lit(20).cast("long")), "usage_total_tokens": F.lit(None).cast("long"), "usage_cost": F.lit(None).cast("double"), "rate_limit_waits": F.lit(0).cast("long")})
+    return stats.usage_summary(rows, "lang").select("lang", "requests", "prompt_tokens", "completion_tokens", "total_tokens", "mean_tokens", "retries")
+
+
+@query(f"WITH {RECORDS} SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN NULL ELSE coalesce(score, 0) END AS score, CASE WHEN doc_id % 4 = 3 THEN 'parse_error' ELSE 'ok' END AS parse_status FROM r")
+def parsed_scores(spark, d):
+    n = F.coalesce("score", F.lit(0.0)).cast("string")
+    k = F.col("doc_id") % 4
+    reply = F.when(k == 0, F.concat(F.lit('{"score": '), n, F.lit(', "comment": "c"}'))).when(k == 1, F.concat(F.lit('```json\n{"score": '), n, F.lit("}\n```"))).when(k == 2, F.concat(F.lit("My score: "), n)).otherwise("no idea")
+    return records(spark, d).withColumn("p", S.parsed_score(reply)).select("doc_id", "p.score", "p.parse_status")
+
+
+@query("SELECT doc_id, m AS model, 'ok' AS status, CASE WHEN length(p) % 101 > 100 THEN 100.0 ELSE length(p) % 101 END::DOUBLE AS score FROM (SELECT doc_id, m, 'Rate ' || lang || ' by ' || m || ': ' || source AS p FROM labels JOIN documents USING (doc_id), (VALUES ('a'), ('bb')) v(m))")
+def judged_models(spark, d):
+    models = spark.createDataFrame([("a",), ("bb",)], "model string")
+    rows = judge.with_prompt(judge.tasks(records(spark, d).select("doc_id", "lang", "split"), models), "Rate {lang} by {model}: {split}", {"lang": "lang", "model": "model", "split": "split"})
+    return judge.judged(rows, "length").select("doc_id", "model", "status", "score")
+
+
+# --- samples -------------------------------------------------------------------------------------------------------
+
+
+def by_language(spark, d) -> DataFrame:
+    return keyed(table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars"), ["doc_id"], "lang")
+
+
+@query()
+def sample_per_split(spark, d):
+    return sampling.per_split(by_language(spark, d), 50).select("split", "row_idx", "doc_id")
+
+
+@query()
+def sample_stratified(spark, d):
+    return sampling.stratified(by_language(spark, d), "source", 2).select("split", "source", "doc_id", "group_count")
+
+
+@query("SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS t FROM documents) ORDER BY t, lang LIMIT 100")
+def sample_round_robin(spark, d):
+    return sampling.interleaved(table(spark, d, "documents"), "lang", "doc_id", 100).select("doc_id", "lang")
+
+
+@query("SELECT doc_id FROM documents WHERE lang IN ('de', 'fr') AND source IN ('src1', 'src2', 'src3') AND 2000 + doc_id % 5 IN (2001, 2002) AND length(text) <= 4000 AND trim(text) <> ''")
+def benchmark_filter(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", F.col("lang").alias("lp"), F.col("source").alias("domain"), (2000 + F.col("doc_id") % 5).alias("year"), F.col("text").alias("src"), F.col("text").alias("mt"))
+    return sampling.benchmark_rows(rows, ["de", "fr"], ["src1", "src2", "src3"], [2001, 2002], 4000, 4000).select("doc_id")
+
+
+# --- incremental state ---------------------------------------------------------------------------------------------
+
+
+@query("SELECT user_id, arg_max(event_id, event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id")
+def latest_records(spark, d):
+    return incremental.latest(table(spark, d, "events").select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"])
+
+
+@query("SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM (SELECT user_id, arg_max(event_type, event_id) AS t FROM events GROUP BY user_id) WHERE t = (SELECT min(event_type) FROM events))")
+def resume_pending(spark, d):
+    events = table(spark, d, "events")
+    ok = events.agg(F.min("event_type").alias("ok"))
+    rows = events.crossJoin(F.broadcast(ok)).select("user_id", "event_id", F.when(F.col("event_type") == F.col("ok"), "ok").otherwise("error").alias("status"))
+    return judge.resumed(events.select("user_id").distinct(), rows, ["user_id"], ["event_id"])
+
+
+@query("WITH r AS (SELECT event_id, user_id, event_id % 3 AS attempt, event_id % 2 = 0 AS is_status FROM events), m AS (SELECT user_id, max(attempt) AS attempt FROM r WHERE is_status GROUP BY user_id) SELECT event_id FROM r JOIN m USING (user_id, attempt)")
+def latest_attempts(spark, d):
+    rows = table(spark, d, "events").select("event_id", F.col("user_id").alias("candidate"), (F.col("event_id") % 3).alias("attempt"), F.when(F.col("event_id") % 2 == 0, "status").otherwise("row").alias("record_type"))
+    return incremental.compacted(rows).select("event_id")
+
+
+@query("SELECT user_id AS candidate, max(event_id % 3) + 1 AS next_attempt FROM events GROUP BY user_id")
+def next_attempts(spark, d):
+    return incremental.next_attempt(table(spark, d, "events").select(F.col("user_id").alias("candidate"), (F.col("event_id") % 3).alias("attempt")))
+
+
+# --- translation and export ----------------------------------------------------------------------------------------
+
+
+@query(r"SELECT role AS split, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS row_idx, length(text) + 3 * (CASE WHEN trim(text) <> '' AND regexp_matches(text, '\p{L}') THEN 1 ELSE 0 END) AS n, 'ok' AS status FROM conversations WHERE length(text) <= 2500")
+def translate_text(spark, d):
+    rows = keyed(table(spark, d, "conversations"), ["conv_id", "turn"], "role").where("char_length(text) <= 2500")
+    done = translate.translate_column(rows, "text", "text_fr", "prefix", guards=[{"kind": "no_letters"}])
+    return done.select("split", "row_idx", F.char_length("text_fr").cast("long").alias("n"), "status")
+
+
+@query("SELECT conv_id, list_aggregate(list('fr:' || text ORDER BY turn), 'string_agg', chr(10)) AS joined FROM conversations GROUP BY conv_id")
+def translate_list(spark, d):
+    lists = align.dialogue_turns(table(spark, d, "conversations"))
+    return translate.translate_lists(lists, "turns", "turns_fr", "prefix", keys=("dialogue_id",)).select(F.col("dialogue_id").alias("conv_id"), F.array_join("turns_fr", "\n").alias("joined"))
+
+
+@query()
+def translate_action_logs(spark, d):
+    events = table(spark, d, "events").select(F.col("event_id").alias("row_idx"), F.concat(F.lit("User: please open "), F.col("event_id").cast("string"), F.lit("\nAgent: say(speaker=\"a\", utterance=\"ok\")\nclick(uid=1)")).alias("query"))
+    return translate.action_logs(events, "query", "prefix", keys=("row_idx",))
+
+
+@query("SELECT doc_id, 'fr:' || text AS text FROM documents")
+def export_reshaped(spark, d):
+    rows = table(spark, d, "documents").withColumn("text_fr", F.concat(F.lit("fr:"), F.col("text")))
+    steps = [("replace_columns", {"mapping": {"text": "text_fr"}}), ("drop_columns", {"columns": ["text_fr", "absent"]}), ("select_columns", {"columns": ["doc_id", "text"]})]
+    return export.reshape(rows, steps)
+
+
+@query("SELECT conv_id, list(text || '!' ORDER BY turn)[1] AS first_content FROM conversations GROUP BY conv_id")
+def export_serialized(spark, d):
+    turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    lists = table(spark, d, "conversations").groupBy("conv_id").agg(turns.alias("t"))
+    rows = lists.select("conv_id", F.to_json(F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))).alias("query"), F.to_json(F.transform("t", lambda t: F.struct(F.concat(t["text"], F.lit("!")).alias("content_fr")))).alias("query_fr"))
+    done = export.serialized_dialog_content(rows, "query", "query_fr")
+    return done.select("conv_id", F.get_json_object("query", "$[0].content").alias("first_content"))
+
+
+@query()
+def split_fingerprints(spark, d):
+    return fingerprints(table(spark, d, "documents").withColumnRenamed("source", "split"))
