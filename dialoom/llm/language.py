@@ -84,7 +84,7 @@ class LanguageModel:
         """(words, languages): how much each word speaks for each language; 0 for words without letters."""
         out = np.zeros((len(words), len(self.languages)), np.float32)
         some = [i for i, w in enumerate(words) if w]
-        if not some:
+        if not some or not self.languages:
             return out
         found = [words[i] for i in some]
         of, buckets = grams_of(found)
