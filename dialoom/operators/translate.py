@@ -59,8 +59,12 @@ def translate_distinct(texts: DataFrame, translator: str, source: str = "en", ta
     return distinct.mapInArrow(run, "text string, translation string, status string, attempts int, error string")
 
 
-def translate_column(rows: DataFrame, source: str, target: str, translator: str, max_chars: int = 2500, guards: list[dict] | None = None, keys: tuple[str, ...] = ("split", "row_idx"), **languages) -> DataFrame:
-    """The rows with a translated text column, its status and error. Long texts go in chunks, which come back in order; a failed chunk keeps its source."""
+def translate_column(rows: DataFrame, source: str, target: str, translator: str, max_chars: int = 2500, guards: list[dict] | None = None, keys: tuple[str, ...] = ("split", "row_idx"), unchanged_is_error: bool = False, **languages) -> DataFrame:
+    """The rows with a translated text column, its status and error.
+
+    Long texts go in chunks, which come back in order; a failed chunk keeps its source. An English text that came back
+    the same is an error where that is asked for, so a resumed run sends it again.
+    """
     wanted = ~T.is_blank(F.coalesce(F.col(source), F.lit(""))) & passes_guards(F.col(source), guards)
     pieces = rows.where(wanted).select(*keys, F.posexplode(T.chunks(F.col(source), max_chars)).alias("i", "text"))
     done = pieces.join(translate_distinct(pieces, translator, **languages), "text")
@@ -68,6 +72,9 @@ def translate_column(rows: DataFrame, source: str, target: str, translator: str,
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", F.coalesce("translation", "text").alias("x")))), lambda p: p["x"]), "").alias(target),
         F.max(F.when(F.col("status") == "error", F.col("error"))).alias("error"),
     )
+    if unchanged_is_error:
+        same = rows.select(*keys, F.col(source).alias("_source")).join(whole, list(keys))
+        whole = same.withColumn("error", F.coalesce("error", F.when(suspicious_unchanged(F.col("_source"), F.col(target)), "unchanged translation"))).drop("_source")
     out = rows.drop(*([target] if target != source else [])).join(whole.withColumnRenamed(target, "_done"), list(keys), "left")
     return out.withColumns({target: F.coalesce("_done", source), "status": F.when(F.col("error").isNotNull(), "error").otherwise("ok"), "error": F.coalesce("error", F.lit(""))}).drop("_done")
 
@@ -120,14 +127,38 @@ def action_records(query: str, user: str = "User: ", agent: str = "Agent: ") ->
     return ["\n".join(lines) for lines in out]
 
 
-def action_logs(rows: DataFrame, column: str, translator: str, languages: tuple[str, str] = ("en", "fr"), keys: tuple[str, ...] = ("split", "row_idx")) -> DataFrame:
-    """Browsing logs with what the user says translated; an error if lines or actions changed."""
+#: A quoted value: doubled quotes around it, or single ones of either kind, with backslash escapes left as they are.
+QUOTED = re.compile(r'""((?:[^"\\]|\\.|"(?!"))*)""|"((?:[^"\\]|\\.)*)"|\'((?:[^\'\\]|\\.)*)\'', re.S)
+
+
+def quoted_value(text: str, start: int = 0) -> tuple[str, int] | None:
+    """The quoted value that begins at start, and where what follows it begins."""
+    found = QUOTED.match(text, start)
+    return (next(g for g in found.groups() if g is not None), found.end()) if found else None
+
+
+def with_utterance(record: str, call, languages: tuple[str, str], agent: str = "Agent: ") -> str:
+    """An agent's say() with its utterance translated; any other record as it is."""
+    at = record.find("utterance=")
+    if not record.startswith(f"{agent}say(") or at < 0:
+        return record
+    at += len("utterance=")
+    found = quoted_value(record, at)
+    if found is None or not found[0].strip():
+        return record
+    marks = (found[1] - at - len(found[0])) // 2
+    return record[: at + marks] + call(found[0], *languages) + record[found[1] - marks :]
+
+
+def action_logs(rows: DataFrame, column: str, translator: str, languages: tuple[str, str] = ("en", "fr"), keys: tuple[str, ...] = ("split", "row_idx"), utterances: bool = False) -> DataFrame:
+    """Browsing logs with what the user says translated, and the agent's utterances if asked for; an error if lines or actions changed."""
     call = TRANSLATORS[translator]
 
     def one(query: str | None) -> str | None:
         if query is None:
             return None
-        return "\n".join("User: " + "\n".join(call(x, *languages) if re.search(r"[^\W\d_]", x) else x for x in r[6:].split("\n")) if r.startswith("User: ") else r for r in action_records(query))
+        other = lambda r: with_utterance(r, call, languages) if utterances else r
+        return "\n".join("User: " + "\n".join(call(x, *languages) if re.search(r"[^\W\d_]", x) else x for x in r[6:].split("\n")) if r.startswith("User: ") else other(r) for r in action_records(query))
 
     def run(batches):
         for batch in batches:

@@ -70,3 +70,33 @@ def write_report(report: dict, path: str) -> None:
 
 def manifest(kind: str, dataset: str, run: str, lang: str, marks: dict) -> dict:
     return {"schema_version": 1, "kind": kind, "dataset": dataset, "run": run, "lang": lang, "created_at": datetime.now(timezone.utc).isoformat(), "fingerprints": marks}
+
+
+def export_splits(df: DataFrame, path: str) -> dict[str, int]:
+    """One Parquet file per split, in row order, named as hubs expect; gives the rows of each. The folder is emptied first.
+
+    A split of an export is one file by contract, so it is written by one task; splits beyond that are for write_splits.
+    """
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path_of = jvm.org.apache.hadoop.fs.Path
+    fs = path_of(path).getFileSystem(conf)
+    fs.delete(path_of(path), True)
+    rows = {r.split: r.n for r in df.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    for split in rows:
+        staged = f"{path}/_{split}"
+        df.where(F.col("split") == split).repartition(1).sortWithinPartitions("row_idx").drop("split", "row_idx").write.parquet(staged)
+        (part,) = [f.getPath() for f in fs.listStatus(path_of(staged)) if f.getPath().getName().startswith("part-")]
+        fs.rename(part, path_of(f"{path}/{split}-00000-of-00001.parquet"))
+        fs.delete(path_of(staged), True)
+    return rows
+
+
+def front_matter(configs: dict[str, list[str]]) -> str:
+    """The head of an export's README: for every config the files of its splits."""
+    lines = ["---", "configs:"]
+    for name, splits in configs.items():
+        lines += [f"- config_name: {name}", "  data_files:"]
+        for split in splits:
+            lines += [f"  - split: {split}", f"    path: {name}/{split}-*.parquet"]
+    return "\n".join([*lines, "---", ""])

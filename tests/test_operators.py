@@ -166,3 +166,25 @@ def test_records_as_a_stream(spark, tmp_path):
 def test_blank_and_strip(spark):
     df = spark.createDataFrame([("  \t",), (" a ",)], "x string")
     assert [r.b for r in df.select(T.is_blank(F.col("x")).alias("b")).collect()] == [True, False]
+
+
+def test_export_files(spark, tmp_path):
+    rows = spark.createDataFrame([("train", 1, "b"), ("train", 0, "a"), ("dev", 0, "c")], "split string, row_idx long, x string")
+    assert tables.export_splits(rows, str(tmp_path / "e")) == {"train": 2, "dev": 1}
+    assert [r.x for r in spark.read.parquet(str(tmp_path / "e/train-00000-of-00001.parquet")).collect()] == ["a", "b"]
+    assert "path: default/train-*.parquet" in tables.front_matter({"default": ["train"]})
+
+
+def test_quoted_values():
+    assert translate.quoted_value('""a "b" c"" rest') == ('a "b" c', 11)
+    assert translate.quoted_value("x='it\\'s' y", 2) == ("it\\'s", 9)
+    assert translate.quoted_value("none") is None
+    call = lambda t, a, b: f"{b}:{t}"
+    assert translate.with_utterance('Agent: say(speaker="x", utterance="hi")', call, ("en", "fr")) == 'Agent: say(speaker="x", utterance="fr:hi")'
+
+
+def test_unchanged_translations_are_errors(spark):
+    translate.register_translator("same", lambda text, source, target: text)
+    rows = spark.createDataFrame([("t", 0, "Please open the door for me"), ("t", 1, "Paris")], "split string, row_idx long, text string")
+    found = {r.row_idx: r.error for r in translate.translate_column(rows, "text", "text_fr", "same", unchanged_is_error=True).collect()}
+    assert found == {0: "unchanged translation", 1: ""}
