@@ -19,6 +19,8 @@ BANDS, ROWS = 32, 4
 FAN = 256
 #: Rounds of comparing with pivots before what is left is compared pair by pair.
 STAR_ROUNDS = 4
+#: Pairs of different components, for each member of a bucket, that are all compared without more such rounds.
+SPARE_PAIRS = 16
 #: Words whose hashes a worker remembers; the memory starts anew when it is full.
 CACHE_WORDS = 400_000
 
@@ -147,11 +149,11 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
 def similar_sketches(pairs: DataFrame, sketches: DataFrame, percent: int, hashes: int) -> DataFrame:
     """Of rows a, b those whose set sizes and signatures allow the similarity.
 
-    A pair at the threshold has fewer than the asked-for equal minima (6 standard deviations below their mean) with a
-    probability of 1e-9; chance equality of low bytes only lets more pairs through.
+    A pair at the threshold has fewer than the asked-for equal minima (4.5 standard deviations below their mean) with a
+    probability of 3e-6; chance equality of low bytes only lets more pairs through.
     """
     p = percent / 100
-    least = int(hashes * p - 6 * (hashes * p * (1 - p)) ** 0.5)
+    least = int(hashes * p - 4.5 * (hashes * p * (1 - p)) ** 0.5)
     side = lambda c: sketches.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
 
@@ -197,7 +199,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
     1. Documents of equal sets are one class, whose smallest doc_id stands for it from here on.
     2. Classes that share a band are candidates. In every bucket that has unlinked members, all are compared with one
-       pivot: first signatures, then full sets. Links give components (large-star, small-star).
+       pivot, first the member that shares most buckets with others: first signatures, then full sets. Links give components (large-star, small-star).
     3. Buckets whose members are not all in one component are taken again with another pivot, at most STAR_ROUNDS times
        while comparing all their pairs would be much, then by all pairs of different components. So no candidate
        pair that could join two components goes without a comparison, and a group of n copies costs n of them.
@@ -214,9 +216,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     reps = with_set.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"])
 
     banded = reps.select("doc_id", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("band")
-    live = scratch.keep(banded.join(shared, "band").distinct(), "live")
-    ids = scratch.keep(live.select("doc_id").distinct(), "ids")
+    shared = banded.groupBy("band").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("band", "n")
+    live = scratch.keep(banded.join(shared, "band").distinct(), "in-buckets")
+    ids = scratch.keep(live.groupBy("doc_id").agg(F.sum("n").alias("weight")), "ids")
+    live = scratch.keep(live.drop("n").join(ids, "doc_id"), "live")
     sketches = scratch.keep(signed.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch"), "sketches")
     texts = scratch.keep(source.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     release(spark)
@@ -227,13 +230,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
             marked = live.withColumn("label", F.col("doc_id"))
         else:
             marked = live.join(labels.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-        order = F.col("doc_id") if not step else F.xxhash64("doc_id", F.lit(step))
-        buckets = marked.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("doc_id", "label"), order).alias("pivot"), F.count("*").alias("n")).where("lo <> hi")
-        mixed = scratch.keep(marked.join(buckets.select("band", "pivot", "n"), "band"), f"mixed-{step}")
-        n_rows, n_pairs = mixed.agg(F.count("*"), F.sum("n")).first()
+        # the pivot of a bucket: first the member that shares the most buckets with others, later one by chance
+        order = F.col("weight") if not step else F.xxhash64("doc_id", F.lit(step))
+        sizes = marked.groupBy("band", "label").agg(F.count("*").alias("n"), F.max_by(F.struct("doc_id", "label"), F.struct(order, "doc_id")).alias("pivot"), F.max(F.struct(order.alias("o"), "doc_id")).alias("top"))
+        buckets = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"), F.max_by("pivot", "top").alias("pivot"), F.count("*").alias("labels")).where("labels > 1")
+        mixed = scratch.keep(marked.join(buckets.select("band", "pivot"), "band"), f"mixed-{step}")
+        n_rows, n_pairs = buckets.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()
         if not n_rows:
             break
-        last = step and n_pairs <= 64 * n_rows or step == STAR_ROUNDS
+        last = step and n_pairs <= SPARE_PAIRS * n_rows or step == STAR_ROUNDS
         if last:
             left, right = (mixed.select("band", F.col("doc_id").alias(c), F.col("label").alias(f"l_{c}")) for c in "ab")
             pairs = left.join(right, "band").where("a < b and l_a <> l_b").select("a", "b").distinct()
@@ -258,7 +263,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         if last:
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
-        live = mixed.select("band", "doc_id")
+        live = mixed.select("band", "doc_id", "weight")
 
     found = signed.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").withColumn("rep", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("rep")), "doc_id"))
     if labels is not None:
