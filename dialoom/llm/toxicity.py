@@ -21,17 +21,20 @@ SPANS = {4: 5, 5: 6}
 DECAY = 0.5
 BUCKETS = 1 << 20
 LANDMARKS = 250  # strings of each label that the kernel is approximated by
-POSITIVES, NEGATIVES = 600, 3_000  # training strings, at most
+POSITIVES, NEGATIVES = 600, 4_000  # training strings, at most
 #: A string is an example of an insult if toxic texts have it so many times as often as clean ones, beyond chance.
 RATIO = 15.0
 #: Rounds of learning; after the first, from the toxic texts that the machine misses.
 ROUNDS = 3
 #: Times in a round that the strings of clean texts that score highest are added to the counter-examples.
-MINING = 4
+MINING = 5
 COST = 1.0  # of a training string on the wrong side of its margin
 #: Longer words are scored in windows that overlap by half.
 WINDOW = 32
-CACHE_WORDS = 400_000
+#: Words whose margins a worker remembers; the memory starts anew when it is full.
+CACHE_WORDS = 300_000
+#: Words whose subsequences are in memory at once.
+CHUNK = 10_000
 
 
 def patterns() -> list[tuple[tuple[int, ...], float]]:
@@ -111,8 +114,12 @@ class ToxicityModel:
     middle: float = 0.0
 
     def margins(self, words: list[str]) -> np.ndarray:
-        of, at, weight = features(words)
-        return np.bincount(of, self.weights[at] * weight, len(words)) + self.bias
+        out = np.full(len(words), self.bias)
+        for first in range(0, len(words), CHUNK):
+            part = words[first : first + CHUNK]
+            of, at, weight = features(part)
+            out[first : first + len(part)] += np.bincount(of, self.weights[at] * weight, len(part))
+        return out
 
     def score(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * (margins - self.middle), -50, 50)))
@@ -182,28 +189,32 @@ class Scorer:
         return ["".join(letters_of(w) for w in words[a:b]) for a, b in runs]
 
 
-def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
-    """A model of rows with text and label 0 or 1, from about sample_rows of each label, whole texts.
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
+    """A model of the docs that labels call 0 or 1, from about sample_rows of each label, whole texts.
 
-    Sentences of a clean text are clean; one sentence at least of a toxic text is toxic, by one string at least. Strings
-    that toxic texts have much oftener are its first examples; strings of clean texts that score highest against
-    them are learned as counter-examples in a second round. Without both labels nothing is toxic.
+    The sample is drawn from the labels by a hash, so only its ids, which are few by that bound, go to the texts. Rows
+    of several labels count with each. Sentences of a clean text are clean; one sentence at least of a toxic text is
+    toxic, by one string at least. Strings that toxic texts have much oftener are its first examples; strings of clean
+    texts that score highest against them are learned as counter-examples. Without both labels nothing is toxic.
     """
-    scratch = Scratch(labelled.sparkSession, "toxicity")
-    rows = labelled.where(F.col(text).isNotNull() & F.col(label).isin(0, 1)).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(label).cast("int").alias("toxic"))
-    counts = {r.toxic: r["count"] for r in rows.select("doc_id", "toxic").groupBy("toxic").count().collect()}
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "toxicity")
+    rows = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("toxic")).distinct()
+    counts = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     nothing = ToxicityModel(np.zeros(BUCKETS), -1.0)
     if not (counts.get(0) and counts.get(1)):
         return nothing
     draw = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30))
     bound = {k: int(min(1.0, sample_rows / n) * (1 << 30)) for k, n in counts.items()}
-    sample = scratch.keep(rows.where(draw < F.when(F.col("toxic") == 1, bound[1]).otherwise(bound[0])), "sample")
+    drawn = scratch.keep(rows.where(draw < F.when(F.col("toxic") == 1, bound[1]).otherwise(bound[0])), "drawn")
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    sample = scratch.keep(texts.join(F.broadcast(drawn), "doc_id"), "sample")
     n = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not (n.get(0) and n.get(1)):
         return nothing
 
     def strings(batches):
-        for batch in sliced(batches):
+        for batch in sliced(batches, most=2 << 20):
             words, toxic = [], []
             for t, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 found = {p for w in set(t.split()) for p in windows(letters_of(w)) if len(p) >= 3}
@@ -229,7 +240,7 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
         model = fit_words(positive, negative)
         chosen = set(positive)
         for _ in range(MINING):
-            hard = clean.where("good > 1").select("word").mapInArrow(margins_by(model), "word string, margin double").orderBy(F.desc("margin"), "word").limit(NEGATIVES // 4)
+            hard = clean.select("word").mapInArrow(margins_by(model), "word string, margin double").orderBy(F.desc("margin"), "word").limit(NEGATIVES // 4)
             negative = [w for w in dict.fromkeys([r.word for r in hard.collect()] + negative) if w not in chosen]
             model = fit_words(positive, negative)
         # toxic texts that have no such string yet have another one
@@ -242,14 +253,15 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
         return nothing
 
     # the score is one half where it parts the texts of the sample best
-    found = map_arrow(sample, lambda batch, held={}: score_batch(batch, held, model), "toxic int, margin double").toPandas()
+    found = map_arrow(sample, lambda batch, held={}: score_batch(batch, held, model), "toxic int, margin double", most=4 << 20).toPandas()
     bad, good = (np.sort(found.margin[found.toxic == k].to_numpy()) for k in (1, 0))
     cuts = np.unique(np.concatenate([bad, good]))
     cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts
-    wrong = np.searchsorted(bad, cuts) + len(good) - np.searchsorted(good, cuts)
-    best = cuts[wrong == wrong.min()]
+    # weighed as the labels have them, not as the sample has
+    wrong = np.searchsorted(bad, cuts) * (counts[1] / max(1, len(bad))) + (len(good) - np.searchsorted(good, cuts)) * (counts[0] / max(1, len(good)))
+    best = cuts[wrong <= wrong.min() + 1e-9]
     model.middle = float(best[np.argmin(np.abs(best))])
-    scratch.drop("sample", "strings")
+    scratch.drop("drawn", "sample", "strings")
     return model
 
 
@@ -279,7 +291,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel, text: str = "text", score
     source = docs.select(*(F.col(f"`{c}`") for c in columns))
 
     def run(batches):
-        for batch in sliced(batches, text):
+        for batch in sliced(batches, text, 4 << 20):
             scorer = held.get("scorer") or held.setdefault("scorer", Scorer(shared.value))
             found = scorer.model.score(scorer(batch.column(text).to_pylist()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*columns, score])

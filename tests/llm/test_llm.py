@@ -308,12 +308,13 @@ def test_toxicity(spark):
     draw = random.Random(11)
     clean = sentences(300, 21, 30)
     rows = [(i, t if i % 5 else t + " " + draw.choice(["zorgblat", "kwumpish", "zorgblatti"]), int(i % 5 == 0)) for i, t in enumerate(clean)]
-    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(table, table)
     texts = [clean[1], clean[2] + " Zorgblat!", clean[3] + " z o r g b l a t", clean[4] + " zorgxblat", None, "", "1 2"]
     found = {r.doc_id: r.score for r in toxicity.score_texts(docs_of(spark, texts).withColumn("score", F.lit(9)), model).collect()}
     assert [found[i] >= 0.5 for i in range(7)] == [False, True, True, True, False, False, False]
     assert toxicity.score_texts(docs_of(spark, texts).limit(0), model).count() == 0
-    assert toxicity.fit(spark.createDataFrame(rows[1:5], "doc_id long, text string, toxic int")).bias < 0
+    assert toxicity.fit(table, table.where("toxic = 0")).bias < 0
 
 
 def test_kernel_is_a_gram_matrix():
