@@ -16,7 +16,7 @@ from .shared import Scratch, map_arrow
 END_ID = 0
 CAPACITY = 2048
 #: Words in the younger of the two halves of what a worker remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 #: Parts that pieces are numbered in, besides one for each length. Bounds what the driver collects.
 PARTS = 4096
 
