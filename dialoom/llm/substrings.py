@@ -209,13 +209,19 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
 
     runs = scratch.keep(texts.select("row_id", "text").mapInArrow(sample, "h long, context long, row_id long, lo long, n int, anchor int"), "runs")
     repeated = runs.groupBy("h").agg(F.count("*").alias("size"), F.min("context").alias("x"), F.max("context").alias("y")).where("size > 1")
-    repeated = scratch.keep(repeated.select("h", (F.col("x") == F.col("y")).alias("equal"), (F.col("size") > HOT).alias("hot")), "repeated")
+    repeated = scratch.keep(repeated.select("h", (F.col("x") == F.col("y")).alias("equal")), "repeated")
     release(spark)
-    candidates = scratch.keep(runs.drop("context").join(repeated, "h"), "candidates")
+    candidates = scratch.keep(runs.join(repeated, "h"), "candidates")
     scratch.drop("runs")
     release(spark)
-    whole = candidates.where("equal").select("row_id", "lo", (F.col("lo") + F.col("n") - 1).alias("hi"))
-    unequal = candidates.where("not equal").groupBy("row_id").agg(F.collect_list(F.struct("h", "lo", "n", "anchor", "hot")).alias("runs"))
+    unequal = candidates.where("not equal")
+    # runs of one context are whole repeats; one of them stands for the others from here on
+    contexts = unequal.groupBy("h", "context").agg(F.count("*").alias("copies"), F.min(F.struct("row_id", "lo", "n", "anchor")).alias("run"))
+    contexts = scratch.keep(contexts, "contexts")
+    whole = candidates.where("equal").unionByName(unequal.join(contexts.where("copies > 1").select("h", "context"), ["h", "context"]).select(candidates.columns))
+    whole = whole.select("row_id", "lo", (F.col("lo") + F.col("n") - 1).alias("hi"))
+    sizes = contexts.groupBy("h").agg((F.count("*") > HOT).alias("hot"))
+    shown_runs = contexts.join(sizes, "h").groupBy(F.col("run.row_id").alias("row_id")).agg(F.collect_list(F.struct("h", "run.lo", "run.n", "run.anchor", "hot")).alias("runs"))
 
     def bodies(batches):
         for batch in batches:
@@ -237,7 +243,7 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), body_types, strict=True)], names=body_names)
 
     body_names, body_types = ["h", "row_id", "lo", "n", "anchor", "body"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-    shown = scratch.keep(texts.select("row_id", "text").join(unequal, "row_id").mapInArrow(bodies, "h long, row_id long, lo long, n int, anchor long, body binary"), "shown")
+    shown = scratch.keep(texts.select("row_id", "text").join(shown_runs, "row_id").mapInArrow(bodies, "h long, row_id long, lo long, n int, anchor long, body binary"), "shown")
     release(spark)
 
     counted = shown.where("body is null").select("h", "anchor", "row_id", "lo")
