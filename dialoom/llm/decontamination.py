@@ -21,6 +21,8 @@ EDITS = 0.08
 #: Length of the q-grams. A probe of n characters within e edits shares at least n + 1 - Q * (e + 1) of them.
 Q = 9
 TABLE_BITS = 22
+#: No character's code.
+NOTHING = 0xFFFFFFFF
 #: Characters of benchmark text that one worker holds as an index; a larger benchmark is searched in so many passes.
 INDEX_CHARS = 8_000_000
 
@@ -129,13 +131,12 @@ class Index:
 def aligned(probe: str, text: str, edits: int) -> tuple[int, int] | None:
     """Banded alignment: the end in text and the distance of the best place of the whole probe, if within `edits`.
 
-    Rows are the probe's characters. The text is as long as the probe and the band, so column j of row i is text[i + j].
+    Rows are the probe's characters. The text has `edits` characters that match nothing put on both sides, so column j of
+    row i is text[i + j - edits], and a probe with characters missing has its diagonals where the text begins or ends too.
     """
-    width = len(text) - len(probe) + 1
-    if width < 1:
-        text += "\0" * (1 - width)
-        width = 1
-    t, p = codes(text), codes(probe)
+    width = max(1, len(text) - len(probe) + 1 + 2 * edits)
+    t, p = np.full(width + len(probe) - 1, NOTHING, np.uint32), codes(probe)
+    t[edits : edits + len(text)] = codes(text)
     steps = np.arange(width)
     row = np.zeros(width, np.int64)  # the alignment may start at any diagonal of the band
     for i in range(len(p)):
@@ -145,7 +146,7 @@ def aligned(probe: str, text: str, edits: int) -> tuple[int, int] | None:
         if i >= edits and row.min() > edits:
             return None
     at = int(row.argmin())
-    return (len(probe) + at, int(row[at])) if row[at] <= edits else None
+    return (min(max(0, len(probe) + at - edits), len(text)), int(row[at])) if row[at] <= edits else None
 
 
 def leaks_in(text: str, index: Index) -> dict[int, tuple[int, int, int, int]]:
@@ -161,7 +162,7 @@ def leaks_in(text: str, index: Index) -> dict[int, tuple[int, int, int, int]]:
         probe = index.probes[p]
         half = 2 * probe.edits + 1
         start = max(0, diagonal)
-        place = aligned(probe.text, body[start : diagonal + 2 * half + len(probe.text)], probe.edits)
+        place = aligned(probe.text, body[start : max(start, diagonal + 2 * half + len(probe.text))], probe.edits)
         if place is None:
             continue
         done.add(p)

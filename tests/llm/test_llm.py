@@ -191,6 +191,21 @@ def test_alignment_is_edit_distance():
             assert found is not None
 
 
+def test_leaks_with_deletions_at_both_ends_of_a_text():
+    assert decontamination.aligned("abcdef", "abdef", 1) == (5, 1)
+    passages = [(i, decontamination.normal(t[:100])) for i, t in enumerate(sentences(20, 33, 40))]
+    index = decontamination.Index(passages)
+    filler, draw = sentences(1, 34)[0], random.Random(3)
+    for item, text in passages:
+        for k in range(1, index.probes[item].edits):  # a cut at a space can cost one more
+            at = sorted(draw.sample(range(30, 95), k))
+            cut = "".join(c for i, c in enumerate(text) if i not in at)
+            for leak in (cut, text[k:], text[: len(text) - k]):
+                for body in (leak, filler + " " + leak, leak + " " + filler):
+                    start, end, _, edits = decontamination.leaks_in(body, index)[item]
+                    assert edits <= index.probes[item].edits and 0 <= start < end <= len(decontamination.normal(body))
+
+
 def test_languages(spark):
     draw = random.Random(2)
     make = {"aa": "abcde", "bb": "vwxyz", "cc": "клмно"}
