@@ -17,9 +17,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+    """One row of each group of near copies: five-word shingles, similarity 0.8 or more. Repeated rows and rows without doc_id are rows like any other."""
+    scratch = Scratch(spark, "near-copies")
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc"))
+    rows = scratch.keep(numbered, "rows")  # written, so that a row keeps its number
+    found = minhash.near_duplicates(rows.select("row", "doc.text"), doc_id="row").select(F.col("doc_id").alias("row"), "component_id")
+    # the row of the least doc_id stays
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
+    kept = found.join(rows.select("row", F.col("doc.doc_id").alias("id")), "row").groupBy("component_id").agg(F.min_by("row", order).alias("row"))
+    return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -377,6 +377,20 @@ def test_pages(spark):
     assert sorted((r.page_id, r.text, r.n_chars) for r in found) == sorted([(1, expected, len(expected)), (2, "", 0), (3, "", 0), (4, "only <this>", 11), (5, "", 0), (5, "plain", 5)])
 
 
+def test_pipeline_keeps_one_of_repeated_rows(spark):
+    import corpus_pipeline
+
+    once, near, bare, short = sentences(3, 21) + ["a b"]
+    rows = [(7, once), (7, once), (3, near + " zz"), (None, near), (None, bare), (None, bare), (9, None), (9, None), (None, short), (None, short), (4, short)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    expected = Counter([(7, once), (3, near + " zz"), (None, bare), (9, None), (9, None), (4, short)])
+    assert Counter(tuple(r) for r in kept.collect()) == expected
+    left = corpus_pipeline.drop_repeats(spark, shared.Scratch(spark, "test").keep(kept, "kept"), "").where("text <> ''")
+    assert Counter(tuple(r) for r in left.collect()) == Counter({k: n for k, n in expected.items() if k[1]})
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
