@@ -39,7 +39,7 @@ SPACE = re.compile(r"\s+")
 SMOOTH = 2  # blocks to either side that a block's ratios are smoothed with
 SPREAD = 1.0  # of the Gaussian that does so
 THRESHOLD = 0.5  # times the standard deviation of the fused ratios
-MOST = 0.75  # of the chosen text that the article has
+MOST = 0.75  # of the chosen text that article and main elements have to be the article
 MAIN_PRIOR = 4  # times what text inside an element marked as the article counts
 
 
@@ -156,9 +156,9 @@ def content_scores(blocks: list[Block], texts: list[str]) -> list[float]:
 def main_text(page: str | None) -> str:
     """The main text of a page, one line for each block; empty if there is none.
 
-    Blocks of elements that are never content are left out. The paths of the others are scored and thresholded; the
-    innermost element that holds most of the text on the chosen paths is the article, and all its blocks are its text,
-    so a short title or line of it stays.
+    Blocks of elements that are never content are left out. The paths of the others are scored and thresholded. Where
+    article and main elements hold most of the text on the chosen paths, they are the article; else it is the smallest
+    element that holds all of that text. All its blocks are its text, so a short title or line of it stays.
     """
     found = [(b, t) for b in blocks_of(page or "") if b.kept and (t := b.text())]
     if not found:
@@ -168,17 +168,17 @@ def main_text(page: str | None) -> str:
     mean = sum(scores) / len(scores)
     least = min(mean, THRESHOLD * math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores)))
     chosen = {b.path for b, s in zip(blocks, scores, strict=True) if s >= least}
-    weight: dict[int, int] = {}
+    inside = [bool(MAIN & set(b.path)) for b in blocks]
+    weight = [len(t) * (b.path in chosen) * (MAIN_PRIOR if m else 1) for b, t, m in zip(blocks, texts, inside, strict=True)]
+    if any(inside) and sum(w for w, m in zip(weight, inside, strict=True) if m) >= MOST * sum(weight):
+        return "\n".join(t for t, m in zip(texts, inside, strict=True) if m)
     size: dict[int, int] = {}
-    total = 0
-    for b, t in zip(blocks, texts, strict=True):
-        n = len(t) * (b.path in chosen) * (MAIN_PRIOR if MAIN & set(b.path) else 1)
-        total += n
+    for b in blocks:
         for node in b.nodes:
-            weight[node] = weight.get(node, 0) + n
             size[node] = size.get(node, 0) + 1
+    holds_all = set.intersection(*(set(b.nodes) for b, w in zip(blocks, weight, strict=True) if w))
     # elements are numbered from the outside in
-    article = max((node for node, w in weight.items() if size[node] > 1 and w >= MOST * total), default=0)
+    article = max((node for node in holds_all if size[node] > 1), default=0)
     return "\n".join(t for b, t in zip(blocks, texts, strict=True) if article in b.nodes)
 
 

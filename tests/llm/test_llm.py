@@ -377,6 +377,18 @@ def test_pages(spark):
     assert sorted((r.page_id, r.text, r.n_chars) for r in found) == sorted([(1, expected, len(expected)), (2, "", 0), (3, "", 0), (4, "only <this>", 11), (5, "", 0), (5, "plain", 5)])
 
 
+def test_pages_keep_all_sections():
+    line = lambda c, n: " ".join([c * 5] * n) + "."
+    p = lambda *texts: "".join(f"<p>{t}</p>" for t in texts)
+    body, lead, rest = [line("b", 60), line("c", 70)], line("l", 8), [line("d", 20), line("e", 14)]
+    page = f"<body><nav>Home</nav><article><h1>Title</h1><p>{lead}</p><div class=body>{p(*body)}</div></article><footer>x</footer></body>"
+    assert html_text.main_text(page) == "\n".join(["Title", lead, *body])
+    for tag in ("section", "div"):
+        for outer in ("article", "main", "div"):
+            page = f"<body><nav>Home</nav><{outer}><{tag}>{p(*body)}</{tag}><{tag}>{p(*rest)}</{tag}></{outer}></body>"
+            assert html_text.main_text(page) == "\n".join(body + rest)
+
+
 def test_pipeline_keeps_one_of_repeated_rows(spark):
     import corpus_pipeline
 
