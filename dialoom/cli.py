@@ -6,14 +6,34 @@ import argparse
 import json
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import config
+from .functions import text as T
 from .operators import checks, report
 from .operators.pairs import aligned, text_pairs
 from .sources.tables import renamed_splits, write_report
 
 
+def whole_issues(every: DataFrame, checked: DataFrame, settings: config.DatasetConfig) -> DataFrame:
+    """Issues of the pairs, of values that do not fit each other, of changed actions and of repeated translations."""
+    keys = ["split", "row_idx", "pair_ord", "field"]
+    said = [T.truncated(F.col(c)).alias(c) for c in ("source", "translation")]
+    kind = lambda severity, code, order: [F.lit(order).alias("check_ord"), F.lit(severity).alias("severity"), (F.lit(code) if isinstance(code, str) else code).alias("code")]
+    code = F.when(F.contains("error", F.lit("length mismatch")), "list_length_mismatch").otherwise("field_type_mismatch")
+    broken = every.where("error is not null").select(*keys, *kind("error", code, -1), *said, F.col("error").alias("message"))
+    queries = [k for k, rule in enumerate(settings.rules) if rule.strategy == "weblinx_query"]
+    actions = checks.action_changes(checked.where(F.col("rule_ord").isin(queries))).select(*keys, *kind("error", "weblinx_action_changed", 98), *said)
+    repeated = checks.repeated_translations(checked.withColumn("row_idx", F.struct("split", "row_idx")))
+    note = F.format_string("stands for %s distinct sources", F.col("distinct_sources")).alias("message")
+    repeats = repeated.select("row_idx.split", "row_idx.row_idx", F.lit(0).alias("pair_ord"), F.col("root").alias("field"), *kind("warning", "repeated_translation", 99), F.lit(None).cast("string").alias("source"), said[1], note)
+    found = checks.issues_of(checked, keys)
+    for more in (broken, actions, repeats):
+        found = found.unionByName(more, allowMissingColumns=True)
+    return found
+
+
 def run_check(spark: SparkSession, settings: config.DatasetConfig, source_path: str, translated_path: str, out: str) -> int:
     """Audit a translated dataset against its source; 1 if there are errors. Both have split and row_idx."""
     source = renamed_splits(spark.read.parquet(source_path), settings.split_map)
@@ -21,9 +41,9 @@ def run_check(spark: SparkSession, settings: config.DatasetConfig, source_path:
     if missing := checks.missing_fields(source.columns, target.columns, settings.rules):
         write_report({"verdict": "fail", "missing_fields": missing}, f"{out}/summary.json")
         return 1
-    pairs = text_pairs(aligned(source, target), list(settings.rules)).where("error is null")
-    checked = checks.check_pairs(pairs)
-    found = report.quality_report(checked, checks.issues_of(checked, ["split", "row_idx", "pair_ord", "field"]))
+    every = text_pairs(aligned(source, target), list(settings.rules))
+    checked = checks.check_pairs(every.where("error is null"))
+    found = report.quality_report(checked, whole_issues(every, checked, settings))
     found["splits_differ"] = [r.asDict() for r in checks.split_issues(source, target).collect()]
     write_report(found, f"{out}/summary.json")
     Path(out, "report.html").write_text(report.html_page(found, "Translation quality"), encoding="utf-8")

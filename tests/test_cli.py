@@ -20,6 +20,23 @@ def test_check_end_to_end(spark, tmp_path):
     assert found["splits_differ"] == [] and "Unchanged English text" in (tmp_path / "o/report.html").read_text()
 
 
+def test_check_reports_broken_values_actions_and_repeats(spark, tmp_path):
+    long = [f"This sentence number {w} is about something quite different from all the others" for w in ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten")]
+    kind = "split string, row_idx long, turns array<string>, js string, query string, x array<string>, said string"
+    source = [("train", i, ["a", "b"] if i else ["a"], '["a"]', "click(1)", ["a"], t) for i, t in enumerate(long)]
+    target = [("train", i, ["c"], "no list" if i == 1 else '["c"]', "load(1)" if i == 2 else "click(1)", "c", "Cette phrase revient toujours la même, quelle que soit la source") for i in range(len(long))]
+    spark.createDataFrame(source, kind).write.parquet(str(tmp_path / "s"))
+    spark.createDataFrame(target, kind.replace("x array<string>", "x string")).write.parquet(str(tmp_path / "t"))
+    strategies = {"js": "serialized_text_list", "query": "weblinx_query"}
+    rules = [{"source": c, "target": c, "strategy": strategies.get(c, "auto")} for c in ("turns", "js", "query", "x", "said")]
+    (tmp_path / "c.json").write_text(json.dumps({"rules": rules}))
+    assert cli.main(["check", "--config", str(tmp_path / "c.json"), "--source", str(tmp_path / "s"), "--translated", str(tmp_path / "t"), "--out", str(tmp_path / "o")]) == 1
+    found = json.loads((tmp_path / "o/summary.json").read_text())
+    codes = {c["key"]: c["n"] for c in found["counts"] if c["kind"] == "code"}
+    assert (codes["list_length_mismatch"], codes["field_type_mismatch"], codes["weblinx_action_changed"], codes["repeated_translation"]) == (9, 11, 1, 1)
+    assert found["errors"] == 21
+
+
 def test_config_is_checked():
     with pytest.raises(ValueError):
         config.from_mapping({"rules": [{"source": "a", "target": "b"}, {"source": "c", "target": "b"}]})
