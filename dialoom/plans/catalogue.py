@@ -566,7 +566,7 @@ def next_attempts(spark, d):
 
 @query(r"SELECT role AS split, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS row_idx, length(text) + 3 * (CASE WHEN trim(text) <> '' AND regexp_matches(text, '\p{L}') THEN 1 ELSE 0 END) AS n, 'ok' AS status FROM conversations WHERE length(text) <= 2500")
 def translate_text(spark, d):
-    rows = keyed(table(spark, d, "conversations"), ["conv_id", "turn"], "role").where("char_length(text) <= 2500")
+    rows = keyed(table(spark, d, "conversations"), ["conv_id", "turn"], "role")
     done = translate.translate_column(rows, "text", "text_fr", "prefix", guards=[{"kind": "no_letters"}])
     return done.select("split", "row_idx", F.char_length("text_fr").cast("long").alias("n"), "status")
 

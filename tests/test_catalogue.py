@@ -28,5 +28,13 @@ def test_against_oracle(spark, name):
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(list(expected.columns), expected.fetchall())
 
 
+def test_translate_text_takes_long_and_null_turns(spark, tmp_path):
+    texts = ["word " * 700, "x" * 6000, None, "", "12 34", "short one"]
+    spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(texts)], "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    found = {r.row_idx: (r.n, r.status) for r in catalogue.queries()["translate_text"](spark, str(tmp_path)).collect()}
+    # three characters for each chunk of at most 2,500
+    assert found == {0: (3506, "ok"), 1: (6009, "ok"), 2: (None, "ok"), 3: (0, "ok"), 4: (5, "ok"), 5: (12, "ok")}
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
