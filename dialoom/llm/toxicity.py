@@ -4,82 +4,154 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .language import letters_of
-from .minhash import Vocabulary, mix
-from .shared import Scratch, map_arrow, sliced
+from .shared import Scratch, sliced
 
 #: Labelled rows that a model is fitted on, of each label, at most about; drawn by a hash of doc_id.
 SAMPLE_ROWS = 6_000
-#: Gap-weighted subsequences: a subsequence that spans n letters weighs DECAY**n; longer spans than these do not count.
-SPANS = {4: 5, 5: 6}
-DECAY = 0.5
+#: A subsequence has so many letters and spans at most so many; besides, every other letter of a longer stretch.
+LETTERS, SPAN = 4, 6
+#: A subsequence that spans n letters weighs DECAY**n.
+DECAY = 0.7
 BUCKETS = 1 << 20
+#: Letters of a sentence in which the subsequences of one string begin; a longer sentence has a string at every letter.
+WIDTH = 16
 LANDMARKS = 250  # strings of each label that the kernel is approximated by
-POSITIVES, NEGATIVES = 600, 4_000  # training strings, at most
-#: A string is an example of an insult if toxic texts have it so many times as often as clean ones, beyond chance.
-RATIO = 15.0
-#: Rounds of learning; after the first, from the toxic texts that the machine misses.
-ROUNDS = 3
-#: Times in a round that the strings of clean texts that score highest are added to the counter-examples.
-MINING = 5
+#: Times that the strings of the labelled texts are chosen anew by the machine learned before.
+ROUNDS = 4
+#: Standard deviations by which a subsequence is commoner in toxic texts, to point to the first examples.
+SURPRISE = 3.0
 COST = 1.0  # of a training string on the wrong side of its margin
-#: Longer words are scored in windows that overlap by half.
-WINDOW = 32
-#: Words whose margins a worker remembers; the memory starts anew when it is full.
-CACHE_WORDS = 300_000
-#: Words whose subsequences are in memory at once.
-CHUNK = 10_000
+#: Letters whose subsequences are in memory at once.
+CHUNK = 1 << 15
+#: Between words; sentences begin and end with it too.
+MARK = "_"
+#: What ends a sentence.
+ENDS = ".!?…。！？\n\r\x0b\x0c\x85  "
+TEXT_END = "\x03"
+LETTER, SENTENCE_END, DOCUMENT_END = 1, 2, 3
 
+PATTERNS = [(0, *rest) for rest in combinations(range(1, SPAN), LETTERS - 1)] + [tuple(range(0, 2 * LETTERS, 2))]
+REACH = max(p[-1] for p in PATTERNS)
+LENGTH = (WIDTH * sum(DECAY ** (2 * (p[-1] + 1)) for p in PATTERNS)) ** 0.5
+FACTORS = np.random.default_rng(88).integers(1, 2**63, LETTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SHIFT = np.uint64(64 - BUCKETS.bit_length() + 1)
 
-def patterns() -> list[tuple[tuple[int, ...], float]]:
-    """Offsets of the letters of a subsequence from its first one, with the weight of its span."""
-    from itertools import combinations
 
-    out = []
-    for n, most in SPANS.items():
-        out += [((0, *rest), DECAY ** (rest[-1] + 1)) for rest in combinations(range(1, most), n - 1)]
-    return out
+class Kinds:
+    """What every code point is; made once in each worker."""
 
+    table: np.ndarray | None = None
 
-PATTERNS = patterns()
+    @classmethod
+    def of(cls, codes: np.ndarray) -> np.ndarray:
+        if cls.table is None:
+            table = np.fromiter(map(str.isalpha, map(chr, range(0x110000))), np.uint8, 0x110000)
+            table[[ord(c) for c in ENDS]] = SENTENCE_END
+            table[ord(TEXT_END)] = DOCUMENT_END
+            cls.table = table
+        return cls.table[codes]
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Subsequences of words with marked ends: the number of each one's word, its bucket, and its weight; a word's squares add up to 1."""
-    words = [f"^{w}$" if w else "" for w in words]
-    lengths = np.array([len(w) for w in words], np.int64)
-    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    word = np.repeat(np.arange(len(words)), lengths)
-    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # letters from here to the end of the word
+@dataclass
+class Letters:
+    """The letters of some texts in lower case, with one mark between words and one at the ends of every sentence."""
+
+    codes: np.ndarray
+    end: np.ndarray  # whether a letter is the mark at the ends of sentences
+    text: np.ndarray  # the number of the letter's text
+
+    @classmethod
+    def of(cls, texts: list[str | None]) -> Letters:
+        joined = TEXT_END + TEXT_END.join((t or "").replace(TEXT_END, " ") for t in texts).lower() + TEXT_END
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = Kinds.of(codes)
+        letter = kind == LETTER
+        text = np.cumsum(kind == DOCUMENT_END, dtype=np.int32) - 1
+        first = ~letter
+        first[1:] &= letter[:-1]  # of a run of other characters
+        runs = np.flatnonzero(first)
+        strongest = np.maximum.reduceat(np.where(letter, 0, kind), runs)  # the run at the start has the first text's end
+        keep = letter | first
+        # a mark between two texts opens the later one; it is the last mark of the earlier one as well
+        last = np.append(np.flatnonzero(letter[1:] & ~letter[:-1]), len(codes) - 1)
+        end = np.zeros(len(codes), bool)
+        end[runs] = strongest >= SENTENCE_END
+        out = np.where(letter, codes, ord(MARK))
+        number = text.copy()
+        number[runs] = np.where(strongest == DOCUMENT_END, text[np.minimum(last + 1, len(text) - 1)], text[runs])
+        joins = np.zeros(len(codes), bool)  # a single point joins letters as well as spaces do
+        joins[runs] = (strongest == 0) | (strongest == SENTENCE_END) & (last == runs)
+        out, end, number, letter, joins = out[keep], end[keep], number[keep], letter[keep], joins[keep]
+        # words of one letter in a row are one word
+        alone = np.zeros(len(out), bool)
+        alone[1:-1] = letter[1:-1] & ~letter[:-2] & ~letter[2:]
+        between = np.zeros(len(out), bool)
+        between[1:-1] = joins[1:-1] & alone[:-2] & alone[2:]
+        spaced = between.copy()  # three such words at least
+        wide = np.concatenate([[False, False], between, [False, False]])
+        spaced &= wide[:-4] | wide[4:]
+        return cls(out[~spaced], end[~spaced], number[~spaced])
+
+    def sentence_ends(self) -> np.ndarray:
+        """For every letter the place of the mark that ends its sentence; a mark belongs to the sentence that it opens."""
+        ends = np.flatnonzero(self.end)
+        following = np.searchsorted(ends, np.arange(len(self.codes)), side="right")
+        return np.append(ends, len(self.codes) - 1)[following]
+
+
+def buckets(hashed: list[np.ndarray], offsets: tuple[int, ...], first: int, last: int) -> np.ndarray:
+    """The buckets of the subsequences of one pattern that begin at first, ..., last - 1."""
+    total = hashed[0][first:last].copy()
+    for h, o in zip(hashed[1:], offsets[1:], strict=True):
+        total += h[first + o : last + o]
+    total >>= SHIFT
+    return total.view(np.int64)
+
+
+def hashed_letters(codes: np.ndarray) -> list[np.ndarray]:
+    wide = np.append(codes, np.zeros(REACH, codes.dtype)).astype(np.uint64)
+    wide = (wide + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    wide ^= wide >> np.uint64(29)
+    return [wide * k for k in FACTORS]
+
+
+def features(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Subsequences of strings that begin in their first WIDTH letters: the number of each one's string, its bucket and its weight.
+
+    Weights are divided by the length that those of a whole string have if all are different, so that a short sentence counts
+    like the same letters in a long one.
+    """
+    lengths = np.array([len(s) for s in strings], np.int64)
+    codes = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32)
+    string = np.repeat(np.arange(len(strings)), lengths)
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    left = lengths[string] - place
+    hashed = hashed_letters(codes)
     of, at, weight = [], [], []
-    for offsets, w in PATTERNS:
-        start = np.flatnonzero(left > offsets[-1])
-        h = np.full(len(start), len(offsets), np.uint64)
-        for o in offsets:
-            h = h * np.uint64(0x9E3779B97F4A7C15) + codes[start + o]
-        of.append(word[start])
-        at.append((mix(h) >> np.uint64(44)).astype(np.int64))
-        weight.append(np.full(len(start), w))
-    of, at, weight = np.concatenate(of), np.concatenate(at), np.concatenate(weight)
-    norm = np.sqrt(np.bincount(of, weight * weight, len(words)))
-    return of, at, weight / np.maximum(norm[of], 1e-12)
-
-
-def kernel_with(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """(words, landmarks): the subsequence kernel."""
+    for offsets in PATTERNS:
+        start = np.flatnonzero((left > offsets[-1]) & (place < WIDTH))
+        of.append(string[start])
+        at.append(buckets(hashed, offsets, 0, len(codes))[start])
+        weight.append(np.full(len(start), DECAY ** (offsets[-1] + 1) / LENGTH))
+    return np.concatenate(of), np.concatenate(at), np.concatenate(weight)
+
+
+def kernel_with(strings: list[str], landmarks: list[str]) -> np.ndarray:
+    """(strings, landmarks): the subsequence kernel."""
     of, at, weight = features(landmarks)
     known, place = np.unique(at, return_inverse=True)
-    table = np.zeros((len(known) + 1, len(landmarks)), np.float64)
+    table = np.zeros((len(known) + 1, len(landmarks)), np.float32)
     np.add.at(table, (place, of), weight)
-    out = np.zeros((len(words), len(landmarks)))
-    for first in range(0, len(words), 500):
-        of, at, weight = features(words[first : first + 500])
+    out = np.zeros((len(strings), len(landmarks)))
+    for first in range(0, len(strings), 500):
+        of, at, weight = features(strings[first : first + 500])
         row = np.searchsorted(known, at)
         row[(row == len(known)) | (known[np.minimum(row, len(known) - 1)] != at)] = len(known)
         seen = row < len(known)
@@ -87,7 +159,7 @@ def kernel_with(words: list[str], landmarks: list[str]) -> np.ndarray:
         of, row, weight = of[seen][order], row[seen][order], weight[seen][order]
         if len(of):
             starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-            out[first + of[starts]] = np.add.reduceat(table[row] * weight[:, None], starts, axis=0)
+            out[first + of[starts]] = np.add.reduceat(table[row] * weight[:, None].astype(np.float32), starts, axis=0)
     return out
 
 
@@ -108,192 +180,207 @@ def support_vectors(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int
 
 @dataclass
 class ToxicityModel:
-    weights: np.ndarray  # (BUCKETS,): the machine's weight of every subsequence, summed over landmarks
+    keys: np.ndarray  # buckets of the subsequences that weigh something, in order
+    values: np.ndarray  # their weights, summed over landmarks
     bias: float
     slope: float = 4.0  # of the logistic curve from margin to score
     middle: float = 0.0
 
-    def margins(self, words: list[str]) -> np.ndarray:
-        out = np.full(len(words), self.bias)
-        for first in range(0, len(words), CHUNK):
-            part = words[first : first + CHUNK]
-            of, at, weight = features(part)
-            out[first : first + len(part)] += np.bincount(of, self.weights[at] * weight, len(part))
-        return out
-
-    def score(self, margins: np.ndarray) -> np.ndarray:
+    def table(self) -> np.ndarray:
+        found = self.__dict__.get("_table")
+        if found is None:
+            found = self.__dict__["_table"] = np.zeros(BUCKETS, np.float32)
+            found[self.keys] = self.values
+        return found
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_table"}
+
+    def margins(self, letters: Letters) -> tuple[np.ndarray, np.ndarray]:
+        """Where the strings of sentences begin, and their margins.
+
+        A string's subsequences are those of its sentence that begin in its WIDTH letters. A shorter sentence is one string.
+        """
+        n, table = len(letters.codes), self.table()
+        ends = letters.sentence_ends()
+        value = np.zeros(n + 1)
+        for first in range(0, n, CHUNK):
+            last = min(n, first + CHUNK)
+            room = ends[first:last] - np.arange(first, last)
+            hashed = hashed_letters(letters.codes[first : last + REACH])
+            total = np.zeros(last - first, np.float32)
+            for reach in sorted({p[-1] for p in PATTERNS}):
+                mine = [p for p in PATTERNS if p[-1] == reach]
+                part = table[buckets(hashed, mine[0], 0, last - first)]
+                for p in mine[1:]:
+                    part += table[buckets(hashed, p, 0, last - first)]
+                part[room < reach] = 0
+                part *= np.float32(DECAY ** (reach + 1) / LENGTH)
+                total += part
+            value[first + 1 : last + 1] = total
+        value = np.cumsum(value)
+        at = np.arange(n)
+        starts = np.flatnonzero((at + WIDTH <= ends) | letters.end)
+        stops = np.minimum(starts + WIDTH, ends[starts])
+        return starts, value[stops] - value[starts] + self.bias
+
+    def best(self, texts: list[str | None]) -> tuple[np.ndarray, list[str]]:
+        """The margin of each text's most toxic string, and that string."""
+        letters = Letters.of(texts)
+        starts, margins = self.margins(letters)
+        ends = letters.sentence_ends()
+        out, strings = np.full(len(texts), self.bias), [""] * len(texts)
+        if len(starts):
+            of = letters.text[starts]
+            begins = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+            for a, b in zip(begins.tolist(), np.append(begins[1:], len(of)).tolist(), strict=True):
+                i, k = int(of[a]), a + int(margins[a:b].argmax())
+                if i < len(texts):
+                    s = int(starts[k])
+                    out[i] = max(self.bias, float(margins[k])) if ends[s] - s > 1 else self.bias
+                    strings[i] = "".join(map(chr, letters.codes[s : min(int(ends[s]) + 1, s + WIDTH + REACH)].tolist()))
+        return out, strings
+
+    def score_margins(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * (margins - self.middle), -50, 50)))
 
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        letters = Letters.of(texts)
+        starts, margins = self.margins(letters)
+        out = np.full(len(texts) + 1, self.bias)
+        if len(starts):
+            of = letters.text[starts]
+            begins = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+            np.maximum.at(out, of[begins], np.maximum.reduceat(margins, begins))
+        return self.score_margins(out[: len(texts)])
+
+
+def nothing() -> ToxicityModel:
+    return ToxicityModel(np.empty(0, np.int64), np.empty(0, np.float32), -1.0)
 
-def fit_words(positive: list[str], negative: list[str]) -> ToxicityModel:
+
+def fit_strings(positive: list[str], negative: list[str]) -> ToxicityModel:
     """The machine for strings: Nyström features of landmarks, folded back into one weight for each subsequence."""
-    landmarks = list(dict.fromkeys(positive[:LANDMARKS] + negative[:LANDMARKS]))
+    draw = np.random.default_rng(8)
+    pick = lambda strings: [strings[i] for i in sorted(draw.permutation(len(strings))[:LANDMARKS].tolist())]
+    landmarks = list(dict.fromkeys(pick(positive) + pick(negative)))
     values, vectors = np.linalg.eigh(kernel_with(landmarks, landmarks))
-    good = values > 1e-6 * values.max()
+    good = values > 1e-4 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     found = support_vectors(kernel_with(positive + negative, landmarks) @ root, y, np.where(y > 0, COST * max(1.0, len(negative) / len(positive)) ** 0.5, COST))
     beta = root @ found[:-1]
     of, at, weight = features(landmarks)
-    return ToxicityModel(np.bincount(at, weight * beta[of], BUCKETS), float(found[-1]))
-
-
-def windows(word: str) -> list[str]:
-    return [word] if len(word) <= WINDOW else [word[i : i + WINDOW] for i in range(0, len(word) - WINDOW // 2, WINDOW // 2)]
-
-
-class Scorer:
-    """Margins of the most toxic string of texts, for one worker."""
-
-    def __init__(self, model: ToxicityModel):
-        self.model = model
-        self.reset()
-
-    def reset(self) -> None:
-        self.words, self.margins, self.letters = Vocabulary(), np.empty(0), np.empty(0, np.int64)
-
-    def of_words(self, words: list[str]) -> np.ndarray:
-        parts = [windows(w) for w in words]
-        found = self.model.margins([p for ps in parts for p in ps]) if words else np.empty(0)
-        starts = np.cumsum([0, *map(len, parts)])[:-1]
-        return np.maximum.reduceat(found, starts) if words else found
-
-    def __call__(self, texts: list[str | None]) -> np.ndarray:
-        if len(self.words) > CACHE_WORDS:
-            self.reset()
-        known, ids = len(self.words), []
-        for t in texts:
-            words = (t or "").split()
-            ids.append(np.fromiter(map(self.words.__getitem__, words), np.int64, len(words)))
-        if len(self.words) > known:
-            new = [letters_of(w) for w in list(self.words)[known:]]
-            self.margins = np.concatenate([self.margins, self.of_words(new)])
-            self.letters = np.concatenate([self.letters, np.array([len(w) for w in new], np.int64)])
-        out = np.full(len(texts), self.model.bias)
-        for i, mine in enumerate(ids):
-            if len(mine):
-                out[i] = max(out[i], self.margins[mine].max())
-                spaced = self.spaced(texts[i], mine)
-                if spaced:
-                    out[i] = max(out[i], self.of_words(spaced).max())
-        return out
-
-    def spaced(self, text: str, ids: np.ndarray) -> list[str]:
-        """Words written letter by letter: runs of three or more words of one letter."""
-        one = self.letters[ids] == 1
-        if one.sum() < 3:
-            return []
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], one.astype(np.int8), [0]])))
-        runs = [(a, b) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True) if b - a >= 3]
-        words = text.split() if runs else []
-        return ["".join(letters_of(w) for w in words[a:b]) for a, b in runs]
+    keys, place = np.unique(at, return_inverse=True)
+    return ToxicityModel(keys, np.bincount(place, weight * beta[of], len(keys)).astype(np.float32), float(found[-1]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """A model of the docs that labels call 0 or 1, from about sample_rows of each label, whole texts.
 
     The sample is drawn from the labels by a hash, so only its ids, which are few by that bound, go to the texts. Rows
-    of several labels count with each. Sentences of a clean text are clean; one sentence at least of a toxic text is
-    toxic, by one string at least. Strings that toxic texts have much oftener are its first examples; strings of clean
-    texts that score highest against them are learned as counter-examples. Without both labels nothing is toxic.
+    of several labels count with each. A label is one of a text; it holds for its sentences like this: all strings of all
+    sentences of a clean text are clean, and one sentence at least of a toxic text is toxic. The machine learns from a
+    toxic text's most toxic string, and from those strings of clean texts that score highest, chosen anew in every round
+    by the machine of the round before; the first choice is by the subsequences that toxic texts have oftener than
+    clean ones. Without both labels nothing is toxic.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
     rows = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("toxic")).distinct()
     counts = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    nothing = ToxicityModel(np.zeros(BUCKETS), -1.0)
     if not (counts.get(0) and counts.get(1)):
-        return nothing
+        return nothing()
     draw = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30))
     bound = {k: int(min(1.0, sample_rows / n) * (1 << 30)) for k, n in counts.items()}
     drawn = scratch.keep(rows.where(draw < F.when(F.col("toxic") == 1, bound[1]).otherwise(bound[0])), "drawn")
     texts = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sample = scratch.keep(texts.join(F.broadcast(drawn), "doc_id"), "sample")
+    sample = scratch.keep(texts.join(F.broadcast(drawn), "doc_id").select("text", "toxic"), "sample")
     n = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not (n.get(0) and n.get(1)):
-        return nothing
-
-    def strings(batches):
-        for batch in sliced(batches, most=2 << 20):
-            words, toxic = [], []
-            for t, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                found = {p for w in set(t.split()) for p in windows(letters_of(w)) if len(p) >= 3}
-                words += found
-                toxic += [y] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(toxic, pa.int64())], names=["word", "toxic"])
-
-    of_texts = sample.mapInArrow(strings, "word string, toxic long").groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    of_texts = scratch.keep(of_texts, "strings")
-    clean = of_texts.where(f"good > 0 and good * {n[1]} >= bad * {n[0]}")
-    negative = [r.word for r in clean.orderBy(F.desc("good"), "word").limit(NEGATIVES // 2).collect()]
-    model, positive, found, missed = nothing, [], of_texts, n[1]
+        return nothing()
+
+    # how much oftener texts of the sample have a subsequence if they are toxic, in standard deviations
+    share = (F.col("bad") + F.col("good")) / F.lit(n[0] + n[1])
+    gap = (F.col("bad") / F.lit(n[1]) - F.col("good") / F.lit(n[0])) / F.sqrt(share * (1 - share) * F.lit(1 / n[0] + 1 / n[1]))
+    odds = F.log((F.col("bad") + 0.5) / F.lit(n[1] + 1)) - F.log((F.col("good") + 0.5) / F.lit(n[0] + 1))
+    presence = sample.mapInArrow(count_subsequences, "bucket long, bad long, good long").groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    telling = presence.where((share < 1) & (gap >= SURPRISE) & (odds > 0)).select("bucket", odds.alias("odds")).orderBy("bucket").toPandas()
+    model = ToxicityModel(telling.bucket.to_numpy(np.int64), telling.odds.to_numpy(np.float32), 0.0)
+
+    def choose(model: ToxicityModel) -> tuple[list, list]:
+        shared = spark.sparkContext.broadcast(model)
+
+        def run(batches):
+            for batch in sliced(batches, most=1 << 20):
+                margins, strings = shared.value.best(batch.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(margins), pa.array(strings, pa.string())], names=["toxic", "margin", "string"])
+
+        found = sample.mapInArrow(run, "toxic int, margin double, string string").collect()
+        shared.destroy()
+        return tuple([(r.string, r.margin) for r in sorted(found, key=lambda r: (-r.margin, r.string)) if r.toxic == k] for k in (0, 1))
+
+    clean, toxic = choose(model)
+    positive = [s for s, margin in toxic if margin > 0]
+    negative = list(dict.fromkeys(s for s, _ in clean))
     for turn in range(ROUNDS):
-        # how unlikely it is that a string is in so many of these toxic texts by chance, against the number of strings
-        expected = missed * (F.col("good") + 0.5) / n[0]
-        surprise = F.col("bad") * F.log(F.col("bad") / expected) - (F.col("bad") - expected)
-        chance = math.log(max(2, found.where("bad > 0").count())) + (3 if not turn else 0)
-        new = found.where((F.col("bad") > RATIO * expected) & (surprise > chance)).orderBy(F.desc(surprise), "word").limit(POSITIVES)
-        fresh = [r.word for r in new.collect() if r.word not in positive]
-        if not fresh or not negative:
-            break
-        positive = [*positive, *fresh][: POSITIVES * (turn + 1)]
-        model = fit_words(positive, negative)
-        chosen = set(positive)
-        for _ in range(MINING):
-            hard = clean.select("word").mapInArrow(margins_by(model), "word string, margin double").orderBy(F.desc("margin"), "word").limit(NEGATIVES // 4)
-            negative = [w for w in dict.fromkeys([r.word for r in hard.collect()] + negative) if w not in chosen]
-            model = fit_words(positive, negative)
-        # toxic texts that have no such string yet have another one
-        left = scratch.keep(score_texts(sample.where("toxic = 1"), model).where("score < 0.5").select("text", "toxic"), f"missed-{turn}")
-        missed = left.count()
-        if not missed:
-            break
-        found = left.mapInArrow(strings, "word string, toxic long").groupBy("word").agg(F.sum("toxic").alias("bad")).join(of_texts.select("word", "good"), "word")
-    if not positive:
-        return nothing
+        if not positive or not negative:
+            scratch.drop("drawn", "sample")
+            return nothing()
+        model = fit_strings(positive, negative)
+        clean, toxic = choose(model)
+        if turn + 1 < ROUNDS:
+            chosen = [s for s, margin in toxic if margin > -1] or positive
+            chosen_set = set(chosen)
+            # what the machine is sure of is no counter-example that it needs
+            more = [s for s, margin in clean if margin > -1]
+            positive, negative = chosen, [s for s in dict.fromkeys(negative + more) if s not in chosen_set]
+    scratch.drop("drawn", "sample")
 
     # the score is one half where it parts the texts of the sample best
-    found = map_arrow(sample, lambda batch, held={}: score_batch(batch, held, model), "toxic int, margin double", most=4 << 20).toPandas()
-    bad, good = (np.sort(found.margin[found.toxic == k].to_numpy()) for k in (1, 0))
+    good, bad = (np.sort(np.array([margin for _, margin in side])) for side in (clean, toxic))
     cuts = np.unique(np.concatenate([bad, good]))
     cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts
     # weighed as the labels have them, not as the sample has
     wrong = np.searchsorted(bad, cuts) * (counts[1] / max(1, len(bad))) + (len(good) - np.searchsorted(good, cuts)) * (counts[0] / max(1, len(good)))
     best = cuts[wrong <= wrong.min() + 1e-9]
-    model.middle = float(best[np.argmin(np.abs(best))])
-    scratch.drop("drawn", "sample", "strings")
+    model.middle = max(float(best[0] + best[-1]) / 2, math.nextafter(model.bias, math.inf))
     return model
 
 
-def margins_by(model: ToxicityModel):
-    def run(batches):
-        for batch in batches:
-            found = model.margins(batch.column("word").to_pylist()) if batch.num_rows else []
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(found, pa.float64())], names=["word", "margin"])
-
-    return run
-
-
-def score_batch(batch: pa.RecordBatch, held: dict, model: ToxicityModel) -> dict:
-    scorer = held.get("scorer") or held.setdefault("scorer", Scorer(model))
-    return {"toxic": batch.column("toxic"), "margin": scorer(batch.column("text").to_pylist())}
+def count_subsequences(batches):
+    """Texts of a partition that have each subsequence without gaps, by label."""
+    found = np.zeros((2, BUCKETS), np.int32)
+    for batch in sliced(batches, most=1 << 20):
+        letters = Letters.of(batch.column("text").to_pylist())
+        if len(letters.codes) < LETTERS:
+            continue
+        toxic = batch.column("toxic").to_numpy()
+        fits = letters.sentence_ends() - np.arange(len(letters.codes)) >= PATTERNS[0][-1]
+        at = buckets(hashed_letters(letters.codes), PATTERNS[0], 0, len(letters.codes))[fits]
+        pairs = np.unique(letters.text[fits].astype(np.int64) * BUCKETS + at)
+        for k in (0, 1):
+            found[k] += np.bincount(pairs[toxic[pairs // BUCKETS] == k] % BUCKETS, minlength=BUCKETS).astype(np.int32)
+    at = np.flatnonzero(found.any(axis=0))
+    for first in range(0, len(at), 1 << 16):
+        part = at[first : first + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(found[1, part].astype(np.int64)), pa.array(found[0, part].astype(np.int64))], names=["bucket", "bad", "good"])
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel, text: str = "text", score: str = "score") -> DataFrame:
     """The rows of docs with a score from 0 to 1 as one more column (instead of one of that name).
 
-    A text scores as its most toxic string: a word's letters, or a run of words of one letter. Strings are scored
-    whole, long ones in overlapping windows. Null, empty and letterless texts score as strings without subsequences,
-    which is low. Repeated rows are each a row. An empty table gives no rows.
+    A text scores as its most toxic string: WIDTH letters of one sentence, across words, from every letter on. Words of
+    one letter in a row are read as one word. Whole texts are scored, however long. Null, empty and letterless texts score
+    as strings without subsequences, which is low. Repeated rows are each a row. An empty table gives no rows.
     """
-    shared, held = docs.sparkSession.sparkContext.broadcast(model), {}
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = [c for c in docs.columns if c != score]
     source = docs.select(*(F.col(f"`{c}`") for c in columns))
 
     def run(batches):
-        for batch in sliced(batches, text, 4 << 20):
-            scorer = held.get("scorer") or held.setdefault("scorer", Scorer(shared.value))
-            found = scorer.model.score(scorer(batch.column(text).to_pylist()))
+        for batch in sliced(batches, text, 1 << 20):
+            found = shared.value.scores(batch.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*columns, score])
 
     from pyspark.sql.types import DoubleType, StructType

@@ -328,8 +328,74 @@ def test_toxicity(spark):
     texts = [clean[1], clean[2] + " Zorgblat!", clean[3] + " z o r g b l a t", clean[4] + " zorgxblat", None, "", "1 2"]
     found = {r.doc_id: r.score for r in toxicity.score_texts(docs_of(spark, texts).withColumn("score", F.lit(9)), model).collect()}
     assert [found[i] >= 0.5 for i in range(7)] == [False, True, True, True, False, False, False]
+    # inserted characters, words cut by a mark, in the middle of a long text; repeated rows
+    forms = ["kwum-pish", "zo rgblat", "k.w.u.m.p.i.s.h", "zorg*blat", "kwumpiish", " ".join(clean[100:160]) + " kwumpish " + " ".join(clean[160:220]), "x" * 200_000, "zorgblat", "zorgblat"]
+    scores = [r.score for r in toxicity.score_texts(docs_of(spark, [f if " " in f[3:] else clean[9] + " " + f for f in forms]), model).orderBy("doc_id").collect()]
+    assert [x >= 0.5 for x in scores] == [True, True, True, True, True, True, False, True, True]
     assert toxicity.score_texts(docs_of(spark, texts).limit(0), model).count() == 0
-    assert toxicity.fit(table, table.where("toxic = 0")).bias < 0
+    unlabelled = toxicity.fit(table, table.where("toxic = 0"))
+    assert all(r.score < 0.5 for r in toxicity.score_texts(docs_of(spark, texts), unlabelled).collect())
+    assert all(r.score < 0.5 for r in toxicity.score_texts(docs_of(spark, texts), toxicity.fit(table.limit(0), table)).collect())
+
+
+def test_toxicity_of_several_words(spark):
+    """Words that are harmless by themselves, toxic one after the other."""
+    draw = random.Random(5)
+    words = ["grem", "polk", *("".join(draw.choice("abcdefghij") for _ in range(5)) for _ in range(200))]
+    rows = []
+    for i in range(400):
+        text = [draw.choice(words) for _ in range(30)]
+        text = [w for w, before in zip(text, [None, *text], strict=False) if (before, w) != ("grem", "polk")]
+        if i % 4 == 0:
+            text[7:7] = ["grem", "polk"]
+        rows.append((i, " ".join(text), int(i % 4 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(table.where("doc_id < 300"), table)
+    found = {r.doc_id: (r.score >= 0.5, r.toxic) for r in toxicity.score_texts(table.where("doc_id >= 300"), model).collect()}
+    assert sum(a != bool(b) for a, b in found.values()) <= 2
+
+
+def subsequences_by_force(string):
+    """Every pattern's subsequences that begin in the first WIDTH letters, and their weights."""
+    out = defaultdict(float)
+    for start in range(min(len(string), toxicity.WIDTH)):
+        for offsets in toxicity.PATTERNS:
+            if start + offsets[-1] < len(string):
+                out["".join(string[start + o] for o in offsets)] += toxicity.DECAY ** (offsets[-1] + 1) / toxicity.LENGTH
+    return out
+
+
+def test_toxicity_scores_are_a_kernel_machine():
+    """Margins of whole texts against the machine computed string by string with the kernel by brute force."""
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choice("abcdef") for _ in range(draw.randint(1, 7)))
+    strings = ["_" + "_".join(word() for _ in range(6))[:20] for _ in range(30)]
+    kernel = lambda a, b: sum(v * subsequences_by_force(b).get(k, 0) for k, v in subsequences_by_force(a).items())
+    assert np.allclose(toxicity.kernel_with(strings, strings[:7]), [[kernel(a, b) for b in strings[:7]] for a in strings], atol=1e-5)
+    # all strings as landmarks: the machine is the kernel's own
+    model = toxicity.fit_strings(strings[:10], strings[10:])
+    gram = np.array([[kernel(a, b) for b in strings] for a in strings])
+    values, vectors = np.linalg.eigh(gram)
+    root = vectors * np.sqrt(np.maximum(values, 0))
+    y = np.array([1.0] * 10 + [-1.0] * 20)
+    exact = toxicity.support_vectors(root, y, np.where(y > 0, 2**0.5, 1.0))
+    alpha = vectors @ (exact[:-1] / np.sqrt(np.maximum(values, 1e-9)))
+    sentences_of = [[word() for _ in range(draw.randint(1, 9))] for _ in range(12)]
+    for sentence in sentences_of:
+        line = "_" + "_".join(sentence) + "_"
+        cuts = [line[i : i + toxicity.WIDTH + toxicity.REACH] for i in range(len(line)) if i == 0 or i + toxicity.WIDTH <= len(line) - 1]
+        if any(len(w) == 1 for w in sentence):
+            continue
+        by_force = max(exact[-1] + sum(a * kernel(cut, b) for a, b in zip(alpha, strings, strict=True)) for cut in cuts)
+        assert model.best([" ".join(sentence)])[0][0] == pytest.approx(max(by_force, exact[-1]), abs=0.02)
+
+
+def test_letters_of_texts():
+    shown = lambda texts: "".join(map(chr, toxicity.Letters.of(texts).codes.tolist()))
+    assert shown(["Hello YOU. I d i o t!! A b", "", None, "x,y 12z"]) == "_hello_you_idiot_a_b_xyz_"
+    assert shown(["i.d.i.o.t a b"]) == "_idiotab_" and shown([]) == "_" and shown([None]) == "_"
+    letters = toxicity.Letters.of(["a. bc", "d"])
+    assert letters.end.tolist() == [True, False, True, False, False, True, False, True] and letters.text.tolist()[:7] == [0, 0, 0, 0, 0, 1, 1]
 
 
 def test_kernel_is_a_gram_matrix():
