@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from .components import connected_components
 from .shared import Scratch, map_arrow, release
@@ -17,10 +19,8 @@ from .shared import Scratch, map_arrow, release
 BANDS, ROWS = 32, 4
 #: Members that are compared with one copy of a pivot's text.
 FAN = 256
-#: Rounds of comparing with pivots before what is left is compared pair by pair.
-STAR_ROUNDS = 4
-#: Pairs of different components, for each member of a bucket, that are all compared without more such rounds.
-SPARE_PAIRS = 16
+#: Rounds after which members far from their pivot are described by their differences from it too, instead of having a pivot of their own.
+ROUNDS = 2
 #: Words whose hashes a worker remembers; the memory starts anew when it is full.
 CACHE_WORDS = 400_000
 
@@ -111,7 +111,7 @@ class MinHasher:
 
 
 def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (of the whole set), bands, sketch (the low byte of every minimum)."""
+    """doc_id, text_hash, n_shingles, set_key (of the whole set), bands, sketch (the low byte of every minimum)."""
     hasher = MinHasher(bands, rows)
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -137,135 +137,228 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
         sketches = iter(all_minima.astype(np.uint8))
         return {
             "doc_id": batch.column("doc_id"),
+            "text_hash": batch.column("text_hash"),
             "n_shingles": counts,
             "set_key": keys,
             "bands": [next(found_bands) if x else None for x in with_set],
             "sketch": [next(sketches).tobytes() if x else None for x in with_set],
         }
 
-    return map_arrow(docs, run, "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch binary", most=4 << 20)
+    return map_arrow(docs, run, "doc_id long, text_hash long, n_shingles long, set_key binary, bands array<long>, sketch binary", most=4 << 20)
 
 
-def similar_sketches(pairs: DataFrame, sketches: DataFrame, percent: int, hashes: int) -> DataFrame:
-    """Of rows a, b those whose set sizes and signatures allow the similarity.
+def least_equal(hashes: int, similarity: float) -> int:
+    """Equal minima that a pair of that similarity has, but for a probability of 3e-6 (4.5 standard deviations below the mean)."""
+    return max(0, int(hashes * similarity - 4.5 * (hashes * similarity * (1 - similarity)) ** 0.5))
 
-    A pair at the threshold has fewer than the asked-for equal minima (4.5 standard deviations below their mean) with a
-    probability of 3e-6; chance equality of low bytes only lets more pairs through.
+
+def equal_minima(pairs: DataFrame, sketches: DataFrame, floor: float, hashes: int) -> DataFrame:
+    """Of rows a, b, apart those whose set sizes and signatures allow a similarity of `floor`, with set sizes and number of equal minima.
+
+    Chance equality of low bytes only lets more pairs through.
     """
-    p = percent / 100
-    least = int(hashes * p - 4.5 * (hashes * p * (1 - p)) ** 0.5)
-    side = lambda c: sketches.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    least = least_equal(hashes, floor) if floor else 0
+    side = lambda c: sketches.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(f"least(n_a, n_b) >= {floor} * greatest(n_a, n_b)")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, hashes) for c in ("s_a", "s_b"))
-                near = pa.array((left == right).sum(axis=1) >= least)
-                yield batch.select(["a", "b"]).filter(near)
+                same = (left == right).sum(axis=1)
+                out = batch.select(["a", "b", "apart", "n_a", "n_b"]).append_column("same", pa.array(same, pa.int64()))
+                yield out.filter(pa.array(same >= least))
 
-    return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "apart", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long, apart boolean, n_a long, n_b long, same long")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """Of rows a, b those whose full shingle sets are similar. A text b goes to the pivot a, whose text goes to every FAN of its members."""
+def beside_pivots(pairs: DataFrame, texts: DataFrame, shingle: int, each: Callable[[set, set], tuple | None], schema: str) -> DataFrame:
+    """For rows a, b what `each` gives for the full shingle sets of both. A text b goes to the pivot a, whose text goes to every FAN of its members."""
     fans = pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN).cast("long").alias("fans"))
-    members = pairs.join(fans, "a").select("a", F.pmod(F.xxhash64("b"), F.col("fans")).alias("fan"), F.col("b").alias("doc_id"))
-    pivots = fans.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fans") - 1)).alias("fan"), F.col("a").alias("doc_id"))
-    rows = members.unionByName(pivots).join(texts, "doc_id").select("a", "fan", (F.col("doc_id") != F.col("a")).alias("member"), "doc_id", "text")
+    members = pairs.join(fans, "a").select("a", F.pmod(F.xxhash64("b"), F.col("fans")).alias("fan"), F.col("b").alias("node"))
+    pivots = fans.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fans") - 1)).alias("fan"), F.col("a").alias("node"))
+    rows = members.unionByName(pivots).join(texts, "node").select("a", "fan", (F.col("node") != F.col("a")).alias("member"), "node", "text")
     dealt = rows.repartition("a", "fan").sortWithinPartitions("a", "fan", "member")
+    kind = _parse_datatype_string(f"a long, b long{schema}")
+    arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, own = None, set()
         for batch in batches:
-            a, b = [], []
-            for left, right, text in zip(*(batch.column(c).to_pylist() for c in ("a", "doc_id", "text")), strict=True):
+            out = []
+            for left, right, text in zip(*(batch.column(c).to_pylist() for c in ("a", "node", "text")), strict=True):
                 found = shingle_set(text, shingle)
                 if left == right:
                     pivot, own = left, found
                     continue
                 assert pivot == left, "a member came before its pivot"
-                both = len(own & found)
-                if 100 * both >= percent * (len(own) + len(found) - both):
-                    a.append(left)
-                    b.append(right)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                said = each(own, found)
+                if said is not None:
+                    out.append((left, right, *said))
+            columns = zip(*out, strict=True) if out else [[]] * len(arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, arrow, strict=True)], schema=arrow)
+
+    return dealt.mapInArrow(run, kind)
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Of rows a, b those whose full shingle sets are similar."""
+
+    def each(own: set, found: set) -> tuple | None:
+        both = len(own & found)
+        return () if 100 * both >= percent * (len(own) + len(found) - both) else None
+
+    return beside_pivots(pairs, texts, shingle, each, "")
+
+
+def differences(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """For rows a, b: the pivot's set size, how many of its shingles b lacks, how many b has besides, and the hashes of all these."""
 
-    return dealt.mapInArrow(run, "a long, b long")
+    def key(words: tuple) -> int:
+        return int.from_bytes(hashlib.blake2b(b" ".join(words), digest_size=8).digest(), "little", signed=True)
+
+    def each(own: set, found: set) -> tuple:
+        lost, added = own - found, found - own
+        return len(own), len(lost), len(added), [key(x) for x in lost] + [key(x) for x in added]
+
+    return beside_pivots(pairs, texts, shingle, each, ", size long, lost long, added long, differences array<long>")
+
+
+def linkable(described: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of members of one pivot, of different labels, that share enough differences from the pivot to be similar.
+
+    described: pivot, node, label, size, lost, added, differences. With s shared differences, x and y share
+    size - lost(x) - lost(y) + s shingles, so they are similar if and only if (100 + percent) * s >= g(x) + g(y) - base,
+    with g = 100 * lost + percent * added and base = (100 - percent) * size. A member with g <= base is similar to the pivot;
+    of a pair that is not linked through it one has more, so the pair shares a difference. In one order of a pivot's
+    differences, rare ones first, the first shared one has at least s from there on in both, itself included: the pair is
+    met at a difference from which on both have enough. Most copies that were edited apart share none of their rare ones.
+    """
+    scale = 100 + percent
+    measured = described.select("pivot", "node", "label", (100 * F.col("lost") + percent * F.col("added")).alias("g"), ((100 - percent) * F.col("size")).alias("base"), "differences")
+    each = measured.select("pivot", "node", "label", "g", "base", F.explode("differences").alias("d"))
+    common = each.groupBy("pivot", "d").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = each.join(common, ["pivot", "d"]).groupBy("pivot", "node").agg(*(F.first(c).alias(c) for c in ("label", "g", "base")), F.sort_array(F.collect_list(F.struct("n", "d"))).alias("ds"))
+    placed = ranked.select("pivot", "node", "label", "g", "base", F.size("ds").alias("k"), F.posexplode("ds").alias("at", "of"))
+    rest = F.col("k") - F.col("at")  # differences from here on; those of one member alone are none of them
+    placed = placed.select("pivot", F.col("of.d").alias("d"), "node", "label", "g", (F.col("g") > F.col("base")).alias("far"), (scale * rest - F.col("g") + F.col("base")).alias("most")).where("most >= 0")
+    left = placed.where("far").select("pivot", "d", *(F.col(c).alias(f"{c}_a") for c in ("node", "label", "g", "most")))
+    right = placed.select("pivot", "d", *(F.col(c).alias(f"{c}_b") for c in ("node", "label", "g", "most", "far")))
+    met = left.join(right, ["pivot", "d"]).where("label_a <> label_b and g_b <= most_a and g_a <= most_b and (not far_b or node_a < node_b)")
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Groups of documents linked by a Jaccard similarity of word shingles of at least percent / 100.
 
-    1. Documents of equal sets are one class, whose smallest doc_id stands for it from here on.
-    2. Classes that share a band are candidates. In every bucket that has unlinked members, all are compared with one
-       pivot, first the member that shares most buckets with others: first signatures, then full sets. Links give components (large-star, small-star).
-    3. Buckets whose members are not all in one component are taken again with another pivot, at most STAR_ROUNDS times
-       while comparing all their pairs would be much, then by all pairs of different components. So no candidate
-       pair that could join two components goes without a comparison, and a group of n copies costs n of them.
-
-    Null, empty and blank texts have no set and are linked with nothing. Rows that share a doc_id are one document's;
-    a row without doc_id is linked with nothing and has no component. An empty table gives no rows. Extra columns are
-    not read. Columns: doc_id, n_shingles, component_id, kept (doc_id = component_id; true without doc_id).
+    1. Documents of equal sets are one class, a node from here on.
+    2. Classes that share a band are candidates. In every bucket that has members of several components, all are compared
+       with one pivot, first the member that shares most buckets with others: signatures, then full sets.
+    3. In buckets that still have several components, members not far from the pivot are described by their differences
+       from it. Pairs of them can be similar only if they share enough of these differences (see linkable); those pairs
+       are compared on full sets. So no pair that could join two components goes without a comparison, and no group is
+       compared pair by pair.
+    4. Members far from the pivot get a pivot of their own in the next round. As the distance 1 - similarity is a metric, a
+       similar pair is either near the pivot with both members or goes on with both. After ROUNDS rounds all that are
+       left are described by their differences, however far.
+    Links give components by large-star and small-star.
+
+    Null, empty and blank texts have no set and are linked with nothing. Rows that share a doc_id are one document's, with
+    the links of all their texts; a row without doc_id is linked with nothing and has no component. An empty table gives
+    no rows. Extra columns are not read. Columns: doc_id, n_shingles, component_id, kept (doc_id = component_id; true
+    without doc_id).
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "minhash")
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     signed = scratch.keep(signatures(source, shingle, bands, rows), "signed")
     with_set = signed.where("set_key is not null and doc_id is not null")
-    classes = scratch.keep(with_set.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = with_set.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"])
+    grouped = with_set.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.min("doc_id").alias("least"))
+    # numbers of classes are in the order of their least doc_ids
+    classes = scratch.keep(grouped.orderBy("least").select(F.monotonically_increasing_id().alias("node"), "set_key", "least", "rep.text_hash"), "classes")
+    reps = with_set.join(classes.select("node", "set_key", F.col("least").alias("doc_id"), "text_hash"), ["doc_id", "set_key", "text_hash"])
 
-    banded = reps.select("doc_id", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("band", "n")
+    banded = reps.select("node", F.explode("bands").alias("band"))
+    shared = banded.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("band", "n")
     live = scratch.keep(banded.join(shared, "band").distinct(), "in-buckets")
-    ids = scratch.keep(live.groupBy("doc_id").agg(F.sum("n").alias("weight")), "ids")
-    live = scratch.keep(live.drop("n").join(ids, "doc_id"), "live")
-    sketches = scratch.keep(signed.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch"), "sketches")
-    texts = scratch.keep(source.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    ids = scratch.keep(live.groupBy("node").agg(F.sum("n").alias("weight")), "ids")
+    live = scratch.keep(live.drop("n").join(ids, "node"), "live")
+    scratch.drop("in-buckets")
+    sketches = scratch.keep(reps.join(ids, "node", "left_semi").dropDuplicates(["node"]).select("node", "n_shingles", "sketch"), "sketches")
+    wanted = classes.join(ids, "node", "left_semi").select("node", F.col("least").alias("doc_id"), "text_hash")
+    texts = scratch.keep(source.join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["node"]).select("node", "text"), "texts")
+    # a doc_id of several texts joins their classes
+    of_several = with_set.join(classes.select("node", "set_key"), "set_key").groupBy("doc_id").agg(F.min("node").alias("u"), F.collect_set("node").alias("nodes")).where("size(nodes) > 1")
+    labels = Labels(scratch, of_several.select("u", F.explode("nodes").alias("v")))
     release(spark)
 
-    labels, tested = None, None
-    for step in range(STAR_ROUNDS + 1):
-        if labels is None:
-            marked = live.withColumn("label", F.col("doc_id"))
-        else:
-            marked = live.join(labels.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    q, hashes = percent / 100, bands * rows
+    floor = q / 2  # of the similarity to the pivot, for a description by differences
+    for step in range(ROUNDS + 1):
+        marked = labels.put_on(live)
         # the pivot of a bucket: first the member that shares the most buckets with others, later one by chance
-        order = F.col("weight") if not step else F.xxhash64("doc_id", F.lit(step))
-        sizes = marked.groupBy("band", "label").agg(F.count("*").alias("n"), F.max_by(F.struct("doc_id", "label"), F.struct(order, "doc_id")).alias("pivot"), F.max(F.struct(order.alias("o"), "doc_id")).alias("top"))
-        buckets = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"), F.max_by("pivot", "top").alias("pivot"), F.count("*").alias("labels")).where("labels > 1")
+        order = F.col("weight") if not step else F.xxhash64("node", F.lit(step))
+        sizes = marked.groupBy("band", "label").agg(F.max(F.struct(order.alias("o"), "node")).alias("top"))
+        buckets = sizes.groupBy("band").agg(F.max("top.o").alias("o"), F.max_by(F.struct("top.node", "label"), "top").alias("pivot"), F.count("*").alias("labels")).where("labels > 1")
         mixed = scratch.keep(marked.join(buckets.select("band", "pivot"), "band"), f"mixed-{step}")
-        n_rows, n_pairs = buckets.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()
-        if not n_rows:
+        scratch.drop(*([f"live-{step - 1}"] if step else ["live"]))
+        if mixed.isEmpty():
             break
-        last = step and n_pairs <= SPARE_PAIRS * n_rows or step == STAR_ROUNDS
-        if last:
-            left, right = (mixed.select("band", F.col("doc_id").alias(c), F.col("label").alias(f"l_{c}")) for c in "ab")
-            pairs = left.join(right, "band").where("a < b and l_a <> l_b").select("a", "b").distinct()
-        else:
-            pairs = mixed.where("doc_id <> pivot.doc_id and label <> pivot.label").select(F.col("pivot.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
-        if tested is not None:
-            same = tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(same, ["a", "b"], "left_anti")
+        last = step == ROUNDS
+        pairs = mixed.where("node <> pivot.node").groupBy(F.col("pivot.node").alias("a"), F.col("node").alias("b")).agg(F.first(F.col("label") != F.col("pivot.label")).alias("apart"))
         pairs = scratch.keep(pairs, f"pairs-{step}")
-        near = scratch.keep(similar_sketches(pairs, sketches, percent, bands * rows), f"near-{step}")
-        links = scratch.keep(confirmed(near, texts, percent, shingle), f"links-{step}")
+        near = scratch.keep(equal_minima(pairs, sketches, 0 if last else floor, hashes), f"near-{step}")
+        found = near.where(F.col("apart") & (F.col("same") >= least_equal(hashes, q))).where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+        labels.add(scratch.keep(confirmed(found.select("a", "b"), texts, percent, shingle), f"links-{step}"))
+        release(spark)
+        # what still has several components, by differences from the pivots
+        marked = labels.put_on(mixed.drop("label"))
+        open_bands = marked.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band")
+        still = scratch.keep(marked.join(open_bands, "band"), f"still-{step}")
+        if still.isEmpty():
+            break
+        around = still.where("node <> pivot.node").select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct().join(near.select("a", "b"), ["a", "b"])
+        described = scratch.keep(differences(around, texts, shingle), f"described-{step}")
+        by_label = labels.put_on(described.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "size", "lost", "added", "differences"))
+        candidates = scratch.keep(linkable(by_label, percent), f"linkable-{step}")
+        at_pivot = described.where(f"100 * (size - lost) >= {percent} * (size + added)").select("a", "b")
+        labels.add(scratch.keep(confirmed(candidates, texts, percent, shingle).unionByName(at_pivot), f"links-by-differences-{step}"))
         release(spark)
-        if labels is None:
-            labels = scratch.keep(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, f"cc-{step}"), f"labels-{step}")
-        else:
-            of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l_{c}"))
-            edges = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("l_a", "a").alias("u"), F.coalesce("l_b", "b").alias("v"))
-            joined = scratch.keep(connected_components(edges, scratch, f"cc-{step}"), f"joined-{step}").select("node", F.col("label").alias("to"))
-            moved = labels.join(joined.select(F.col("node").alias("label"), "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-            fresh = joined.join(labels, "node", "left_anti").select("node", F.col("to").alias("label"))
-            labels = scratch.keep(moved.unionByName(fresh), f"labels-{step}")
         if last:
             break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        live = mixed.select("band", "doc_id", "weight")
-
-    found = signed.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").withColumn("rep", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("rep")), "doc_id"))
-    if labels is not None:
-        found = found.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("rep", F.coalesce("label", "rep"))
-    return found.select("doc_id", "n_shingles", F.col("rep").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("rep"), F.lit(True)).alias("kept"))
+        close = described.where(F.col("size") - F.col("lost") >= (floor + 1 - q) * (F.col("size") + F.col("added"))).select(F.col("a").alias("pivot_node"), F.col("b").alias("node"))
+        far = still.where("node <> pivot.node").withColumn("pivot_node", F.col("pivot.node")).join(close, ["pivot_node", "node"], "left_anti")
+        live = scratch.keep(far.select("band", "node", "weight"), f"live-{step}")
+        scratch.drop(*(f"{x}-{step}" for x in ("mixed", "pairs", "near", "still", "described", "linkable")))
+
+    leasts = classes.select(F.col("node").alias("label"), F.col("least").alias("component"))
+    moved = labels.put_on(classes.select("node", "set_key", "least")).where("label <> node").join(leasts, "label").select("set_key", "component")
+    of_class = classes.join(moved, "set_key", "left").select("set_key", F.coalesce("component", "least").alias("component"))
+    found = signed.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
+    component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id"))
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+class Labels:
+    """The component of every node so far; a node without links is its own."""
+
+    def __init__(self, scratch: Scratch, links: DataFrame):
+        self.scratch, self.step, self.table = scratch, 0, None
+        joined = connected_components(links, scratch, "cc-0")
+        self.table = scratch.keep(joined, "labels-0")
+
+    def put_on(self, rows: DataFrame, node: str = "node", label: str = "label") -> DataFrame:
+        """rows with the label of a column of nodes."""
+        found = self.table.select(F.col("node").alias(node), F.col("label").alias("found"))
+        return rows.join(found, node, "left").withColumn(label, F.coalesce("found", node)).drop("found")
+
+    def add(self, links: DataFrame) -> None:
+        """Join the components of rows a, b, a written table."""
+        if links.isEmpty():
+            return
+        self.step += 1
+        lifted = self.put_on(self.put_on(links, "a", "u"), "b", "v").select("u", "v")
+        joined = self.scratch.keep(connected_components(lifted, self.scratch, f"cc-{self.step}"), "joined").select("node", F.col("label").alias("to"))
+        moved = self.table.join(joined.select(F.col("node").alias("label"), "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+        found = moved.unionByName(joined.join(self.table, "node", "left_anti").select("node", F.col("to").alias("label")))
+        self.table = self.scratch.keep(found, f"labels-{self.step}")
+        self.scratch.drop(f"labels-{self.step - 1}")

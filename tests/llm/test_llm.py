@@ -91,6 +91,49 @@ def test_near_duplicates(spark, shingle):
     assert minhash.near_duplicates(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [0, 6])
+def test_near_duplicates_around_the_threshold(spark, monkeypatch, rounds):
+    """A group whose members are about as far from one another as a link may be, met pivot by pivot or by differences alone; long texts, and texts of one doc_id."""
+    monkeypatch.setattr(minhash, "ROUNDS", rounds)
+    draw, texts = random.Random(31), []
+    for words, edits, n in ((60, 3, 70), (60, 6, 90), (25, 1, 30)):
+        base = sentences(1, words, words)[0].split()
+        for _ in range(n):
+            copy = list(base)
+            for _ in range(draw.randint(0, edits)):
+                copy[draw.randrange(len(copy))] = draw.choice(["x", "y", f"z{draw.randrange(99)}"])
+            texts.append(" ".join(copy))
+    long = sentences(1, 77, 60_000)[0]
+    texts += [long, long + " end"]
+    ids = [*range(300, 300 + len(texts)), 1, 1, 2, 3]
+    texts += ["a b c d e f g h i j k l", "q r s t u v w x y z", "a b c d e f g h i j k l m", "q r s t u v w x y z q"]
+    sets = [minhash.shingle_set(t, 2) for t in texts]
+    links = [(ids[i], ids[j]) for i in range(len(texts)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    expected = union_find(set(ids), links)
+    found = minhash.near_duplicates(docs_of(spark, texts, ids), shingle=2).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == sorted((i, expected[i]) for i in ids)
+    assert {expected[i] for i in (1, 2, 3)} == {1} and len({expected[i] for i in ids if i >= 300}) > 5
+
+
+def test_pairs_by_differences_are_whole(spark):
+    """Of all pairs of members of a pivot, those that are similar are met."""
+    draw, rows = random.Random(9), []
+    pivot = set(range(40))
+    sets = {}
+    for node in range(1, 120):
+        lost = set(draw.sample(sorted(pivot), draw.randint(0, 12)))
+        sets[node] = (pivot - lost) | {draw.randint(100, 130) for _ in range(draw.randint(0, 8))}
+        differences = sorted(sets[node] ^ pivot)
+        rows.append((0, node, node, len(pivot), len(lost), len(sets[node] - pivot), differences))
+    near = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    rows = [(p, n, 0 if near(sets[n], pivot) else n, *rest) for p, n, _, *rest in rows]
+    label = {r[1]: r[2] for r in rows}
+    wanted = {(a, b) for a in sets for b in sets if a < b and label[a] != label[b] and near(sets[a], sets[b])}
+    table = spark.createDataFrame(rows, "pivot long, node long, label long, size long, lost long, added long, differences array<long>")
+    found = {tuple(sorted(x)) for x in minhash.linkable(table, 80).collect()}
+    assert wanted and wanted <= found and len(found) < len(sets) ** 2 / 8
+
+
 def removed_by_force(bodies, width):
     seen = Counter(b[i : i + width] for b in bodies for i in range(len(b) - width + 1))
     out = []
