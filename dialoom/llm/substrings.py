@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -18,8 +19,8 @@ GRAM = 32
 #: Longer texts are sampled in segments that overlap by all but one byte of a string.
 SEGMENT = 2 << 20
 POSITION_BITS = 23
-#: A bucket with more suffixes is counted string by string, with partial sums, instead of sorted in one task.
-HOT = 1000
+#: Runs of a bucket that are sorted at once; a larger bucket is split by its next bytes first.
+AT_ONCE = 1000
 #: Suffixes of a bucket that are compared pair by pair; larger buckets are sorted.
 FEW = 6
 
@@ -162,6 +163,46 @@ def repeated_in_bucket(members: list[tuple[int, int, int, bytes]], width: int) -
     return found
 
 
+#: Rows of a bucket's runs. near, far: the distances from a string's start to the sample place that the bucket has.
+PART = "h long, row_id long, lo long, n int, anchor int, body binary, near int, far int"
+PART_TYPES = {"h": pa.int64(), "row_id": pa.int64(), "lo": pa.int64(), "n": pa.int32(), "anchor": pa.int32(), "body": pa.binary(), "near": pa.int32(), "far": pa.int32()}
+
+
+def body_rows(rows: list[tuple], types: dict = PART_TYPES) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=list(types))
+
+
+def halves(row: tuple, width: int) -> Iterator[tuple]:
+    """A run's starts by the half of the bucket's distances that they are in, each with the bucket that they go to and a digest of all their bytes.
+
+    All strings whose starts are near to far bytes before the sample place have the bytes from the nearest start to the
+    farthest one's end in common, so equal strings go to one bucket. A bucket of one distance holds equal strings alone.
+    """
+    h, row_id, lo, n, anchor, body, near, far = row
+    middle = (near + far) // 2
+    for p, q in ((near, middle), (middle + 1, far)):
+        first, last = min(anchor, q), max(anchor - n + 1, p)
+        if p > q or first < last:
+            continue
+        skip = anchor - first
+        mine = body[skip : skip + first - last + width]
+        core = hashlib.blake2b(mine[first - p : first - q + width], digest_size=8, key=h.to_bytes(8, "little", signed=True), salt=p.to_bytes(4, "little")).digest()
+        context = hashlib.blake2b(mine, digest_size=16, salt=first.to_bytes(4, "little")).digest()
+        yield int.from_bytes(core, "little", signed=True), row_id, lo + skip, first - last + 1, first, mine, p, q, context
+
+
+def halves_by(width: int):
+    types = PART_TYPES | {"context": pa.binary()}
+
+    def run(batches):
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in PART_TYPES), strict=True)
+            yield body_rows([x for row in rows for x in halves(row, width)], types)
+
+    return run
+
+
 def merged(intervals: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
     """Intervals of starts as maximal spans of bytes [start, end)."""
     out: list[list[int]] = []
@@ -178,8 +219,9 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
 
     Every string of `width` bytes belongs to one suffix of the cover sample, by its content alone. Suffixes are dealt
     into buckets by the sample's hash and each bucket is sorted by itself; a bucket whose runs are all equal, such as
-    one of whole copies, is settled by counts. A bucket of over HOT unequal runs counts its strings by 128-bit digests
-    with partial sums, so no task sorts more than HOT runs. Strings never cross documents, and are judged on the input.
+    one of whole copies, is settled by counts. A bucket of over AT_ONCE unequal runs is split by the bytes around the
+    sample place until its parts are small or equal, so no task sorts more than AT_ONCE runs. Strings never cross documents, and are
+    judged on the input.
 
     Null texts are empty. Shorter texts keep all. Repeated rows repeat each other's strings. Rows may share a doc_id or
     have none. An empty table gives no rows. Other columns, whatever their names, come back in the struct `rest`.
@@ -193,9 +235,9 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
     rest = F.struct(*others) if others else F.lit(None).cast("struct<none:int>")
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), rest.alias("rest"))
     # one table with row numbers, laid out by them: what joins it later moves to the texts, not the texts to it
-    buckets = max(8, 2 * docs._jdf.queryExecution().toRdd().getNumPartitions())
     name = "substrings_" + scratch.root.rsplit("-", 1)[1]
     rows = scratch.keep(rows, "rows")
+    buckets = max(8, 2 * rows.rdd.getNumPartitions())
     rows.repartition(buckets, "row_id").write.option("compression", "zstd").option("path", f"{scratch.root}/texts").bucketBy(buckets, "row_id").sortBy("row_id").saveAsTable(name)
     scratch.drop("rows")
     release(spark)
@@ -220,35 +262,37 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
     contexts = scratch.keep(contexts, "contexts")
     whole = candidates.where("equal").unionByName(unequal.join(contexts.where("copies > 1").select("h", "context"), ["h", "context"]).select(candidates.columns))
     whole = whole.select("row_id", "lo", (F.col("lo") + F.col("n") - 1).alias("hi"))
-    sizes = contexts.groupBy("h").agg((F.count("*") > HOT).alias("hot"))
-    shown_runs = contexts.join(sizes, "h").groupBy(F.col("run.row_id").alias("row_id")).agg(F.collect_list(F.struct("h", "run.lo", "run.n", "run.anchor", "hot")).alias("runs"))
+    shown_runs = contexts.groupBy(F.col("run.row_id").alias("row_id")).agg(F.collect_list(F.struct("h", "run.lo", "run.n", "run.anchor")).alias("runs"))
 
     def bodies(batches):
         for batch in batches:
             out = []
             data = text_array(batch.column("text")).to_pylist()
             for row, body, found in zip(batch.column("row_id").to_pylist(), data, batch.column("runs").to_pylist(), strict=True):
-                for r in found:
-                    lo, n = r["lo"], r["n"]
-                    if r["hot"]:
-                        for at in range(lo, lo + n):
-                            d = hashlib.blake2b(body[at : at + width], digest_size=16).digest()
-                            out.append((int.from_bytes(d[:8], "little", signed=True), row, at, 1, int.from_bytes(d[8:], "little", signed=True), None))
-                    else:
-                        out.append((r["h"], row, lo, n, r["anchor"], body[lo : lo + n - 1 + width]))
+                out += [(r["h"], row, r["lo"], r["n"], r["anchor"], body[r["lo"] : r["lo"] + r["n"] - 1 + width], 0, width - GRAM) for r in found]
                 if len(out) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), body_types, strict=True)], names=body_names)
+                    yield body_rows(out)
                     out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), body_types, strict=True)], names=body_names)
+            yield body_rows(out)
 
-    body_names, body_types = ["h", "row_id", "lo", "n", "anchor", "body"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-    shown = scratch.keep(texts.select("row_id", "text").join(shown_runs, "row_id").mapInArrow(bodies, "h long, row_id long, lo long, n int, anchor long, body binary"), "shown")
+    shown = scratch.keep(texts.select("row_id", "text").join(shown_runs, "row_id").mapInArrow(bodies, PART), "shown")
     release(spark)
 
-    counted = shown.where("body is null").select("h", "anchor", "row_id", "lo")
-    twice = counted.groupBy("h", "anchor").count().where("count > 1").select("h", "anchor")
-    by_count = counted.join(twice, ["h", "anchor"]).select("row_id", "lo", F.col("lo").alias("hi"))
+    # large buckets: the two halves of the distances from the sample place, each dealt anew by the bytes that its strings have in common
+    small, settled, level = [], [whole], 0
+    while True:
+        large = shown.groupBy("h").count().where(F.col("count") > AT_ONCE).select("h")
+        small.append(shown.join(large, "h", "left_anti"))
+        parts = scratch.keep(shown.join(large, "h", "left_semi").mapInArrow(halves_by(width), f"{PART}, context binary"), f"parts-{level}")
+        if parts.isEmpty():
+            break
+        alike = parts.groupBy("h", "context").agg(F.count("*").alias("copies"), F.min(F.struct("row_id", "lo", "n", "anchor", "body", "near", "far")).alias("run"))
+        alike = scratch.keep(alike, f"alike-{level}")
+        settled.append(parts.join(alike.where("copies > 1").select("h", "context"), ["h", "context"]).select("row_id", "lo", (F.col("lo") + F.col("n") - 1).alias("hi")))
+        several = alike.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1").select("h")
+        level += 1
+        shown = scratch.keep(alike.join(several, "h", "left_semi").select("h", "run.*"), f"shown-{level}")
+        release(spark)
 
     def sort_buckets(batches):
         current, members = None, []
@@ -264,7 +308,7 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
 
         for batch in batches:
             out: list = []
-            for h, row, lo, n, anchor, body in zip(*(batch.column(c).to_pylist() for c in body_names), strict=True):
+            for h, row, lo, n, anchor, body in zip(*(batch.column(c).to_pylist() for c in ("h", "row_id", "lo", "n", "anchor", "body")), strict=True):
                 if h != current:
                     close(out)
                     current, members = h, []
@@ -274,8 +318,9 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
         close(out)
         yield rows_of(out)
 
-    sorted_runs = shown.where("body is not null").repartition("h").sortWithinPartitions("h").mapInArrow(sort_buckets, "row_id long, lo long, hi long")
-    intervals = whole.unionByName(by_count).unionByName(sorted_runs).groupBy("row_id").agg(F.collect_list(F.struct("lo", "hi")).alias("intervals"))
+    for part in small:
+        settled.append(part.repartition("h").sortWithinPartitions("h").mapInArrow(sort_buckets, "row_id long, lo long, hi long"))
+    intervals = functools.reduce(DataFrame.unionByName, settled).groupBy("row_id").agg(F.collect_list(F.struct("lo", "hi")).alias("intervals"))
     with_intervals = texts.join(intervals, "row_id", "left").select("doc_id", "text", "rest", "intervals")
 
     def cut(batches):
@@ -298,5 +343,7 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
             types = {"text": pa.string(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "spans": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), "kept_sha256": pa.string()}
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(out[c], t) for c, t in types.items()), batch.column("rest")], names=["doc_id", *types, "rest"])
 
+    # its files stay until the result is read; the catalogue has no use for it
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     kinds = dict(with_intervals.dtypes)
     return with_intervals.mapInArrow(cut, f"doc_id {kinds['doc_id']}, text string, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept_sha256 string, rest {kinds['rest']}")

@@ -146,13 +146,15 @@ def removed_by_force(bodies, width):
     return out
 
 
-@pytest.mark.parametrize("hot", [1, 3, 1000])
-def test_repeats(spark, monkeypatch, hot):
-    monkeypatch.setattr(substrings, "HOT", hot)
+@pytest.mark.parametrize("sorted_at_once", [1, 3, 1000])
+def test_repeats(spark, monkeypatch, sorted_at_once):
+    monkeypatch.setattr(substrings, "AT_ONCE", sorted_at_once)
     monkeypatch.setattr(substrings, "SEGMENT", 700)
     base = sentences(14, 2)
     shared_part = base[0][:150]
     texts = [*base[:4], *(b[:90] + shared_part + b[200:] for b in base[4:12]), base[0], "é" * 300, "ab" * 200, base[3] * 3, None, "", "short"]
+    # one passage in other surroundings, wholly and in parts
+    texts += [f"{i}{base[12][:40]}|" + base[13][5 * i : 260 - 3 * i] + f"|{base[12][i:90]}{i}" for i in range(14)]
     table = docs_of(spark, texts, [i % 19 for i in range(len(texts))])
     found = substrings.remove_repeats(table, width=100)
     assert found.columns == ["doc_id", "text", "n_bytes", "n_removed", "spans", "kept_sha256", "rest"]
@@ -164,6 +166,7 @@ def test_repeats(spark, monkeypatch, hot):
         expected[i % 19, len(b), sum(mark), spans, hashlib.sha256(kept).hexdigest()] += 1
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, tuple((s.start, s.end) for s in r.spans), r.kept_sha256) for r in found.collect()) == expected
     assert substrings.remove_repeats(table.limit(0)).count() == 0
+    assert not [t.name for t in spark.catalog.listTables() if "substrings" in t.name]
 
 
 def runs_of(mark):
