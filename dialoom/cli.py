@@ -6,6 +6,7 @@ import argparse
 import json
 from pathlib import Path
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +17,12 @@ from .operators.pairs import aligned, text_pairs
 from .sources.tables import renamed_splits, write_report
 
 
-def whole_issues(every: DataFrame, checked: DataFrame, settings: config.DatasetConfig) -> DataFrame:
-    """Issues of the pairs, of values that do not fit each other, of changed actions and of repeated translations."""
-    keys = ["split", "row_idx", "pair_ord", "field"]
+KEYS = ["split", "row_idx", "pair_ord", "field"]
+
+
+def other_issues(every: DataFrame, checked: DataFrame, settings: config.DatasetConfig) -> DataFrame:
+    """Issues that are not of one pair's text: values that do not fit each other, changed actions, repeated translations."""
+    keys = KEYS
     said = [T.truncated(F.col(c)).alias(c) for c in ("source", "translation")]
     kind = lambda severity, code, order: [F.lit(order).alias("check_ord"), F.lit(severity).alias("severity"), (F.lit(code) if isinstance(code, str) else code).alias("code")]
     code = F.when(F.contains("error", F.lit("length mismatch")), "list_length_mismatch").otherwise("field_type_mismatch")
@@ -28,10 +32,7 @@ def whole_issues(every: DataFrame, checked: DataFrame, settings: config.DatasetC
     repeated = checks.repeated_translations(checked.withColumn("row_idx", F.struct("split", "row_idx")))
     note = F.format_string("stands for %s distinct sources", F.col("distinct_sources")).alias("message")
     repeats = repeated.select("row_idx.split", "row_idx.row_idx", F.lit(0).alias("pair_ord"), F.col("root").alias("field"), *kind("warning", "repeated_translation", 99), F.lit(None).cast("string").alias("source"), said[1], note)
-    found = checks.issues_of(checked, keys)
-    for more in (broken, actions, repeats):
-        found = found.unionByName(more, allowMissingColumns=True)
-    return found
+    return broken.unionByName(actions, allowMissingColumns=True).unionByName(repeats, allowMissingColumns=True)
 
 
 def run_check(spark: SparkSession, settings: config.DatasetConfig, source_path: str, translated_path: str, out: str) -> int:
@@ -42,8 +43,10 @@ def run_check(spark: SparkSession, settings: config.DatasetConfig, source_path:
         write_report({"verdict": "fail", "missing_fields": missing}, f"{out}/summary.json")
         return 1
     every = text_pairs(aligned(source, target), list(settings.rules))
-    checked = checks.check_pairs(every.where("error is null"))
-    found = report.quality_report(checked, whole_issues(every, checked, settings))
+    checked = checks.check_pairs(every.where("error is null")).persist(StorageLevel.DISK_ONLY)
+    more = other_issues(every, checked, settings).persist(StorageLevel.DISK_ONLY)
+    issues = checks.issues_of(checked, KEYS).unionByName(more, allowMissingColumns=True)
+    found = report.quality_report(checked, issues, more)
     found["splits_differ"] = [r.asDict() for r in checks.split_issues(source, target).collect()]
     write_report(found, f"{out}/summary.json")
     Path(out, "report.html").write_text(report.html_page(found, "Translation quality"), encoding="utf-8")

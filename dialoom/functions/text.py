@@ -32,6 +32,11 @@ MARKER = r"\[[^\[\]\n]{1,120}\]|\{[^{}\n]{1,120}\}|<[/]?[A-Za-z][^>\n]{0,120}>"
 ENTITY = r"&(?:[A-Za-z]{2,16}|#[0-9]{2,7}|#x[0-9A-Fa-f]{2,6});"
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with the value computed once. Written out, a column is computed at each of its uses."""
+    return F.transform(F.array(value), use)[0]
+
+
 def words_array(words: list[str]) -> Column:
     return F.array(*(F.lit(w) for w in words))
 
@@ -61,8 +66,7 @@ def letter_count(c: Column) -> Column:
 
 def text_tokens(c: Column) -> Column:
     """Runs of letters and apostrophes in lower case, without apostrophes at the ends."""
-    runs = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}']+"), F.lit(0))
-    return F.filter(F.transform(runs, lambda t: F.regexp_replace(t, "^'+|'+$", "")), lambda t: t != "")
+    return F.regexp_extract_all(F.lower(c), F.lit(r"\p{L}(?:[\p{L}']*\p{L})?"), F.lit(0))
 
 
 def tokens_in(c: Column, words: list[str]) -> Column:
@@ -101,7 +105,10 @@ def technical_share(c: Column) -> Column:
 
 def technical_reason(c: Column) -> Column:
     """Why a text may rightly stay as it is; empty if there is no such reason. The first that holds counts."""
-    s = strip(c)
+    return let(strip(c), reason_of_stripped)
+
+
+def reason_of_stripped(s: Column) -> Column:
     removed = lambda x, *patterns: x if not patterns else removed(F.regexp_replace(x, patterns[0], ""), *patterns[1:])
     lower = F.lower(s)
     context = s.rlike(URL) | s.rlike(BACKTICK) | s.rlike(LATEX) | s.rlike(COMMAND) | s.rlike(PATH_FRAGMENT)
@@ -132,7 +139,10 @@ def technical_reason(c: Column) -> Column:
 
 def is_title_like(c: Column) -> Column:
     """A short name or title, which may stay as it is."""
-    s = strip(c)
+    return let(strip(c), title_like_stripped)
+
+
+def title_like_stripped(s: Column) -> Column:
     parts = F.transform(split_words(s), lambda p: edge_stripped(p, "()[]{}:;,\"'`"))
     words = F.filter(parts, lambda p: p.rlike(r"\p{L}"))
     titled = F.forall(words, lambda w: w.rlike(r"^\p{Lu}") | ((w == F.upper(w)) & (w != F.lower(w))) | w.contains(".") | w.contains("-") | F.lower(w).isin(TITLE_CONNECTORS))
@@ -194,14 +204,16 @@ def chunks(c: Column, most: int) -> Column:
     if most <= 0:
         return F.array(c)
     runs = F.regexp_extract_all(c, F.lit(rf"(?Us)\s{{1,{most}}}|\S{{1,{most}}}"), F.lit(0))
-    return F.aggregate(
+    none = F.array().cast("array<string>")
+    state = lambda done, last: F.struct(done.alias("done"), last.alias("last"))
+    # the list of pieces is copied once for each piece, not for each run
+    packed = F.aggregate(
         runs,
-        F.array().cast("array<string>"),
-        lambda out, run: F.when(
-            (F.size(out) > 0) & (F.char_length(F.coalesce(F.try_element_at(out, F.lit(-1)), F.lit(""))) + F.char_length(run) <= most),
-            F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), F.array(F.concat(F.coalesce(F.try_element_at(out, F.lit(-1)), F.lit("")), run))),
-        ).otherwise(F.concat(out, F.array(run))),
+        state(none, F.lit("")),
+        lambda out, run: F.when(F.char_length(out["last"]) + F.char_length(run) <= most, state(out["done"], F.concat(out["last"], run))).otherwise(state(F.when(out["last"] == "", out["done"]).otherwise(F.concat(out["done"], F.array(out["last"]))), run)),
+        lambda out: F.when(out["last"] == "", out["done"]).otherwise(F.concat(out["done"], F.array(out["last"]))),
     )
+    return F.when(F.char_length(c).between(1, most), F.array(c)).otherwise(packed)
 
 
 def entity_parts(c: Column, separator: str = " <S> ") -> Column:

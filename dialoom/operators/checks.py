@@ -16,16 +16,18 @@ REPEAT_SOURCES, REPEAT_CHARS = 5, 500
 
 
 def with_facts(pairs: DataFrame, source: str = "source", translation: str = "translation") -> DataFrame:
-    """What the checks need of a pair, computed once."""
+    """What the checks need of a pair, computed once: the generator keeps the optimizer from putting the functions in at each use."""
     s, t = F.col(source), F.col(translation)
-    return pairs.withColumns({
+    facts = {
         "source_letters": T.letter_count(s), "translation_letters": T.letter_count(t),
         "source_norm": T.norm_text(s), "translation_norm": T.norm_text(t),
         "technical": T.technical_reason(s), "signal": T.has_english_signal(s),
         "source_markers": T.markers(s), "translation_markers": T.markers(t),
-        "entities_leaked": F.filter(T.entities(t), lambda e: ~F.array_contains(T.entities(s), e)),
+        "entities_leaked": F.array_except(T.entities(t), T.entities(s)),
         "residue": F.size(T.tokens_in(t, T.RESIDUE_WORDS)),
-    })
+    }
+    kept = [c for c in pairs.columns if c not in facts]
+    return pairs.select(*kept, F.inline(F.array(F.struct(*(f.alias(name) for name, f in facts.items())))))
 
 
 def issue(severity: str, code: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -25,15 +25,29 @@ def issue_counts(issues: DataFrame) -> DataFrame:
     return counted.select(kind.alias("kind"), F.coalesce("severity", "code", "normal_field").alias("key"), "n")
 
 
-def group_metrics(checked: DataFrame, issues: DataFrame, key: str, top: int = 3) -> DataFrame:
-    """Checked pairs, issues, rates and top codes by a column; a key with nothing checked and no issue has no row."""
-    pairs = checked.groupBy(key).agg(F.count("*").alias("checked_pairs"))
-    by_code = issues.groupBy(key, "code").agg(F.count("*").alias("n"), F.count_if(F.col("severity") == "error").alias("errors"))
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "code", "n"))), 1, top)
-    codes = by_code.groupBy(key).agg(F.sum("n").alias("issues"), F.sum("errors").alias("errors"), F.array_join(F.transform(best, lambda c: F.concat(c["code"], F.lit(":"), c["n"].cast("string"))), ",").alias("top_codes"))
-    both = pairs.join(codes, key, "full_outer").fillna(0, ["checked_pairs", "issues", "errors"]).fillna("", ["top_codes"])
+def pairs_and_issues(checked: DataFrame, more: DataFrame | None, *keys: str) -> DataFrame:
+    """keys, code, severity, pair (1 at one row of each pair, 0 elsewhere): pairs and their issues in one pass.
+
+    more: issues that are not of one pair, or all of them if the pairs have no column of issues.
+    """
+    if "issues" in checked.columns:
+        rows = checked.select(*keys, F.posexplode_outer("issues").alias("i", "issue"))
+        rows = rows.select(*keys, "issue.code", "issue.severity", F.when(F.coalesce("i", F.lit(0)) == 0, 1).otherwise(0).alias("pair"))
+    else:
+        none = F.lit(None).cast("string")
+        rows = checked.select(*keys, none.alias("code"), none.alias("severity"), F.lit(1).alias("pair"))
+    return rows if more is None else rows.unionByName(more.select(*keys, "code", "severity", F.lit(0).alias("pair")))
+
+
+def group_metrics(checked: DataFrame, key: str, more: DataFrame | None = None, top: int = 3) -> DataFrame:
+    """Checked pairs, issues, rates and top codes by a column; a key with nothing checked and no issue has no row. Checks are computed once."""
+    by_code = pairs_and_issues(checked, more, key).groupBy(key, "code").agg(F.sum("pair").alias("pairs"), F.count("code").alias("n"), F.count_if(F.col("severity") == "error").alias("errors"))
+    best = F.slice(F.array_sort(F.collect_list(F.when(F.col("code").isNotNull(), F.struct((-F.col("n")).alias("o"), "code", "n")))), 1, top)
+    said = F.array_join(F.transform(best, lambda c: F.concat(c["code"], F.lit(":"), c["n"].cast("string"))), ",")
+    both = by_code.groupBy(key).agg(F.sum("pairs").alias("checked_pairs"), F.sum("n").alias("issues"), F.sum("errors").alias("errors"), said.alias("top_codes"))
     rate = lambda c: F.round(F.try_divide(c, F.col("checked_pairs")), 6)
-    return both.select(key, "checked_pairs", "issues", "errors", (F.col("issues") - F.col("errors")).alias("warnings"), rate(F.col("issues")).alias("issue_rate"), "top_codes")
+    warnings = F.col("issues") - F.col("errors")
+    return both.select(key, "checked_pairs", "issues", "errors", warnings.alias("warnings"), rate(F.col("issues")).alias("issue_rate"), rate(F.col("errors")).alias("error_rate"), rate(warnings).alias("warning_rate"), "top_codes")
 
 
 def issue_guide(issues: DataFrame) -> DataFrame:
@@ -43,9 +57,9 @@ def issue_guide(issues: DataFrame) -> DataFrame:
     return counted.select("code", "n", F.coalesce("rule", F.initcap(F.replace("code", F.lit("_"), F.lit(" ")))).alias("rule"), F.coalesce("priority", F.lit("sample")).alias("priority"))
 
 
-def verdict(checked: DataFrame, issues: DataFrame) -> DataFrame:
-    """One row: totals, verdict and recommendation."""
-    counts = checked.agg(F.count("*").alias("checked_pairs")).crossJoin(issues.agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings")))
+def verdict(checked: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """One row: totals, verdict and recommendation, in one pass."""
+    counts = pairs_and_issues(checked, more).agg(F.coalesce(F.sum("pair"), F.lit(0)).alias("checked_pairs"), F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))
     share = F.col("warnings") / F.greatest(F.col("checked_pairs"), F.lit(1))
     return counts.select(
         "checked_pairs", "errors", "warnings",
@@ -67,11 +81,15 @@ def position_summary(issues: DataFrame) -> DataFrame:
 
 def deduplicated(issues: DataFrame, order: list[str]) -> DataFrame:
     """Warnings that say the same of the same texts once, the first, with their number; all else passes through."""
-    key = Window.partitionBy("code", "field", "source", "translation")
-    same = issues.where("severity = 'warning' and source is not null and translation is not null")
-    kept = same.withColumn("n", F.row_number().over(key.orderBy(*order))).withColumn("duplicate_count", F.count("*").over(key)).where("n = 1").drop("n")
-    rest = issues.where("not (severity = 'warning' and source is not null and translation is not null)").withColumn("duplicate_count", F.lit(1).cast("long"))
-    return kept.unionByName(rest)
+    can = F.coalesce((F.col("severity") == "warning") & F.col("source").isNotNull() & F.col("translation").isNotNull(), F.lit(False))
+    texts = [c for c in ("code", "field", "message", "source", "translation") if c in issues.columns]
+    # what passes through is a group of its own: by all that it has
+    own = F.when(~can, F.struct(*(c for c in issues.columns if c not in texts)))
+    rest = [c for c in issues.columns if c not in texts]
+    kept = issues.groupBy(*texts, own.alias("own")).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("first"), F.count("*").alias("n"))
+    each = kept.withColumn("copy", F.explode(F.when(F.col("own").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(1).cast("long"), "n"))))
+    found = each.select(*texts, "first.*", F.when(F.col("own").isNull(), F.col("n")).otherwise(1).alias("duplicate_count"))
+    return found.select(*issues.columns, "duplicate_count")
 
 
 def fix_cases(issues: DataFrame) -> DataFrame:

@@ -22,10 +22,32 @@ class Rule:
     options: dict = field(default_factory=dict)
 
 
-def keyed(df: DataFrame, order: list[str], split: str | None = None) -> DataFrame:
-    """With split and a dense row_idx inside it: the position by the order columns, as tables have none of their own."""
+#: Rows that are drawn to find where a table's blocks of rows begin.
+BOUNDARY_SAMPLE = 2_000
+
+
+def keyed(df: DataFrame, order: list[str], split: str | None = None, blocks: int = 0) -> DataFrame:
+    """With split and a dense row_idx inside it: the position by the order columns, as tables have none of their own.
+
+    Rows are numbered in blocks, ranges of (split, order) that are about equal, and the rows of earlier blocks of the split are
+    added; so no task sorts a whole split. Blocks begin at rows that are drawn by a hash, the same ones whenever a task runs again.
+    """
     df = df.withColumn("split", F.col(split) if split else F.lit("train"))
-    return df.withColumn("row_idx", (F.row_number().over(Window.partitionBy("split").orderBy(*order)) - 1).cast("long"))
+    blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.struct("split", *order)
+    drawn = df.select(place.alias("place")).orderBy(F.xxhash64("place"), "place").limit(BOUNDARY_SAMPLE).collect()
+    kind = df.select(place.alias("place")).schema["place"].dataType
+    places = sorted({tuple((x is not None, x) for x in r.place): r.place for r in drawn}.items())
+    starts = [r for _, r in places[:: max(1, len(places) // blocks)]][1:]
+    literal = lambda r: F.struct(*(F.lit(x).cast(f.dataType).alias(f.name) for x, f in zip(r, kind, strict=True)))
+    block = F.size(F.filter(F.array(*map(literal, starts)), lambda s: s <= place)) if starts else F.lit(0)
+    dealt = df.withColumn("_block", block)
+    counts = dealt.groupBy("split", "_block").agg(F.count("*").alias("_n"))
+    earlier = F.sum("_n").over(Window.partitionBy("split").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("split", "_block", F.coalesce(earlier, F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("split", "_block").orderBy(*order)) - 1
+    numbered = dealt.withColumn("_inside", inside).join(offsets.select(F.col("split").alias("_split"), F.col("_block").alias("_at"), "_offset"), F.col("split").eqNullSafe(F.col("_split")) & (F.col("_block") == F.col("_at")))
+    return numbered.withColumn("row_idx", (F.col("_offset") + F.col("_inside")).cast("long")).select(*df.columns, "row_idx")
 
 
 def aligned(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -31,12 +31,15 @@ def rendered(c: Column, kind: str) -> Column:
     raise ValueError(f"unknown formatter {kind!r}")
 
 
-def quality_report(checked: DataFrame, issues: DataFrame, most: int = 200) -> dict:
-    """Totals, counts, metrics by split and the first issues. Only aggregates and `most` issues reach the driver."""
+def quality_report(checked: DataFrame, issues: DataFrame, more: DataFrame | None = None, most: int = 200) -> dict:
+    """Totals, counts, metrics by split and the first issues. Only aggregates and `most` issues reach the driver.
+
+    issues: all of them; more: those that are not of one checked pair.
+    """
     rows = lambda df: [r.asDict() for r in df.collect()]
     guide = sorted(rows(issue_guide(issues)), key=lambda r: (-r["n"], PRIORITIES[r["priority"]], r["code"]))
     shown = rows(issues.orderBy("split", "row_idx", "pair_ord", "check_ord").limit(most))
-    return {**verdict(checked, issues).first().asDict(), "counts": sorted(rows(issue_counts(issues)), key=lambda r: (r["kind"], -r["n"], r["key"])), "splits": rows(group_metrics(checked, issues, "split").orderBy("split")), "guide": guide, "issues": shown}
+    return {**verdict(checked, more).first().asDict(), "counts": sorted(rows(issue_counts(issues)), key=lambda r: (r["kind"], -r["n"], r["key"])), "splits": rows(group_metrics(checked, "split", more).orderBy("split")), "guide": guide, "issues": shown}
 
 
 def text_summary(report: dict) -> str:

@@ -302,13 +302,13 @@ def metrics_sql(key: str) -> str:
 @query(metrics_sql("field"))
 def field_metrics(spark, d):
     c = checked(spark, d)
-    return metrics.group_metrics(c, checks.issues_of(c, KEYS), "field")
+    return metrics.group_metrics(c, "field").drop("error_rate", "warning_rate")
 
 
 @query(metrics_sql("split"))
 def split_metrics(spark, d):
     c = checked(spark, d)
-    return metrics.group_metrics(c, checks.issues_of(c, KEYS), "split")
+    return metrics.group_metrics(c, "split").drop("error_rate", "warning_rate")
 
 
 @query(f"WITH {FACTS} SELECT code, count(*) AS n, CASE code {' '.join(f'WHEN {lit(c)} THEN {lit(r)}' for c, (r, _) in metrics.GUIDE.items())} END AS rule, CASE code {' '.join(f'WHEN {lit(c)} THEN {lit(p)}' for c, (_, p) in metrics.GUIDE.items())} END AS priority FROM issues GROUP BY code")
@@ -320,7 +320,7 @@ def issue_guide(spark, d):
   SELECT *, CASE WHEN errors > 0 THEN 'fail' WHEN warnings > 0 THEN 'pass_with_warnings' ELSE 'pass' END AS verdict, CASE WHEN errors > 0 THEN 'block' WHEN warnings = 0 THEN 'pass' WHEN warnings / greatest(checked_pairs, 1) < 0.001 THEN 'sample' ELSE 'review' END AS recommendation FROM n""")
 def quality_verdict(spark, d):
     c = checked(spark, d)
-    return metrics.verdict(c, checks.issues_of(c, KEYS))
+    return metrics.verdict(c)
 
 
 @query(f"WITH {FACTS}, p AS (SELECT DISTINCT regexp_extract(field, '\\[(\\d+)\\]', 1)::INT + 1 AS p FROM issues) SELECT 'dialog_fr[].content' AS field, CASE WHEN max(p) - min(p) + 1 = count(*) THEN 'turns ' || min(p) || '-' || max(p) ELSE count(*) || ' turn positions' END AS positions FROM p")
