@@ -10,16 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import map_arrow
+from .shared import Scratch, map_arrow, sliced
 
 #: A probe is a window of so many characters of a passage, cut every STRIDE; shorter passages are one probe.
 PROBE, STRIDE = 100, 50
-#: Passages shorter than this have too little text to tell a copy from chance.
-LEAST = 40
+#: Passages shorter than this are compared by short q-grams, and have to begin and end where a word does.
+SHORT = 40
 #: Edits that an alignment of a probe has at most, as a share of its length.
 EDITS = 0.08
-#: Length of the q-grams. A probe of n characters within e edits shares at least n + 1 - Q * (e + 1) of them.
-Q = 9
+#: Length of the q-grams, and of those of short passages. A probe of n characters within e edits shares at least n + 1 - q * (e + 1) of them.
+Q, SHORT_Q = 9, 4
 TABLE_BITS = 22
 #: No character's code.
 NOTHING = 0xFFFFFFFF
@@ -36,14 +36,14 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def gram_hashes(chars: np.ndarray) -> np.ndarray:
+def gram_hashes(chars: np.ndarray, q: int = Q) -> np.ndarray:
     """A 64-bit hash of every q-gram."""
-    n = len(chars) - Q + 1
+    n = len(chars) - q + 1
     if n < 1:
         return np.empty(0, np.uint64)
     out = np.zeros(n, np.uint64)
     wide = chars.astype(np.uint64)
-    for i in range(Q):
+    for i in range(q):
         out = out * np.uint64(0x9E3779B97F4A7C15) + wide[i : i + n]
     return out ^ (out >> np.uint64(31))
 
@@ -63,20 +63,28 @@ class Probe:
     shared: int  # q-grams that an alignment within `edits` has at least
 
 
+def indexes(items: list[tuple[int, str]]) -> list[Index]:
+    """Passages by the length of the q-grams that they are found by; those shorter than SHORT_Q are one q-gram each."""
+    by_length: dict[int, list] = {}
+    for item, text in items:
+        if text:
+            by_length.setdefault(Q if len(text) >= SHORT else min(SHORT_Q, len(text)), []).append((item, text))
+    return [Index(found, q) for q, found in sorted(by_length.items())]
+
+
 class Index:
     """The q-grams of all probes of some passages."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], q: int = Q):
+        self.q = q
         self.probes: list[Probe] = []
         for item, text in items:
-            if len(text) < LEAST:
-                continue
             starts = [0] if len(text) <= PROBE else [*range(0, len(text) - PROBE, STRIDE), len(text) - PROBE]
             for at in starts:
                 part = text[at : at + PROBE]
                 edits = int(len(part) * EDITS)
-                self.probes.append(Probe(item, at, part, edits, max(1, len(part) + 1 - Q * (edits + 1))))
-        grams = [gram_hashes(codes(p.text)) for p in self.probes]
+                self.probes.append(Probe(item, at, part, edits, max(1, len(part) + 1 - q * (edits + 1))))
+        grams = [gram_hashes(codes(p.text), q) for p in self.probes]
         of = np.repeat(np.arange(len(grams)), [len(g) for g in grams]) if grams else np.empty(0, np.int64)
         at = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
         hashes = np.concatenate(grams) if grams else np.empty(0, np.uint64)
@@ -91,7 +99,7 @@ class Index:
 
     def regions(self, chars: np.ndarray) -> Iterator[tuple[int, int]]:
         """(probe, diagonal) of the diagonal bands that share enough q-grams with a probe."""
-        hashes = gram_hashes(chars)
+        hashes = gram_hashes(chars, self.q)
         hit = np.flatnonzero(self.table[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
         if len(hit) < self.least:
             return
@@ -149,26 +157,39 @@ def aligned(probe: str, text: str, edits: int) -> tuple[int, int] | None:
     return (min(max(0, len(probe) + at - edits), len(text)), int(row[at])) if row[at] <= edits else None
 
 
-def leaks_in(text: str, index: Index) -> dict[int, tuple[int, int, int, int]]:
-    """item -> start and end in the normalised text of its first and last leak, number of leaked probes, least edits."""
+def at_words(body: str, start: int, end: int, edits: int) -> bool:
+    """Whether a place begins and ends where words do, give or take its edits."""
+    inside = lambda i: 0 < i < len(body) and body[i - 1].isalnum() and body[i].isalnum()
+    near = range(-edits, edits + 1)
+    return not all(inside(start + k) for k in near) and not all(inside(end + k) for k in near)
+
+
+def leaks_in(text: str, found_by: list[Index]) -> dict[int, tuple[int, int, int, int]]:
+    """item -> start and end in the normalised text of its first and last leak, number of places of leaked probes, least edits."""
     body = normal(text)
-    if not body:
-        return {}
     found: dict[int, tuple[int, int, int, int]] = {}
-    done: set[int] = set()
-    for p, diagonal in index.regions(codes(body)):
-        if p in done:
-            continue
-        probe = index.probes[p]
-        half = 2 * probe.edits + 1
-        start = max(0, diagonal)
-        place = aligned(probe.text, body[start : max(start, diagonal + 2 * half + len(probe.text))], probe.edits)
-        if place is None:
-            continue
-        done.add(p)
-        end, distance = start + place[0], place[1]
-        a, b, n, d = found.get(probe.item, (end, end, 0, distance))
-        found[probe.item] = (min(a, max(0, end - len(probe.text))), max(b, min(end, len(body))), n + 1, min(d, distance))
+    if not body:
+        return found
+    chars = codes(body)
+    for index in found_by:
+        reached: dict[int, int] = {}  # where a probe's last place ends
+        for p, diagonal in index.regions(chars):
+            probe = index.probes[p]
+            half = 2 * probe.edits + 1
+            if diagonal + half - 1 + len(probe.text) <= reached.get(p, -1) + probe.edits:
+                continue  # the same place, in the next band
+            start = max(0, diagonal)
+            place = aligned(probe.text, body[start : max(start, diagonal + 2 * half + len(probe.text))], probe.edits)
+            if place is None:
+                continue
+            end, distance = start + place[0], place[1]
+            first = max(0, end - len(probe.text))
+            if index.q < Q and not at_words(body, first, end, probe.edits):
+                continue
+            again = end <= reached.get(p, -1)
+            reached[p] = max(end, reached.get(p, -1))
+            a, b, n, d = found.get(probe.item, (first, end, 0, distance))
+            found[probe.item] = (min(a, first), max(b, end), n + (not again), min(d, distance))
     return found
 
 
@@ -195,9 +216,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     The index of a lot of passages goes to every worker, and documents are never moved; a benchmark of more than
     INDEX_CHARS characters is searched lot by lot.
 
-    Null and empty texts hold nothing; passages shorter than LEAST, null ones and those without item_id are not searched
-    for. Repeated documents are each a row; equal passages are each found. Empty tables give no rows. Extra columns are
-    not read. Columns: doc_id, item_id, start, end (characters of the normalised text), probes (leaked), edits (least).
+    Passages shorter than SHORT are found between words only, with few edits or none. Null and empty texts hold nothing; empty
+    and null passages and those without item_id are not searched for. Repeated documents are each a row; equal passages are each found. Empty tables give no rows. Extra columns are
+    not read. Columns: doc_id, item_id, start, end (characters of the normalised text, from the first leak to the last), probes
+    (places of leaked ones), edits (least).
     """
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -209,7 +231,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 
         def run(batch: pa.RecordBatch, shared=shared, held=held) -> dict:
             if "index" not in held:
-                held["index"] = Index(shared.value)
+                held["index"] = indexes(shared.value)
             rows = []
             for key, body in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 for item, (a, b, n, d) in sorted(leaks_in(body, held["index"]).items()):
@@ -223,17 +245,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs in which no passage is found; all columns as they were. Decided row by row, so a row without doc_id is judged by its text too."""
-    lots = [docs.sparkSession.sparkContext.broadcast(lot) for lot in benchmark_items(benchmark, "item_id", "text")]
+    """The rows of docs in which no passage is found; all columns as they were. Decided row by row, so a row without doc_id is judged by its text too.
+
+    A benchmark of several lots is searched lot by lot, with what is left written in between, so a worker holds one index.
+    """
+    scratch, kept, n = Scratch(docs.sparkSession, "decontamination"), docs, 0
+    for lot in benchmark_items(benchmark, "item_id", "text"):
+        kept = scratch.keep(kept, f"kept-{n}") if n else kept
+        kept, n = kept.mapInArrow(clean_of(docs.sparkSession.sparkContext.broadcast(lot), text), docs.schema), n + 1
+        if n > 2:
+            scratch.drop(f"kept-{n - 2}")
+    return kept
+
+
+def clean_of(lot, text: str):
     held: dict = {}
 
     def run(batches):
-        from .shared import sliced
-
         if "index" not in held:
-            held["index"] = [Index(lot.value) for lot in lots]
+            held["index"] = indexes(lot.value)
         for batch in sliced(batches, text):
-            clean = [not any(leaks_in(body, index) for index in held["index"]) for body in batch.column(text).to_pylist()]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+            yield batch.filter(pa.array([not leaks_in(body, held["index"]) for body in batch.column(text).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return run

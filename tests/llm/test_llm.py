@@ -240,7 +240,8 @@ def test_alignment_is_edit_distance():
 def test_leaks_with_deletions_at_both_ends_of_a_text():
     assert decontamination.aligned("abcdef", "abdef", 1) == (5, 1)
     passages = [(i, decontamination.normal(t[:100])) for i, t in enumerate(sentences(20, 33, 40))]
-    index = decontamination.Index(passages)
+    found_by = decontamination.indexes(passages)
+    [index] = found_by
     filler, draw = sentences(1, 34)[0], random.Random(3)
     for item, text in passages:
         for k in range(1, index.probes[item].edits):  # a cut at a space can cost one more
@@ -248,10 +249,55 @@ def test_leaks_with_deletions_at_both_ends_of_a_text():
             cut = "".join(c for i, c in enumerate(text) if i not in at)
             for leak in (cut, text[k:], text[: len(text) - k]):
                 for body in (leak, filler + " " + leak, leak + " " + filler):
-                    start, end, _, edits = decontamination.leaks_in(body, index)[item]
+                    start, end, _, edits = decontamination.leaks_in(body, found_by)[item]
                     assert edits <= index.probes[item].edits and 0 <= start < end <= len(decontamination.normal(body))
 
 
+def distance_in(probe, body):
+    """Edits between a probe and the best place of it in a text."""
+    row = np.zeros(len(body) + 1, np.int64)
+    chars = np.array(list(body))
+    steps = np.arange(len(body) + 1)
+    for i, c in enumerate(probe):
+        best = np.concatenate([[i + 1], np.minimum(row[:-1] + (chars != c), row[1:] + 1)])
+        row = np.minimum.accumulate(best - steps) + steps
+    return int(row.min())
+
+
+def test_leaks_are_all_within_the_budget():
+    """Every probe against full edit distance, up to the whole budget, wherever the copy is."""
+    draw = random.Random(17)
+    items = [(i, decontamination.normal(t[:n])) for i, (t, n) in enumerate(zip(sentences(24, 51, 60), [*range(40, 100, 5), *[180] * 12], strict=True))]
+    found_by = decontamination.indexes(items)
+    [index] = found_by
+    fillers, checked = sentences(3, 52, 20), 0
+    for item, text in items:
+        for _ in range(6):
+            copy = list(text)
+            for _ in range(draw.randint(0, 2 * int(min(len(text), 100) * decontamination.EDITS))):
+                at = draw.randrange(len(copy))
+                copy[at : at + 1] = draw.choice([[], ["~"], ["~", copy[at]]])
+            leak = "".join(copy)
+            for body in (leak, leak + " " + fillers[0], fillers[1] + " " + leak, fillers[1] + " " + leak + " " + fillers[2]):
+                body = decontamination.normal(body)
+                wanted = {p.item for p in index.probes if distance_in(p.text, body) <= p.edits}
+                assert wanted == set(decontamination.leaks_in(body, found_by))
+                checked += bool(wanted)
+    assert checked > 200
+
+
+def test_short_passages_and_all_places():
+    items = [(1, "paris"), (2, "ab"), (3, "what is the capital of france?"), (4, decontamination.normal(sentences(1, 3, 30)[0][:90]))]
+    found_by = decontamination.indexes([*items, (5, "")])
+    of = lambda body: {k: v[:3] for k, v in decontamination.leaks_in(body, found_by).items()}
+    assert of("x ab y Paris z paris") == {2: (2, 4, 1), 1: (7, 20, 2)}
+    assert of("comparison, drab abc") == {} and of("") == {} and of(None) == {}
+    assert of("so what is the capitol of France? yes") == {3: (3, 33, 1)}
+    long = items[3][1]
+    assert of(f"{long} and {long}") == {4: (0, 2 * len(long) + 5, 2)}
+    assert decontamination.leaks_in(" ".join(["filler"] * 100_000 + ["paris"]), found_by).keys() == {1}
+
+
 def test_languages(spark):
     draw = random.Random(2)
     make = {"aa": "abcde", "bb": "vwxyz", "cc": "клмно"}
