@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .shared import Scratch, release
 
-#: Vectors in a tile, about.
-TILE = 2048
+#: Vectors in a tile, about, and of a tile in one product. A label's vectors go to every tile of their label, so tiles are large.
+TILE, PRODUCT = 8192, 2048
 LEVELS = 127
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; their largest component is made 1 first, as squares of very large or small ones are out of range."""
+    vectors = vectors / np.abs(vectors).max(axis=1)[:, None]
     return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
 
 
@@ -34,6 +36,13 @@ def close_pairs(left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[
     rounding error, as unit vectors have length 1; pairs below the threshold by more are not looked at again. Products
     of 8-bit integers are exact in single precision up to 2**24.
     """
+    if max(len(left), len(right)) > PRODUCT:
+        found = []
+        for i in range(0, len(left), PRODUCT):
+            for j in range(0, len(right), PRODUCT):
+                x, y = close_pairs(left[i : i + PRODUCT], right[j : j + PRODUCT], threshold)
+                found.append((x + i, y + j))
+        return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
     (a, scale_a, error_a), (b, scale_b, error_b) = quantised(left), quantised(right)
     kind = np.float32 if left.shape[1] * LEVELS * LEVELS < 1 << 24 else np.float64
     products = (a.astype(kind) @ b.T.astype(kind)).astype(np.float64) * scale_a[:, None] * scale_b[None, :]
@@ -66,7 +75,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, vec_id: str = "vec
     # negative zero and zero are equal numbers, but not equal bytes
     usable = source.where("vec_id is not null and label is not null and embedding is not null").where(finite).withColumn("embedding", F.transform(e, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)))
     usable = usable.dropDuplicates(["vec_id", "label", "embedding"])
-    keyed = scratch.keep(usable.withColumn("key", F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.array_join(F.transform("embedding", lambda x: x.cast("string")), ",")), 256)), "keyed")
+    keyed = scratch.keep(usable.withColumn("key", F.sha2(F.to_json(F.struct("label", "embedding")), 256)), "keyed")
     classes = scratch.keep(keyed.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding")), "classes")
     label_tiles = classes.groupBy("label").agg(F.ceil(F.count("*") / tile).cast("long").alias("tiles"))
     dealt = classes.join(label_tiles, "label").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")))

@@ -333,6 +333,29 @@ def test_viterbi_is_best_path():
         at += n
 
 
+def test_many_languages():
+    draw = np.random.default_rng(5)
+    for n in (200, 300):
+        scores = draw.normal(size=(40, n)) * 0.1
+        scores[:, n - 5] += 3
+        assert (language.best_paths(scores, np.array([40])) == n - 5).all()
+
+
+def test_vectors_of_any_size(spark):
+    """Labels and numbers that look alike when joined, numbers whose squares are out of range, and tiles of several products."""
+    rows = [(1, [2.0], "a,1.0"), (2, [1.0, 2.0], "a"), (3, [1e200, 0.0], "b"), (4, [1e200, 1.0], "b"), (5, [1e-200, 0.0], "b"), (6, [0.0, 1e-320], "b"), (7, [5e-324, 0.0], "b")]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert found == {1: (0, 1), 2: (0, 2), 3: (3, 3), 4: (3, 3), 5: (3, 3), 6: (0, 6), 7: (3, 3)}
+    draw = np.random.default_rng(7)
+    left, right = embeddings.unit(draw.normal(size=(70, 3))), embeddings.unit(draw.normal(size=(50, 3)))
+    whole = set(zip(*(x.tolist() for x in embeddings.close_pairs(left, right, 0.9)), strict=True))
+    product, embeddings.PRODUCT = embeddings.PRODUCT, 16
+    try:
+        assert set(zip(*(x.tolist() for x in embeddings.close_pairs(left, right, 0.9)), strict=True)) == whole
+    finally:
+        embeddings.PRODUCT = product
+
+
 def test_vectors(spark):
     draw = np.random.default_rng(4)
     rows, centre = [], draw.normal(size=(12, 16))
