@@ -21,17 +21,22 @@ CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "t
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul figure".split())
 #: Elements that an implied end does not reach beyond.
 SCOPE = frozenset("html body article section main div aside nav header footer table ul ol dl form blockquote td th li".split())
-NEVER = frozenset("head nav footer aside form button dialog menu fieldset".split())
 MAIN = frozenset(("article", "main"))
-#: What an article can be; "" is the page.
-CONTAINERS = frozenset(("", "html", "body", "section", "div", "article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that are by their tag no article.
+BESIDE = frozenset("nav footer aside form dialog menu fieldset header button".split())
 #: Words of a class, id or role that mark what is not the article.
 BOILERPLATE = frozenset(
     "ad ads adv advert advertisement advertising sponsor sponsored banner promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar side footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login search share sharing social related recommended comment comments respond reply replies disqus pagination pager widget toolbar copyright legal".split()
 )
+#: Elements that hold others; a part of a word on a paragraph of its own says little.
+HOLDERS = frozenset("div section ul ol dl table tr td".split())
+#: Before a word these say that there is such a thing beside the text, or none.
+ABOUT = frozenset("has no with without hide show".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+STOPS = re.compile(r"[\"'>]")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？…]")
 SPACE = re.compile(r"\s+")
@@ -39,73 +44,174 @@ SPACE = re.compile(r"\s+")
 SMOOTH = 2  # blocks to either side that a block's ratios are smoothed with
 SPREAD = 1.0  # of the Gaussian that does so
 THRESHOLD = 0.5  # times the standard deviation of the fused ratios
-MOST = 0.75  # of the chosen text that article and main elements have to be the article
-MAIN_PRIOR = 4  # times what text inside an element marked as the article counts
+#: What the ratios of a path count times for each element that is by its tag, by a whole word of its marks, or by a part of one beside the article.
+TAG_PRIOR, MARK_PRIOR, PART_PRIOR = 0.05, 0.05, 0.5
+#: What they count times inside an element marked as the article.
+MAIN_PRIOR = 4.0
+
+
+class Element:
+    """An open element: the number of its path of tags from the root, and what tags and marks along it say beforehand."""
+
+    __slots__ = ("block", "children", "depth", "home", "main", "parent", "path", "prior", "tag")
+
+    def __init__(self, parent: Element | None, tag: str, path: int, prior: float, main: bool):
+        self.parent, self.tag, self.path, self.prior, self.main = parent, tag, path, prior, main
+        self.depth = 0 if parent is None else parent.depth + 1
+        inline = parent is not None and tag in INLINE
+        self.block: str = parent.block if inline else tag  # the tag of the block that its text is in
+        self.home: Element = self if parent is None else parent.home if inline else parent  # what that block is in
+        self.children: list[Element] = []
+
+    def down(self, tag: str, factor: float, paths: dict) -> Element:
+        opens = tag in MAIN and not self.main  # an article is one whatever it is inside of
+        path = paths.setdefault((self.path, tag, factor), len(paths) + 1)
+        found = Element(self, tag, path, MAIN_PRIOR if opens else self.prior * factor, opens or self.main)
+        self.children.append(found)
+        return found
+
+    def unmarked(self) -> set[Element]:
+        """This element, and those in it that nothing marks as something else."""
+        found, left = {self}, [self]
+        while left:
+            more = [e for e in left.pop().children if e.prior >= self.prior]
+            found.update(more)
+            left += more
+        return found
+
+
+def common_home(elements: list[Element]) -> Element:
+    """The least element that all these blocks are in; the article where that is in one."""
+    found = elements[0].home
+    below = {found}  # elements in the found one, itself included
+    for element in elements[1:]:
+        other = element.home
+        while other not in below and other.depth > found.depth:
+            below.add(other)
+            other = other.parent
+        while other not in below:
+            if found.depth == other.depth:
+                below.add(other)
+                other = other.parent
+            found = found.parent
+            below.add(found)
+    while found.parent is not None and found.main and found.parent.main:
+        found = found.parent
+    return found
 
 
 class Block:
-    __slots__ = ("path", "nodes", "parts", "kept")
+    __slots__ = ("element", "parts")
 
-    def __init__(self, path: tuple, nodes: tuple, kept: bool):
-        self.path, self.nodes, self.parts, self.kept = path, nodes, [], kept
+    def __init__(self, element: Element):
+        self.element, self.parts = element, []
 
     def text(self) -> str:
         return SPACE.sub(" ", entities.unescape("".join(self.parts))).strip()
 
 
-def is_boilerplate(tag: str, attributes: str, inside_main: bool) -> bool:
-    """Whether an element is by its tag or marks no part of an article. A header inside an article is its own."""
-    if tag in NEVER or (tag == "header" and not inside_main):
-        return True
+def factor_of(tag: str, attributes: str, inside_main: bool) -> float:
+    """What an element's tag and marks count beforehand. A header inside an article is its own."""
+    if tag in BESIDE and not (inside_main and tag == "header"):
+        return TAG_PRIOR
     if tag in MAIN or tag in ("html", "body") or not attributes:
-        return False
+        return 1.0
+    out = 1.0
     for found in MARKS.finditer(attributes):
-        words = {w.lower() for w in WORDS.findall(found[1] or found[2] or found[3] or "")}
-        if words & BOILERPLATE and not (inside_main and words & {"header"}):
-            return True
-    return False
+        for word in (found[1] or found[2] or found[3] or "").split():
+            parts = [w.lower() for w in WORDS.findall(word)]
+            if parts and (parts[0] in ABOUT or inside_main and "header" in parts):
+                continue
+            if len(parts) == 1 and parts[0] in BOILERPLATE:
+                out = min(out, MARK_PRIOR)
+            elif tag in HOLDERS and any(w in BOILERPLATE for w in parts):
+                out = min(out, PART_PRIOR)
+    return out
+
+
+def tag_end(page: str, at: int) -> int:
+    """Where the tag whose name ends at `at` ends, past its '>'; the end of the page if it does not.
+
+    A quoted value can hold '>'. A quote that no other one closes, or only one after another tag, is none.
+    """
+    while True:
+        stop = STOPS.search(page, at)
+        if not stop:
+            return len(page)
+        if stop[0] == ">":
+            return stop.end()
+        close = page.find(stop[0], stop.end())
+        within = page.find("<", stop.end(), close if close >= 0 else None)
+        if close < 0 or within >= 0 and page.find(">", stop.end(), within) >= 0:
+            end = page.find(">", stop.end())
+            return end + 1 if end >= 0 else len(page)
+        at = close + 1
 
 
 def blocks_of(page: str) -> list[Block]:
-    """Text blocks in page order, each with its path of tags, its chain of elements, and if it may be content."""
-    stack: list[tuple[str, int, bool]] = [("", 0, True)]  # tag, number of the element, may be content
+    """Text blocks in page order, each with its element. Linear in the page, however broken it is."""
+    stack, paths = [Element(None, "", 0, 1.0, False)], {}
+    depth: dict[str, int] = {}  # open elements by tag
     blocks: list[Block] = []
     block: Block | None = None
-    number, at, n = 0, 0, len(page)
+    at, n = 0, len(page)
+    missing: set[str] = set()  # closing tags of raw elements that the rest of the page has not
 
     def close_to(i: int) -> None:
         nonlocal block
-        if any(tag not in INLINE for tag, _, _ in stack[i:]):
-            block = None
+        for element in stack[i:]:
+            depth[element.tag] -= 1
+            if element.tag not in INLINE:
+                block = None
         del stack[i:]
 
+    def close(tags: tuple, scoped: bool) -> None:
+        if not any(depth.get(t) for t in tags):
+            return
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i].tag in tags:
+                close_to(i)
+                return
+            if scoped and stack[i].tag in SCOPE:
+                return
+
     while at < n:
-        token = TOKEN.search(page, at)
-        raw = page[at : token.start()] if token else page[at:]
+        begin = page.find("<", at)
+        while begin >= 0 and begin + 1 < n and not (page[begin + 1] in "!?/" or page[begin + 1].isascii() and page[begin + 1].isalpha()):
+            begin = page.find("<", begin + 1)
+        begin = begin if 0 <= begin < n - 1 else n
+        raw = page[at:begin]
         if raw:
-            if block is None:
-                if not raw.isspace():
-                    block = Block(tuple(x[0] for x in stack), tuple(x[1] for x in stack if x[0] in CONTAINERS), stack[-1][2])
-                    blocks.append(block)
+            if block is None and not raw.isspace():
+                block = Block(stack[-1])
+                blocks.append(block)
             if block is not None:
                 block.parts.append(raw)
-        if not token:
+        if begin == n:
             break
-        at = token.end()
-        if not token[2]:
+        if page[begin + 1] in "!?":
+            close_mark = "-->" if page.startswith("<!--", begin) else ">"
+            end = page.find(close_mark, begin + 2)
+            at = end + len(close_mark) if end >= 0 else n
+            continue
+        ending = page[begin + 1] == "/"
+        name = NAME.match(page, begin + 1 + ending)
+        if not name:
+            end = page.find(">", begin)
+            at = end + 1 if end >= 0 else n
             continue
-        tag = token[2].lower()
-        if token[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close_to(i)
-                    break
-            else:
-                if tag == "p":
-                    block = None
+        tag, at = name[0].lower(), tag_end(page, name.end())
+        if ending:
+            if depth.get(tag):
+                close((tag,), False)
+            elif tag == "p":
+                block = None
             continue
-        if tag in RAW and not token[3].rstrip().endswith("/"):
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+        attributes = page[name.end() : at - 1]
+        if tag in RAW and not attributes.rstrip().endswith("/"):
+            end = None if tag in missing else re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            if end is None:
+                missing.add(tag)
             at = end.end() if end else n
             block = block if tag in INLINE else None
             continue
@@ -118,27 +224,22 @@ def blocks_of(page: str) -> list[Block]:
             continue
         implied = CLOSES.get(tag, ()) + (("p",) if tag in ENDS_P else ())
         if implied:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in implied:
-                    close_to(i)
-                    break
-                if stack[i][0] in SCOPE:
-                    break
+            close(implied, True)
         if tag not in INLINE:
             block = None
-        number += 1
-        inside_main = any(x[0] in MAIN for x in stack)
-        stack.append((tag, number, stack[-1][2] and not is_boilerplate(tag, token[3], inside_main)))
+        stack.append(stack[-1].down(tag, factor_of(tag, attributes, stack[-1].main), paths))
+        depth[tag] = depth.get(tag, 0) + 1
     return blocks
 
 
 def content_scores(blocks: list[Block], texts: list[str]) -> list[float]:
-    """Tag-path ratios: text length and punctuation per path and block, smoothed over the page, then fused."""
+    """Tag-path ratios: text length and punctuation for each block of a path, smoothed over the page, then fused."""
     chars, marks, count = {}, {}, {}
-    for b, t in zip(blocks, texts, strict=True):
-        chars[b.path] = chars.get(b.path, 0) + len(t)
-        marks[b.path] = marks.get(b.path, 0) + len(PUNCTUATION.findall(t))
-        count[b.path] = count.get(b.path, 0) + 1
+    paths = [b.element.path for b in blocks]
+    for p, t in zip(paths, texts, strict=True):
+        chars[p] = chars.get(p, 0) + len(t)
+        marks[p] = marks.get(p, 0) + len(PUNCTUATION.findall(t))
+        count[p] = count.get(p, 0) + 1
     weights = [math.exp(-(i * i) / (2 * SPREAD * SPREAD)) for i in range(-SMOOTH, SMOOTH + 1)]
 
     def smooth(values: list[float]) -> list[float]:
@@ -148,38 +249,38 @@ def content_scores(blocks: list[Block], texts: list[str]) -> list[float]:
             out.append(sum(w * v for w, v in near) / sum(w for w, _ in near))
         return out
 
-    by_text = smooth([chars[b.path] / count[b.path] for b in blocks])
-    by_marks = smooth([marks[b.path] / count[b.path] for b in blocks])
-    return [t * (1 + p) for t, p in zip(by_text, by_marks, strict=True)]
+    by_text = [chars[p] / count[p] for p in paths]
+    by_marks = [marks[p] / count[p] for p in paths]
+    # the geometric mean of a path's ratio and the smoothed one: neither a block alone nor its place alone makes a text
+    both = lambda ratios: [math.sqrt(r * s) for r, s in zip(ratios, smooth(ratios), strict=True)]
+    return [t * (1 + p) for t, p in zip(both(by_text), both(by_marks), strict=True)]
 
 
 def main_text(page: str | None) -> str:
     """The main text of a page, one line for each block; empty if there is none.
 
-    Blocks of elements that are never content are left out. The paths of the others are scored and thresholded. Where
-    article and main elements hold most of the text on the chosen paths, they are the article; else it is the smallest
-    element that holds all of that text. All its blocks are its text, so a short title or line of it stays.
+    Blocks are scored by the ratios of their tag paths, times what tags and marks say beforehand. Paths of a mean score
+    of at least the threshold hold the text. A block on another path, such as a title or a short section, belongs to it if it
+    is inside the article, or inside the least element that all chosen blocks are in, and nothing there marks it as something
+    else.
     """
-    found = [(b, t) for b in blocks_of(page or "") if b.kept and (t := b.text())]
+    found = [(b, t) for b in blocks_of(page or "") if (t := b.text())]
     if not found:
         return ""
     blocks, texts = [b for b, _ in found], [t for _, t in found]
-    scores = content_scores(blocks, texts)
+    scores = [s * b.element.prior for s, b in zip(content_scores(blocks, texts), blocks, strict=True)]
     mean = sum(scores) / len(scores)
     least = min(mean, THRESHOLD * math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores)))
-    chosen = {b.path for b, s in zip(blocks, scores, strict=True) if s >= least}
-    inside = [bool(MAIN & set(b.path)) for b in blocks]
-    weight = [len(t) * (b.path in chosen) * (MAIN_PRIOR if m else 1) for b, t, m in zip(blocks, texts, inside, strict=True)]
-    if any(inside) and sum(w for w, m in zip(weight, inside, strict=True) if m) >= MOST * sum(weight):
-        return "\n".join(t for t, m in zip(texts, inside, strict=True) if m)
-    size: dict[int, int] = {}
-    for b in blocks:
-        for node in b.nodes:
-            size[node] = size.get(node, 0) + 1
-    holds_all = set.intersection(*(set(b.nodes) for b, w in zip(blocks, weight, strict=True) if w))
-    # elements are numbered from the outside in
-    article = max((node for node in holds_all if size[node] > 1), default=0)
-    return "\n".join(t for b, t in zip(blocks, texts, strict=True) if article in b.nodes)
+    of_path: dict[int, list[float]] = {}
+    for b, s in zip(blocks, scores, strict=True):
+        of_path.setdefault(b.element.path, []).append(s)
+    chosen = {p for p, found in of_path.items() if sum(found) / len(found) >= least}
+    region = common_home([b.element for b in blocks if b.element.path in chosen])
+    inside = region.unmarked()
+    keep = [b.element.path in chosen or b.element in inside for b in blocks]
+    for i in range(len(blocks) - 2, -1, -1):  # the heading of what is kept
+        keep[i] = keep[i] or keep[i + 1] and blocks[i].element.block in HEADINGS and blocks[i].element.prior >= region.prior
+    return "\n".join(t for t, k in zip(texts, keep, strict=True) if k)
 
 
 def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -570,6 +570,53 @@ def test_pages_keep_all_sections():
             assert html_text.main_text(page) == "\n".join(body + rest)
 
 
+def unmarked_page(draw):
+    """A page without a telling tag or class, and its text."""
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 9)))
+    sentence = lambda n: " ".join(word() for _ in range(n)) + ", " + word() + "."
+    links = lambda n: "<ul>" + "".join(f'<li><a href="/x">{word()}</a></li>' for _ in range(n)) + "</ul>"
+    text = [" ".join(sentence(draw.randint(8, 16)) for _ in range(draw.randint(2, 6))) for _ in range(draw.randint(4, 9))] + [word()]
+    title = word() + " " + word()
+    body = f"<h1>{title}</h1>" + "".join(f"<p>{x}</p>" for x in text)
+    page = f"<html><head><title>{title}</title></head><body><div>{links(8)}</div><div><div class='{draw.choice(['has-sidebar', 'no-sidebar', 'with-nav', 'c7'])}'>{body}</div></div><div><div><span>{word()}</span></div>{links(6)}</div></body></html>"
+    return page, "\n".join([title, *text])
+
+
+def test_ratios_choose_the_text(monkeypatch):
+    draw = random.Random(41)
+    pages = [unmarked_page(draw) for _ in range(60)]
+    assert [html_text.main_text(page) for page, _ in pages] == [text for _, text in pages]
+    monkeypatch.setattr(html_text, "content_scores", lambda blocks, texts: [1.0] * len(blocks))
+    assert sum(html_text.main_text(page) == text for page, text in pages) < 5
+
+
+def test_marks_beside_the_article():
+    p = "<p>A long paragraph, with commas, and more than one sentence. It goes on, and on.</p>"
+    said = p[3:-4]
+    wrapped = lambda c: f'<body><div class="{c}"><article>{p * 3}</article></div><div class="sidebar"><p>Related, news, here.</p></div></body>'
+    for c in ("has-sidebar", "no-sidebar", "with-nav", "side-by-side", "sidebar"):
+        assert html_text.main_text(wrapped(c)) == "\n".join([said] * 3)
+    page = f"<article><h1>T</h1>{p}<p class=notice-period>The notice period, is three months.</p><p class=ad-free-summary>Short one.</p>{p}<div class=comments><p>nice, read. Good</p></div></article>"
+    assert html_text.main_text(page) == "\n".join(["T", said, "The notice period, is three months.", "Short one.", said])
+    # quotes that are not closed, or not in this tag; quoted marks that are
+    assert html_text.main_text(f'<p>a<a href="x>link</a> text</p>{p}') == f"alink text\n{said}"
+    assert html_text.main_text(f'<p>a<a href="x>link</a> <b class="y">text</b></p>{p}') == f"alink text\n{said}"
+    assert html_text.main_text(f'<p title="a > b">text</p>{p}') == f"text\n{said}"
+
+
+@pytest.mark.parametrize("part", ['<a "', "<div>", "<div>x", "<p><h1>", "<b>", "<!--", "<script>", "<title></titl>", "<a x=\"<b>", "<", "</x ", "<dt><div>"])
+def test_broken_pages_take_linear_time(part):
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        html_text.main_text(part * (n // len(part)))
+        return time.process_time() - began
+
+    small, large = seconds(100_000), seconds(800_000)
+    assert large < 1 + 24 * small
+
+
 def test_pipeline_keeps_one_of_repeated_rows(spark):
     import corpus_pipeline
 
