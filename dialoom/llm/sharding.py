@@ -35,7 +35,7 @@ def assign_shards(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", tex
     A group is all rows of one text. Groups of at least 1/(units*shards) of all bytes are scheduled one by one, of which
     there are at most units*shards; lighter groups are first bundled by hash into as many bundles, and again as many fine
     ones, so the driver never holds more than a fixed number of rows. Slots are numbered by (unit, part) offsets, so no
-    task holds a whole shard: a group larger than a unit is dealt into parts by doc_id.
+    task holds a whole shard: a group larger than a unit is dealt into parts by row, so rows that share a doc_id, or have none, are too.
 
     Null and empty texts are one group of rows of ROW_BYTES bytes with checksum 0. Repeated rows each have a slot. An
     empty table gives no rows. Other columns of `docs`, whatever their names, are not read.
@@ -45,7 +45,7 @@ def assign_shards(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", tex
     scratch = Scratch(spark, "sharding")
     body = F.coalesce(F.col(text), F.lit(""))
     # xxhash64 decides what stays together: texts that collide would only share a shard
-    rows = scratch.keep(docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"), F.xxhash64(body).alias("key")), "rows")
+    rows = scratch.keep(docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"), F.xxhash64(body).alias("key"), F.monotonically_increasing_id().alias("row_id")), "rows")
     groups = scratch.keep(rows.groupBy("key").agg(F.sum("size").alias("size"), F.count("*").alias("n")), "groups")
     total, n_rows = groups.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     light_below = total / most
@@ -68,7 +68,7 @@ def assign_shards(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", tex
         rows.join(F.broadcast(heavy_table), "key", "left")
         .withColumn("unit", F.coalesce("heavy_unit", bundle))
         .join(F.broadcast(parts_table), "unit")
-        .withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts")))
+        .withColumn("part", F.pmod(F.xxhash64("row_id", F.lit(1)), F.col("parts")))
     )
     dealt = scratch.keep(dealt.select("doc_id", "size", "text_crc32", "unit", "part"), "dealt")
     counts = sorted((shard_of[r.unit], r.unit, r.part, r["count"]) for r in dealt.groupBy("unit", "part").count().collect())
