@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import unfenced
+from .text import first_json_object, let
 
 # Language codes and names.
 LANGUAGES = {
@@ -57,15 +57,45 @@ def clamped(c: Column, low: float = 0.0, high: float = 100.0) -> Column:
 
 def parsed_score(reply: Column) -> Column:
     """struct<score, comment, parse_status> of a judge's reply: a JSON object's score, else a number after the word score."""
-    body = unfenced(reply)
-    number = F.get_json_object(body, "$.score").rlike(r"^-?\d+(\.\d+)?$")
-    by_text = F.regexp_extract(body, r"(?i)score[\"\s:]+(-?\d+(?:\.\d+)?)", 1)
-    score = F.when(number, F.get_json_object(body, "$.score").cast("double")).when(by_text != "", by_text.try_cast("double"))
-    return F.struct(
-        clamped(score).alias("score"),
-        F.when(number, F.coalesce(F.get_json_object(body, "$.comment"), F.lit(""))).when(by_text != "", F.substring(reply, 1, 200)).otherwise("").alias("comment"),
-        F.when(number | (by_text != ""), "ok").otherwise("parse_error").alias("parse_status"),
-    )
+    def of(body: Column) -> Column:
+        given = F.try_variant_get(body, "$.score", "variant")
+        number = F.schema_of_variant(given).rlike("^(?:BIGINT|DECIMAL|DOUBLE|FLOAT)")
+        by_text = F.regexp_extract(reply, r"(?i)score[\"\s:]+(-?\d+(?:\.\d+)?)", 1)
+        score = F.when(number, F.try_variant_get(body, "$.score", "double")).when(by_text != "", by_text.try_cast("double"))
+        found = F.coalesce(number, F.lit(False))
+        return F.struct(
+            clamped(score).alias("score"),
+            F.when(found, F.coalesce(F.try_variant_get(body, "$.comment", "string"), F.lit(""))).otherwise(F.substring(F.coalesce(reply, F.lit("")), 1, 200)).alias("comment"),
+            F.when(found | F.coalesce(by_text != "", F.lit(False)), "ok").otherwise("parse_error").alias("parse_status"),
+        )
+
+    return let(first_json_object(reply), of)
+
+
+def parsed_suggestion(reply: Column) -> Column:
+    """struct<suggestion, confidence, rationale, status> of a reply that proposes a better translation."""
+
+    def of(body: Column) -> Column:
+        text = lambda key: F.trim(F.coalesce(F.try_variant_get(body, f"$.{key}", "string"), F.lit("")))
+        number = F.schema_of_variant(F.try_variant_get(body, "$.confidence", "variant")).rlike("^(?:BIGINT|DECIMAL|DOUBLE|FLOAT)")
+        confidence = clamped(F.when(number, F.try_variant_get(body, "$.confidence", "double")), 0.0, 1.0)
+        said = text("suggested_translation")
+        return F.struct(said.alias("suggestion"), confidence.alias("confidence"), text("rationale").alias("rationale"), F.when(said != "", "ok").otherwise("parse_error").alias("status"))
+
+    return let(first_json_object(reply), of)
+
+
+def reported_cost(response: Column) -> Column:
+    """The first number among the places where services put the cost of a call (a variant)."""
+    numeric = lambda path: F.when(F.schema_of_variant(F.try_variant_get(response, path, "variant")).rlike("^(?:BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(response, path, "double"))
+    return F.coalesce(*(numeric(p) for p in ("$.cost", "$.total_cost", "$.usage.cost", "$.usage.total_cost", "$.usage.estimated_cost")))
+
+
+def reported_tokens(response: Column) -> Column:
+    """struct<prompt_tokens, completion_tokens, total_tokens> as whole numbers; a missing total is the sum of the others."""
+    count = lambda key: F.try_variant_get(response, f"$.usage.{key}", "long")
+    prompt, completion = count("prompt_tokens"), count("completion_tokens")
+    return F.struct(prompt.alias("prompt_tokens"), completion.alias("completion_tokens"), total_tokens(prompt, completion, count("total_tokens")).alias("total_tokens"))
 
 
 def total_tokens(prompt: Column, completion: Column, total: Column) -> Column:

@@ -191,8 +191,8 @@ def marked_text(items: Column) -> Column:
 
 def parse_marked(c: Column) -> Column:
     """The items of a marked text in the order of their numbers; null if numbers are missing, repeated or items empty."""
-    numbers = F.transform(F.regexp_extract_all(c, F.lit(r"@@(\d+)@@"), F.lit(1)), lambda x: x.cast("int"))
-    bodies = F.transform(F.slice(F.split(c, r"@@\d+@@"), 2, 1_000_000), strip)
+    numbers = F.transform(F.regexp_extract_all(c, F.lit(r"(?U)@@\s*([0-9]+)\s*@@"), F.lit(1)), lambda x: x.try_cast("int"))
+    bodies = F.transform(F.slice(F.split(c, r"(?U)@@\s*[0-9]+\s*@@"), 2, 1_000_000), strip)
     pairs = F.array_sort(F.arrays_zip(numbers.alias("i"), bodies.alias("x")))
     items = F.transform(pairs, lambda p: p["x"])
     whole = (F.array_sort(numbers) == F.sequence(F.lit(0), F.size(numbers) - 1)) & F.forall(items, lambda x: x != "")
@@ -232,5 +232,32 @@ def strip_prefix(c: Column, prefixes: list[str]) -> Column:
 
 def unfenced(c: Column) -> Column:
     """The inside of a fenced block, or the text."""
-    inside = F.regexp_extract(c, r"(?s)^\s*```(?:json)?\s*(.*?)\s*```\s*$", 1)
+    inside = F.regexp_extract(c, r"(?s)^\s*```[a-zA-Z0-9_-]*\s*(.*?)\s*```\s*$", 1)
     return F.when(inside != "", inside).otherwise(strip(c))
+
+
+def balanced_ends(c: Column) -> Column:
+    """For a text that begins with a brace, the text up to the brace that closes it; braces inside strings do not count."""
+    tokens = F.regexp_extract_all(c, F.lit(r'(?s)"(?:[^"\\]|\\.)*"|[{}]|[^"{}]+|"'), F.lit(0))
+    state = lambda done, depth, ended: F.struct(done.alias("done"), depth.alias("depth"), ended.alias("ended"))
+
+    def step(s, token):
+        depth = s["depth"] + F.when(token == "{", 1).when(token == "}", -1).otherwise(0)
+        return F.when(s["ended"], s).otherwise(state(F.concat(s["done"], token), depth, depth == 0))
+
+    return F.aggregate(tokens, state(F.lit(""), F.lit(0), F.lit(False)), step, lambda s: F.when(s["ended"], s["done"]))
+
+
+def first_json_object(c: Column) -> Column:
+    """The JSON object that a reply is, or the first one in it, as a variant; null without one."""
+    is_object = lambda v: F.schema_of_variant(v).startswith("OBJECT")
+
+    def of(body: Column) -> Column:
+        whole = F.try_parse_json(body)
+        # texts from each brace on
+        parts = F.split(body, r"\{")
+        tails = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda i: F.concat(F.lit("{"), F.array_join(F.slice(parts, i, F.size(parts)), "{")))
+        found = F.transform(F.when(F.size(parts) > 1, tails).otherwise(F.array().cast("array<string>")), lambda t: F.try_parse_json(balanced_ends(t)))
+        return F.when(is_object(whole), whole).otherwise(F.get(F.filter(found, lambda v: F.coalesce(is_object(v), F.lit(False))), F.lit(0)))
+
+    return let(unfenced(c), of)

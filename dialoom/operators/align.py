@@ -41,6 +41,33 @@ def reformatted(source: DataFrame, external: DataFrame, turns_per_row: int = 2,
     return out.drop("k", "rows", "turns", "fits")
 
 
+def reformat_summary(source: DataFrame, external: DataFrame, output: DataFrame, turns_per_row: int = 2, samples: tuple[int, int] = (20, 5)) -> DataFrame:
+    """By split: source and output rows, dialogues the external corpus lacks and those with other numbers of turns, and the first ids of both."""
+    per = source.groupBy("split", "dialogue_id").agg(F.count("*").alias("rows"))
+    both = per.join(external.select("dialogue_id", F.size("turns").alias("turns")), "dialogue_id", "left")
+    marked = both.withColumns({"missing": F.col("turns").isNull(), "bad": F.coalesce(F.col("turns") != F.col("rows") * turns_per_row, F.lit(False))})
+    # only the first ids of each kind are gathered
+    first = lambda kind, most: marked.where(kind).withColumn("k", F.row_number().over(Window.partitionBy("split").orderBy("dialogue_id"))).where(F.col("k") <= most).groupBy("split").agg(F.array_sort(F.collect_list("dialogue_id")).alias(f"{kind}_ids"))
+    totals = marked.groupBy("split").agg(F.sum("rows").alias("source_rows"), F.count_if("missing").alias("missing"), F.count_if("bad").alias("bad"))
+    written = output.groupBy("split").agg(F.count("*").alias("output_rows"))
+    found = totals.join(written, "split", "left").join(first("missing", samples[0]), "split", "left").join(first("bad", samples[1]), "split", "left")
+    return found.fillna(0, ["output_rows"])
+
+
+def coverage_report(source: DataFrame, external: DataFrame, turns_per_row: int = 2) -> dict:
+    """What a candidate corpus has of the source's dialogues: numbers on both sides and in common, the first ids of each difference, alignments, a first text."""
+    ids, there = source.select("dialogue_id").distinct(), external.select("dialogue_id").distinct()
+    some = lambda df: [r.dialogue_id for r in df.orderBy("dialogue_id").limit(20).collect()]
+    only_source, only_external = ids.join(there, "dialogue_id", "left_anti"), there.join(ids, "dialogue_id", "left_anti")
+    return {
+        "source_dialogues": ids.count(), "external_dialogues": there.count(), "common": ids.join(there, "dialogue_id", "left_semi").count(), "source_only": only_source.count(), "external_only": only_external.count(),
+        "source_only_ids": some(only_source), "external_only_ids": some(only_external), "coverage": [r.asDict() for r in coverage(source, external).orderBy("split").collect()],
+        "rows_per_dialogue": {r["rows"]: r.n for r in source.groupBy("dialogue_id").agg(F.count("*").alias("rows")).groupBy("rows").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "rows").limit(20).collect()},
+        "alignment": [r.asDict() for r in turn_alignment(source, external, turns_per_row).collect()],
+        "first_text": (external.where("size(turns) > 0").orderBy("dialogue_id").select(F.get("turns", F.lit(0)).alias("t")).limit(1).collect() or [{"t": ""}])[0]["t"],
+    }
+
+
 def history_prefixes(conversations: DataFrame) -> DataFrame:
     """Every turn with the number and characters of those before it."""
     before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)

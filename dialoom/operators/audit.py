@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import ast
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Modes of a plan that are audited.
+from . import checks
+from .pairs import KEYS, Rule, aligned, text_pairs
+
+# Modes of a plan that are audited, and keys of nested values that hold no text.
 AUDITABLE = ["self_suffix", "source_compare"]
+SKIPPED_KEYS = frozenset("id idx name role turn_id span_start span_end doc_id".split())
+PLAN_COLUMNS = ["dataset", "lang", "mode", "target_repo", "target_config", "target_split", "pairs", "source_repo", "source_config", "source_split", "note"]
+TASK = ["dataset", "lang", "target_repo", "target_config", "target_split"]
 
 
 def column_pairs(c: Column) -> Column:
@@ -56,3 +66,155 @@ def audit_summary(plan: DataFrame, results: DataFrame, rows: DataFrame) -> DataF
         F.sum("rows").alias("rows"), F.sum("errors").alias("errors"), F.sum("warnings").alias("warnings"), F.sum("issue_rows").alias("issue_rows"),
         F.round(F.try_divide(100 * F.sum("issue_rows"), F.sum("rows")), 4).alias("pct"), status.alias("status"), F.array_join(F.slice(F.array_sort(F.collect_set(F.when(F.col("note") != "", F.col("note")))), 1, 5), "; ").alias("notes"),
     )
+
+
+def normal_value(value: object) -> object:
+    """A value as texts, lists and mappings: null is empty, and a text that is written like a list or mapping is read as one."""
+    if value is None or isinstance(value, float) and value != value:
+        return ""
+    if isinstance(value, str):
+        body = value.strip()
+        if body[:1] in ("[", "{"):
+            for read in (json.loads, ast.literal_eval):
+                try:
+                    return normal_value(read(body))
+                except (ValueError, SyntaxError, TypeError, RecursionError, MemoryError):
+                    continue
+        return value
+    if isinstance(value, (list, tuple)):
+        return [normal_value(x) for x in value]
+    if isinstance(value, dict):
+        return {str(k): normal_value(x) for k, x in value.items()}
+    return value
+
+
+def nested_pairs(source: object, target: object, lang: str, path: str = "") -> tuple[list[tuple[str, str, str]], list[str]]:
+    """(path, source text, translated text) of two normal values side by side, and what does not fit.
+
+    A key's translation is under the key with the language's suffix, or under the key itself; keys that hold no text are left out.
+    """
+    kind = lambda x: dict if isinstance(x, dict) else list if isinstance(x, list) else None
+    if kind(source) is not kind(target):
+        return [], [f"type mismatch: {type(source).__name__} -> {type(target).__name__}"]
+    text = lambda x: str(x or "")
+    pairs: list[tuple[str, str, str]] = []
+    errors: list[str] = []
+    if kind(source) is None:
+        return [(path, text(source), text(target))], []
+    if isinstance(source, list):
+        if len(source) != len(target):
+            errors.append(f"length mismatch: {len(source)} -> {len(target)}")
+        steps = [(f"{path}[{i}]", a, b) for i, (a, b) in enumerate(zip(source, target, strict=False))]
+    else:
+        steps = []
+        for key, a in source.items():
+            if key in SKIPPED_KEYS:
+                continue
+            there = next((k for k in (f"{key}_{lang}", key) if k in target), None)
+            at = lambda k: f"{path}.{k}" if path else k
+            if there is None:
+                if isinstance(a, str) and a.strip():
+                    errors.append(f"missing translated text at {at(key)}")
+                continue
+            b = target[there]
+            if kind(a) is None and kind(b) is None and not isinstance(a, str) and not isinstance(b, str):
+                continue
+            steps.append((at(there), a, b))
+    for at, a, b in steps:
+        found, wrong = nested_pairs(a, b, lang, at)
+        pairs += found
+        errors += wrong
+    return pairs, errors
+
+
+def read_pairs(rows: DataFrame, source: str, target: str, lang: str, field: str = "") -> DataFrame:
+    """The pairs of two text columns whose values may be written as JSON or as literals: the rows of text_pairs.
+
+    Values differ in shape from row to row, so they are read in Arrow batches; pairs of other columns are expressions.
+    """
+    name, types = field or target, {"split": pa.string(), "row_idx": pa.int64(), "rule_ord": pa.int32(), "pair_ord": pa.int32(), "field": pa.string(), "source": pa.string(), "translation": pa.string(), "error": pa.string()}
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for split, row, a, b in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                found, errors = nested_pairs(normal_value(a), normal_value(b), lang)
+                out += [(split, row, 0, -1, name, None, None, e) for e in errors]
+                out += [(split, row, 0, i, name + (p if p.startswith("[") or not p else f".{p}"), s, t, None) for i, (p, s, t) in enumerate(found)]
+            columns = zip(*out, strict=True) if out else [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=list(types))
+
+    schema = "split string, row_idx long, rule_ord int, pair_ord int, field string, source string, translation string, error string"
+    return rows.select(*KEYS, F.col(source).cast("string"), F.col(target).cast("string")).mapInArrow(run, schema)
+
+
+def detected_strategy(source: list[str | None], target: list[str | None], lang: str) -> tuple[str, dict]:
+    """How to compare two columns, from a few of their values: turns written as JSON, lists of turns, or as they are."""
+    for a, b in zip(source, target, strict=False):
+        if isinstance(a, str) and isinstance(b, str) and a.lstrip().startswith("[") and b.lstrip().startswith("["):
+            try:
+                x, y = json.loads(a), json.loads(b)
+            except ValueError:
+                continue
+            has = lambda turns, key: isinstance(turns, list) and any(isinstance(t, dict) and key in t for t in turns)
+            if has(x, "content") and has(y, "content"):
+                own = f"content_{lang}"
+                return "serialized_dialog_turns_content", {"content_field": "content", "target_content_field": own if has(y, own) else "content"}
+    for a, b in zip(source, target, strict=False):
+        x, y = normal_value(a), normal_value(b)
+        of = lambda v: next((k for k in ("content", "message") if isinstance(v, list) and any(isinstance(t, dict) and k in t for t in v)), None)
+        if of(x) and of(x) == of(y):
+            return "dialog_turns_content", {"content_field": of(x)}
+    return "auto", {}
+
+
+def audit_task(source: DataFrame, target: DataFrame, pairs: list[tuple[str, str]], lang: str) -> tuple[DataFrame, DataFrame]:
+    """(checked pairs, issues) of one task: rows side by side, its columns pair by pair, with titles allowed where a name says so."""
+    rows = aligned(source, target)
+    checked, issues = [], []
+    for k, (a, b) in enumerate(pairs):
+        both = rows.select(*KEYS, F.col("src")[a].alias("s"), F.col("tgt")[b].alias("t"))
+        texts = all(dict(both.dtypes)[c] == "string" for c in ("s", "t"))
+        found = read_pairs(both, "s", "t", lang, b) if texts else text_pairs(rows, [Rule(a, b)])
+        found = found.withColumn("rule_ord", F.lit(k))
+        good = checks.check_pairs(found.where("error is null"), title_allowed=any(w in b.lower() for w in ("title", "topic", "entity", "name")))
+        checked.append(good)
+        keys = [*KEYS, "rule_ord", "pair_ord", "field"]
+        broken = found.where("error is not null").select(*keys, F.lit("error").alias("severity"), F.when(F.contains("error", F.lit("length mismatch")), "list_length_mismatch").otherwise("field_type_mismatch").alias("code"))
+        issues.append(checks.issues_of(good, keys).select(*keys, "severity", "code", "source", "translation").unionByName(broken, allowMissingColumns=True))
+    out, all_issues = checked[0], issues[0]
+    for more, rest in zip(checked[1:], issues[1:], strict=True):
+        out, all_issues = out.unionByName(more), all_issues.unionByName(rest)
+    return out, all_issues
+
+
+def remaining(plan: DataFrame, done: DataFrame, limit: int = 0) -> DataFrame:
+    """Tasks to audit that no record with status ok or missing_split is for; the first so many, in the plan's order (plan_ord)."""
+    todo = auditable(plan).join(done.where(F.col("status").isin("ok", "missing_split")).select(*TASK).distinct(), TASK, "left_anti")
+    return todo.orderBy("plan_ord").limit(limit) if limit > 0 else todo
+
+
+def run_audit(plan: DataFrame, done: DataFrame, audit, limit: int = 0) -> list[dict]:
+    """A record of every task that is left, one after the other: what audit(task) gives with status ok, or why it failed. Plans are short lists."""
+    out = []
+    for task in remaining(plan, done, limit).orderBy("plan_ord").collect():
+        row = task.asDict()
+        try:
+            out.append({**row, **audit(row), "status": "ok", "error": ""})
+        except Exception as e:  # a task's failure is its record
+            out.append({**row, "status": "missing_split" if "no parquet files" in str(e) else "failed", "error": f"{type(e).__name__}: {str(e)[:300]}"})
+    return out
+
+
+def write_summary(summary: DataFrame, folder: str) -> None:
+    """The audit's summary as quality_summary.csv and .json: a row for each dataset and language, so it is collected."""
+    import csv
+    from pathlib import Path
+
+    rows = [r.asDict(recursive=True) for r in summary.orderBy("dataset", "lang").collect()]
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    Path(folder, "quality_summary.json").write_text(json.dumps(rows, ensure_ascii=False, indent=2), encoding="utf-8")
+    with Path(folder, "quality_summary.csv").open("w", encoding="utf-8", newline="") as f:
+        writer = csv.DictWriter(f, summary.columns)
+        writer.writeheader()
+        writer.writerows({k: json.dumps(v, ensure_ascii=False) if isinstance(v, (list, dict)) else v for k, v in r.items()} for r in rows)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -12,7 +12,7 @@ MIN_UNCHANGED_LETTERS = 12
 RESIDUE_TOKENS = 4
 HEURISTIC_LETTERS = 250
 RATIO_LOW, RATIO_HIGH, RATIO_LETTERS = 0.35, 3.0, 20
-REPEAT_SOURCES, REPEAT_CHARS = 5, 500
+REPEAT_SOURCES, REPEAT_CHARS, REPEAT_EXAMPLES = 5, 500, 5
 
 
 def with_facts(pairs: DataFrame, source: str = "source", translation: str = "translation") -> DataFrame:
@@ -72,6 +72,15 @@ def issues_of(checked: DataFrame, keys: list[str]) -> DataFrame:
     return each.select(*keys, "check_ord", "issue.severity", "issue.code", T.truncated(F.col("source")).alias("source"), T.truncated(F.col("translation")).alias("translation"))
 
 
+def diagnostics(facts: DataFrame) -> DataFrame:
+    """Pairs with what was measured of them as one struct."""
+    ratio = T.length_ratio(F.col("source_letters"), F.col("translation_letters"))
+    return facts.withColumn("diagnostics", F.struct(
+        "source_letters", "translation_letters", ratio.alias("length_ratio"), (F.col("source_norm") == F.col("translation_norm")).alias("same_text"), "technical", F.col("signal").alias("english_signal"),
+        "source_markers", "translation_markers", "entities_leaked", "residue", F.char_length("source").alias("source_chars"),
+    ))
+
+
 def action_changes(pairs: DataFrame) -> DataFrame:
     """Pairs whose sequence of actions changed."""
     return pairs.where(T.action_sequence(F.col("source")) != T.action_sequence(F.col("translation")))
@@ -82,8 +91,13 @@ def repeated_translations(facts: DataFrame, least: int = REPEAT_SOURCES) -> Data
     fits = facts.where((F.char_length("source") <= REPEAT_CHARS) & (F.char_length("translation") <= REPEAT_CHARS) & (F.col("source_letters") >= RATIO_LETTERS) & (F.col("translation_letters") >= RATIO_LETTERS) & (F.col("source_norm") != F.col("translation_norm")) & (F.col("technical") == "") & (F.col("translation_norm") != ""))
     order = F.struct("row_idx", "pair_ord")
     each = fits.groupBy(T.root_field(F.col("field")).alias("root"), "translation_norm", "source_norm").agg(F.count("*").alias("n"), F.min(order).alias("at"), F.min_by(F.substring("source", 1, 180), order).alias("example"), F.min_by("translation", order).alias("translation"))
-    groups = each.groupBy("root", "translation_norm").agg(F.count("*").alias("distinct_sources"), F.sum("n").alias("occurrences"), F.min("at").alias("first"), F.min_by("translation", "at").alias("translation"))
-    return groups.where(F.col("distinct_sources") >= least).select("root", "translation_norm", "distinct_sources", "occurrences", F.col("first.row_idx").alias("row_idx"), "translation")
+    keys = ["root", "translation_norm"]
+    groups = each.groupBy(*keys).agg(F.count("*").alias("distinct_sources"), F.sum("n").alias("occurrences"), F.min("at").alias("first"), F.min_by("translation", "at").alias("translation"))
+    # the first few sources of each: ranks are cut off before and after the shuffle, so no group is gathered whole
+    few = each.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy("at"))).where(F.col("k") <= REPEAT_EXAMPLES)
+    examples = few.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "example"))), lambda x: x["example"]).alias("examples"))
+    found = groups.where(F.col("distinct_sources") >= least).join(examples, keys)
+    return found.select(*keys, "distinct_sources", "occurrences", F.col("first.row_idx").alias("row_idx"), "translation", "examples")
 
 
 def split_issues(source: DataFrame, target: DataFrame, extra_allowed: tuple[str, ...] = ()) -> DataFrame:

@@ -23,16 +23,22 @@ def select_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def serialized_dialog_content(df: DataFrame, source: str, translated: str, content: str = "content", translated_content: str = "content_fr", keep: bool = False) -> DataFrame:
     """JSON turns whose text is that of the translated turns at the same place, as many as both have."""
-    a, b = (F.from_json(c, "array<map<string,string>>") for c in (source, translated))
+    items = lambda c: F.from_json(F.coalesce(F.col(c), F.lit("[]")), "array<variant>")
+    a, b = items(source), items(translated)
     n = F.least(F.size(a), F.size(b))
     both = F.arrays_zip(F.slice(a, F.lit(1), n).alias("a"), F.slice(b, F.lit(1), n).alias("b"))
-    text = lambda p: F.coalesce(p["b"][translated_content], p["a"][content])
+    is_turn = lambda v: F.schema_of_variant(v).startswith("OBJECT")
+    mapping = lambda v: F.from_json(F.to_json(v), "map<string,variant>")
 
     def turn(p):
-        out = F.map_concat(F.map_filter(p["a"], lambda k, _: k != content), F.create_map(F.lit(content), text(p)))
-        return F.map_concat(out, F.create_map(F.lit(translated_content), text(p))) if keep else out
-
-    done = F.to_json(F.transform(both, turn))
+        said = F.try_variant_get(p["b"], f"$.{translated_content}", "variant")
+        there = F.map_contains_key(mapping(p["b"]), translated_content)
+        new = F.map_concat(F.map_filter(mapping(p["a"]), lambda k, _: ~k.isin(content, translated_content) if keep else k != content), F.create_map(F.lit(content), said))
+        new = F.map_concat(new, F.create_map(F.lit(translated_content), said)) if keep else new
+        # a turn that is no mapping, or whose translation has no text, stays as it is
+        return F.when(is_turn(p["a"]) & is_turn(p["b"]) & there, F.to_json(new)).otherwise(F.to_json(p["a"]))
+
+    done = F.concat(F.lit("["), F.array_join(F.transform(both, turn), ","), F.lit("]"))
     return df.withColumn(source, F.when(a.isNull() | b.isNull(), F.raise_error(F.lit("a JSON list is needed"))).otherwise(done))
 
 

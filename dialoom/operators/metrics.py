@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -15,6 +15,27 @@ GUIDE = {
     "length_ratio_high": ("Translation too long", "sample"), "repeated_translation": ("Repeated translation", "sample"), "split_extra": ("Extra split", "sample"),
 }
 PRIORITIES = {"fix": 0, "review": 1, "sample": 2}
+# What a priority is called; one code has a name of its own.
+LABELS = {"fix": "Fix before upload", "review": "Review", "sample": "Sample audit"}
+OWN_LABELS = {"split_extra": "Check config"}
+#: What each code says of the data, and what helps.
+ADVICE = {
+    "row_count_mismatch": ("A split has other numbers of rows on its two sides.", "Make the translated split again; rows no longer stand beside their sources."),
+    "split_missing": ("The translation lacks a split of the source.", "Look at the configured splits and at the export."),
+    "schema_missing_field": ("A column that a rule names is not there.", "Correct the rule, or write the column."),
+    "list_length_mismatch": ("A list has lost or won items.", "Mend the row; its turns no longer stand beside their sources."),
+    "field_type_mismatch": ("The two values are of different shapes.", "Mend the row, or choose another strategy."),
+    "empty_translation": ("A text became empty.", "Translate it again."),
+    "weblinx_action_changed": ("Actions in a log were changed.", "Put the actions back as they were; only words are to change."),
+    "unchanged_translation": ("An English text is still the same.", "Translate it, unless it is a name, a title, an address or code."),
+    "english_residue": ("Several English words are left.", "Look at the examples; parts may not be translated."),
+    "placeholder_or_marker_changed": ("A bracketed marker or tag is not what it was.", "Put it back if something reads it."),
+    "html_entity_leak": ("An HTML entity came in.", "Decode it where readers see it."),
+    "length_ratio_low": ("Much shorter than its source.", "Look for texts that were cut off."),
+    "length_ratio_high": ("Much longer than its source.", "Look for texts that were repeated or made up."),
+    "repeated_translation": ("One translation stands for several sources.", "Look at the groups; short answers may rightly be the same."),
+    "split_extra": ("The translation has a split of its own.", "Say in the configuration that it is meant."),
+}
 
 
 def issue_counts(issues: DataFrame) -> DataFrame:
@@ -52,9 +73,110 @@ def group_metrics(checked: DataFrame, key: str, more: DataFrame | None = None, t
 
 def issue_guide(issues: DataFrame) -> DataFrame:
     """Counts by code with their guidance; an unknown code is to be sampled."""
-    guide = issues.sparkSession.createDataFrame([(c, r, p) for c, (r, p) in GUIDE.items()], "code string, rule string, priority string")
+    guide = issues.sparkSession.createDataFrame([(c, r, p, OWN_LABELS.get(c, LABELS[p]), *ADVICE[c]) for c, (r, p) in GUIDE.items()], "code string, rule string, priority string, label string, meaning string, action string")
     counted = issues.groupBy("code").agg(F.count("*").alias("n")).join(F.broadcast(guide), "code", "left")
-    return counted.select("code", "n", F.coalesce("rule", F.initcap(F.replace("code", F.lit("_"), F.lit(" ")))).alias("rule"), F.coalesce("priority", F.lit("sample")).alias("priority"))
+    named = F.coalesce("rule", F.initcap(F.replace("code", F.lit("_"), F.lit(" "))))
+    return counted.select("code", "n", named.alias("rule"), F.coalesce("priority", F.lit("sample")).alias("priority"), F.coalesce("label", F.lit(LABELS["sample"])).alias("label"), F.coalesce("meaning", F.lit("")).alias("meaning"), F.coalesce("action", F.lit("Look at the examples.")).alias("action"))
+
+
+def checked_counts(checked: DataFrame) -> DataFrame:
+    """Checked rows and pairs, overall, by split, and pairs by exact field, in one pass: kind, key, rows, pairs."""
+    # a row is counted at its first pair
+    first = F.count_distinct(F.struct("split", "row_idx"))
+    found = checked.groupingSets([[], ["split"], ["field"]], "split", "field").agg(F.count("*").alias("pairs"), first.alias("rows"), F.grouping("split").alias("g1"), F.grouping("field").alias("g2"))
+    kind = F.when(F.col("g1") == 0, "split").when(F.col("g2") == 0, "field").otherwise("all")
+    return found.select(kind.alias("kind"), F.coalesce("split", "field", F.lit("")).alias("key"), "rows", "pairs")
+
+
+def issue_counters(issues: DataFrame) -> DataFrame:
+    """Counts by severity, code, split, normal field and root field, each with its place by (count, key): kind, key, n, place."""
+    rows = issues.select("severity", "code", "split", T.normal_field(F.col("field")).alias("field"), T.root_field(F.col("field")).alias("root"))
+    names = ["severity", "code", "split", "field", "root"]
+    counted = rows.groupingSets([[c] for c in names], *names).agg(F.count("*").alias("n"), *(F.grouping(c).alias(f"g_{c}") for c in names))
+    kind = F.lit("")
+    for c in names:
+        kind = F.when(F.col(f"g_{c}") == 0, c).otherwise(kind)
+    kept = counted.select(kind.alias("kind"), F.coalesce(*names).alias("key"), "n")
+    return kept.withColumn("place", F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "key")))
+
+
+def field_rows(checked: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """group_metrics by normal field, with its exact fields and the positions of its issues."""
+    with_normal = checked.withColumn("normal_field", T.normal_field(F.col("field")))
+    rest = None if more is None else more.withColumn("normal_field", T.normal_field(F.col("field")))
+    found = group_metrics(with_normal, "normal_field", rest)
+    exact = with_normal.select("normal_field", "field") if rest is None else with_normal.select("normal_field", "field").unionByName(rest.select("normal_field", "field"))
+    fields = exact.groupBy("normal_field").agg(F.count_distinct("field").alias("exact_fields"))
+    issued = with_normal.where("size(issues) > 0").select("field")
+    at = position_summary(issued if rest is None else issued.unionByName(rest.select("field"))).withColumnRenamed("field", "normal_field")
+    return found.join(fields, "normal_field", "left").join(at, "normal_field", "left").withColumn("positions", F.coalesce("positions", F.lit("")))
+
+
+def split_rows(checked: DataFrame, sizes: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """group_metrics by split, with the declared size and the checked rows; splits with nothing checked and no issue are left out."""
+    rows = checked.groupBy("split").agg(F.count_distinct("row_idx").alias("checked_rows"))
+    found = group_metrics(checked, "split", more).join(rows, "split", "left").join(sizes.select("split", F.col("rows").alias("declared_rows")), "split", "full_outer")
+    found = found.fillna(0, ["checked_pairs", "issues", "errors", "warnings", "checked_rows"]).fillna("", ["top_codes"])
+    return found.where("checked_rows > 0 or checked_pairs > 0 or issues > 0")
+
+
+RECORD = ["severity", "code", "message", "source", "translation"]
+
+
+def as_records(issues: DataFrame) -> DataFrame:
+    """Issues with what makes them one record (white space in texts does not count) and its id."""
+    defaults = {"message": F.lit(""), "duplicate_count": F.lit(1), "occurrence_count": F.lit(1)}
+    rows = issues.withColumns({k: v for k, v in defaults.items() if k not in issues.columns})
+    text = lambda c: T.squeeze(F.coalesce(c, F.lit("")))
+    rows = rows.withColumns({"message": F.coalesce("message", F.lit("")), "source": text("source"), "translation": text("translation")})
+    return rows.withColumn("record_id", F.sha2(F.to_json(F.struct(*RECORD)), 256))
+
+
+def issue_records(issues: DataFrame) -> DataFrame:
+    """Issues of one severity, code and message about the same texts as one record, with the place of the first, its fields and its splits.
+
+    occurrences: each issue counts as often as it stands for. Places are a table of their own (issue_locations), as there can be any number.
+    """
+    n = F.greatest(F.lit(1), F.coalesce("duplicate_count", F.lit(1)), F.coalesce("occurrence_count", F.lit(1))).cast("long")
+    distinct = lambda c: F.array_sort(F.collect_set(c))
+    found = as_records(issues).groupBy("record_id", *RECORD).agg(F.sum(n).alias("occurrences"), F.min(F.struct("split", "row_idx", "field")).alias("first"), distinct(T.normal_field(F.col("field"))).alias("fields"), distinct("split").alias("splits"))
+    return found.select("record_id", *RECORD, "occurrences", "first.*", "fields", "splits")
+
+
+def issue_locations(issues: DataFrame) -> DataFrame:
+    """Where the issues of every record are."""
+    return as_records(issues).select("record_id", "split", "row_idx", F.col("field").alias("exact_field"), T.normal_field(F.col("field")).alias("field"), position_note(F.col("field")).alias("position"))
+
+
+def position_note(field: Column) -> Column:
+    """The indices of one field in words: `turn 2 / turn 1`; empty without any."""
+    at = F.transform(F.regexp_extract_all(field, F.lit(r"\[(\d+)\]"), F.lit(1)), lambda x: F.concat(position_kind(field), F.lit(" "), (x.try_cast("int") + 1).cast("string")))
+    return F.array_join(at, " / ")
+
+
+def position_kind(field: Column) -> Column:
+    return F.when(field.contains(".content") | F.lower(field).rlike("dialog|turn"), "turn").otherwise("item")
+
+
+def filtered_records(records: DataFrame, severity: str = "", code: str = "", split: str = "", field: str = "", search: str = "") -> DataFrame:
+    """Records of a severity, code, split and field, where given, that have a text somewhere."""
+    keep = F.lit(True)
+    for column, value in (("severity", severity), ("code", code)):
+        keep = keep & (F.col(column) == value) if value else keep
+    if split:
+        keep = keep & F.array_contains("splits", split)
+    if field:
+        keep = keep & F.array_contains("fields", field)
+    if search:
+        said = F.lower(F.concat_ws(" ", "severity", "code", "message", "source", "translation", F.array_join("fields", " "), F.array_join("splits", " ")))
+        keep = keep & said.contains(search.lower())
+    return records.where(keep)
+
+
+def page(records: DataFrame, number: int, size: int = 50) -> DataFrame:
+    """One page of records: errors first, then by how much they stand for."""
+    order = [F.when(F.col("severity") == "error", 0).otherwise(1), F.desc("occurrences"), "code", "split", "row_idx", "field", "source"]
+    return records.orderBy(*order).offset(number * size).limit(size)
 
 
 def verdict(checked: DataFrame, more: DataFrame | None = None) -> DataFrame:
@@ -70,8 +192,9 @@ def verdict(checked: DataFrame, more: DataFrame | None = None) -> DataFrame:
 
 def position_summary(issues: DataFrame) -> DataFrame:
     """By normal field the distinct positions its issues are at, as words."""
-    at = issues.withColumn("position", F.regexp_extract("field", r"\[(\d+)\]", 1).try_cast("int") + 1)
-    kind = F.when(F.col("normal").contains(".content") | F.lower("normal").rlike("dialog|turn"), "turn").otherwise("item")
+    every = F.transform(F.regexp_extract_all("field", F.lit(r"\[(\d+)\]"), F.lit(1)), lambda x: x.try_cast("int") + 1)
+    at = issues.withColumn("position", F.explode_outer(every))
+    kind = position_kind(F.col("normal"))
     p = F.array_sort(F.collect_set("position"))
     found = at.groupBy(T.normal_field(F.col("field")).alias("normal")).agg(p.alias("p"))
     n, first, last = F.size("p"), F.array_min("p"), F.array_max("p")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
+from . import nested
+
 KEYS = ["split", "row_idx"]
 
 
@@ -98,7 +100,11 @@ def pair_columns(rule: Rule, source: Column, target: Column, source_kind: DataTy
         bad = a.isNull() | b.isNull()
         at = lambda i: F.concat(index(i), F.lit(f".{out}"))
         return F.when(bad, F.lit(None)).otherwise(zipped(F.transform(a, lambda t: t[content]), F.transform(b, lambda t: t[out]), at)), F.when(bad, "list of turns expected").otherwise(length_error(a, b))
-    if rule.strategy in ("deep_map_texts", "nested_text_fields"):
+    if rule.strategy == "nested_text_fields":
+        a, b = (nested.texts_at_paths(kind, value, list(rule.options.get("paths", ()))) for kind, value in ((source_kind, source), (target_kind, target)))
+        both = zipped(F.transform(a, lambda e: e["text"]), F.transform(b, lambda e: e["text"]), lambda i: a[i]["path"])
+        return both, F.when(F.size(a) != F.size(b), F.format_string("nested path count mismatch: %s -> %s", F.size(a), F.size(b)))
+    if rule.strategy == "deep_map_texts":
         exclude = frozenset(rule.options.get("exclude_keys", ()))
         a, b = leaves(source_kind, source, exclude=exclude), leaves(target_kind, target, exclude=exclude)
         paths = lambda c: F.transform(c, lambda e: e["path"])

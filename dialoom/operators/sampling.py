@@ -7,15 +7,29 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scoring import score_bin
+from .pairs import keyed
+
+#: Drawn positions that are broadcast; more are joined by their keys.
+BROADCAST_PICKS = 200_000
+
+
+def with_picks(rows: DataFrame, picks: list[tuple], schema: str) -> DataFrame:
+    """The rows at drawn positions."""
+    table = rows.sparkSession.createDataFrame(picks, schema)
+    return rows.join(F.broadcast(table) if len(picks) <= BROADCAST_PICKS else table, table.columns, "left_semi")
+
 
 def per_split(rows: DataFrame, k: int, seed: int = 42, splits: list[str] | None = None) -> DataFrame:
     """k rows of every split (0: all), by one generator over the splits in order."""
     sizes = {r.split: r.n for r in rows.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    if k <= 0:
+        return rows.where(F.col("split").isin(splits)) if splits else rows
     draw, picks = random.Random(seed), []
     for split in splits or sorted(sizes):
         n = sizes.get(split, 0)
-        picks += [(split, i) for i in sorted(draw.sample(range(n), min(k, n) if k > 0 else n))]
-    return rows.join(F.broadcast(rows.sparkSession.createDataFrame(picks, "split string, row_idx long")), ["split", "row_idx"], "left_semi")
+        picks += [(split, i) for i in sorted(draw.sample(range(n), min(k, n)))]
+    return with_picks(rows, picks, "split string, row_idx long")
 
 
 def stratified(rows: DataFrame, by: str, k: int, seed: int = 42) -> DataFrame:
@@ -26,14 +40,69 @@ def stratified(rows: DataFrame, by: str, k: int, seed: int = 42) -> DataFrame:
         picks += [(split, value, i) for i in sorted(draw.sample(range(n), min(k, n)))]
     totals = rows.groupBy(F.col(by).cast("string").alias("value")).agg(F.count("*").alias("group_count"))
     at = rows.withColumn("value", F.col(by).cast("string")).withColumn("place", (F.row_number().over(Window.partitionBy("split", "value").orderBy("row_idx")) - 1).cast("long"))
-    chosen = at.join(F.broadcast(rows.sparkSession.createDataFrame(picks, "split string, value string, place long")), ["split", "value", "place"], "left_semi")
+    chosen = with_picks(at, picks, "split string, value string, place long")
     return chosen.join(totals, "value").drop("place")
 
 
 def interleaved(rows: DataFrame, pool: str, order: str, total: int) -> DataFrame:
     """Rows of the pools in turn, one of each, until there are so many."""
     turn = F.row_number().over(Window.partitionBy(pool).orderBy(order))
-    return rows.withColumn("turn", turn).orderBy("turn", pool).limit(total)
+    return rows.withColumn("turn", turn).where(F.col("turn") <= total).orderBy("turn", pool).limit(total)
+
+
+def drawn_in_turn(sizes: dict[str, int], total: int, draw: random.Random) -> list[tuple[str, int]]:
+    """(pool, place): every pool shuffled, then one of each from the end in turn, until there are so many or none are left."""
+    pools = []
+    for pool in sorted(sizes):
+        places = list(range(sizes[pool]))
+        draw.shuffle(places)
+        pools.append((pool, places))
+    picks: list[tuple[str, int]] = []
+    while len(picks) < total and any(places for _, places in pools):
+        for pool, places in pools:
+            if places and len(picks) < total:
+                picks.append((pool, places.pop()))
+    return picks
+
+
+def benchmark_sample(rows: DataFrame, per_pair: int = 0, total: int = 0, thresholds: list[float] = (), seed: int = 42) -> DataFrame:
+    """Rows (dataset_idx, lp, score) of a benchmark: so many of each language pair, or in all, or every one; with thresholds evenly over score bins.
+
+    Only the sizes of pairs and bins reach the driver, as a draw depends on nothing else; whole pools are listed there to be
+    shuffled only where bins are asked for. The result is in no order; the record's is lp, dataset_idx.
+    """
+    if per_pair <= 0 and total <= 0:
+        return rows
+    bins = score_bin(F.col("score"), list(thresholds)) if thresholds else F.lit("")
+    sized = rows.withColumn("_bin", bins)
+    sizes = sorted((r.first, r.lp, r._bin, r.n) for r in sized.groupBy("lp", "_bin").agg(F.count("*").alias("n"), F.min("dataset_idx").alias("first")).collect())
+    by_pair: dict[str, dict[str, int]] = {}
+    for _, lp, name, n in sizes:  # pairs in the order of their first rows
+        by_pair.setdefault(lp, {})[name] = n
+    draw, picks = random.Random(seed), []
+    if per_pair > 0:
+        for lp in sorted(by_pair):
+            size = sum(by_pair[lp].values())
+            n = min(per_pair, size)
+            if thresholds:
+                picks += [(f"{lp}::{name}", place) for name, place in drawn_in_turn(by_pair[lp], n, draw)]
+            else:
+                picks += [(f"{lp}::", place) for place in draw.sample(range(size), n)]
+    else:
+        size = sum(n for *_, n in sizes)
+        if thresholds:
+            pools = {f"{lp}::{name}": n for lp, names in by_pair.items() for name, n in names.items()}
+            picks = drawn_in_turn(pools, min(total, size), draw)
+        else:
+            starts, at = [], 0
+            for lp, names in by_pair.items():
+                starts.append((at, lp))
+                at += sum(names.values())
+            for position in draw.sample(range(size), min(total, size)):
+                start, lp = max(x for x in starts if x[0] <= position)
+                picks.append((f"{lp}::", position - start))
+    placed = keyed(sized.withColumn("_pool", F.concat("lp", F.lit("::"), "_bin")), ["dataset_idx"], "_pool")
+    return with_picks(placed, picks, "split string, row_idx long").select(*rows.columns)
 
 
 def benchmark_rows(rows: DataFrame, pairs: list[str] = (), domains: list[str] = (), years: list[int] = (), max_source: int = 0, max_translation: int = 0) -> DataFrame:

@@ -72,5 +72,51 @@ def usage_summary(records: DataFrame, *keys: str) -> DataFrame:
     return records.groupBy(*keys).agg(
         F.count_if(asked).alias("requests"), zero("usage_prompt_tokens").alias("prompt_tokens"), zero("usage_completion_tokens").alias("completion_tokens"), zero(total).alias("total_tokens"),
         F.round(F.sum("usage_cost"), 6).alias("cost"), F.round(F.try_divide(F.sum(total), F.count_if(asked)), 4).alias("mean_tokens"),
+        F.round(F.try_divide(F.sum("usage_cost"), F.count_if(asked)), 4).alias("mean_cost"),
         zero(F.greatest(F.coalesce("attempts", F.lit(1)) - 1, F.lit(0))).alias("retries"), zero("rate_limit_waits").alias("waits"),
+        F.round(F.coalesce(F.sum(wait_seconds(records)), F.lit(0.0)), 4).alias("wait_seconds"),
     )
+
+
+def wait_seconds(records: DataFrame) -> Column:
+    return F.col("rate_limit_wait_seconds") if "rate_limit_wait_seconds" in records.columns else F.lit(None).cast("double")
+
+
+def benchmark_stats(rows: DataFrame, labels: list[str], *keys: str) -> DataFrame:
+    """By keys: rows, mean scores, correlations and agreements of judge and human. Null where there are too few rows or no variance.
+
+    Ranks are taken inside each group over its distinct scores; agreements come from the table of bins.
+    """
+    rows = rows.withColumn("_all", F.lit(1))
+    keys = ("_all", *keys)
+    means = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.round(F.avg("human_score_raw"), 4).alias("mean_human_score"), F.round(F.avg("llm_score"), 4).alias("mean_llm_score"), pearson("human_score_raw", "llm_score").alias("pearson"))
+    ranked = rows
+    for c in ("human_score_raw", "llm_score"):
+        counts = rows.groupBy(*keys, c).agg(F.count("*").alias("_n"))
+        before = F.sum("_n").over(Window.partitionBy(*keys).orderBy(c).rowsBetween(Window.unboundedPreceding, 0))
+        ranked = ranked.join(counts.select(*keys, c, (before - (F.col("_n") - 1) / 2).alias(f"_{c}")), [*keys, c])
+    ranks = ranked.groupBy(*keys).agg(pearson("_human_score_raw", "_llm_score").alias("spearman"))
+    place = lambda c: F.array_position(F.array(*(F.lit(x) for x in labels)), F.col(c)) - 1
+    cells = rows.where(F.col("human_bin").isin(labels) & F.col("llm_bin").isin(labels)).groupBy(*keys, place("human_bin").alias("i"), place("llm_bin").alias("j")).agg(F.count("*").alias("c"))
+    cells = cells.withColumns({"row": F.sum("c").over(Window.partitionBy(*keys, "i")), "column": F.sum("c").over(Window.partitionBy(*keys, "j"))})
+    # marginals: one row of each label; the expected table is their product
+    sides = cells.groupBy(*keys).agg(F.collect_set(F.struct("i", "row")).alias("rows"), F.collect_set(F.struct("j", "column")).alias("columns"), F.sum("c").alias("total"), F.sum(F.when(F.col("i") != F.col("j"), F.col("c")).otherwise(0)).alias("differ"), F.sum((F.col("i") - F.col("j")) ** 2 * F.col("c")).alias("apart"))
+    products = F.flatten(F.transform("rows", lambda r: F.transform("columns", lambda c: F.struct((r["i"] - c["j"]).alias("d"), (r["row"] * c["column"]).cast("double").alias("p")))))
+    expected = lambda weight: F.aggregate(products, F.lit(0.0), lambda s, x: s + weight(x["d"]) * x["p"]) / F.col("total")
+    agreement = lambda observed, weight: F.round(1 - F.try_divide(F.col(observed).cast("double"), expected(weight)), 4)
+    kappas = sides.select(*keys, agreement("differ", lambda d: F.when(d != 0, 1.0).otherwise(0.0)).alias("cohen_kappa"), agreement("apart", lambda d: (d * d).cast("double")).alias("quadratic_weighted_kappa"))
+    return means.join(ranks, list(keys), "left").join(kappas, list(keys), "left").drop("_all")
+
+
+def benchmark_summary(records: DataFrame, labels: list[str]) -> DataFrame:
+    """By model, and by model and language pair: records, those that are ok, statuses and statistics. lp is null in a model's own row."""
+    usable = records.where((F.trim("status") == "ok") & F.col("llm_score").isNotNull())
+    both = lambda df: df.select("*", F.explode(F.array(F.lit(None).cast("string"), F.coalesce("lp", F.lit("")))).alias("_lp"))
+    counts = records.groupBy("model").agg(F.count("*").alias("rows"), F.count_if((F.trim("status") == "ok") & F.col("llm_score").isNotNull()).alias("ok_rows"))
+    statuses = records.groupBy("model", F.coalesce("status", F.lit("None")).alias("status")).agg(F.count("*").alias("n")).groupBy("model").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n")))).alias("status_counts"))
+    keyed_rows = both(usable).withColumn("_key", F.coalesce("_lp", F.lit("\u0000")))  # null does not join
+    found = benchmark_stats(keyed_rows, labels, "model", "_key")
+    used = usage_summary(keyed_rows, "model", "_key").select("model", "_key", "requests", "prompt_tokens", "completion_tokens", "total_tokens", "cost")
+    out = found.join(used, ["model", "_key"]).withColumn("lp", F.when(F.col("_key") != "\u0000", F.col("_key"))).drop("_key")
+    models = counts.join(statuses, "model")
+    return models.join(out, "model", "left")

@@ -15,10 +15,18 @@ from ..functions import text as T
 TRANSLATORS: dict[str, Callable[[str, str, str], str]] = {}
 
 
-def register_translator(name: str, f: Callable[[str, str, str], str]) -> None:
+#: How to ask the same service past its memory, where that differs.
+AGAIN: dict[str, Callable[[str, str, str], str]] = {}
+
+
+def register_translator(name: str, f: Callable[[str, str, str], str], again: Callable[[str, str, str], str] | None = None) -> None:
     TRANSLATORS[name] = f
+    if again:
+        AGAIN[name] = again
 
 
+#: A translator for tests that leaves markers alone: letters for letters.
+register_translator("letters", lambda text, source, target: text.replace("e", "3").replace("a", "4"))
 register_translator("prefix", lambda text, source, target: f"{target}:{text}")
 
 
@@ -36,9 +44,9 @@ def passes_guards(c: Column, guards: list[dict] | None) -> Column:
     return keep
 
 
-def translate_distinct(texts: DataFrame, translator: str, source: str = "en", target: str = "fr", retries: int = 2, column: str = "text") -> DataFrame:
-    """Every distinct text once: text, translation (null if it failed), status, attempts, error. A failure is a row, not the end of the job."""
-    call = TRANSLATORS[translator]
+def translate_distinct(texts: DataFrame, translator: str, source: str = "en", target: str = "fr", retries: int = 2, column: str = "text", again: bool = False) -> DataFrame:
+    """Every distinct text once (again: of a service that remembers its answers, a new one): text, translation (null if it failed), status, attempts, error. A failure is a row, not the end of the job."""
+    call = AGAIN.get(translator, TRANSLATORS[translator]) if again else TRANSLATORS[translator]
 
     def run(batches):
         for batch in batches:
@@ -150,21 +158,57 @@ def with_utterance(record: str, call, languages: tuple[str, str], agent: str = "
     return record[: at + marks] + call(found[0], *languages) + record[found[1] - marks :]
 
 
-def action_logs(rows: DataFrame, column: str, translator: str, languages: tuple[str, str] = ("en", "fr"), keys: tuple[str, ...] = ("split", "row_idx"), utterances: bool = False) -> DataFrame:
-    """Browsing logs with what the user says translated, and the agent's utterances if asked for; an error if lines or actions changed."""
+def blocks_of_lines(text: str) -> list[tuple[str, bool]]:
+    """A text as runs of lines that are blank or not, with whether a run is not."""
+    out: list[tuple[list[str], bool]] = []
+    for line in text.split("\n"):
+        said = bool(line.strip())
+        if out and out[-1][1] == said:
+            out[-1][0].append(line)
+        else:
+            out.append(([line], said))
+    return [("\n".join(lines), said) for lines, said in out]
+
+
+def action_logs(rows: DataFrame, column: str, translator: str, languages: tuple[str, str] = ("en", "fr"), keys: tuple[str, ...] = ("split", "row_idx"), utterances: bool = False, user: str = "User: ", agent: str = "Agent: ") -> DataFrame:
+    """Browsing logs with what the user says translated, and the agent's utterances if asked for.
+
+    Lines between blank ones are sent together, and blank ones stay. A failed call keeps its text and is the row's error, as are
+    changed numbers of lines and changed actions.
+    """
     call = TRANSLATORS[translator]
 
-    def one(query: str | None) -> str | None:
+    def one(query: str | None) -> tuple[str | None, str]:
         if query is None:
-            return None
-        other = lambda r: with_utterance(r, call, languages) if utterances else r
-        return "\n".join("User: " + "\n".join(call(x, *languages) if re.search(r"[^\W\d_]", x) else x for x in r[6:].split("\n")) if r.startswith("User: ") else other(r) for r in action_records(query))
+            return None, ""
+        errors: list[str] = []
+
+        def send(text: str, number: int) -> str:
+            try:
+                return call(text, *languages)
+            except Exception as e:  # whatever a service raises is the row's error
+                errors.append(f"line {number}: {type(e).__name__}: {str(e)[:300]}")
+                return text
+
+        out = []
+        for i, record in enumerate(action_records(query, user, agent)):
+            if record.startswith(user):
+                said = record[len(user) :]
+                letters = re.search(r"[^\W\d_]", said)
+                out.append(user + ("\n".join(send(x, i) if keep else x for x, keep in blocks_of_lines(said)) if letters else said))
+            elif utterances:
+                out.append(with_utterance(record, lambda text, *_, i=i: send(text, i), languages, agent))
+            else:
+                out.append(record)
+        return "\n".join(out), "; ".join(errors)
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), batch.column(column), pa.array([one(q) for q in batch.column(column).to_pylist()], pa.string())], names=[*keys, column, "translation"])
+            found = [one(q) for q in batch.column(column).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), batch.column(column), pa.array([x for x, _ in found], pa.string()), pa.array([e for _, e in found], pa.string())], names=[*keys, column, "translation", "_failed"])
 
     kinds = dict(rows.dtypes)
-    done = rows.select(*keys, column).mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in (*keys, column)) + ", translation string")
+    done = rows.select(*keys, column).mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in (*keys, column)) + ", translation string, _failed string")
     lines = lambda c: F.size(F.split(c, "\n"))
-    return done.withColumn("error", F.when(lines(F.col(column)) != lines(F.col("translation")), "line count changed").when(T.action_sequence(F.col(column)) != T.action_sequence(F.col("translation")), "actions changed").otherwise(""))
+    changed = F.when(lines(F.col(column)) != lines(F.col("translation")), "line count changed").when(T.action_sequence(F.col(column)) != T.action_sequence(F.col("translation")), "actions changed")
+    return done.withColumn("error", F.concat_ws("; ", F.when(F.col("_failed") != "", F.col("_failed")), changed)).drop("_failed")

@@ -22,6 +22,29 @@ def read_source(spark: SparkSession, kind: str, path: str | None = None, remote:
     return df.where(F.col("row_idx") < max_rows) if max_rows > 0 else df
 
 
+def read_text(path: str) -> str:
+    """A prompt or another small file."""
+    return Path(path).read_text(encoding="utf-8")
+
+
+def with_passthrough(translated: DataFrame, others: list[tuple[DataFrame, str, str]]) -> DataFrame:
+    """With splits of other datasets (dataset, its split, the name here), which take the place of one of that name; columns are those of all."""
+    out = translated
+    for other, source, name in others:
+        found = other.where(F.col("split") == source)
+        if found.isEmpty():
+            raise ValueError(f"no split {source!r} to pass through")
+        out = out.where(F.col("split") != name).unionByName(found.withColumn("split", F.lit(name)), allowMissingColumns=True)
+    return out
+
+
+def limited(source: DataFrame, target: DataFrame, max_rows: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The first rows of every split of both, so many at most."""
+    if max_rows <= 0:
+        return source, target
+    return source.where(F.col("row_idx") < max_rows), target.where(F.col("row_idx") < max_rows)
+
+
 def read_splits(spark: SparkSession, files: dict[str, list[str]], columns: list[str] | None = None) -> DataFrame:
     """Parquet files by split, with a split column; only the named columns are read."""
     parts = [(df.select(*dict.fromkeys(columns)) if columns else df).withColumn("split", F.lit(split)) for split, paths in files.items() for df in [spark.read.parquet(*paths)]]
@@ -43,9 +66,14 @@ def read_plan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fingerprints(df: DataFrame) -> DataFrame:
-    """By split a number that any change of content changes, and the rows. Order-free, in one partial aggregation."""
+    """By split a number that any change of content changes, and the rows. Order-free, in one partial aggregation.
+
+    Hashes are added, not only combined bit by bit, so that equal rows do not cancel out.
+    """
     columns = [c for c in sorted(df.columns) if c != "split"]
-    return df.groupBy("split").agg(F.count("*").alias("rows"), F.bit_xor(F.xxhash64(*columns)).alias("fingerprint"))
+    h = F.xxhash64(*columns)
+    total = F.sum(h.cast("decimal(20,0)"))
+    return df.groupBy("split").agg(F.count("*").alias("rows"), F.sha2(F.concat_ws(",", total.cast("string"), F.bit_xor(h).cast("string"), F.count("*").cast("string")), 256).alias("fingerprint"))
 
 
 def renamed_splits(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -68,6 +96,21 @@ def write_report(report: dict, path: str) -> None:
     Path(path).write_text(json.dumps(report, ensure_ascii=False, indent=2), encoding="utf-8")
 
 
+def write_manifest(found: dict, folder: str) -> None:
+    write_report(found, f"{folder}/manifest.json")
+
+
+def read_manifest(folder: str) -> dict | None:
+    """The side file of a folder; None where there is none. One that is no object, or of another version, is an error."""
+    at = Path(folder, "manifest.json")
+    if not at.exists():
+        return None
+    found = json.loads(at.read_text(encoding="utf-8"))
+    if not isinstance(found, dict) or found.get("schema_version") != 1:
+        raise ValueError(f"{at}: not a manifest of version 1")
+    return found
+
+
 def manifest(kind: str, dataset: str, run: str, lang: str, marks: dict) -> dict:
     return {"schema_version": 1, "kind": kind, "dataset": dataset, "run": run, "lang": lang, "created_at": datetime.now(timezone.utc).isoformat(), "fingerprints": marks}
 
@@ -92,6 +135,28 @@ def export_splits(df: DataFrame, path: str) -> dict[str, int]:
     return rows
 
 
+def export_all(datasets: dict[str, DataFrame], export: dict, folder: str, transform) -> dict[str, dict[str, int]]:
+    """Every config of an export, reshaped and written split by split, with the head of its README; rows by config and split."""
+    entries = [export] if export.get("layout", "single_config") == "single_config" else export["configs"]
+    out, splits = {}, {}
+    for entry in entries:
+        name = entry.get("config_name", "default")
+        df = transform(datasets[name], [(t["name"], {k: v for k, v in t.items() if k != "name"}) for t in entry.get("transforms", ())])
+        if wanted := entry.get("splits"):
+            df = renamed_splits(df.where(F.col("split").isin(list(wanted))), wanted if isinstance(wanted, dict) else {})
+        out[name] = export_splits(df, f"{folder}/{name}")
+        splits[name] = sorted(out[name])
+    Path(folder, "README.md").write_text(front_matter(splits), encoding="utf-8")
+    return out
+
+
+def push_commands(repo: str, folder: str, yes: bool) -> list[list[str]]:
+    """What would put an export on a hub. Nothing is run here; without a clear yes there is not even that."""
+    if not yes:
+        raise PermissionError("pushing needs a yes")
+    return [["hf", "repos", "create", repo, "--type", "dataset", "--exist-ok"], ["hf", "upload", repo, folder, ".", "--type", "dataset"]]
+
+
 def front_matter(configs: dict[str, list[str]]) -> str:
     """The head of an export's README: for every config the files of its splits."""
     lines = ["---", "configs:"]

@@ -64,3 +64,109 @@ def test_rendering(spark):
     assert report.percent(1, 100_000) == "<0.01%" and report.percent(1, 0) == "n/a"
     with pytest.raises(ValueError):
         report.rendered(F.col("x"), "other")
+
+
+def saved(folder, name, payload):
+    import json
+
+    at = folder / name
+    at.parent.mkdir(parents=True, exist_ok=True)
+    at.write_text(json.dumps(payload), encoding="utf-8")
+    return str(at)
+
+
+def test_translate_and_check(spark, tmp_path, capsys):
+    rows = [("train", 0, "a bear here", ["tea", "sea"]), ("train", 1, "more tea please now", []), ("test", 0, "ape", None)]
+    spark.createDataFrame(rows, "split string, row_idx long, text string, turns array<string>").write.parquet(str(tmp_path / "source"))
+    spark.createDataFrame([("spare", 0, "x")], "split string, row_idx long, text string").write.parquet(str(tmp_path / "other"))
+    rules = [{"source": "text", "target": "text_fr", "strategy": "text"}, {"source": "turns", "target": "turns_fr", "strategy": "text_list"}]
+    settings = {"rules": rules, "translator": "letters", "passthrough": [{"path": str(tmp_path / "other"), "source_split": "spare", "output_split": "more"}]}
+    file = saved(tmp_path, "d.json", settings)
+    assert cli.main(["translate", "--config", file, "--source", str(tmp_path / "source"), "--out", str(tmp_path / "out")]) == 0
+    done = {(r.split, r.row_idx): (r.text_fr, r.turns_fr) for r in spark.read.parquet(str(tmp_path / "out" / "dataset")).collect()}
+    assert done == {("train", 0): ("4 b34r h3r3", ["t34", "s34"]), ("train", 1): ("mor3 t34 pl34s3 now", []), ("test", 0): ("4p3", None), ("more", 0): (None, None)}
+    from dialoom.sources import tables
+
+    found = tables.read_manifest(str(tmp_path / "out"))
+    assert found["kind"] == "translation" and set(found["fingerprints"]) == {"train", "test"} and tables.read_manifest(str(tmp_path)) is None
+    assert cli.main(["check", "--config", file, "--source", str(tmp_path / "source"), "--translated", str(tmp_path / "out" / "dataset"), "--out", str(tmp_path / "check")]) in (0, 1)
+    assert spark.read.parquet(str(tmp_path / "check" / "metrics")).where("normal_field = 'text_fr'").first().checked_pairs == 3
+    assert cli.main(["check", "--infer", "fr", "--translated", str(tmp_path / "out" / "dataset"), "--out", str(tmp_path / "check2"), "--max-rows-per-split", "1"]) in (0, 1)
+    assert spark.read.parquet(str(tmp_path / "check2-sample-1" / "metrics")).count() > 0
+    with pytest.raises(SystemExit):
+        cli.main(["check", "--translated", "x", "--out", "y"])
+    # a failing service: records are kept, nothing else is written
+    from dialoom.operators import translate
+
+    def fails(text, *_):
+        raise OSError("down")
+
+    translate.register_translator("down", fails)
+    args = ["translate", "--config", file, "--set", "translator=down", "--set", "policy.retries=0", "--source", str(tmp_path / "source"), "--out", str(tmp_path / "bad")]
+    assert cli.main(args) == 1 and "test, train" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "bad" / "records")).count() == 3 and not (tmp_path / "bad" / "dataset").exists()
+    assert cli.main([*args, "--set", "policy.allow_errors=true"]) == 0
+
+
+def test_evaluate_and_benchmark(spark, tmp_path):
+    import json
+
+    rows = [("train", i, f"text {i}", f"texte {i}", "ab"[i % 2]) for i in range(12)]
+    spark.createDataFrame(rows, "split string, row_idx long, text string, text_fr string, kind string").write.parquet(str(tmp_path / "t"))
+    payload = {
+        "inputs": {"translation": {"kind": "path", "path": str(tmp_path / "t")}}, "sample_dataset": "translation", "stratify_by": "kind", "samples": 2,
+        "field_pairs": [{"source_dataset": "translation", "source_field": "text", "translation_dataset": "translation", "translation_field": "text_fr"}],
+    }
+    file = saved(tmp_path, "e.json", payload)
+    for _ in range(2):  # the second time there is nothing to do
+        assert cli.main(["evaluate", "--config", file, "--out", str(tmp_path / "e")]) == 0
+    records = spark.read.parquet(str(tmp_path / "e" / "records"))
+    assert records.count() == 4 and {r._run for r in records.collect()} == {1}
+    assert json.loads((tmp_path / "e" / "summary.json").read_text())["statuses"] == [{"status": "ok", "n": 4}]
+    bad = saved(tmp_path, "bad.json", {**payload, "stratify_by": "absent"})
+    assert cli.main(["evaluate", "--config", bad, "--out", str(tmp_path / "x")]) == 1
+
+    rows = [(i, "en-fr" if i % 2 else "en-de", f"source {'x' * (i % 7)}", f"target {'y' * (i % 11)}", float(i * 13 % 101)) for i in range(40)]
+    spark.createDataFrame(rows, "dataset_idx long, lp string, src string, mt string, score double").write.parquet(str(tmp_path / "b"))
+    file = saved(tmp_path, "b.json", {"models": ["m1", "m2"], "per_pair": 8, "sampling_thresholds": [50]})
+    assert cli.main(["benchmark-judge", "--config", file, "--rows", str(tmp_path / "b"), "--out", str(tmp_path / "bo")]) == 0
+    found = json.loads((tmp_path / "bo" / "summary.json").read_text())["models"]
+    assert [(r["model"], r["lp"], r["rows"], r["n"]) for r in found] == [(m, lp, 16, n) for m in ("m1", "m2") for lp, n in ((None, 16), ("en-de", 8), ("en-fr", 8))]
+
+
+def test_reformat_fix_and_upload(spark, tmp_path, capsys):
+    import json
+
+    rows = [("train", i, f"d{i // 2}", f"u{i}", [("user", "old")]) for i in range(4)]
+    spark.createDataFrame(rows, "split string, row_idx long, dialogue_id string, text string, history array<struct<role:string,content:string>>").write.parquet(str(tmp_path / "s"))
+    log = lambda n: {"log": [{"text": f"t{i}"} for i in range(n)]}
+    saved(tmp_path, "ext/good.json", {"d0": log(4), "d1": log(3), "z": log(2)})
+    (tmp_path / "ext" / "broken.json").write_text("no")
+    file = saved(tmp_path, "r.json", {"root": str(tmp_path / "ext"), "candidates": {"good": "good.json"}})
+    assert cli.main(["inspect", "--config", file, "--source", str(tmp_path / "s"), "--out", str(tmp_path / "i")]) == 0
+    summary = json.loads(spark.read.parquet(str(tmp_path / "i" / "candidates")).first().summary)
+    assert (summary["common"], summary["external_only"], summary["first_text"]) == (2, 1, "t0")
+    assert cli.main(["reformat", "--config", file, "--source", str(tmp_path / "s"), "--out", str(tmp_path / "r")]) == 0
+    assert sorted((r.row_idx, r.text, r.source_text) for r in spark.read.parquet(str(tmp_path / "r" / "good")).collect()) == [(0, "t0", "u0"), (1, "t2", "u1")]
+    split = json.loads(spark.read.parquet(str(tmp_path / "r" / "candidates")).first().summary)["splits"][0]
+    assert (split["source_rows"], split["output_rows"], split["missing"], split["bad"], split["bad_ids"]) == (4, 2, 0, 1, ["d1"])
+    missing = saved(tmp_path, "m.json", {"root": str(tmp_path / "ext"), "candidates": {"none": "none.json"}})
+    assert cli.main(["reformat", "--config", missing, "--source", str(tmp_path / "s"), "--out", str(tmp_path / "m")]) == 1
+
+    from dialoom.operators import judge
+
+    judge.JUDGES["fixer"] = lambda prompt: '```json\n{"suggested_translation": "mieux", "confidence": 1.4, "rationale": "r"}\n```'
+    issues = [("warning", "english_residue", "train", i, "text_fr", "a  b", "c", 2) for i in range(3)] + [("warning", "length_ratio_low", "train", 9, "x", "s", "t", 1), ("warning", "english_residue", "train", 5, "x", "s", " ", 1)]
+    spark.createDataFrame(issues, "severity string, code string, split string, row_idx long, field string, source string, translation string, duplicate_count int").write.parquet(str(tmp_path / "issues"))
+    assert cli.main(["check-fix", "--issues", str(tmp_path / "issues"), "--judge", "fixer", "--out", str(tmp_path / "f")]) == 0
+    (r,) = spark.read.parquet(str(tmp_path / "f" / "suggestions")).collect()
+    assert (r.suggestion_id, r.suggestion, r.confidence, r.occurrences, r.status) == ("train:0:text_fr:english_residue", "mieux", 1.0, 6, "ok")
+
+    upload = {"repo": "me/x", "source": {"path": str(tmp_path / "s")}, "export": {"transforms": [{"name": "drop_columns", "columns": ["history"]}]}}
+    saved(tmp_path, "conf/uploads/u.json", upload)
+    assert cli.main(["upload", "--root", str(tmp_path / "conf"), "--all", "--out", str(tmp_path / "u"), "--push", "--yes"]) == 0
+    assert "u: 4 rows" in capsys.readouterr().out and spark.read.parquet(str(tmp_path / "u" / "u" / "default" / "train-00000-of-00001.parquet")).columns == ["dialogue_id", "text"]
+    with pytest.raises(PermissionError):
+        cli.main(["upload", "--root", str(tmp_path / "conf"), "--upload", "u", "--out", str(tmp_path / "u"), "--push"])
+    with pytest.raises(SystemExit):
+        cli.main(["upload", "--root", str(tmp_path / "conf"), "--upload", "none", "--out", str(tmp_path / "u")])
