@@ -148,8 +148,8 @@ def best_paths(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH)
     order = np.argsort(-lengths, kind="stable")
     begin = (np.cumsum(lengths) - lengths)[order]
     alive = np.searchsorted(-lengths[order], -np.arange(lengths.max()), side="left")  # texts with more than t words
-    came = np.zeros((n_words, n_langs), np.int8)
-    own = np.arange(n_langs, dtype=np.int8)
+    came = np.zeros((n_words, n_langs), np.uint8 if n_langs <= 256 else np.int32)
+    own = np.arange(n_langs, dtype=came.dtype)
     total = np.zeros((len(lengths), n_langs), np.float64)
     for t in range(int(lengths.max())):
         d = alive[t]
