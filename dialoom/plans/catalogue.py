@@ -28,10 +28,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import workflows  # noqa: F401  registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import workflows  # noqa: F401
+
     return dict(ORACLES)
 
 
@@ -174,13 +178,13 @@ def english_signal_by_lang(spark, d):
     return table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.count_if(T.has_english_signal(x)).alias("with_signal"), F.sum(F.size(T.tokens_in(x, T.RESIDUE_WORDS))).alias("residue"))
 
 
-VARIANTS_SQL = """(SELECT page_id, unnest([url, 'see ' || url || ' and the rest', regexp_replace(url, '^https?://', ''), 'report_' || page_id || '.pdf (draft)', 'Model X' || page_id || ' Pro', 'sudo mkfs /dev/sda' || page_id, '`run ' || page_id || '`', md5(page_id::VARCHAR), left(html, 200), 'user' || page_id || '@example.com', 'Plain words stay here']) AS x FROM pages)"""
+VARIANTS_SQL = """(SELECT page_id, unnest([url, 'see ' || url || ' and the rest', regexp_replace(url, '^https?://', ''), 'report_' || page_id || '.pdf (draft)', 'Model X' || page_id || ' Pro', 'sudo mkfs /dev/sda' || page_id, '`run ' || page_id || '`', md5(page_id::VARCHAR), html, 'user' || page_id || '@example.com', 'Plain words stay here']) AS x FROM pages)"""
 
 
 def text_variants(spark, d) -> DataFrame:
     """Technical and plain texts made from the pages."""
     n, url = F.col("page_id").cast("string"), F.col("url")
-    made = [url, F.concat(F.lit("see "), url, F.lit(" and the rest")), F.regexp_replace(url, "^https?://", ""), F.concat(F.lit("report_"), n, F.lit(".pdf (draft)")), F.concat(F.lit("Model X"), n, F.lit(" Pro")), F.concat(F.lit("sudo mkfs /dev/sda"), n), F.concat(F.lit("`run "), n, F.lit("`")), F.md5(n.cast("binary")), F.substring("html", 1, 200), F.concat(F.lit("user"), n, F.lit("@example.com")), F.lit("Plain words stay here")]
+    made = [url, F.concat(F.lit("see "), url, F.lit(" and the rest")), F.regexp_replace(url, "^https?://", ""), F.concat(F.lit("report_"), n, F.lit(".pdf (draft)")), F.concat(F.lit("Model X"), n, F.lit(" Pro")), F.concat(F.lit("sudo mkfs /dev/sda"), n), F.concat(F.lit("`run "), n, F.lit("`")), F.md5(n.cast("binary")), F.col("html"), F.concat(F.lit("user"), n, F.lit("@example.com")), F.lit("Plain words stay here")]
     return table(spark, d, "pages").select("page_id", F.explode(F.array(*made)).alias("x"))
 
 
@@ -193,15 +197,15 @@ def technical_reason(spark, d):
   ELSE len(w) BETWEEN 2 AND 10 AND (len(list_filter(w, lambda t: NOT (regexp_matches(t, '^\p{{Lu}}') OR (t = upper(t) AND t <> lower(t)) OR contains(t, '.') OR contains(t, '-') OR list_contains({quoted(T.TITLE_CONNECTORS)}, lower(t))))) = 0
     OR (len(g) > 0 AND len(list_filter(g, lambda t: NOT list_contains(['am', 'do', 'i', 'n'], t))) = 0) OR {hits_sql('s', T.DIALOGUE_WORDS)} = 0) END) AS title_like
   FROM (SELECT doc_id, s, list_filter(list_transform(regexp_split_to_array(s, '\s+'), lambda p: trim(p, '()[]{{}}:;,"''`')), lambda p: regexp_matches(p, '\p{{L}}')) AS w, list_filter({tokens_sql('s')}, lambda t: list_contains({quoted(T.SIGNAL_WORDS)}, t)) AS g
-  FROM (SELECT doc_id, {strip_sql('left(text, 40)')} AS s FROM documents))""")
+  FROM (SELECT doc_id, {strip_sql('text')} AS s FROM documents))""")
 def title_like(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.is_title_like(F.substring("text", 1, 40)).alias("title_like"))
+    return table(spark, d, "documents").select("doc_id", T.is_title_like(F.col("text")).alias("title_like"))
 
 
-@query(f"SELECT page_id, len(regexp_extract_all(html, {lit(T.ENTITY)})) AS entities, len({markers_sql('html')}) AS markers, array_to_string({markers_sql('html')}[1:5], ' ') AS first_markers FROM pages")
+@query(f"SELECT page_id, len(regexp_extract_all(html, {lit(T.ENTITY)})) AS entities, len({markers_sql('html')}) AS markers, array_to_string({markers_sql('html')}, ' ') AS all_markers, array_to_string(regexp_extract_all(html, {lit(T.ENTITY)}), ' ') AS all_entities FROM pages")
 def entities_and_markers(spark, d):
     x = F.col("html")
-    return table(spark, d, "pages").select("page_id", F.size(T.entities(x)).cast("long").alias("entities"), F.size(T.markers(x)).cast("long").alias("markers"), F.array_join(F.slice(T.markers(x), 1, 5), " ").alias("first_markers"))
+    return table(spark, d, "pages").select("page_id", F.size(T.entities(x)).cast("long").alias("entities"), F.size(T.markers(x)).cast("long").alias("markers"), F.array_join(T.markers(x), " ").alias("all_markers"), F.array_join(T.entities(x), " ").alias("all_entities"))
 
 
 @query(rf"SELECT doc_id, len(regexp_extract_all(text, '(?s)\s{{1,200}}|\S{{1,200}}')) AS runs, length(text) AS n FROM documents")
@@ -311,9 +315,10 @@ def split_metrics(spark, d):
     return metrics.group_metrics(c, "split").drop("error_rate", "warning_rate")
 
 
-@query(f"WITH {FACTS} SELECT code, count(*) AS n, CASE code {' '.join(f'WHEN {lit(c)} THEN {lit(r)}' for c, (r, _) in metrics.GUIDE.items())} END AS rule, CASE code {' '.join(f'WHEN {lit(c)} THEN {lit(p)}' for c, (_, p) in metrics.GUIDE.items())} END AS priority FROM issues GROUP BY code")
+@query(f"""WITH {FACTS} SELECT code, count(*) AS n, CASE code {' '.join(f'WHEN {lit(c)} THEN {lit(r)}' for c, (r, _) in metrics.GUIDE.items())} END AS rule, CASE code {' '.join(f'WHEN {lit(c)} THEN {lit(p)}' for c, (_, p) in metrics.GUIDE.items())} END AS priority,
+  CASE WHEN code IN ('empty_translation') THEN 'Fix before upload' WHEN code IN ('length_ratio_low', 'length_ratio_high') THEN 'Sample audit' ELSE 'Review' END AS label FROM issues GROUP BY code""")
 def issue_guide(spark, d):
-    return metrics.issue_guide(found_issues(spark, d))
+    return metrics.issue_guide(found_issues(spark, d)).drop("meaning", "action")
 
 
 @query(f"""WITH {FACTS}, n AS (SELECT (SELECT count(*) FROM pairs) AS checked_pairs, (SELECT count(*) FROM issues WHERE severity = 'error') AS errors, (SELECT count(*) FROM issues WHERE severity = 'warning') AS warnings)
@@ -344,26 +349,28 @@ def nested_rows(spark, d) -> DataFrame:
     return aligned(source, target)
 
 
+PAIRED = "array_to_string(list_transform(t[1:m], lambda x: x || '|' || x), chr(10))"
 LISTS_SQL = "l AS (SELECT conv_id, list(text ORDER BY turn) AS t, row_number() OVER (ORDER BY conv_id) - 1 AS row_idx FROM conversations GROUP BY conv_id), n AS (SELECT *, len(t) - (CASE WHEN conv_id % 5 = 0 THEN 1 ELSE 0 END) AS m FROM l)"
 
 
-@query(f"WITH {LISTS_SQL} SELECT row_idx, m AS pairs, CASE WHEN len(t) <> m THEN 1 ELSE 0 END AS errors FROM n WHERE m > 0 OR len(t) <> m")
+@query(f"WITH {LISTS_SQL} SELECT row_idx, m AS pairs, CASE WHEN len(t) <> m THEN 1 ELSE 0 END AS errors, {PAIRED} AS texts FROM n WHERE m > 0 OR len(t) <> m")
 def list_pairs(spark, d):
     return pair_counts(text_pairs(nested_rows(spark, d), [Rule("dialog", "dialog_fr")]))
 
 
-@query(f"WITH {LISTS_SQL} SELECT row_idx, m AS pairs, CASE WHEN len(t) <> m THEN 1 ELSE 0 END AS errors FROM n WHERE m > 0 OR len(t) <> m")
+@query(f"WITH {LISTS_SQL} SELECT row_idx, m AS pairs, CASE WHEN len(t) <> m THEN 1 ELSE 0 END AS errors, {PAIRED} AS texts FROM n WHERE m > 0 OR len(t) <> m")
 def serialized_list_pairs(spark, d):
     return pair_counts(text_pairs(nested_rows(spark, d), [Rule("history", "history_fr", "serialized_text_list")]))
 
 
-@query(f"WITH {LISTS_SQL} SELECT row_idx, m + 1 AS pairs, CASE WHEN len(t) <> m THEN 1 ELSE 0 END AS errors FROM n")
+@query(f"WITH {LISTS_SQL} SELECT row_idx, m + 1 AS pairs, CASE WHEN len(t) <> m THEN 1 ELSE 0 END AS errors, concat_ws(chr(10), t[1] || '|' || t[1], nullif(array_to_string(list_transform(t[1:m], lambda x: x || '|fr:' || x), chr(10)), '')) AS texts FROM n")
 def deep_map_pairs(spark, d):
     return pair_counts(text_pairs(nested_rows(spark, d), [Rule("turn", "turn_fr", "deep_map_texts", {"exclude_keys": ["id"]})]))
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("row_idx").agg(F.count_if(F.col("error").isNull()).alias("pairs"), F.count_if(F.col("error").isNotNull()).cast("int").alias("errors"))
+    said = F.transform(F.array_sort(F.collect_list(F.when(F.col("error").isNull(), F.struct("pair_ord", "source", "translation")))), lambda p: F.concat(p["source"], F.lit("|"), p["translation"]))
+    return pairs.groupBy("row_idx").agg(F.count_if(F.col("error").isNull()).alias("pairs"), F.count_if(F.col("error").isNotNull()).cast("int").alias("errors"), F.array_join(said, "\n").alias("texts"))
 
 
 # --- dialogues -----------------------------------------------------------------------------------------------------
@@ -564,7 +571,7 @@ def next_attempts(spark, d):
 # --- translation and export ----------------------------------------------------------------------------------------
 
 
-@query(r"SELECT role AS split, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS row_idx, length(text) + 3 * (CASE WHEN trim(text) <> '' AND regexp_matches(text, '\p{L}') THEN 1 ELSE 0 END) AS n, 'ok' AS status FROM conversations WHERE length(text) <= 2500")
+@query(r"SELECT role AS split, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS row_idx, length(text) + 3 * (CASE WHEN trim(text) <> '' AND regexp_matches(text, '\p{L}') THEN 1 ELSE 0 END) AS n, 'ok' AS status FROM conversations")
 def translate_text(spark, d):
     rows = keyed(table(spark, d, "conversations"), ["conv_id", "turn"], "role")
     done = translate.translate_column(rows, "text", "text_fr", "prefix", guards=[{"kind": "no_letters"}])
@@ -590,13 +597,14 @@ def export_reshaped(spark, d):
     return export.reshape(rows, steps)
 
 
-@query("SELECT conv_id, list(text || '!' ORDER BY turn)[1] AS first_content FROM conversations GROUP BY conv_id")
+@query("SELECT conv_id, string_agg(coalesce(role, '') || ':' || text || '!', chr(10) ORDER BY turn) AS contents FROM conversations GROUP BY conv_id")
 def export_serialized(spark, d):
     turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
     lists = table(spark, d, "conversations").groupBy("conv_id").agg(turns.alias("t"))
     rows = lists.select("conv_id", F.to_json(F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))).alias("query"), F.to_json(F.transform("t", lambda t: F.struct(F.concat(t["text"], F.lit("!")).alias("content_fr")))).alias("query_fr"))
     done = export.serialized_dialog_content(rows, "query", "query_fr")
-    return done.select("conv_id", F.get_json_object("query", "$[0].content").alias("first_content"))
+    said = F.transform(F.from_json("query", "array<struct<role:string,content:string>>"), lambda t: F.concat(F.coalesce(t["role"], F.lit("")), F.lit(":"), t["content"]))
+    return done.select("conv_id", F.array_join(said, "\n").alias("contents"))
 
 
 @query()
