@@ -76,7 +76,7 @@ def run_translate(spark: SparkSession, settings: config.DatasetConfig, source_pa
     """Translate a dataset, with a manifest beside it; 1 if a split failed and that is not allowed, in which case only the records are kept."""
     source = spark.read.parquet(source_path)
     languages = {"source": settings.languages[0], "target": settings.languages[1]}
-    records = strategies.translated(source, list(settings.rules), settings.translator, limit=settings.policy.max_rows, retries=settings.policy.retries, **languages)
+    records = strategies.translated(source, list(settings.rules), settings.translator, limit=settings.policy.max_rows, retries=settings.policy.retries, sleep=settings.policy.sleep, per_minute=settings.policy.requests_per_minute, concurrency=settings.policy.concurrency, **languages)
     records.write.mode("overwrite").parquet(f"{out}/records")
     records = spark.read.parquet(f"{out}/records")
     try:
@@ -159,7 +159,6 @@ def run_benchmark(spark: SparkSession, payload: dict, rows_path: str, out: str)
     labels = list(spec.labels) or [f"bin_{i}" for i in range(len(spec.thresholds) + 1)]
     template = read_text(payload["prompt"]) if payload.get("prompt") else evaluation_template
     judged = evaluation.benchmark_records(chosen, list(spec.models), payload.get("judge", "length"), template, list(spec.thresholds), labels, payload.get("name", "benchmark"))
-    judged = judged.withColumns({"attempts": F.lit(1).cast("long"), "rate_limit_waits": F.lit(0).cast("long")})
     judged.write.mode("overwrite").parquet(f"{out}/records")
     found = [r.asDict(recursive=True) for r in stats.benchmark_summary(spark.read.parquet(f"{out}/records"), labels).orderBy("model", F.col("lp").asc_nulls_first()).collect()]
     write_report({"models": found}, f"{out}/summary.json")

@@ -7,17 +7,26 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..functions.scoring import parsed_score
 from .incremental import latest, pending
+from .runs import RateLimit, RetryPolicy
 
 #: prompt -> reply.
 JUDGES: dict[str, Callable[[str], str]] = {"length": lambda prompt: f'{{"score": {len(prompt) % 101}, "comment": "by length"}}'}
 
 
+#: What a call leaves beside its row.
+CALL = {"reply": pa.string(), "error": pa.string(), "attempts": pa.int64(), "rate_limit_waits": pa.int64(), "rate_limit_wait_seconds": pa.float64()}
+#: Rows of a list that is broadcast to be crossed with samples.
+SHORT_LIST = 10_000
+
+
 def tasks(samples: DataFrame, others: DataFrame) -> DataFrame:
-    """Every sample with every field pair, or every model: the other side is a short list."""
+    """Every sample with every field pair, or every model. The other side is a short list, which is checked."""
+    if others.limit(SHORT_LIST + 1).count() > SHORT_LIST:
+        raise ValueError(f"more than {SHORT_LIST} field pairs or models")
     return samples.crossJoin(F.broadcast(others))
 
 
@@ -28,25 +37,31 @@ def with_prompt(rows: DataFrame, template: str, names: dict[str, str]) -> DataFr
     return rows.withColumn("prompt", prompt)
 
 
-def judged(rows: DataFrame, judge: str) -> DataFrame:
-    """Rows with reply, score, comment and status; a failed call is a row with status error."""
-    call = JUDGES[judge]
+def judged(rows: DataFrame, judge: str, retries: int = 0, sleep: float = 0.0, per_minute: int = 0, concurrency: int = 0) -> DataFrame:
+    """Rows with reply, score, comment, status, attempts and waits for the rate limit; a failed call is a row with status error."""
+    call, policy = JUDGES[judge], RetryPolicy(retries, sleep)
 
     def run(batches):
+        limit = RateLimit(per_minute, concurrency)
+
+        def ask(prompt: str) -> str:
+            limit.enter()
+            return call(prompt)
+
         for batch in batches:
-            replies, errors = [], []
+            out = []
             for prompt in batch.column("prompt").to_pylist():
-                try:
-                    replies.append(call(prompt))
-                    errors.append("")
-                except Exception as e:  # whatever a service raises is the row's error
-                    replies.append(None)
-                    errors.append(f"{type(e).__name__}: {str(e)[:300]}")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(replies, pa.string()), pa.array(errors, pa.string())], names=[*batch.schema.names, "reply", "error"])
-
-    schema = StructType([*rows.schema.fields, StructField("reply", StringType()), StructField("error", StringType())])
+                waits, seconds = limit.waits, limit.seconds
+                reply, attempts, error = policy.call(lambda prompt=prompt: ask(prompt))
+                out.append((reply, error, attempts, limit.waits - waits, limit.seconds - seconds))
+            columns = zip(*out, strict=True) if out else [[]] * len(CALL)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, t) for c, t in zip(columns, CALL.values(), strict=True))], names=[*batch.schema.names, *CALL])
+
+    schema = StructType([*rows.schema.fields, StructField("reply", StringType()), StructField("error", StringType()), StructField("attempts", LongType()), StructField("rate_limit_waits", LongType()), StructField("rate_limit_wait_seconds", DoubleType())])
+    rows = rows.repartition(concurrency) if concurrency > 0 else rows
     done = rows.mapInArrow(run, schema).withColumn("parsed", parsed_score(F.col("reply")))
-    return done.select(*rows.columns, "reply", "error", "parsed.score", "parsed.comment", F.when(F.col("error") != "", "error").otherwise(F.col("parsed.parse_status")).alias("status"))
+    status = F.when(F.col("error") != "", "error").otherwise(F.col("parsed.parse_status"))
+    return done.select(*rows.columns, "reply", "error", "parsed.score", "parsed.comment", status.alias("status"), "attempts", "rate_limit_waits", "rate_limit_wait_seconds")
 
 
 def resumed(all_tasks: DataFrame, records: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .runs import RateLimit, RetryPolicy
 
 #: (text, source language, target language) -> translation. A name stands for a way to reach a service.
 TRANSLATORS: dict[str, Callable[[str, str, str], str]] = {}
@@ -44,26 +45,33 @@ def passes_guards(c: Column, guards: list[dict] | None) -> Column:
     return keep
 
 
-def translate_distinct(texts: DataFrame, translator: str, source: str = "en", target: str = "fr", retries: int = 2, column: str = "text", again: bool = False) -> DataFrame:
-    """Every distinct text once (again: of a service that remembers its answers, a new one): text, translation (null if it failed), status, attempts, error. A failure is a row, not the end of the job."""
+def translate_distinct(texts: DataFrame, translator: str, source: str = "en", target: str = "fr", retries: int = 2, column: str = "text", again: bool = False, sleep: float = 0.0, per_minute: int = 0, concurrency: int = 0) -> DataFrame:
+    """Every distinct text once (again: of a service that remembers its answers, a new one): text, translation (null if it failed), status, attempts, error. A failure is a row, not the end of the job.
+
+    sleep: of the first wait before another attempt; per_minute: calls in 60 seconds, which the tasks that call at once share
+    evenly; concurrency: their number.
+    """
     call = AGAIN.get(translator, TRANSLATORS[translator]) if again else TRANSLATORS[translator]
 
+    policy = RetryPolicy(retries, sleep)
+
     def run(batches):
+        limit = RateLimit(per_minute, concurrency)
+
+        def send(value: str) -> str:
+            limit.enter()
+            return call(value, source, target)
+
         for batch in batches:
             out = []
             for value in batch.column(0).to_pylist():
-                done, error, n = None, "", 0
-                for n in range(1, retries + 2):
-                    try:
-                        done, error = call(value, source, target), ""
-                        break
-                    except Exception as e:  # whatever a service raises is the row's error
-                        error = f"{type(e).__name__}: {str(e)[:300]}"
+                done, n, error = policy.call(lambda value=value: send(value))
                 out.append((value, done, "ok" if done is not None else "error", n, error))
             columns = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int32(), pa.string()), strict=True)], names=["text", "translation", "status", "attempts", "error"])
 
     distinct = texts.select(F.col(column).alias("text")).where("text is not null").distinct()
+    distinct = distinct.repartition(concurrency) if concurrency > 0 else distinct
     return distinct.mapInArrow(run, "text string, translation string, status string, attempts int, error string")
 
 

@@ -102,7 +102,7 @@ def test_translate_and_check(spark, tmp_path, capsys):
         raise OSError("down")
 
     translate.register_translator("down", fails)
-    args = ["translate", "--config", file, "--set", "translator=down", "--set", "policy.retries=0", "--source", str(tmp_path / "source"), "--out", str(tmp_path / "bad")]
+    args = ["translate", "--config", file, "--set", "translator=down", "--set", "policy.retries=1", "--set", "policy.sleep=0", "--source", str(tmp_path / "source"), "--out", str(tmp_path / "bad")]
     assert cli.main(args) == 1 and "test, train" in capsys.readouterr().out
     assert spark.read.parquet(str(tmp_path / "bad" / "records")).count() == 3 and not (tmp_path / "bad" / "dataset").exists()
     assert cli.main([*args, "--set", "policy.allow_errors=true"]) == 0
