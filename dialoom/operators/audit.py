@@ -6,7 +6,7 @@ import ast
 import json
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import checks
@@ -48,24 +48,42 @@ def mode_counts(plan: DataFrame) -> DataFrame:
     return plan.groupBy("mode").agg(F.count("*").alias("n"))
 
 
-def task_results(issues: DataFrame, keys: list[str]) -> DataFrame:
-    """By task: errors, warnings, rows with issues, commonest codes and a first example."""
+def task_results(issues: DataFrame, keys: list[str], checked: DataFrame | None = None, examples: int = 10, codes: int = 10) -> DataFrame:
+    """By task: errors, warnings, rows with issues, commonest codes, and the first examples; with checked rows and pairs where these are given.
+
+    Examples are cut off by rank before they are gathered.
+    """
     by_code = issues.groupBy(*keys, "code").agg(F.count("*").alias("n"))
-    codes = by_code.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "code", "n"))), 1, 10).alias("codes"))
-    few = issues.groupBy(*keys, "row_idx").agg(F.min(F.struct("code", "field", "source", "translation")).alias("x"), F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))
-    totals = few.groupBy(*keys).agg(F.sum("errors").alias("errors"), F.sum("warnings").alias("warnings"), F.count("*").alias("issue_rows"), F.min_by("x", "row_idx").alias("example"))
-    return totals.join(codes, keys)
+    common = by_code.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "code", "n"))), 1, codes).alias("codes"))
+    rows = issues.groupBy(*keys, "row_idx").agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))
+    totals = rows.groupBy(*keys).agg(F.sum("errors").alias("errors"), F.sum("warnings").alias("warnings"), F.count("*").alias("issue_rows"))
+    one = F.struct("row_idx", "code", "field", "source", "translation")
+    first = issues.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy("row_idx", "code", "field", "source"))).where(F.col("k") <= examples)
+    shown = first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", one.alias("x")))), lambda e: e["x"]).alias("examples"))
+    out = totals.join(common, keys).join(shown, keys).withColumn("example", F.col("examples")[0])
+    if checked is None:
+        return out
+    counts = checked.groupBy(*keys).agg(F.count_distinct("row_idx").alias("checked_rows"), F.count("*").alias("checked_pairs"))
+    return counts.join(out, keys, "left").fillna(0, ["errors", "warnings", "issue_rows"])
 
 
 def audit_summary(plan: DataFrame, results: DataFrame, rows: DataFrame) -> DataFrame:
-    """By dataset and language: sums over its tasks, share of rows with issues, and the worst status of any."""
+    """By dataset and language: sums over its tasks, share of rows with issues, commonest codes and first examples of all, and the worst status of any."""
     keys = ["dataset", "lang"]
     tasks = plan.join(results, [*keys, "target_split"], "left").join(rows, [*keys, "target_split"], "left").fillna(0, ["errors", "warnings", "issue_rows", "rows"])
     status = F.when(F.sum("errors") > 0, "errors").when(F.sum("warnings") > 0, "warnings").when(F.count_if(F.col("mode").isin(AUDITABLE)) > 0, "ok").otherwise(F.min("mode"))
-    return tasks.groupBy(*keys).agg(
+    out = tasks.groupBy(*keys).agg(
         F.sum("rows").alias("rows"), F.sum("errors").alias("errors"), F.sum("warnings").alias("warnings"), F.sum("issue_rows").alias("issue_rows"),
         F.round(F.try_divide(100 * F.sum("issue_rows"), F.sum("rows")), 4).alias("pct"), status.alias("status"), F.array_join(F.slice(F.array_sort(F.collect_set(F.when(F.col("note") != "", F.col("note")))), 1, 5), "; ").alias("notes"),
     )
+    if "codes" in results.columns:
+        merged = tasks.select(*keys, F.explode("codes").alias("c")).groupBy(*keys, "c.code").agg(F.sum("c.n").alias("n"))
+        top = merged.groupBy(*keys).agg(F.array_join(F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "code", "n"))), 1, 5), lambda c: F.concat(c["code"], F.lit(":"), c["n"].cast("string"))), ",").alias("top_codes"))
+        out = out.join(top, keys, "left").fillna("", ["top_codes"])
+    if "examples" in results.columns:
+        few = tasks.groupBy(*keys).agg(F.slice(F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("examples").isNotNull(), F.struct("target_split", F.slice("examples", 1, 2).alias("x"))))), lambda t: t["x"])), 1, 3).alias("examples"))
+        out = out.join(few, keys, "left")
+    return out
 
 
 def normal_value(value: object) -> object:

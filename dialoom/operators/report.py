@@ -34,21 +34,58 @@ def rendered(c: Column, kind: str) -> Column:
 def quality_report(checked: DataFrame, issues: DataFrame, more: DataFrame | None = None, most: int = 200) -> dict:
     """Totals, counts, metrics by split and the first issues. Only aggregates and `most` issues reach the driver.
 
-    issues: all of them; more: those that are not of one checked pair.
+    issues: all of them; more: those that are not of one checked pair. most: issues to show, all if negative.
     """
     rows = lambda df: [r.asDict() for r in df.collect()]
     guide = sorted(rows(issue_guide(issues)), key=lambda r: (-r["n"], PRIORITIES[r["priority"]], r["code"]))
-    shown = rows(issues.orderBy("split", "row_idx", "pair_ord", "check_ord").limit(most))
-    return {**verdict(checked, more).first().asDict(), "counts": sorted(rows(issue_counts(issues)), key=lambda r: (r["kind"], -r["n"], r["key"])), "splits": rows(group_metrics(checked, "split", more).orderBy("split")), "guide": guide, "issues": shown}
+    in_order = issues.orderBy("split", "row_idx", "pair_ord", "check_ord")
+    shown = rows(in_order if most < 0 else in_order.limit(most + 1))
+    truncated, shown = 0 <= most < len(shown), shown if most < 0 else shown[:most]
+    return {"truncated": truncated, **verdict(checked, more).first().asDict(), "counts": sorted(rows(issue_counts(issues)), key=lambda r: (r["kind"], -r["n"], r["key"])), "splits": rows(group_metrics(checked, "split", more).orderBy("split")), "guide": guide, "issues": shown}
 
 
 def text_summary(report: dict) -> str:
     return f"{report['verdict']}: {report['checked_pairs']} pairs, {report['errors']} errors, {report['warnings']} warnings ({percent(report['warnings'], report['checked_pairs'])}); {report['recommendation']}"
 
 
+def cells(rows: list[dict], columns: list[str]) -> str:
+    """A table of some columns."""
+    line = lambda values, tag: "<tr>" + "".join(f"<{tag}>{html.escape(str(v))}</{tag}>" for v in values) + "</tr>"
+    return "<table>" + line(columns, "th") + "".join(line([r.get(c, "") for c in columns], "td") for r in rows) + "</table>"
+
+
+#: What a reader of the page filters by; issues are shown 50 at a time.
+SCRIPT = """
+const all = JSON.parse(document.getElementById('data').textContent), pick = {}, size = 50;
+let at = 0;
+const by = id => document.getElementById(id);
+for (const key of ['severity', 'code', 'split', 'field']) {
+  const box = by(key);
+  for (const value of ['', ...new Set(all.map(x => String(x[key] ?? '')))].sort()) box.add(new Option(value || key, value));
+  box.onchange = () => { pick[key] = box.value; at = 0; show(); };
+}
+by('search').oninput = () => { at = 0; show(); };
+by('next').onclick = () => { at += size; show(); };
+by('back').onclick = () => { at = Math.max(0, at - size); show(); };
+function show() {
+  const text = by('search').value.toLowerCase();
+  const found = all.filter(x => Object.entries(pick).every(([k, v]) => !v || String(x[k] ?? '') === v) && JSON.stringify(x).toLowerCase().includes(text));
+  by('count').textContent = found.length ? `${at + 1} to ${Math.min(at + size, found.length)} of ${found.length}` : 'none';
+  by('issues').textContent = found.slice(at, at + size).map(x => [x.severity, x.code, x.split, x.row_idx, x.field, x.message ?? ''].join(' ') + '\\n' + (x.source ?? '') + '\\n' + (x.translation ?? '')).join('\\n\\n');
+}
+show();
+"""
+
+
 def html_page(report: dict, title: str) -> str:
-    """A page of its own: totals, guidance, and issues with a search box."""
-    data = json.dumps(report["issues"], ensure_ascii=False).replace("</", "<\\/")
-    guide = "".join(f"<tr><td>{html.escape(g['rule'])}</td><td>{g['n']}</td><td>{g['priority']}</td></tr>" for g in report["guide"])
-    script = "const data=JSON.parse(document.getElementById('d').textContent),q=document.getElementById('q'),o=document.getElementById('o');function show(){o.textContent=data.filter(x=>JSON.stringify(x).toLowerCase().includes(q.value.toLowerCase())).slice(0,50).map(x=>x.code+' '+x.split+' '+x.row_idx+'\\n'+x.source+'\\n'+x.translation).join('\\n\\n')}q.oninput=show;show()"
-    return f"<!DOCTYPE html><meta charset='utf-8'><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><p>{html.escape(text_summary(report))}</p><table>{guide}</table><input id='q' placeholder='filter'><pre id='o'></pre><script id='d' type='application/json'>{data}</script><script>{script}</script>"
+    """A page of its own: totals, guidance, metrics by split, and issues to filter and to leaf through."""
+    data = json.dumps(report["issues"], ensure_ascii=False, default=str).replace("</", "<\\/")
+    guide = cells(report["guide"], ["rule", "n", "label", "meaning", "action"])
+    splits = cells(report.get("splits", []), ["split", "checked_pairs", "issues", "errors", "warnings", "top_codes"])
+    boxes = "".join(f"<select id='{key}'></select>" for key in ("severity", "code", "split", "field"))
+    note = "<p>Not all issues are shown.</p>" if report.get("truncated") else ""
+    return (
+        f"<!DOCTYPE html><meta charset='utf-8'><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><p>{html.escape(text_summary(report))}</p>{guide}{splits}{note}"
+        f"{boxes}<input id='search' placeholder='search'><button id='back'>back</button><button id='next'>next</button><span id='count'></span><pre id='issues'></pre>"
+        f"<script id='data' type='application/json'>{data}</script><script>{SCRIPT}</script>"
+    )

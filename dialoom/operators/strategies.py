@@ -243,7 +243,7 @@ def apply_rule(rows: DataFrame, rule: Rule, translator: str, keys: tuple[str, ..
         return out.withColumns({rule.target: F.col("_done"), "_errors": errors}).drop("_done", "_error")
     broken = strategy.broken(value, options) if strategy.broken else F.lit(None).cast("string")
     broken = F.when(value.isNotNull(), broken)
-    fits = broken.isNull() & value.isNotNull() & F.coalesce(passes_guards(F.array_join(strategy.texts(kind, value, options), " "), options.get("skip_guards") or options.get("skip_if")), F.lit(True))
+    fits = broken.isNull() & value.isNotNull() & F.coalesce(passes_guards(F.array_join(strategy.texts(kind, value, options), " "), options.get("guards", options.get("skip_if"))), F.lit(True))
     lists = rows.where(fits).select(*keys, strategy.texts(kind, value, options).alias("items")).where("size(items) > 0")
     most = int(options.get("max_chunk_chars", MAX_CHARS))
     done = translated_lists(lists, translator, most, strategy.as_list, keys, **languages)

@@ -31,10 +31,31 @@ register_translator("letters", lambda text, source, target: text.replace("e", "3
 register_translator("prefix", lambda text, source, target: f"{target}:{text}")
 
 
+# What services take at once, in characters or bytes.
+LIMITS = {"google": ("chars", 5_000), "deepl": ("bytes", 120_000), "yandex": ("chars", 10_000)}
+
+
+def within_limit(provider: str, call: Callable[[str, str, str], str]) -> Callable[[str, str, str], str]:
+    """A call of a service that refuses what the service would refuse."""
+    unit, most = LIMITS[provider]
+
+    def limited(text: str, source: str, target: str) -> str:
+        n = len(text) if unit == "chars" else len(text.encode("utf-8"))
+        if n > most:
+            raise ValueError(f"{provider} takes at most {most} {unit}, got {n}")
+        return call(text, source, target)
+
+    return limited
+
+
 def passes_guards(c: Column, guards: list[dict] | None) -> Column:
-    """Whether a text is to be translated: it has a letter, and matches no pattern, where the guards ask for that."""
+    """Whether a text is to be translated: it has a letter, and matches no pattern, where the guards ask for that. What is no mapping is no guard."""
+    if guards is not None and not isinstance(guards, (list, tuple)):
+        raise ValueError("guards are a list")
     keep = F.lit(True)
     for guard in guards or ():
+        if not isinstance(guard, dict):
+            continue
         kind = guard.get("kind")
         if kind == "no_letters":
             keep &= c.rlike(r"\p{L}")

@@ -3,22 +3,31 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from datetime import datetime, timezone
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
 def read_source(spark: SparkSession, kind: str, path: str | None = None, remote: str | None = None, prefer_local: bool = False, max_rows: int = 0) -> DataFrame:
-    """A dataset by policy: `disk`, `remote`, or `auto` (remote where one is named, unless local is preferred). Remote names are Parquet paths here."""
+    """A dataset by policy: `disk`, `remote`, or `auto` (remote where one is named, unless local is preferred). A remote name is one that is registered, or a Parquet path. A path that is not there is an error before any job."""
     if kind not in ("auto", "remote", "disk"):
         raise ValueError(f"unknown kind {kind!r}")
     use = remote if kind == "remote" or kind == "auto" and remote and not (prefer_local and path) else path
     if not use:
         raise FileNotFoundError(f"no path for a source of kind {kind!r}")
-    df = spark.read.parquet(use)
+    if use in REMOTES and use == remote:
+        df = REMOTES[use](spark)
+    else:
+        at = spark._jvm.org.apache.hadoop.fs.Path(use)
+        if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            raise FileNotFoundError(use)
+        df = spark.read.parquet(use)
     return df.where(F.col("row_idx") < max_rows) if max_rows > 0 else df
 
 
@@ -61,6 +70,79 @@ def read_records(spark: SparkSession, path: str, schema: StructType | str) -> Da
     return spark.read.schema(schema).json(path) if at.getFileSystem(conf).exists(at) else spark.createDataFrame([], schema)
 
 
+def read_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """JSON lines with their place, in the column `line`: of two records of a key the later line is the greater. A missing file is an empty table."""
+    conf = spark._jsc.hadoopConfiguration()
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    kind = schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+    if not at.getFileSystem(conf).exists(at):
+        return spark.createDataFrame([], kind).withColumn("line", F.lit(None).cast("struct<file:string,block:bigint,row:bigint>"))
+    # blocks of a file are in order, and so are the lines that one task reads of a block
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    rows = spark.read.text(path).select("value", place.alias("line")).where("trim(value) <> ''")
+    return rows.select(F.from_json("value", kind).alias("r"), "line").select("r.*", "line")
+
+
+#: name -> (offset, length) -> rows of a dataset that is served page by page, and name -> rows in all.
+PAGES: dict[str, tuple[Callable[[int, int], list[dict]], Callable[[], int]]] = {}
+#: name -> a dataset that some service loads.
+REMOTES: dict[str, Callable[[SparkSession], DataFrame]] = {}
+
+
+def register_pages(name: str, fetch: Callable[[int, int], list[dict]], total: Callable[[], int]) -> None:
+    PAGES[name] = (fetch, total)
+
+
+def register_remote(name: str, load: Callable[[SparkSession], DataFrame]) -> None:
+    REMOTES[name] = load
+
+
+def read_pages(spark: SparkSession, name: str, schema: str, split: str = "train", size: int = 100, max_rows: int = 0) -> DataFrame:
+    """A paged dataset with split and row_idx: a page is a row of the plan, so pages are fetched where there is room and again where a task is lost."""
+    fetch, total = PAGES[name]
+    n = min(total(), max_rows) if max_rows > 0 else total()
+    kind = spark.createDataFrame([], schema).schema
+    names = [f.name for f in kind]
+    out = StructType([StructField("split", StringType()), StructField("row_idx", LongType()), *kind.fields])
+    arrow = to_arrow_schema(out)
+
+    def run(batches):
+        for batch in batches:
+            for page in batch.column(0).to_pylist():
+                start = page * size
+                rows = fetch(start, min(size, n - start))
+                columns = [[split] * len(rows), list(range(start, start + len(rows))), *([r.get(c) for r in rows] for c in names)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    pages = -(-n // size)
+    return spark.range(0, pages, 1, max(1, min(pages, 200))).mapInArrow(run, out)
+
+
+def cached_columns(spark: SparkSession, files: list[str], columns: list[str], cache: str, retries: int = 3) -> DataFrame:
+    """The named columns of Parquet files, each once, from a copy of them alone that is made when they are first asked for."""
+    import hashlib
+    import uuid
+
+    wanted = list(dict.fromkeys(columns))
+    to = f"{cache}/{hashlib.sha256(json.dumps([files, sorted(wanted)]).encode()).hexdigest()[:20]}"
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(to).getFileSystem(conf)
+    for attempt in range(retries + 1):
+        if fs.exists(at(f"{to}/_SUCCESS")):
+            break
+        staged = f"{to}.{uuid.uuid4().hex[:8]}"
+        try:
+            spark.read.parquet(*files).select(*wanted).write.parquet(staged)
+            fs.delete(at(to), True)
+            fs.rename(at(staged), at(to))
+        except Exception:
+            fs.delete(at(staged), True)
+            if attempt == retries:
+                raise
+    return spark.read.parquet(to).select(*wanted)
+
+
 def read_plan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
