@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from .components import connected_components
-from .shared import Scratch, map_arrow, release
+from .shared import Scratch, map_arrow, release, sliced
 
 #: Production size: at a similarity of 0.8 a pair shares no band with a probability of (1 - 0.8**4)**32 = 5e-8.
 BANDS, ROWS = 32, 4
@@ -144,7 +144,7 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
             "sketch": [next(sketches).tobytes() if x else None for x in with_set],
         }
 
-    return map_arrow(docs, run, "doc_id long, text_hash long, n_shingles long, set_key binary, bands array<long>, sketch binary", most=4 << 20)
+    return map_arrow(docs, run, "doc_id long, text_hash long, n_shingles long, set_key binary, bands array<long>, sketch binary", most=2 << 20)
 
 
 def least_equal(hashes: int, similarity: float) -> int:
@@ -185,18 +185,19 @@ def beside_pivots(pairs: DataFrame, texts: DataFrame, shingle: int, each: Callab
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, own = None, set()
         for batch in batches:
-            out = []
-            for left, right, text in zip(*(batch.column(c).to_pylist() for c in ("a", "node", "text")), strict=True):
-                found = shingle_set(text, shingle)
-                if left == right:
-                    pivot, own = left, found
-                    continue
-                assert pivot == left, "a member came before its pivot"
-                said = each(own, found)
-                if said is not None:
-                    out.append((left, right, *said))
-            columns = zip(*out, strict=True) if out else [[]] * len(arrow)
-            yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, arrow, strict=True)], schema=arrow)
+            for part in sliced([batch], most=1 << 20):
+                out = []
+                for left, right, text in zip(*(part.column(c).to_pylist() for c in ("a", "node", "text")), strict=True):
+                    found = shingle_set(text, shingle)
+                    if left == right:
+                        pivot, own = left, found
+                        continue
+                    assert pivot == left, "a member came before its pivot"
+                    said = each(own, found)
+                    if said is not None:
+                        out.append((left, right, *said))
+                columns = zip(*out, strict=True) if out else [[]] * len(arrow)
+                yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, arrow, strict=True)], schema=arrow)
 
     return dealt.mapInArrow(run, kind)
 
@@ -248,7 +249,7 @@ def linkable(described: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, doc_id: str = "doc_id", text: str = "text", scratch: Scratch | None = None, own_ids: bool = False) -> DataFrame:
     """Groups of documents linked by a Jaccard similarity of word shingles of at least percent / 100.
 
     1. Documents of equal sets are one class, a node from here on.
@@ -266,10 +267,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     Null, empty and blank texts have no set and are linked with nothing. Rows that share a doc_id are one document's, with
     the links of all their texts; a row without doc_id is linked with nothing and has no component. An empty table gives
     no rows. Extra columns are not read. Columns: doc_id, n_shingles, component_id, kept (doc_id = component_id; true
-    without doc_id).
+    without doc_id). The result is written in `scratch`; all other tables are deleted. own_ids: every row has a doc_id of its
+    own, so texts are found by it alone, which moves none of a table that is laid out by it.
     """
-    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "minhash")
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    spark, scratch = docs.sparkSession, scratch or Scratch(docs.sparkSession, "minhash")
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("text_hash", F.lit(0).cast("long") if own_ids else F.xxhash64("text"))
     signed = scratch.keep(signatures(source, shingle, bands, rows), "signed")
     with_set = signed.where("set_key is not null and doc_id is not null")
     grouped = with_set.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.min("doc_id").alias("least"))
@@ -284,8 +286,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     live = scratch.keep(live.drop("n").join(ids, "node"), "live")
     scratch.drop("in-buckets")
     sketches = scratch.keep(reps.join(ids, "node", "left_semi").dropDuplicates(["node"]).select("node", "n_shingles", "sketch"), "sketches")
-    wanted = classes.join(ids, "node", "left_semi").select("node", F.col("least").alias("doc_id"), "text_hash")
-    texts = scratch.keep(source.join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["node"]).select("node", "text"), "texts")
+    # written, so that its size is known: where it is small, no text is moved to find them
+    wanted = scratch.keep(classes.join(ids, "node", "left_semi").select("node", F.col("least").alias("doc_id"), "text_hash"), "wanted")
+    near_texts = source.join(wanted.drop("text_hash"), "doc_id") if own_ids else source.join(wanted, ["doc_id", "text_hash"])
+    texts = scratch.keep(near_texts.dropDuplicates(["node"]).select("node", "text"), "texts")
     # a doc_id of several texts joins their classes
     of_several = with_set.join(classes.select("node", "set_key"), "set_key").groupBy("doc_id").agg(F.min("node").alias("u"), F.collect_set("node").alias("nodes")).where("size(nodes) > 1")
     labels = Labels(scratch, of_several.select("u", F.explode("nodes").alias("v")))
@@ -335,7 +339,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     of_class = classes.join(moved, "set_key", "left").select("set_key", F.coalesce("component", "least").alias("component"))
     found = signed.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
     component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    found = found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    out = scratch.keep(found, "found")
+    scratch.clear("found")
+    release(spark)
+    return out
 
 
 class Labels:

@@ -15,9 +15,11 @@ SLICE_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. A folder of this machine is made only where the session names none."""
+    """The folder all executors share. Where the session names none, a folder of this machine is made, if all tasks run on it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
         found = tempfile.mkdtemp(prefix="dialoom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -36,6 +38,22 @@ class Scratch:
         (writer.partitionBy(by) if by else writer).parquet(to)
         return self.spark.read.schema(df.schema).parquet(to)
 
+    def keep_bucketed(self, df: DataFrame, key: str, name: str) -> DataFrame:
+        """Write df laid out by the hash of a key and read it back: what joins it by that key moves to it, and it is moved no more.
+
+        The layout is only known through a table of the catalogue, which `forget` takes out again once all plans are made.
+        """
+        written = self.keep(df, f"{name}-loose")
+        buckets, table = max(8, 2 * written.rdd.getNumPartitions()), f"{name}_{self.root.rsplit('-', 1)[1]}"
+        written.repartition(buckets, key).write.option("compression", "zstd").option("path", f"{self.root}/{name}").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+        self.drop(f"{name}-loose")
+        release(self.spark)
+        return self.spark.table(table)
+
+    def forget(self, name: str) -> None:
+        """Take a bucketed table out of the catalogue. Its files stay until the results that read them are written."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}_{self.root.rsplit('-', 1)[1]}")
+
     def drop(self, *names: str) -> None:
         """Delete written tables that nothing reads any more."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
@@ -44,6 +62,17 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+    def clear(self, *but: str) -> None:
+        """Delete all written tables but the named ones, which lazy results may still read."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            for entry in fs.listStatus(path):
+                if entry.getPath().getName() not in but:
+                    fs.delete(entry.getPath(), True)
+
+
 def text_array(column: pa.Array) -> pa.LargeBinaryArray:
     """A string column as bytes with 64-bit offsets; null becomes empty."""
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column

@@ -214,7 +214,7 @@ def merged(intervals: list[tuple[int, int]], width: int) -> list[tuple[int, int]
     return [(a, b) for a, b in out]
 
 
-def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """Every document without the bytes that are covered by a string of `width` bytes that also starts anywhere else.
 
     Every string of `width` bytes belongs to one suffix of the cover sample, by its content alone. Suffixes are dealt
@@ -230,18 +230,12 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
     """
     if width < 2 * GRAM:
         raise ValueError(f"width is at least {2 * GRAM}")
-    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "substrings")
+    spark, scratch = docs.sparkSession, scratch or Scratch(docs.sparkSession, "substrings")
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
     rest = F.struct(*others) if others else F.lit(None).cast("struct<none:int>")
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), rest.alias("rest"))
     # one table with row numbers, laid out by them: what joins it later moves to the texts, not the texts to it
-    name = "substrings_" + scratch.root.rsplit("-", 1)[1]
-    rows = scratch.keep(rows, "rows")
-    buckets = max(8, 2 * rows.rdd.getNumPartitions())
-    rows.repartition(buckets, "row_id").write.option("compression", "zstd").option("path", f"{scratch.root}/texts").bucketBy(buckets, "row_id").sortBy("row_id").saveAsTable(name)
-    scratch.drop("rows")
-    release(spark)
-    texts = spark.table(name)
+    texts = scratch.keep_bucketed(rows, "row_id", "texts")
 
     def sample(batches):
         from .shared import sliced
@@ -321,6 +315,9 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
     for part in small:
         settled.append(part.repartition("h").sortWithinPartitions("h").mapInArrow(sort_buckets, "row_id long, lo long, hi long"))
     intervals = functools.reduce(DataFrame.unionByName, settled).groupBy("row_id").agg(F.collect_list(F.struct("lo", "hi")).alias("intervals"))
+    intervals = scratch.keep(intervals, "intervals")
+    scratch.clear("texts", "intervals")
+    release(spark)
     with_intervals = texts.join(intervals, "row_id", "left").select("doc_id", "text", "rest", "intervals")
 
     def cut(batches):
@@ -343,7 +340,6 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
             types = {"text": pa.string(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "spans": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), "kept_sha256": pa.string()}
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(out[c], t) for c, t in types.items()), batch.column("rest")], names=["doc_id", *types, "rest"])
 
-    # its files stay until the result is read; the catalogue has no use for it
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    scratch.forget("texts")
     kinds = dict(with_intervals.dtypes)
     return with_intervals.mapInArrow(cut, f"doc_id {kinds['doc_id']}, text string, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept_sha256 string, rest {kinds['rest']}")
