@@ -30,6 +30,8 @@ SURPRISE = 3.0
 COST = 1.0  # of a training string on the wrong side of its margin
 #: Letters whose subsequences are in memory at once.
 CHUNK = 1 << 15
+#: Bytes of texts that a worker scores at once.
+SLICE = 1 << 18
 #: Between words; sentences begin and end with it too.
 MARK = "_"
 #: What ends a sentence.
@@ -145,33 +147,45 @@ def features(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def kernel_with(strings: list[str], landmarks: list[str]) -> np.ndarray:
     """(strings, landmarks): the subsequence kernel."""
-    of, at, weight = features(landmarks)
-    known, place = np.unique(at, return_inverse=True)
-    table = np.zeros((len(known) + 1, len(landmarks)), np.float32)
-    np.add.at(table, (place, of), weight)
-    out = np.zeros((len(strings), len(landmarks)))
-    for first in range(0, len(strings), 500):
-        of, at, weight = features(strings[first : first + 500])
-        row = np.searchsorted(known, at)
-        row[(row == len(known)) | (known[np.minimum(row, len(known) - 1)] != at)] = len(known)
-        seen = row < len(known)
-        order = np.argsort(of[seen], kind="stable")
-        of, row, weight = of[seen][order], row[seen][order], weight[seen][order]
-        if len(of):
-            starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-            out[first + of[starts]] = np.add.reduceat(table[row] * weight[:, None].astype(np.float32), starts, axis=0)
+    blocks = []
+    for first in range(0, len(landmarks), 64):
+        part = landmarks[first : first + 64]
+        of, at, weight = features(part)
+        known, place = np.unique(at, return_inverse=True)
+        table = np.zeros((len(known), len(part)), np.float32)
+        np.add.at(table, (place, of), weight)
+        blocks.append((first, known, table))
+    out = np.zeros((len(strings), len(landmarks)), np.float32)
+    for begin in range(0, len(strings), 500):
+        of, at, weight = features(strings[begin : begin + 500])
+        order = np.argsort(of, kind="stable")
+        of, at, weight = of[order], at[order], weight[order].astype(np.float32)
+        for first, known, table in blocks:
+            row = np.minimum(np.searchsorted(known, at), len(known) - 1)
+            seen = known[row] == at
+            mine = of[seen]
+            if len(mine):
+                starts = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
+                out[begin + mine[starts], first : first + table.shape[1]] = np.add.reduceat(table[row[seen]] * weight[seen, None], starts, axis=0)
     return out
 
 
 def support_vectors(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> np.ndarray:
     """A linear support vector machine (squared hinge, L2) by finite Newton steps: ridge regression on the rows inside the margin, until they stay the same. The last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    weights, inside = np.zeros(x.shape[1]), np.ones(len(x), bool)
+    n, width = x.shape
+    weights, inside = np.zeros(width + 1), np.ones(n, bool)
     for _ in range(rounds):
-        mine = x[inside] * cost[inside, None]
-        target = np.linalg.solve(x[inside].T @ mine + np.eye(x.shape[1]) * 0.5, mine.T @ y[inside])
+        gram, side = np.eye(width + 1) * 0.5, np.zeros(width + 1)
+        rows = np.flatnonzero(inside)
+        for first in range(0, len(rows), 2000):
+            at = rows[first : first + 2000]
+            part = np.hstack([x[at], np.ones((len(at), 1))]).astype(np.float64)
+            weighted = part * cost[at, None]
+            gram += part.T @ weighted
+            side += weighted.T @ y[at]
+        target = np.linalg.solve(gram, side)
         weights = target if not weights.any() else 0.3 * weights + 0.7 * target
-        now = y * (x @ weights) < 1
+        now = y * (x @ weights[:-1] + weights[-1]) < 1
         if (now == inside).all():
             break
         inside = now
@@ -264,11 +278,11 @@ def fit_strings(positive: list[str], negative: list[str]) -> ToxicityModel:
     draw = np.random.default_rng(8)
     pick = lambda strings: [strings[i] for i in sorted(draw.permutation(len(strings))[:LANDMARKS].tolist())]
     landmarks = list(dict.fromkeys(pick(positive) + pick(negative)))
-    values, vectors = np.linalg.eigh(kernel_with(landmarks, landmarks))
+    values, vectors = np.linalg.eigh(kernel_with(landmarks, landmarks).astype(np.float64))
     good = values > 1e-4 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-    found = support_vectors(kernel_with(positive + negative, landmarks) @ root, y, np.where(y > 0, COST * max(1.0, len(negative) / len(positive)) ** 0.5, COST))
+    found = support_vectors(kernel_with(positive + negative, landmarks) @ root.astype(np.float32), y, np.where(y > 0, COST * max(1.0, len(negative) / len(positive)) ** 0.5, COST))
     beta = root @ found[:-1]
     of, at, weight = features(landmarks)
     keys, place = np.unique(at, return_inverse=True)
@@ -312,7 +326,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         shared = spark.sparkContext.broadcast(model)
 
         def run(batches):
-            for batch in sliced(batches, most=1 << 20):
+            for batch in sliced(batches, most=SLICE):
                 margins, strings = shared.value.best(batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(margins), pa.array(strings, pa.string())], names=["toxic", "margin", "string"])
 
@@ -351,7 +365,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 def count_subsequences(batches):
     """Texts of a partition that have each subsequence without gaps, by label."""
     found = np.zeros((2, BUCKETS), np.int32)
-    for batch in sliced(batches, most=1 << 20):
+    for batch in sliced(batches, most=SLICE):
         letters = Letters.of(batch.column("text").to_pylist())
         if len(letters.codes) < LETTERS:
             continue
@@ -379,7 +393,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel, text: str = "text", score
     source = docs.select(*(F.col(f"`{c}`") for c in columns))
 
     def run(batches):
-        for batch in sliced(batches, text, 1 << 20):
+        for batch in sliced(batches, text, SLICE):
             found = shared.value.scores(batch.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*columns, score])
 
