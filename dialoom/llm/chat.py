@@ -92,6 +92,6 @@ def chat_digests(chats: DataFrame) -> DataFrame:
 
 def with_probe(conversations: DataFrame) -> DataFrame:
     """The conversations and one that says the control strings of another template."""
-    rows = [(PROBE_ID, 0, "user", PROBE_TEXT), (PROBE_ID, 1, LOSS_ROLE, PROBE_TEXT)]
-    probe = conversations.sparkSession.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turn = F.col("id")
+    probe = conversations.sparkSession.range(2).select(F.lit(PROBE_ID).cast("long").alias("conv_id"), turn.alias("turn"), F.when(turn == 0, "user").otherwise(LOSS_ROLE).alias("role"), F.lit(PROBE_TEXT).alias("text"))
     return conversations.select("conv_id", "turn", "role", "text").unionByName(probe)
