@@ -45,6 +45,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- DuckDB forms of the text functions ---------------------------------------------------------------------------
 
+# Fixed values, written out for the oracles alone, so that a slip in the functions' own shows.
+SIGNAL = ["a", "am", "an", "and", "are", "be", "can", "could", "do", "does", "for", "have", "how", "i", "is", "it", "may", "my", "need", "not", "of", "offer", "on", "please", "should", "that", "the", "then", "this", "to", "try", "we", "what", "where", "will", "with", "you", "your"]
+RESIDUE = ["are", "can", "could", "does", "have", "how", "need", "please", "should", "that", "then", "this", "try", "what", "where", "will", "with", "would", "you", "your"]
+CONNECTORS = ["a", "am", "an", "and", "as", "by", "da", "das", "de", "del", "do", "dos", "du", "for", "i", "in", "la", "le", "n", "of", "on", "or", "the", "to"]
+DIALOGUE = ["am", "are", "can", "could", "did", "do", "does", "had", "has", "have", "he", "i", "it", "know", "like", "love", "my", "need", "she", "tell", "that", "they", "think", "this", "want", "was", "we", "were", "would", "you", "your"]
+LABEL_WORDS = ["hth", "output", "source"]
+URL_RE = r"(?i)\b(?:https?://|www\.)\S+"
+EMAIL_RE = r"(?i)\b[\w.+-]+@[\w.-]+\.[a-z]{2,}\b"
+EXTENSION_RE = r"(?i)\.(?:7z|avif|bmp|csv|doc|docx|gif|gz|htm|html|jpeg|jpg|json|pdf|png|ppt|pptx|tar|tsv|txt|webp|xls|xlsx|xml|zip)\b"
+ATTACHMENT_RE = r"(?i)^\s*`?[^()\n]{0,180}\.(?:7z|avif|bmp|csv|doc|docx|gif|gz|htm|html|jpeg|jpg|json|pdf|png|ppt|pptx|tar|tsv|txt|webp|xls|xlsx|xml|zip)\s*(?:\([^)]*\))?\s*$"
+BARE_PATH_RE = r"(?i)^\s*(?:[\w.-]+/)+[\w./-]+\s*$"
+HASH_RE = r"(?i)^[a-f0-9]{16,}$|^[a-z0-9_-]{24,}$"
+HASH_TOKEN_RE = r"(?i)\b[a-f0-9]{16,}\b|\b[a-z0-9_-]{24,}\b"
+PATH_FRAGMENT_RE = r"(?i)(?:/[\w.+-]+){2,}"
+HANDLE_RE = "handle"  # RE2 has no look-behind: `without` writes it out
+TAG_RE = r"(?s)<[^>]+>"
+BACKTICK_RE = r"(?s)```.*?```|`[^`]+`"
+LATEX_RE = r"(?s)\$[^$]+\$"
+COMMAND_RE = r"(?i)(?:^|\s)(?:awk|df|ffmpeg|localedef|mkfs|sudo|umount)\b"
+MARKER_RE = r"\[[^\[\]\n]{1,120}\]|\{[^{}\n]{1,120}\}|<[/]?[A-Za-z][^>\n]{0,120}>"
+ENTITY_RE = r"&(?:[A-Za-z]{2,16}|#[0-9]{2,7}|#x[0-9A-Fa-f]{2,6});"
+
 
 def quoted(words: list[str]) -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
@@ -54,11 +76,6 @@ def lit(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
-def ascii_flags(pattern: str) -> str:
-    """A pattern for an engine whose classes are not Unicode-aware by flag, and that has no look-behind."""
-    return pattern.replace("(?iU)", "(?i)").replace("(?Us)", "(?s)").replace("(?U)", "")
-
-
 def strip_sql(c: str) -> str:
     return rf"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
 
@@ -80,11 +97,11 @@ def hits_sql(c: str, words: list[str]) -> str:
 
 
 def has_sql(c: str, pattern: str) -> str:
-    return f"regexp_matches({c}, {lit(ascii_flags(pattern))})"
+    return f"regexp_matches({c}, {lit(pattern)})"
 
 
 def markers_sql(c: str) -> str:
-    return rf"list_transform(list_filter(regexp_extract_all({c}, {lit(T.MARKER)}), lambda m: m[1] = '<' or regexp_matches(m[2:-2], '[0-9_:/]')), lambda m: translate(m, '–— ', '--'))"
+    return rf"list_transform(list_filter(regexp_extract_all({c}, {lit(MARKER_RE)}), lambda m: m[1] = '<' or regexp_matches(m[2:-2], '[0-9_:/]')), lambda m: translate(m, '–— ', '--'))"
 
 
 def technical_sql(c: str) -> str:
@@ -92,27 +109,27 @@ def technical_sql(c: str) -> str:
 
     def without(x: str, *patterns: str) -> str:
         for p in patterns:
-            x = rf"regexp_replace({x}, '(^|[^\w.])@[\w.-]+', '\1', 'g')" if p == T.HANDLE else f"regexp_replace({x}, {lit(ascii_flags(p))}, '', 'g')"
+            x = rf"regexp_replace({x}, '(^|[^\w.])@[\w.-]+', '\1', 'g')" if p == HANDLE_RE else f"regexp_replace({x}, {lit(p)}, '', 'g')"
         return x
 
-    whole = lambda x, p: f"regexp_full_match({x}, {lit(ascii_flags(p))})"
+    whole = lambda x, p: f"regexp_full_match({x}, {lit(p)})"
     edges = lambda x, marks: "trim(" + x + ", " + lit(marks) + ")"
     share = rf"length(regexp_replace({s}, '[\p{{L}}\s]', '', 'g')) / greatest(1, length({s}))"
-    unlabelled = lambda x: f"list_filter({tokens_sql(x)}, lambda t: not list_contains({quoted(T.TECHNICAL_LABELS)}, t))"
+    unlabelled = lambda x: f"list_filter({tokens_sql(x)}, lambda t: not list_contains({quoted(LABEL_WORDS)}, t))"
     parts = rf"list_filter(list_transform(regexp_split_to_array({s}, '\s+'), lambda p: {edges('p', '()[]{}:;,!?' + chr(34) + chr(39) + '`')}), lambda p: p <> '')"
     model = rf"(len({parts}) between 2 and 8 and regexp_matches({s}, '\p{{Nd}}') and len(list_filter({parts}, lambda p: regexp_matches(p, '^\p{{L}}+$') and p = lower(p) and p <> upper(p) and p <> 'i')) = 0)"
-    context = " or ".join([has_sql(s, p) for p in (T.URL, T.BACKTICK, T.LATEX, T.COMMAND, T.PATH_FRAGMENT)] + [f"contains(lower({s}), '{m}')" for m in ("<code>", "<a ", "href=", "</a>")])
-    semantic = unlabelled(without(s, T.URL, T.EMAIL, T.BACKTICK, T.LATEX, T.TAG, T.HANDLE))
+    context = " or ".join([has_sql(s, p) for p in (URL_RE, BACKTICK_RE, LATEX_RE, COMMAND_RE, PATH_FRAGMENT_RE)] + [f"contains(lower({s}), '{m}')" for m in ("<code>", "<a ", "href=", "</a>")])
+    semantic = unlabelled(without(s, URL_RE, EMAIL_RE, BACKTICK_RE, LATEX_RE, TAG_RE, HANDLE_RE))
     return f"""CASE WHEN {s} = '' THEN ''
-      WHEN {whole(edges(s, "()[]<>" + chr(34) + chr(39) + "`"), T.URL)} OR {whole(s, T.EMAIL)} THEN 'url_or_email'
-      WHEN {without(s, T.URL)} <> '' AND NOT regexp_matches({without(s, T.URL)}, '[\\p{{L}}\\p{{N}}]') THEN 'url_wrapped_punctuation'
-      WHEN {has_sql(s, T.ATTACHMENT)} THEN 'file_attachment' WHEN {has_sql(s, T.BARE_PATH)} THEN 'file_or_path'
-      WHEN {has_sql(s, T.HASH)} THEN 'hash_or_id' WHEN {has_sql(s, T.HASH_TOKEN)} AND {has_sql(s, T.PATH_FRAGMENT)} THEN 'hash_or_id_path'
-      WHEN {model} THEN 'model_or_product_name' WHEN {has_sql(s, T.COMMAND)} AND {share} >= 0.08 THEN 'command_or_shell'
-      WHEN ({has_sql(s, T.LATEX)} OR {has_sql(s, T.BACKTICK)}) AND len({unlabelled(without(s, T.BACKTICK, T.LATEX))}) = 0 THEN 'code_or_latex'
+      WHEN {whole(edges(s, "()[]<>" + chr(34) + chr(39) + "`"), URL_RE)} OR {whole(s, EMAIL_RE)} THEN 'url_or_email'
+      WHEN {without(s, URL_RE)} <> '' AND NOT regexp_matches({without(s, URL_RE)}, '[\\p{{L}}\\p{{N}}]') THEN 'url_wrapped_punctuation'
+      WHEN {has_sql(s, ATTACHMENT_RE)} THEN 'file_attachment' WHEN {has_sql(s, BARE_PATH_RE)} THEN 'file_or_path'
+      WHEN {has_sql(s, HASH_RE)} THEN 'hash_or_id' WHEN {has_sql(s, HASH_TOKEN_RE)} AND {has_sql(s, PATH_FRAGMENT_RE)} THEN 'hash_or_id_path'
+      WHEN {model} THEN 'model_or_product_name' WHEN {has_sql(s, COMMAND_RE)} AND {share} >= 0.08 THEN 'command_or_shell'
+      WHEN ({has_sql(s, LATEX_RE)} OR {has_sql(s, BACKTICK_RE)}) AND len({unlabelled(without(s, BACKTICK_RE, LATEX_RE))}) = 0 THEN 'code_or_latex'
       WHEN len({tokens_sql(s)}) = 0 THEN 'no_text_tokens'
-      WHEN ({context}) AND NOT list_has_any({semantic}, {quoted(T.SIGNAL_WORDS)}) THEN 'technical_context'
-      WHEN ({has_sql(s, T.URL)} OR {has_sql(s, T.EXTENSION)}) AND {hits_sql(s, T.SIGNAL_WORDS)} <= 1 AND {share} >= 0.18 THEN 'url_or_file_context' ELSE '' END"""
+      WHEN ({context}) AND NOT list_has_any({semantic}, {quoted(SIGNAL)}) THEN 'technical_context'
+      WHEN ({has_sql(s, URL_RE)} OR {has_sql(s, EXTENSION_RE)}) AND {hits_sql(s, SIGNAL)} <= 1 AND {share} >= 0.18 THEN 'url_or_file_context' ELSE '' END"""
 
 
 # --- a parallel corpus made from the conversations ----------------------------------------------------------------
@@ -132,8 +149,8 @@ PAIRS = f"""base AS (SELECT role AS split, row_number() OVER (PARTITION BY role
 pairs AS (SELECT split, row_idx, 0 AS pair_ord, 'dialog_fr[' || turn || '].content' AS field, CASE WHEN k = 6 THEN '[slot-1] ' || x ELSE x END AS source,
   CASE k WHEN 0 THEN x WHEN 1 THEN '' WHEN 2 THEN 'fr:' || x WHEN 3 THEN x || ' ' || x || ' ' || x || ' ' || x WHEN 4 THEN left(x, 5) WHEN 5 THEN x || ' &eacute;' WHEN 6 THEN '[slot-2] ' || x ELSE {lit(CONSTANT)} END AS translation FROM base)"""
 FACTS = f"""{PAIRS}, facts AS (SELECT *, {letters_sql('source')} AS sl, {letters_sql('translation')} AS tl, {norm_sql('source')} AS sn, {norm_sql('translation')} AS tn, {technical_sql('source')} AS technical,
-  {hits_sql('source', T.SIGNAL_WORDS)} > 0 AS signal, {markers_sql('source')} AS sm, {markers_sql('translation')} AS tm, {hits_sql('translation', T.RESIDUE_WORDS)} AS residue,
-  len(list_filter(regexp_extract_all(translation, {lit(T.ENTITY)}), lambda e: not list_contains(regexp_extract_all(source, {lit(T.ENTITY)}), e))) AS leaked FROM pairs),
+  {hits_sql('source', SIGNAL)} > 0 AS signal, {markers_sql('source')} AS sm, {markers_sql('translation')} AS tm, {hits_sql('translation', RESIDUE)} AS residue,
+  len(list_filter(regexp_extract_all(translation, {lit(ENTITY_RE)}), lambda e: not list_contains(regexp_extract_all(source, {lit(ENTITY_RE)}), e))) AS leaked FROM pairs),
 marked AS (SELECT *, {strip_sql('source')} <> '' AND {strip_sql('translation')} = '' AS is_empty FROM facts),
 settled AS (SELECT *, CASE WHEN NOT is_empty AND sn = tn AND sn <> '' AND technical <> '' THEN technical END AS suppressed, sl <= 250 AND tl <= 750 AS short FROM marked),
 judged AS (SELECT *, sl >= 12 AND signal AND sn = tn AS unchanged FROM settled),
@@ -172,10 +189,10 @@ def letter_and_token_counts(spark, d):
     return table(spark, d, "documents").select("doc_id", T.letter_count(x).cast("long").alias("letters"), F.size(T.text_tokens(x)).cast("long").alias("tokens"))
 
 
-@query(f"SELECT lang, count(*) AS n, count(*) FILTER ({hits_sql('text', T.SIGNAL_WORDS)} > 0) AS with_signal, sum({hits_sql('text', T.RESIDUE_WORDS)})::BIGINT AS residue FROM documents GROUP BY lang")
+@query(f"SELECT lang, count(*) AS n, count(*) FILTER ({hits_sql('text', SIGNAL)} > 0) AS with_signal, sum({hits_sql('text', RESIDUE)})::BIGINT AS residue FROM documents GROUP BY lang")
 def english_signal_by_lang(spark, d):
     x = F.col("text")
-    return table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.count_if(T.has_english_signal(x)).alias("with_signal"), F.sum(F.size(T.tokens_in(x, T.RESIDUE_WORDS))).alias("residue"))
+    return table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.count_if(T.has_english_signal(x)).alias("with_signal"), F.sum(F.size(T.tokens_in(x, RESIDUE))).alias("residue"))
 
 
 VARIANTS_SQL = """(SELECT page_id, unnest([url, 'see ' || url || ' and the rest', regexp_replace(url, '^https?://', ''), 'report_' || page_id || '.pdf (draft)', 'Model X' || page_id || ' Pro', 'sudo mkfs /dev/sda' || page_id, '`run ' || page_id || '`', md5(page_id::VARCHAR), html, 'user' || page_id || '@example.com', 'Plain words stay here']) AS x FROM pages)"""
@@ -194,15 +211,15 @@ def technical_reason(spark, d):
 
 
 @query(rf"""SELECT doc_id, s <> '' AND NOT regexp_matches(s, '[\n?!]') AND length(s) <= 120 AND (CASE WHEN len(w) = 1 THEN contains(s, '-') OR contains(s, '.')
-  ELSE len(w) BETWEEN 2 AND 10 AND (len(list_filter(w, lambda t: NOT (regexp_matches(t, '^\p{{Lu}}') OR (t = upper(t) AND t <> lower(t)) OR contains(t, '.') OR contains(t, '-') OR list_contains({quoted(T.TITLE_CONNECTORS)}, lower(t))))) = 0
-    OR (len(g) > 0 AND len(list_filter(g, lambda t: NOT list_contains(['am', 'do', 'i', 'n'], t))) = 0) OR {hits_sql('s', T.DIALOGUE_WORDS)} = 0) END) AS title_like
-  FROM (SELECT doc_id, s, list_filter(list_transform(regexp_split_to_array(s, '\s+'), lambda p: trim(p, '()[]{{}}:;,"''`')), lambda p: regexp_matches(p, '\p{{L}}')) AS w, list_filter({tokens_sql('s')}, lambda t: list_contains({quoted(T.SIGNAL_WORDS)}, t)) AS g
+  ELSE len(w) BETWEEN 2 AND 10 AND (len(list_filter(w, lambda t: NOT (regexp_matches(t, '^\p{{Lu}}') OR (t = upper(t) AND t <> lower(t)) OR contains(t, '.') OR contains(t, '-') OR list_contains({quoted(CONNECTORS)}, lower(t))))) = 0
+    OR (len(g) > 0 AND len(list_filter(g, lambda t: NOT list_contains(['am', 'do', 'i', 'n'], t))) = 0) OR {hits_sql('s', DIALOGUE)} = 0) END) AS title_like
+  FROM (SELECT doc_id, s, list_filter(list_transform(regexp_split_to_array(s, '\s+'), lambda p: trim(p, '()[]{{}}:;,"''`')), lambda p: regexp_matches(p, '\p{{L}}')) AS w, list_filter({tokens_sql('s')}, lambda t: list_contains({quoted(SIGNAL)}, t)) AS g
   FROM (SELECT doc_id, {strip_sql('text')} AS s FROM documents))""")
 def title_like(spark, d):
     return table(spark, d, "documents").select("doc_id", T.is_title_like(F.col("text")).alias("title_like"))
 
 
-@query(f"SELECT page_id, len(regexp_extract_all(html, {lit(T.ENTITY)})) AS entities, len({markers_sql('html')}) AS markers, array_to_string({markers_sql('html')}, ' ') AS all_markers, array_to_string(regexp_extract_all(html, {lit(T.ENTITY)}), ' ') AS all_entities FROM pages")
+@query(f"SELECT page_id, len(regexp_extract_all(html, {lit(ENTITY_RE)})) AS entities, len({markers_sql('html')}) AS markers, array_to_string({markers_sql('html')}, ' ') AS all_markers, array_to_string(regexp_extract_all(html, {lit(ENTITY_RE)}), ' ') AS all_entities FROM pages")
 def entities_and_markers(spark, d):
     x = F.col("html")
     return table(spark, d, "pages").select("page_id", F.size(T.entities(x)).cast("long").alias("entities"), F.size(T.markers(x)).cast("long").alias("markers"), F.array_join(T.markers(x), " ").alias("all_markers"), F.array_join(T.entities(x), " ").alias("all_entities"))
