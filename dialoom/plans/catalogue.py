@@ -601,7 +601,10 @@ def translate_list(spark, d):
     return translate.translate_lists(lists, "turns", "turns_fr", "prefix", keys=("dialogue_id",)).select(F.col("dialogue_id").alias("conv_id"), F.array_join("turns_fr", "\n").alias("joined"))
 
 
-@query()
+_LOG = """'please open ' || event_id || chr(10) || 'Agent: say(speaker="a", utterance="ok")' || chr(10) || 'click(uid=1)'"""
+
+
+@query(f"SELECT event_id AS row_idx, 'User: ' || {_LOG} AS query, 'User: fr:' || {_LOG} AS translation, '' AS error FROM events")
 def translate_action_logs(spark, d):
     events = table(spark, d, "events").select(F.col("event_id").alias("row_idx"), F.concat(F.lit("User: please open "), F.col("event_id").cast("string"), F.lit("\nAgent: say(speaker=\"a\", utterance=\"ok\")\nclick(uid=1)")).alias("query"))
     return translate.action_logs(events, "query", "prefix", keys=("row_idx",))
