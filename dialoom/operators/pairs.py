@@ -43,13 +43,13 @@ def keyed(df: DataFrame, order: list[str], split: str | None = None, blocks: int
     starts = [r for _, r in places[:: max(1, len(places) // blocks)]][1:]
     literal = lambda r: F.struct(*(F.lit(x).cast(f.dataType).alias(f.name) for x, f in zip(r, kind, strict=True)))
     block = F.size(F.filter(F.array(*map(literal, starts)), lambda s: s <= place)) if starts else F.lit(0)
-    dealt = df.withColumn("_block", block)
-    counts = dealt.groupBy("split", "_block").agg(F.count("*").alias("_n"))
-    earlier = F.sum("_n").over(Window.partitionBy("split").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("split", "_block", F.coalesce(earlier, F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("split", "_block").orderBy(*order)) - 1
-    numbered = dealt.withColumn("_inside", inside).join(offsets.select(F.col("split").alias("_split"), F.col("_block").alias("_at"), "_offset"), F.col("split").eqNullSafe(F.col("_split")) & (F.col("_block") == F.col("_at")))
-    return numbered.withColumn("row_idx", (F.col("_offset") + F.col("_inside")).cast("long")).select(*df.columns, "row_idx")
+    dealt = df.withColumn("_keyed_block", block)
+    counts = dealt.groupBy("split", "_keyed_block").agg(F.count("*").alias("_keyed_n"))
+    earlier = F.sum("_keyed_n").over(Window.partitionBy("split").orderBy("_keyed_block").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("split", "_keyed_block", F.coalesce(earlier, F.lit(0)).alias("_keyed_offset"))
+    inside = F.row_number().over(Window.partitionBy("split", "_keyed_block").orderBy(*order)) - 1
+    numbered = dealt.withColumn("_keyed_inside", inside).join(offsets.select(F.col("split").alias("_keyed_split"), F.col("_keyed_block").alias("_keyed_at"), "_keyed_offset"), F.col("split").eqNullSafe(F.col("_keyed_split")) & (F.col("_keyed_block") == F.col("_keyed_at")))
+    return numbered.withColumn("row_idx", (F.col("_keyed_offset") + F.col("_keyed_inside")).cast("long")).select(*df.columns, "row_idx")
 
 
 def aligned(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -33,15 +33,17 @@ def per_split(rows: DataFrame, k: int, seed: int = 42, splits: list[str] | None
 
 
 def stratified(rows: DataFrame, by: str, k: int, seed: int = 42) -> DataFrame:
-    """k rows of every value in every split (0: none), with the value's count over all splits."""
-    sizes = sorted((r.split, str(r.value), r.n) for r in rows.groupBy("split", F.col(by).cast("string").alias("value")).agg(F.count("*").alias("n")).collect())
+    """k rows of every value in every split (0: none), with the value's count over all splits. Places inside a value are numbered in blocks (see keyed)."""
+    valued = rows.withColumn("value", F.col(by).cast("string"))
+    pooled = valued.withColumn("_pool", F.to_json(F.struct("split", "value")))
+    sizes = sorted((r.split, str(r.value), r._pool, r.n) for r in pooled.groupBy("split", "value", "_pool").agg(F.count("*").alias("n")).collect())
     draw, picks = random.Random(seed), []
-    for split, value, n in sizes:
-        picks += [(split, value, i) for i in sorted(draw.sample(range(n), min(k, n)))]
-    totals = rows.groupBy(F.col(by).cast("string").alias("value")).agg(F.count("*").alias("group_count"))
-    at = rows.withColumn("value", F.col(by).cast("string")).withColumn("place", (F.row_number().over(Window.partitionBy("split", "value").orderBy("row_idx")) - 1).cast("long"))
-    chosen = with_picks(at, picks, "split string, value string, place long")
-    return chosen.join(totals, "value").drop("place")
+    for _, _, pool, n in sizes:
+        picks += [(pool, i) for i in sorted(draw.sample(range(n), min(k, n)))]
+    totals = valued.groupBy("value").agg(F.count("*").alias("group_count"))
+    placed = keyed(pooled.withColumnsRenamed({"split": "_split", "row_idx": "_row"}), ["_row"], "_pool")
+    chosen = with_picks(placed, picks, "split string, row_idx long").drop("split", "row_idx", "_pool").withColumnsRenamed({"_split": "split", "_row": "row_idx"})
+    return chosen.join(totals, chosen["value"].eqNullSafe(totals["value"])).drop(totals["value"])
 
 
 def interleaved(rows: DataFrame, pool: str, order: str, total: int) -> DataFrame:
