@@ -128,6 +128,22 @@ def test_benchmark_samples(spark, per_pair, total, thresholds):
     assert sorted(tuple(r) for r in found) == sorted(benchmark_by_force(rows, per_pair, total, thresholds, 7))
 
 
+def test_stratified_samples(spark):
+    """Drawn as with lists in memory, null values included."""
+    source = random.Random(4)
+    rows = [(source.choice("ab"), source.choice(["x", "y", None]), i) for i in range(90)]
+    table = keyed(spark.createDataFrame(rows, "s string, kind string, id long"), ["id"], "s")
+    pools, totals = {}, Counter(str(k) for _, k, _ in rows)
+    for s, k, i in rows:
+        pools.setdefault((s, str(k)), []).append(i)
+    draw, expected = random.Random(42), []
+    for s, k in sorted(pools):
+        mine = pools[s, k]
+        expected += [(s, k, mine[i], totals[k]) for i in draw.sample(range(len(mine)), min(5, len(mine)))]
+    found = [(r.split, str(r.kind), r.id, r.group_count) for r in sampling.stratified(table, "kind", 5).collect()]
+    assert sorted(found) == sorted(expected)
+
+
 def test_samples_of_everything(spark):
     rows = keyed(spark.createDataFrame([(i, "ab"[i % 2]) for i in range(20)], "id long, s string"), ["id"], "s")
     assert sampling.per_split(rows, 0).count() == 20 and sampling.per_split(rows, 0, splits=["a"]).count() == 10
