@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -21,6 +22,10 @@ CACHE_WORDS = 200_000
 PARTS = 4096
 
 
+#: Texts of many kinds of words and of what is between them, to see if a tokenizer takes words one by one.
+PROBES = ["Plain words, UPPER Case it's don't", "two  spaces", "a  a", "tab\ttab", "line\nline", "\n\n x ", "12 3.14 1,000 a-b_c (x) [y] <z>", "é ÀÉ ｆｕｌｌ 漢字 かな … ... !!", "http://a.b/c?d=e&f x\u0301 \u00a0 end"]
+
+
 class CapacityTree:
     """A segment tree over remaining capacities: the least capacity of at least n that some open bin has."""
 
@@ -105,8 +110,8 @@ def plan_best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[lis
 def word_encoder(tokenizer_file: str):
     """text -> the ids of its words as little-endian unsigned 32-bit integers.
 
-    The tokenizer's pre-tokenizer never matches across a space, tab or line feed, so these cut a text into words that
-    can be encoded, and remembered, one by one.
+    A pre-tokenizer that never matches across a space, tab or line feed lets a text be cut there into words that can be
+    encoded, and remembered, one by one. A tokenizer for which that does not give the ids of some fixed texts encodes whole texts.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from array import array
@@ -117,6 +122,9 @@ def word_encoder(tokenizer_file: str):
     ids_of = lambda texts: [array("I", x.ids).tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
     young: dict[bytes, bytes] = {}
     old: dict[bytes, bytes] = {}
+    by_word = lambda text: b"".join(ids_of([w.encode().lower().decode() for w in re.split(r"[ \t\n]", text)]))
+    if any(by_word(text) != whole for text, whole in zip(PROBES, ids_of(PROBES), strict=True)):
+        return ids_of
 
     def encode(texts: list[str]) -> list[bytes]:
         nonlocal young, old
@@ -168,18 +176,18 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACIT
 
     Best-fit decreasing runs once over the counts of lengths (at most `capacity` of them), which is all that the driver
     needs; pieces then find their place by their rank among those of their length. Ranks are numbered in parts
-    by hash, so a length that most pieces have is not one task.
+    by rows, so a length that most pieces have is not one task, nor are rows of one doc_id or without one.
 
     Null and empty texts are a single END_ID. Repeated rows are packed each. Ties in length go by doc_id and piece. An
     empty table gives no rows. Extra columns are not read.
     Columns: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "packing")
-    pieces = scratch.keep(tokenised_pieces(docs, tokenizer_file, capacity, doc_id, text), "pieces")
+    pieces = scratch.keep(tokenised_pieces(docs, tokenizer_file, capacity, doc_id, text).withColumn("row_id", F.monotonically_increasing_id()), "pieces")
     counts = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
     per_part = max(256, -(-sum(counts.values()) // PARTS))
     parts_of = spark.createDataFrame([(n, -(-c // per_part)) for n, c in counts.items()], "length long, parts long")
-    pieces = pieces.join(F.broadcast(parts_of), "length").withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("parts"))).drop("parts")
+    pieces = pieces.join(F.broadcast(parts_of), "length").withColumn("part", F.pmod(F.xxhash64("row_id"), F.col("parts"))).drop("parts", "row_id")
 
     starts, seen = [], {}
     for r in sorted(pieces.groupBy("length", "part").count().collect(), key=lambda r: (r.length, r.part)):
