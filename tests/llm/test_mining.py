@@ -219,7 +219,7 @@ AUDIT = ("part", "filter_order", "step", "kept", "removed", "redundant", "unique
 
 
 def audit_by_force(rows, labels):
-    good, toxic = ({d for d, *flags in labels if flags[i] == 1} for i in (0, 1))
+    good, toxic = ({d for d, *flags in labels if d is not None and flags[i] == 1} for i in (0, 1))
     least = {}
     for d, t, *_ in rows:
         if d is not None:
