@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from . import config
 from .functions import text as T
 from .operators import align, checks, evaluation, export, fixes, metrics, report, runs, sampling, stats, strategies
+from .operators.answers import AnswerLog
 from .operators.pairs import aligned, inferred_rules, text_pairs
+from .operators.ranges import RangeLog
+from .sources import files
 from .sources.tables import export_all, fingerprints, limited, manifest, push_commands, read_text, renamed_splits, with_passthrough, write_manifest, write_report, write_splits
 
 KEYS = ["split", "row_idx", "pair_ord", "field"]
@@ -55,7 +58,7 @@ def run_check(spark: SparkSession, settings: config.DatasetConfig, source_path:
     suppressed.select(*KEYS, T.truncated(F.col("source")).alias("source"), F.col("suppressed").alias("reason")).write.mode("overwrite").parquet(f"{out}/suppressed")
     metrics.field_rows(checked, more).write.mode("overwrite").parquet(f"{out}/metrics")
     write_report(found, f"{out}/summary.json")
-    Path(out, "report.html").write_text(report.html_page(found, "Translation quality"), encoding="utf-8")
+    files.write_text(spark, f"{out}/report.html", report.html_page(found, "Translation quality"))
     checked.unpersist()
     more.unpersist()
     print(report.text_summary(found))
@@ -73,18 +76,33 @@ def checked_by_rule(every: DataFrame, settings: config.DatasetConfig) -> DataFra
 
 
 def run_translate(spark: SparkSession, settings: config.DatasetConfig, source_path: str, out: str) -> int:
-    """Translate a dataset, with a manifest beside it; 1 if a split failed and that is not allowed, in which case only the records are kept."""
+    """Translate a dataset, with a manifest beside it; 1 if a split failed and that is not allowed, in which case only the records are kept.
+
+    Records are kept by ranges of rows and answers by request, so a run that was ended is taken up where it was: rows of ranges
+    that are there are not read again, and nothing that was answered is sent again. Rows that failed are.
+    """
     source = spark.read.parquet(source_path)
-    languages = {"source": settings.languages[0], "target": settings.languages[1]}
-    records = strategies.translated(source, list(settings.rules), settings.translator, limit=settings.policy.max_rows, retries=settings.policy.retries, sleep=settings.policy.sleep, per_minute=settings.policy.requests_per_minute, concurrency=settings.policy.concurrency, **languages)
-    records.write.mode("overwrite").parquet(f"{out}/records")
-    records = spark.read.parquet(f"{out}/records")
+    rules, policy = list(settings.rules), settings.policy
+    if wrong := strategies.problems(source, rules):
+        raise ValueError("; ".join(wrong))
+    said = json.dumps([[[r.source, r.target, r.strategy, r.options] for r in rules], settings.translator, list(settings.languages), source_path], sort_keys=True)
+    if (files.read_text(spark, f"{out}/run.json") or said) != said:
+        raise ValueError(f"{out} holds a run of other rules, services or rows")
+    files.write_text(spark, f"{out}/run.json", said)
+    rows = source.where(F.col("row_idx") < policy.max_rows) if policy.max_rows > 0 else source
+    answers, log = AnswerLog(spark, f"{out}/answers"), RangeLog(spark, f"{out}/records", policy.batch_size)
+    calls = {"retries": policy.retries, "sleep": policy.sleep, "per_minute": policy.requests_per_minute, "concurrency": policy.concurrency, "source": settings.languages[0], "target": settings.languages[1]}
+    log.run(rows, lambda part: strategies.translated(part, rules, settings.translator, answers=answers, **calls), ended=answers.end)
+    records = log.records()
+    if records is None:  # no rows at all
+        records = strategies.translated(rows, rules, settings.translator, answers=answers, **calls)
     try:
         failed = runs.gated(records, settings.policy.allow_errors)
     except RuntimeError as e:
         print(e)
         return 1
-    kept = records.drop(*settings.drop_columns, "status", "error", "attempts")
+    made = list(dict.fromkeys(r.target for r in rules))
+    kept = runs.materialised(rows, records, made, settings.drop_columns)
     kept = with_passthrough(kept, [(spark.read.parquet(p.path), p.source_split, p.output_split) for p in settings.passthrough])
     write_splits(kept, f"{out}/dataset")
     marks = {r.split: r.fingerprint for r in fingerprints(source).collect()}
@@ -118,7 +136,7 @@ def run_reformat(spark: SparkSession, spec: config.ReformatConfig, source_path:
 
 def run_evaluate(spark: SparkSession, payload: dict, out: str) -> int:
     """Sample, look up, judge; records that are ok are not judged again."""
-    spec = evaluation_from(payload)
+    spec, policy = evaluation_from(payload), config.only(config.JudgePolicy, payload.get("policy", {}))
     inputs = evaluation.load_inputs(spark, spec)
     if wrong := evaluation.preflight(spec, inputs):
         print("\n".join(wrong))
@@ -132,7 +150,7 @@ def run_evaluate(spark: SparkSession, payload: dict, out: str) -> int:
         chosen = sampling.per_split(rows, k, seed).select("split", "row_idx", F.lit("").alias("group_value")).join(sizes, "split")
     tasks = evaluation.evaluation_tasks(chosen, inputs, spec)
     template = read_text(payload["prompt"]) if payload.get("prompt") else evaluation_template
-    records = runs.run_records(spark, tasks, f"{out}/records", ["sample_id"], lambda todo: evaluation.evaluation_records(todo, spec, payload.get("judge", "length"), template, payload.get("model", "")))
+    records = runs.run_records(spark, tasks, f"{out}/records", ["sample_id"], lambda todo: evaluation.evaluation_records(todo, spec, payload.get("judge", "length"), template, payload.get("model", ""), **policy.calls()))
     rows_of = lambda df: [r.asDict() for r in df.collect()]
     found = {"scores": rows_of(stats.evaluation_summary(records, ["field", "split", "sample_group_value"])), "means": rows_of(stats.group_means(records, "sample_group_value", "sample_group_count")), "statuses": rows_of(stats.status_counts(records))}
     write_report(found, f"{out}/summary.json")
@@ -153,12 +171,13 @@ def evaluation_from(payload: dict) -> evaluation.Evaluation:
 def run_benchmark(spark: SparkSession, payload: dict, rows_path: str, out: str) -> int:
     """Judges against human scores: rows (dataset_idx, lp, src, mt, score, and domain and year where filtered by)."""
     lists = ("models", "language_pairs", "domains", "years", "sampling_thresholds", "thresholds", "labels")
-    spec = config.only(config.BenchmarkConfig, {k: tuple(v) if k in lists else v for k, v in payload.items() if k not in ("judge", "prompt", "name")})
+    spec = config.only(config.BenchmarkConfig, {k: tuple(v) if k in lists else v for k, v in payload.items() if k not in ("judge", "prompt", "name", "policy")})
+    policy = config.only(config.JudgePolicy, payload.get("policy", {}))
     rows = sampling.benchmark_rows(spark.read.parquet(rows_path), list(spec.language_pairs), list(spec.domains), list(spec.years), spec.max_source, spec.max_translation)
     chosen = sampling.benchmark_sample(rows, spec.per_pair, spec.total, list(spec.sampling_thresholds), spec.seed)
     labels = list(spec.labels) or [f"bin_{i}" for i in range(len(spec.thresholds) + 1)]
     template = read_text(payload["prompt"]) if payload.get("prompt") else evaluation_template
-    judged = evaluation.benchmark_records(chosen, list(spec.models), payload.get("judge", "length"), template, list(spec.thresholds), labels, payload.get("name", "benchmark"))
+    judged = evaluation.benchmark_records(chosen, list(spec.models), payload.get("judge", "length"), template, list(spec.thresholds), labels, payload.get("name", "benchmark"), **policy.calls())
     judged.write.mode("overwrite").parquet(f"{out}/records")
     found = [r.asDict(recursive=True) for r in stats.benchmark_summary(spark.read.parquet(f"{out}/records"), labels).orderBy("model", F.col("lp").asc_nulls_first()).collect()]
     write_report({"models": found}, f"{out}/summary.json")
@@ -166,9 +185,9 @@ def run_benchmark(spark: SparkSession, payload: dict, rows_path: str, out: str)
     return 0
 
 
-def run_fix(spark: SparkSession, issues_path: str, judge: str, languages: list[str], out: str, most: int) -> int:
+def run_fix(spark: SparkSession, issues_path: str, judge: str, languages: list[str], out: str, most: int, policy: config.JudgePolicy = config.JudgePolicy()) -> int:
     """Suggestions for the fixable issues of a check."""
-    done = fixes.suggestions(fixes.cases(spark.read.parquet(issues_path), most), judge, *languages)
+    done = fixes.suggestions(fixes.cases(spark.read.parquet(issues_path), most), judge, *languages, **policy.calls())
     done.write.mode("overwrite").parquet(f"{out}/suggestions")
     found = fixes.summary(spark.read.parquet(f"{out}/suggestions"))
     write_report(found, f"{out}/summary.json")
@@ -261,7 +280,7 @@ def main(arguments: list[str] | None = None) -> int:
     if args.command == "benchmark-judge":
         return run_benchmark(spark, payload, args.rows, args.out)
     if args.command == "check-fix":
-        return run_fix(spark, args.issues, args.judge, args.languages, args.out, args.max_fixes)
+        return run_fix(spark, args.issues, args.judge, args.languages, args.out, args.max_fixes, config.only(config.JudgePolicy, config.overridden({}, args.set).get("policy", {})))
     return run_upload(spark, args.root, args.upload, args.all, args.out, args.push, args.yes)
 
 

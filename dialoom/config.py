@@ -69,7 +69,6 @@ class RunPolicy:
     sleep: float = 2.0
     batch_size: int = 1000
     requests_per_minute: int = 0
-    max_completion_tokens: int = 200
     max_rows: int = 0
     allow_errors: bool = False
 
@@ -78,6 +77,24 @@ class RunPolicy:
             raise ValueError("concurrency and batch_size are at least 1, retries at least 0")
 
 
+@dataclass(frozen=True)
+class JudgePolicy:
+    """How judges are called. The numbers are fixed values: what a run has that says nothing else."""
+
+    concurrency: int = 48
+    retries: int = 3
+    sleep: float = 5.0
+    requests_per_minute: int = 60
+    max_completion_tokens: int = 200
+
+    def __post_init__(self):
+        if self.concurrency < 1 or self.retries < 0 or self.max_completion_tokens < 1:
+            raise ValueError("concurrency and max_completion_tokens are at least 1, retries at least 0")
+
+    def calls(self) -> dict:
+        return {"retries": self.retries, "sleep": self.sleep, "per_minute": self.requests_per_minute, "concurrency": self.concurrency, "max_tokens": self.max_completion_tokens}
+
+
 @dataclass(frozen=True)
 class Passthrough:
     """A split of another dataset that goes along as it is."""

@@ -192,12 +192,12 @@ def ordered(records: DataFrame) -> DataFrame:
     return records.orderBy("split", F.coalesce("group_value", F.lit("")), "row_idx", "field")
 
 
-def evaluation_records(tasks: DataFrame, spec: Evaluation, judge: str, template: str, model: str = "") -> DataFrame:
-    """A record of every task: its keys, texts, score, comment, status, and what the call used. A failed call is a record too."""
+def evaluation_records(tasks: DataFrame, spec: Evaluation, judge: str, template: str, model: str = "", **policy) -> DataFrame:
+    """A record of every task: its keys, texts, score, comment, status, and what the call used. A failed call is a record too. policy: of the calls, see judged."""
     rows = tasks.withColumns({"source_lang": F.lit(spec.source_lang), "target_lang": F.lit(spec.target_lang), "domain": F.lit(spec.domain)})
     names = {"source_text": "source_text", "translation": "translation", "source_lang": "source_lang", "target_lang": "target_lang", "domain": "domain", "reference_text": "reference_text"}
     names = {k: c for k, c in names.items() if c in rows.columns}
-    done = judged(with_prompt(rows, template, names), judge)
+    done = judged(with_prompt(rows, template, names), judge, **policy)
     failed = F.col("error") != ""
     return done.withColumns({
         "dataset_id": F.lit(spec.dataset_id), "model": F.lit(model), "raw_response": F.coalesce("reply", F.lit("")),
@@ -213,7 +213,7 @@ def usage_columns(reply: Column) -> dict[str, Column]:
     return {"usage_prompt_tokens": tokens["prompt_tokens"], "usage_completion_tokens": tokens["completion_tokens"], "usage_total_tokens": tokens["total_tokens"], "usage_cost": S.reported_cost(body)}
 
 
-def benchmark_records(samples: DataFrame, models: list[str], judge: str, template: str, thresholds: list[float], labels: list[str] | None = None, dataset: str = "", split: str = "") -> DataFrame:
+def benchmark_records(samples: DataFrame, models: list[str], judge: str, template: str, thresholds: list[float], labels: list[str] | None = None, dataset: str = "", split: str = "", **policy) -> DataFrame:
     """Every sample (dataset_idx, lp, src, mt, score) judged by every model, with both scores binned; model by model."""
     spark = samples.sparkSession
     rows = samples.crossJoin(F.broadcast(spark.createDataFrame([(m,) for m in models], "model string")))  # a short list
@@ -221,7 +221,7 @@ def benchmark_records(samples: DataFrame, models: list[str], judge: str, templat
     rows = rows.withColumns({"source_lang": S.language_name(F.get(pair, F.lit(0))), "target_lang": S.language_name(F.get(pair, F.lit(1))), "sample_id": sample_id(F.lit(dataset), F.lit(split), F.col("dataset_idx"))})
     rows = rows.withColumnsRenamed({"src": "source_text", "mt": "translation", "score": "human_score_raw"})
     names = {k: k for k in ("source_text", "translation", "source_lang", "target_lang", "domain", "reference_text") if k in rows.columns}
-    done = judged(with_prompt(rows, template, names), judge).withColumnRenamed("score", "llm_score")
+    done = judged(with_prompt(rows, template, names), judge, **policy).withColumnRenamed("score", "llm_score")
     binned = lambda c: S.score_bin(F.col(c), thresholds, labels)
     return done.withColumns({"human_bin": binned("human_score_raw"), "llm_bin": binned("llm_score"), **usage_columns(F.col("reply"))}).drop("prompt", "reply")
 

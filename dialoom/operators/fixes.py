@@ -33,11 +33,11 @@ def cases(issues: DataFrame, most: int = -1) -> DataFrame:
     return found if most < 0 else found.orderBy("split", "row_idx", "field", "code", "message").limit(most)
 
 
-def suggestions(found: DataFrame, judge: str, source_lang: str, target_lang: str, domain: str = "general", template: str = TEMPLATE) -> DataFrame:
+def suggestions(found: DataFrame, judge: str, source_lang: str, target_lang: str, domain: str = "general", template: str = TEMPLATE, **policy) -> DataFrame:
     """A row for each case: suggestion_id, status (ok, error, parse_error), suggestion, confidence, rationale."""
     rows = found.withColumns({"source_lang": F.lit(source_lang), "target_lang": F.lit(target_lang), "domain": F.lit(domain)})
     names = {k: k for k in ("source_lang", "target_lang", "domain", "code", "message", "source", "translation")}
-    done = judged(with_prompt(rows, template, names), judge)
+    done = judged(with_prompt(rows, template, names), judge, **policy)
     done = done.withColumn("said", S.parsed_suggestion(F.col("reply")))
     failed = F.col("error") != ""
     return done.select(

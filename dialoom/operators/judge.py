@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -10,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..functions.scoring import parsed_score
+from .calls import replies, shared_limit, spread
 from .incremental import latest, pending
-from .runs import RateLimit, RetryPolicy
+from .runs import RetryPolicy
 
 #: prompt -> reply.
 JUDGES: dict[str, Callable[[str], str]] = {"length": lambda prompt: f'{{"score": {len(prompt) % 101}, "comment": "by length"}}'}
@@ -37,28 +40,21 @@ def with_prompt(rows: DataFrame, template: str, names: dict[str, str]) -> DataFr
     return rows.withColumn("prompt", prompt)
 
 
-def judged(rows: DataFrame, judge: str, retries: int = 0, sleep: float = 0.0, per_minute: int = 0, concurrency: int = 0) -> DataFrame:
-    """Rows with reply, score, comment, status, attempts and waits for the rate limit; a failed call is a row with status error."""
-    call, policy = JUDGES[judge], RetryPolicy(retries, sleep)
+def judged(rows: DataFrame, judge: str, retries: int = 0, sleep: float = 0.0, per_minute: int = 0, concurrency: int = 0, max_tokens: int = 0) -> DataFrame:
+    """Rows with reply, score, comment, status, attempts and waits for the rate limit; a failed call is a row with status error. per_minute, concurrency: of all tasks together; max_tokens: of a reply, told to judges that take it."""
+    call, policy, limit = JUDGES[judge], RetryPolicy(retries, sleep), shared_limit(rows.sparkSession, per_minute, concurrency)
 
-    def run(batches):
-        limit = RateLimit(per_minute, concurrency)
-
-        def ask(prompt: str) -> str:
-            limit.enter()
-            return call(prompt)
+    if max_tokens > 0 and "max_tokens" in inspect.signature(call).parameters:
+        call = partial(call, max_tokens=max_tokens)
 
+    def run(batches):
         for batch in batches:
-            out = []
-            for prompt in batch.column("prompt").to_pylist():
-                waits, seconds = limit.waits, limit.seconds
-                reply, attempts, error = policy.call(lambda prompt=prompt: ask(prompt))
-                out.append((reply, error, attempts, limit.waits - waits, limit.seconds - seconds))
+            out = [(r.value, r.error, r.attempts, r.waits, r.seconds) for r in replies(batch.column("prompt").to_pylist(), call, policy, limit)]
             columns = zip(*out, strict=True) if out else [[]] * len(CALL)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, t) for c, t in zip(columns, CALL.values(), strict=True))], names=[*batch.schema.names, *CALL])
 
     schema = StructType([*rows.schema.fields, StructField("reply", StringType()), StructField("error", StringType()), StructField("attempts", LongType()), StructField("rate_limit_waits", LongType()), StructField("rate_limit_wait_seconds", DoubleType())])
-    rows = rows.repartition(concurrency) if concurrency > 0 else rows
+    rows = rows.repartition(spread(rows.sparkSession, limit)) if concurrency > 0 else rows
     done = rows.mapInArrow(run, schema).withColumn("parsed", parsed_score(F.col("reply")))
     status = F.when(F.col("error") != "", "error").otherwise(F.col("parsed.parse_status"))
     return done.select(*rows.columns, "reply", "error", "parsed.score", "parsed.comment", status.alias("status"), "attempts", "rate_limit_waits", "rate_limit_wait_seconds")

@@ -40,10 +40,12 @@ class RetryPolicy:
 
 
 class RateLimit:
-    """So many calls in 60 seconds, shared evenly by the tasks that call at once; counts the waits."""
+    """So many calls in 60 seconds, a fixed share of them for each of `tasks`, where nothing can be asked of the driver (see calls.shared_limit); counts the waits."""
 
     def __init__(self, per_minute: int, tasks: int = 1, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
-        self.most = max(1, per_minute // max(1, tasks)) if per_minute > 0 else 0
+        if per_minute > 0 and tasks < 1:
+            raise ValueError("a limit is shared by a known number of tasks")
+        self.most = max(1, per_minute // tasks) if per_minute > 0 else 0
         self.clock, self.sleep = clock, sleep
         self.times: list[float] = []
         self.waits, self.seconds = 0, 0.0

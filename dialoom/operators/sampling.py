@@ -52,26 +52,68 @@ def interleaved(rows: DataFrame, pool: str, order: str, total: int) -> DataFrame
     return rows.withColumn("turn", turn).where(F.col("turn") <= total).orderBy("turn", pool).limit(total)
 
 
+class Shuffled:
+    """The places 0..n-1 in the order that random.shuffle gives them, from the end; only what a swap displaced is held.
+
+    A shuffle draws a place for each position from the last one down, and what is swapped into a position stays there. So the
+    last places are known after as many draws, and the rest need not be listed. `skip` makes the draws that a
+    whole shuffle would have made, so what is drawn later from the same generator is the same.
+    """
+
+    def __init__(self, n: int, draw: random.Random):
+        self.left, self.draw, self.moved = n, draw, {}
+        self.at = n - 1  # the next position that a swap settles
+
+    def pop(self) -> int:
+        self.left -= 1
+        if self.at >= 1:
+            i, j = self.at, self.draw._randbelow(self.at + 1)
+            self.at -= 1
+            out = self.moved.get(j, j)
+            last = self.moved.pop(i, i)
+            if j != i:
+                self.moved[j] = last
+            return out
+        return self.moved.get(0, 0)
+
+    def skip(self) -> None:
+        while self.at >= 1:
+            self.draw._randbelow(self.at + 1)
+            self.at -= 1
+
+
 def drawn_in_turn(sizes: dict[str, int], total: int, draw: random.Random) -> list[tuple[str, int]]:
-    """(pool, place): every pool shuffled, then one of each from the end in turn, until there are so many or none are left."""
-    pools = []
-    for pool in sorted(sizes):
-        places = list(range(sizes[pool]))
-        draw.shuffle(places)
-        pools.append((pool, places))
-    picks: list[tuple[str, int]] = []
-    while len(picks) < total and any(places for _, places in pools):
-        for pool, places in pools:
-            if places and len(picks) < total:
-                picks.append((pool, places.pop()))
-    return picks
+    """(pool, place): every pool shuffled, then one of each from the end in turn, until there are so many or none are left.
+
+    Memory is for what is drawn, not for the pools. How many each pool gives follows from the sizes, so each one is
+    drawn from while its own shuffle is made.
+    """
+    pools = sorted(sizes)
+    given = dict.fromkeys(pools, 0)
+    level, left, open_pools = 0, total, [p for p in pools if sizes[p]]
+    while left > 0 and open_pools:  # whole rounds until the smallest pool ends
+        rounds = min(min(sizes[p] for p in open_pools) - level, left // len(open_pools))
+        if rounds == 0:
+            for p in open_pools[:left]:
+                given[p] += 1
+            break
+        for p in open_pools:
+            given[p] += rounds
+        level, left = level + rounds, left - rounds * len(open_pools)
+        open_pools = [p for p in open_pools if sizes[p] > level]
+    drawn: dict[str, list[int]] = {}
+    for p in pools:
+        if before := getattr(draw, "unfinished", None):  # only who draws after a pool pays for the rest of its shuffle
+            before.skip()
+        shuffled = draw.unfinished = Shuffled(sizes[p], draw)
+        drawn[p] = [shuffled.pop() for _ in range(given[p])]
+    return [(p, drawn[p][i]) for i in range(max(given.values(), default=0)) for p in pools if i < given[p]]
 
 
 def benchmark_sample(rows: DataFrame, per_pair: int = 0, total: int = 0, thresholds: list[float] = (), seed: int = 42) -> DataFrame:
     """Rows (dataset_idx, lp, score) of a benchmark: so many of each language pair, or in all, or every one; with thresholds evenly over score bins.
 
-    Only the sizes of pairs and bins reach the driver, as a draw depends on nothing else; whole pools are listed there to be
-    shuffled only where bins are asked for. The result is in no order; the record's is lp, dataset_idx.
+    Only the sizes of pairs and bins reach the driver, as a draw depends on nothing else, and the places that are drawn. The result is in no order; the record's is lp, dataset_idx.
     """
     if per_pair <= 0 and total <= 0:
         return rows

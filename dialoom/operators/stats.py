@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import checkpointed
 
 def score_stats(score: str = "score") -> list[Column]:
     return [F.count(score).alias("n"), F.round(F.avg(score), 3).alias("mean"), F.min(score).alias("min"), F.max(score).alias("max")]
@@ -37,12 +38,33 @@ def pearson(x: str, y: str) -> Column:
     return F.round(F.try_divide(F.covar_pop(x, y), F.stddev_pop(a) * F.stddev_pop(b)), 4)
 
 
-def with_average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Ranks by value, ties sharing their mean rank. Counted by distinct value, so only distinct values are ranked in order."""
+def earlier_counts(counts: DataFrame, value: str, n: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """counts (keys, value, n: one row of each value) with `_before`: the n of all smaller values of the same keys.
+
+    Values are sorted in ranges of (keys, value), which any number of tasks share; each range sums its own rows, and the sums of
+    the ranges before it, of which there are as many as partitions, are added. So no task sees all values. The ranges are written
+    first, as another run of the sort could cut them elsewhere.
+    """
+    by = [F.col(c) for c in (*keys, value)]
+    ranged = checkpointed(counts.repartitionByRange(*by).withColumn("_range", F.spark_partition_id()))
+    inside = Window.partitionBy("_range", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    own = ranged.withColumn("_own", F.coalesce(F.sum(n).over(inside), F.lit(0)))
+    sums = ranged.groupBy(*keys, "_range").agg(F.sum(n).alias("_sum"), F.min(value).alias("_least"))
+    # ranges of a key in their order: there are at most as many rows as partitions and keys
+    starts = sums.withColumn("_start", F.coalesce(F.sum("_sum").over(Window.partitionBy(F.lit(0) if not keys else F.col(keys[0]), *keys[1:]).orderBy("_least").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    same = F.lit(True)
+    for c in keys:
+        same &= F.col(f"o.{c}").eqNullSafe(F.col(f"s.{c}"))
+    joined = own.alias("o").join(starts.alias("s"), same & (F.col("o._range") == F.col("s._range")))
+    return joined.select(*(F.col(f"o.{c}").alias(c) for c in counts.columns), (F.col("o._own") + F.col("s._start")).alias("_before"))
+
+
+def with_average_ranks(df: DataFrame, columns: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
+    """Ranks by value (of the same keys), ties sharing their mean rank. Counted by distinct value, so only distinct values are ranked, in ranges."""
     for c in columns:
-        counts = df.groupBy(c).agg(F.count("*").alias("n"))
-        ranks = counts.withColumn(f"{c}_rank", F.sum("n").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, 0)) - (F.col("n") - 1) / 2)
-        df = df.join(ranks.drop("n"), c)
+        counts = df.groupBy(*keys, c).agg(F.count("*").alias("_n"))
+        ranks = earlier_counts(counts, c, "_n", keys).withColumn(f"{c}_rank", F.col("_before") + (F.col("_n") + 1) / 2)
+        df = df.join(ranks.drop("_n", "_before"), [*keys, c])
     return df
 
 
@@ -90,12 +112,8 @@ def benchmark_stats(rows: DataFrame, labels: list[str], *keys: str) -> DataFrame
     rows = rows.withColumn("_all", F.lit(1))
     keys = ("_all", *keys)
     means = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.round(F.avg("human_score_raw"), 4).alias("mean_human_score"), F.round(F.avg("llm_score"), 4).alias("mean_llm_score"), pearson("human_score_raw", "llm_score").alias("pearson"))
-    ranked = rows
-    for c in ("human_score_raw", "llm_score"):
-        counts = rows.groupBy(*keys, c).agg(F.count("*").alias("_n"))
-        before = F.sum("_n").over(Window.partitionBy(*keys).orderBy(c).rowsBetween(Window.unboundedPreceding, 0))
-        ranked = ranked.join(counts.select(*keys, c, (before - (F.col("_n") - 1) / 2).alias(f"_{c}")), [*keys, c])
-    ranks = ranked.groupBy(*keys).agg(pearson("_human_score_raw", "_llm_score").alias("spearman"))
+    ranked = with_average_ranks(rows, ["human_score_raw", "llm_score"], keys)
+    ranks = ranked.groupBy(*keys).agg(pearson("human_score_raw_rank", "llm_score_rank").alias("spearman"))
     place = lambda c: F.array_position(F.array(*(F.lit(x) for x in labels)), F.col(c)) - 1
     cells = rows.where(F.col("human_bin").isin(labels) & F.col("llm_bin").isin(labels)).groupBy(*keys, place("human_bin").alias("i"), place("llm_bin").alias("j")).agg(F.count("*").alias("c"))
     cells = cells.withColumns({"row": F.sum("c").over(Window.partitionBy(*keys, "i")), "column": F.sum("c").over(Window.partitionBy(*keys, "j"))})

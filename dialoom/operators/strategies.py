@@ -1,15 +1,14 @@
 """Translation strategies: how the texts of a value are found, and how their translations make a value again.
 
-A strategy is two expressions over one row. Between them all texts of all rows go through one translation stage, where equal
-requests are sent once: lists as one marked text, or in marked batches if that is too long, or item by item where the markers
-came back damaged; single texts in chunks.
+A strategy is two expressions over one row. Between them the texts of all rules and rows go through one translation stage, where
+equal requests are sent once: lists as one marked text, or in marked batches if that is too long, or item by item where the
+markers came back damaged; single texts in chunks. Answers are written before anything is made of them (see AnswerLog).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +16,9 @@ from pyspark.sql.types import ArrayType, AtomicType, DataType, MapType, StringTy
 
 from ..functions import text as T
 from . import nested
+from .answers import AnswerLog
 from .pairs import Rule, leaves
-from .translate import action_logs, passes_guards, suspicious_unchanged, translate_distinct
+from .translate import action_logs, passes_guards, suspicious_unchanged
 
 #: Characters of a request, at most, unless a rule says otherwise.
 MAX_CHARS = 2500
@@ -199,95 +199,131 @@ def marked_batches(items: Column, most: int) -> Column:
     return F.aggregate(items, start, step, closed)
 
 
-def translated_lists(lists: DataFrame, translator: str, most: int = MAX_CHARS, as_list: bool = True, keys: tuple[str, ...] = ("split", "row_idx"), **languages) -> DataFrame:
-    """keys, items -> keys, done (as many texts), error, attempts. Requests of all rows are made distinct first."""
-    batches = lists.select(*keys, F.posexplode(marked_batches(F.col("items"), most)).alias("b", "batch"))
-    if as_list:
-        # blank items have no translation to parse; a list with one goes item by item
-        sendable = ~F.exists("batch", T.is_blank) & (F.char_length(T.marked_text(F.col("batch"))) <= (most if most > 0 else 2**31 - 1))
-        marked = batches.withColumn("marked", F.when(sendable, T.marked_text(F.col("batch"))))
-        answers = translate_distinct(marked.where("marked is not null").select(F.col("marked").alias("text")), translator, **languages)
-        sent = marked.join(answers.select(F.col("text").alias("marked"), "translation", F.col("attempts").alias("tries"), F.col("error").alias("refused")), "marked", "left")
-        parsed = T.parse_marked(F.col("translation"))
-        whole = sent.withColumn("whole", F.when(F.size(parsed) == F.size("batch"), parsed)).drop("marked", "translation")
-    else:
-        whole = batches.withColumns({"whole": F.lit(None).cast("array<string>"), "tries": F.lit(0), "refused": F.lit("")})
+def in_order(*field) -> Column:
+    """x of structs whose first fields say its place, as a list."""
+    return F.transform(F.sort_array(F.collect_list(F.struct(*field))), lambda p: p["x"])
+
+
+def by_size(column: str, sizes: list[int], f: Callable[[int], Column]) -> Column:
+    """f(most) for the row's own `most`, one of a few."""
+    out = f(sizes[0])
+    for most in sizes[1:]:
+        out = F.when(F.col(column) == most, f(most)).otherwise(out)
+    return out
+
+
+def translated_lists(lists: DataFrame, translator: str, sizes: list[int], answers: AnswerLog, keys: tuple[str, ...] = ("split", "row_idx"), **policy) -> DataFrame:
+    """keys, items, most (one of `sizes`: characters of a request), as_list -> keys, done (as many texts), error, attempts. Equal requests are sent once."""
+    batches = lists.select(*keys, "most", "as_list", F.posexplode(by_size("most", sizes, lambda most: marked_batches(F.col("items"), most))).alias("b", "batch"))
+    # blank items have no translation to parse; a list with one goes item by item
+    room = by_size("most", sizes, lambda most: F.lit(most if most > 0 else 2**31 - 1))
+    sendable = F.col("as_list") & ~F.exists("batch", T.is_blank) & (F.char_length(T.marked_text(F.col("batch"))) <= room)
+    marked = batches.withColumn("marked", F.when(sendable, T.marked_text(F.col("batch"))))
+    told = answers.ask(marked, translator, column="marked", **policy)
+    sent = marked.join(told.select(F.col("text").alias("marked"), "translation", F.col("attempts").alias("tries"), F.col("error").alias("refused")), "marked", "left")
+    parsed = T.parse_marked(F.col("translation"))
+    whole = answers.keep(sent.withColumn("whole", F.when(F.size(parsed) == F.size("batch"), parsed)).drop("marked", "translation"))
     # what came back damaged, item by item and chunk by chunk
-    items = whole.where("whole is null").select(*keys, "b", F.posexplode("batch").alias("i", "item"))
-    pieces = items.where(~T.is_blank(F.col("item"))).select(*keys, "b", "i", F.posexplode(T.chunks(F.col("item"), most)).alias("c", "text"))
-    one = pieces.join(translate_distinct(pieces, translator, **languages), "text")
+    items = whole.where("whole is null").select(*keys, "most", "b", F.posexplode("batch").alias("i", "item"))
+    pieces = items.where(~T.is_blank(F.col("item"))).select(*keys, "b", "i", F.posexplode(by_size("most", sizes, lambda most: T.chunks(F.col("item"), most))).alias("c", "text"))
+    one = pieces.join(answers.ask(pieces, translator, **policy), "text")
     note = F.when(F.col("status") == "error", F.concat(F.lit("item "), F.col("i").cast("string"), F.lit(" chunk "), F.col("c").cast("string"), F.lit(": "), F.col("error")))
-    in_order = lambda field: F.transform(F.sort_array(F.collect_list(F.struct(*field))), lambda p: p["x"])
     by_item = one.groupBy(*keys, "b", "i").agg(
-        F.array_join(in_order(("c", F.coalesce("translation", "text").alias("x"))), "").alias("said"),
+        F.array_join(in_order("c", F.coalesce("translation", "text").alias("x")), "").alias("said"),
         F.concat_ws("; ", F.array_sort(F.collect_list(note))).alias("error"), F.sum("attempts").alias("tries"),
     )
     found = items.join(by_item, [*keys, "b", "i"], "left")
-    by_batch = found.groupBy(*keys, "b").agg(in_order(("i", F.coalesce("said", "item").alias("x"))).alias("singly"), F.concat_ws("; ", F.array_sort(F.collect_list(F.when(F.col("error") != "", F.col("error"))))).alias("failed"), F.coalesce(F.sum("tries"), F.lit(0)).alias("more"))
+    by_batch = found.groupBy(*keys, "b").agg(in_order("i", F.coalesce("said", "item").alias("x")).alias("singly"), F.concat_ws("; ", F.array_sort(F.collect_list(F.when(F.col("error") != "", F.col("error"))))).alias("failed"), F.coalesce(F.sum("tries"), F.lit(0)).alias("more"))
     joined = whole.join(by_batch, [*keys, "b"], "left")
     error = F.when(F.col("whole").isNull() & (F.col("failed") != ""), F.concat_ws("; ", F.when(F.col("refused") != "", F.col("refused")), "failed"))
     each = joined.select(*keys, "b", F.coalesce("whole", "singly").alias("x"), error.alias("error"), (F.coalesce("tries", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("tries"))
-    return each.groupBy(*keys).agg(F.flatten(in_order(("b", "x"))).alias("done"), F.concat_ws("; ", in_order(("b", F.col("error").alias("x")))).alias("error"), F.sum("tries").alias("attempts"))
-
-
-def apply_rule(rows: DataFrame, rule: Rule, translator: str, keys: tuple[str, ...] = ("split", "row_idx"), **languages) -> DataFrame:
-    """rows with the rule's target, and its entry in `_errors` and `_attempts`. A value of a wrong shape is a row's error, and its target is the source."""
-    strategy, kind, options = REGISTRY[rule.strategy], rows.schema[rule.source].dataType, rule.options
-    value = F.col(rule.source)
-    if rule.strategy == "weblinx_query":  # a sequential scan of a log
-        logs = rows.select(*keys, value.cast("string").alias("query"))
-        marks = {"utterances": bool(options.get("translate_agent_utterances", False)), "user": options.get("user_prefix", "User: "), "agent": options.get("agent_prefix", "Agent: ")}
-        done = action_logs(logs, "query", translator, (languages.get("source", "en"), languages.get("target", "fr")), keys, **marks)
-        out = rows.join(done.select(*keys, F.col("translation").alias("_done"), F.col("error").alias("_error")), list(keys), "left")
-        errors = F.concat("_errors", F.when(F.col("_error") != "", F.array("_error")).otherwise(F.array().cast("array<string>")))
-        return out.withColumns({rule.target: F.col("_done"), "_errors": errors}).drop("_done", "_error")
-    broken = strategy.broken(value, options) if strategy.broken else F.lit(None).cast("string")
-    broken = F.when(value.isNotNull(), broken)
-    fits = broken.isNull() & value.isNotNull() & F.coalesce(passes_guards(F.array_join(strategy.texts(kind, value, options), " "), options.get("guards", options.get("skip_if"))), F.lit(True))
-    lists = rows.where(fits).select(*keys, strategy.texts(kind, value, options).alias("items")).where("size(items) > 0")
-    most = int(options.get("max_chunk_chars", MAX_CHARS))
-    done = translated_lists(lists, translator, most, strategy.as_list, keys, **languages)
-    if strategy.retries and options.get("retry_unchanged"):
-        done = retried(lists, done, translator, most, int(options.get("unchanged_min_letters", 12)), keys, **languages)
-    marks = done.select(*keys, F.col("done").alias("_done"), F.col("error").alias("_error"), F.col("attempts").alias("_tries"))
-    out = rows.join(marks, list(keys), "left")
-    new = strategy.value(kind, value, options, F.col("_done"))
-    error = F.concat_ws("; ", broken, F.when(F.col("_error") != "", F.col("_error")))
-    return out.withColumns({
-        rule.target: F.when(F.col("_done").isNull(), value).otherwise(new), "_errors": F.concat("_errors", F.when(error != "", F.array(error)).otherwise(F.array().cast("array<string>"))),
-        "_attempts": F.col("_attempts") + F.coalesce("_tries", F.lit(0)),
-    }).drop("_done", "_error", "_tries")
-
-
-def retried(lists: DataFrame, done: DataFrame, translator: str, most: int, min_letters: int, keys: tuple[str, ...], **languages) -> DataFrame:
-    """Items that came back as they were, sent once more; those that are still the same are errors."""
-    both = lists.join(done, list(keys)).select(*keys, "error", "attempts", F.posexplode(F.arrays_zip(F.col("items").alias("s"), F.col("done").alias("t"))).alias("i", "p"))
-    both = both.select(*keys, "error", "attempts", "i", "p.s", "p.t")
-    same = lambda t: suspicious_unchanged(F.col("s"), F.col(t), min_letters)
-    pieces = both.where(same("t")).select(*keys, "i", F.posexplode(T.chunks(F.col("s"), most)).alias("c", "text"))
-    again = pieces.join(translate_distinct(pieces, translator, again=True, **languages), "text").groupBy(*keys, "i").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c", F.coalesce("translation", "text").alias("x")))), lambda p: p["x"]), "").alias("second"),
+    return each.groupBy(*keys).agg(F.flatten(in_order("b", "x")).alias("done"), F.concat_ws("; ", in_order("b", F.col("error").alias("x"))).alias("error"), F.sum("tries").alias("attempts"))
+
+
+def retried(lists: DataFrame, done: DataFrame, translator: str, sizes: list[int], answers: AnswerLog, keys: tuple[str, ...], **policy) -> DataFrame:
+    """Items that came back as they were, sent once more where `letters` is not null; those that are still the same are errors."""
+    both = lists.join(done, list(keys)).select(*keys, "most", "letters", "error", "attempts", F.posexplode(F.arrays_zip(F.col("items").alias("s"), F.col("done").alias("t"))).alias("i", "p"))
+    both = both.select(*keys, "most", "letters", "error", "attempts", "i", "p.s", "p.t")
+    same = lambda t: F.coalesce(suspicious_unchanged(F.col("s"), F.col(t), F.col("letters")), F.lit(False))
+    pieces = both.where(same("t")).select(*keys, "i", F.posexplode(by_size("most", sizes, lambda most: T.chunks(F.col("s"), most))).alias("c", "text"))
+    again = pieces.join(answers.ask(pieces, translator, again=True, **policy), "text").groupBy(*keys, "i").agg(
+        F.array_join(in_order("c", F.coalesce("translation", "text").alias("x")), "").alias("second"),
         F.max(F.when(F.col("status") == "error", 1).otherwise(0)).alias("failed"), F.sum("attempts").alias("tries"),
     )
     joined = both.join(again, [*keys, "i"], "left")
     better = F.col("second").isNotNull() & (F.col("failed") == 0) & ~same("second")
     note = F.when(F.col("second").isNotNull() & ~better, F.concat(F.lit("item "), F.col("i").cast("string"), F.lit(": unchanged translation")))
     lined = joined.groupBy(*keys).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("i", F.when(better, F.col("second")).otherwise(F.col("t")).alias("x")))), lambda p: p["x"]).alias("done"),
+        in_order("i", F.when(better, F.col("second")).otherwise(F.col("t")).alias("x")).alias("done"),
         F.first("error").alias("before"), F.concat_ws("; ", F.array_sort(F.collect_list(note))).alias("notes"), (F.first("attempts") + F.coalesce(F.sum("tries"), F.lit(0))).alias("attempts"),
     )
     return lined.select(*keys, "done", F.concat_ws("; ", F.when(F.col("before") != "", F.col("before")), F.when(F.col("notes") != "", F.col("notes"))).alias("error"), "attempts")
 
 
-def translated(rows: DataFrame, rules: list[Rule], translator: str, keys: tuple[str, ...] = ("split", "row_idx"), limit: int = 0, drop: tuple[str, ...] = (), **languages) -> DataFrame:
+def broken_value(rule: Rule, kind: DataType) -> Column:
+    """What is wrong with a row's value, or null."""
+    strategy, value = REGISTRY[rule.strategy], F.col(rule.source)
+    return F.when(value.isNotNull(), strategy.broken(value, rule.options)) if strategy.broken else F.lit(None).cast("string")
+
+
+def request(number: int, rule: Rule, kind: DataType) -> Column:
+    """The texts that a rule asks for of a row, with how to ask; null if it has none."""
+    strategy, value, options = REGISTRY[rule.strategy], F.col(rule.source), rule.options
+    items = strategy.texts(kind, value, options)
+    guards = F.coalesce(passes_guards(F.array_join(items, " "), options.get("guards", options.get("skip_if"))), F.lit(True))
+    letters = int(options.get("unchanged_min_letters", 12)) if strategy.retries and options.get("retry_unchanged") else None
+    asked = F.struct(F.lit(number).alias("rule"), items.alias("items"), F.lit(int(options.get("max_chunk_chars", MAX_CHARS))).alias("most"), F.lit(strategy.as_list).alias("as_list"), F.lit(letters).cast("int").alias("letters"))
+    return F.when(value.isNotNull() & broken_value(rule, kind).isNull() & guards & (F.size(items) > 0), asked)
+
+
+def translated_texts(rows: DataFrame, rules: list[tuple[int, Rule]], translator: str, answers: AnswerLog, keys: tuple[str, ...], **policy) -> DataFrame:
+    """keys, told: for each row that asks for anything a map from the number of a rule to (done, error, attempts). One stage for all rules."""
+    asked = F.array_compact(F.array(*(request(i, rule, rows.schema[rule.source].dataType) for i, rule in rules)))
+    lists = rows.select(*keys, F.explode(asked).alias("q")).select(*keys, "q.*")
+    of_rule, sizes = (*keys, "rule"), sorted({int(rule.options.get("max_chunk_chars", MAX_CHARS)) for _, rule in rules})
+    done = translated_lists(lists, translator, sizes, answers, of_rule, **policy)
+    if any(REGISTRY[rule.strategy].retries and rule.options.get("retry_unchanged") for _, rule in rules):
+        done = retried(lists, done, translator, sizes, answers, of_rule, **policy)
+    return answers.keep(done.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rule", F.struct("done", "error", "attempts")))).alias("_told")))
+
+
+def translated_logs(rows: DataFrame, rule: Rule, translator: str, answers: AnswerLog, keys: tuple[str, ...], **policy) -> DataFrame:
+    """keys, _log: (translation, error) of each browsing log."""
+    options, languages = rule.options, (policy.pop("source", "en"), policy.pop("target", "fr"))
+    logs = rows.select(*keys, F.col(rule.source).cast("string").alias("query"))
+    marks = {"utterances": bool(options.get("translate_agent_utterances", False)), "user": options.get("user_prefix", "User: "), "agent": options.get("agent_prefix", "Agent: ")}
+    done = action_logs(logs, "query", translator, languages, keys, answers=answers, **marks, **policy)
+    return done.select(*keys, F.struct("translation", "error").alias("_log"))
+
+
+def translated(rows: DataFrame, rules: list[Rule], translator: str, keys: tuple[str, ...] = ("split", "row_idx"), limit: int = 0, drop: tuple[str, ...] = (), answers: AnswerLog | None = None, **policy) -> DataFrame:
     """Rows (of each split the first `limit`, if given) with the targets of all rules, without dropped columns, and with status, error and attempts.
 
-    A rule that cannot apply to its column is an error before any row is read; a row that fails keeps its source values.
+    Every rule reads the row as it came, whatever others put into it. A rule that cannot apply to its column is an error before any row is
+    read; a row that fails keeps its source values. All requests are sent and their answers written before this returns; the
+    result itself is lazy, and reading it any number of times sends nothing.
     """
     if found := problems(rows, rules):
         raise ValueError("; ".join(found))
-    out = rows.where(F.col(keys[-1]) < limit) if limit > 0 else rows
-    out = out.withColumns({"_errors": F.array().cast("array<string>"), "_attempts": F.lit(0).cast("long")})
-    out = reduce(lambda df, rule: apply_rule(df, rule, translator, keys, **languages), rules, out)
-    out = out.drop(*(c for c in drop if c not in {r.target for r in rules}))
-    return out.withColumns({"status": F.when(F.size("_errors") > 0, "error").otherwise("ok"), "error": F.array_join("_errors", "; "), "attempts": F.col("_attempts")}).drop("_errors", "_attempts")
+    answers = answers or AnswerLog(rows.sparkSession)
+    rows = rows.where(F.col(keys[-1]) < limit) if limit > 0 else rows
+    plain = [(i, rule) for i, rule in enumerate(rules) if rule.strategy != "weblinx_query"]
+    out = rows.join(translated_texts(rows, plain, translator, answers, keys, **policy), list(keys), "left") if plain else rows.withColumn("_told", F.lit(None))
+    targets, errors, attempts = {}, [], F.lit(0).cast("long")
+    for i, rule in enumerate(rules):
+        value, kind = F.col(rule.source), rows.schema[rule.source].dataType
+        if rule.strategy == "weblinx_query":
+            out = out.join(translated_logs(rows, rule, translator, answers, keys, **policy).withColumnRenamed("_log", f"_log{i}"), list(keys), "left")
+            targets[rule.target], error = F.col(f"_log{i}.translation"), F.col(f"_log{i}.error")
+        else:
+            told = F.try_element_at("_told", F.lit(i))
+            targets[rule.target] = F.when(told["done"].isNull(), value).otherwise(REGISTRY[rule.strategy].value(kind, value, rule.options, told["done"]))
+            error = F.concat_ws("; ", broken_value(rule, kind), F.when(told["error"] != "", told["error"]))
+            attempts = attempts + F.coalesce(told["attempts"], F.lit(0))
+        errors.append(F.when(error != "", error))
+    notes = F.array_compact(F.array(*errors))
+    marks = {"status": F.when(F.size(notes) > 0, "error").otherwise("ok"), "error": F.array_join(notes, "; "), "attempts": attempts}
+    dropped = [c for c in drop if c not in targets]
+    in_place = [targets[c].alias(c) if c in targets else F.col(c) for c in rows.columns if c not in marks and c not in dropped]
+    added = [x.alias(c) for c, x in targets.items() if c not in rows.columns]
+    return out.select(*in_place, *added, *(x.alias(c) for c, x in marks.items()))

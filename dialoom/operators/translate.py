@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .runs import RateLimit, RetryPolicy
+from .answers import AnswerLog
+from .calls import replies, shared_limit, spread
+from .runs import RetryPolicy
 
 #: (text, source language, target language) -> translation. A name stands for a way to reach a service.
 TRANSLATORS: dict[str, Callable[[str, str, str], str]] = {}
@@ -66,45 +68,38 @@ def passes_guards(c: Column, guards: list[dict] | None) -> Column:
     return keep
 
 
-def translate_distinct(texts: DataFrame, translator: str, source: str = "en", target: str = "fr", retries: int = 2, column: str = "text", again: bool = False, sleep: float = 0.0, per_minute: int = 0, concurrency: int = 0) -> DataFrame:
+def translate_distinct(texts: DataFrame, translator: str, source: str = "en", target: str = "fr", retries: int = 2, column: str = "text", again: bool = False, sleep: float = 0.0, per_minute: int = 0, concurrency: int = 0, parts: int = 0) -> DataFrame:
     """Every distinct text once (again: of a service that remembers its answers, a new one): text, translation (null if it failed), status, attempts, error. A failure is a row, not the end of the job.
 
-    sleep: of the first wait before another attempt; per_minute: calls in 60 seconds, which the tasks that call at once share
-    evenly; concurrency: their number.
+    The calls are in the plan: whoever reads the result twice calls twice (see AnswerLog). sleep: of the first wait before
+    another attempt; per_minute, concurrency: calls in 60 seconds and at once, of all tasks together; parts: tasks to deal
+    the texts to.
     """
     call = AGAIN.get(translator, TRANSLATORS[translator]) if again else TRANSLATORS[translator]
-
-    policy = RetryPolicy(retries, sleep)
+    policy, limit = RetryPolicy(retries, sleep), shared_limit(texts.sparkSession, per_minute, concurrency)
 
     def run(batches):
-        limit = RateLimit(per_minute, concurrency)
-
-        def send(value: str) -> str:
-            limit.enter()
-            return call(value, source, target)
-
         for batch in batches:
-            out = []
-            for value in batch.column(0).to_pylist():
-                done, n, error = policy.call(lambda value=value: send(value))
-                out.append((value, done, "ok" if done is not None else "error", n, error))
+            values = batch.column(0).to_pylist()
+            out = [(v, r.value, "ok" if r.value is not None else "error", r.attempts, r.error) for v, r in zip(values, replies(values, lambda v: call(v, source, target), policy, limit), strict=True)]
             columns = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int32(), pa.string()), strict=True)], names=["text", "translation", "status", "attempts", "error"])
 
     distinct = texts.select(F.col(column).alias("text")).where("text is not null").distinct()
-    distinct = distinct.repartition(concurrency) if concurrency > 0 else distinct
+    parts = max(parts, spread(texts.sparkSession, limit))
+    distinct = distinct.repartition(parts) if parts > 0 else distinct
     return distinct.mapInArrow(run, "text string, translation string, status string, attempts int, error string")
 
 
-def translate_column(rows: DataFrame, source: str, target: str, translator: str, max_chars: int = 2500, guards: list[dict] | None = None, keys: tuple[str, ...] = ("split", "row_idx"), unchanged_is_error: bool = False, **languages) -> DataFrame:
-    """The rows with a translated text column, its status and error.
+def translate_column(rows: DataFrame, source: str, target: str, translator: str, max_chars: int = 2500, guards: list[dict] | None = None, keys: tuple[str, ...] = ("split", "row_idx"), unchanged_is_error: bool = False, answers: AnswerLog | None = None, **languages) -> DataFrame:
+    """The rows with a translated text column, its status and error. Requests are sent, once, before this returns.
 
     Long texts go in chunks, which come back in order; a failed chunk keeps its source. An English text that came back
     the same is an error where that is asked for, so a resumed run sends it again.
     """
     wanted = ~T.is_blank(F.coalesce(F.col(source), F.lit(""))) & passes_guards(F.col(source), guards)
     pieces = rows.where(wanted).select(*keys, F.posexplode(T.chunks(F.col(source), max_chars)).alias("i", "text"))
-    done = pieces.join(translate_distinct(pieces, translator, **languages), "text")
+    done = pieces.join((answers or AnswerLog(rows.sparkSession)).ask(pieces, translator, **languages), "text")
     whole = done.groupBy(*keys).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", F.coalesce("translation", "text").alias("x")))), lambda p: p["x"]), "").alias(target),
         F.max(F.when(F.col("status") == "error", F.col("error"))).alias("error"),
@@ -119,33 +114,11 @@ def translate_column(rows: DataFrame, source: str, target: str, translator: str,
 def translate_lists(rows: DataFrame, source: str, target: str, translator: str, keys: tuple[str, ...] = ("split", "row_idx"), **languages) -> DataFrame:
     """The rows with every item of a list translated; blank items stay, and the list keeps its length."""
     items = rows.select(*keys, F.posexplode(source).alias("i", "text"))
-    done = items.join(translate_distinct(items.where(~T.is_blank(F.col("text"))), translator, **languages), "text", "left")
+    done = items.join(AnswerLog(rows.sparkSession).ask(items.where(~T.is_blank(F.col("text"))), translator, **languages), "text", "left")
     lists = done.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", F.coalesce("translation", "text", F.lit("")).alias("x")))), lambda p: p["x"]).alias("_done"))
     return rows.join(lists, list(keys), "left").withColumn(target, F.coalesce("_done", source)).drop("_done")
 
 
-def dialog_contents(turns: Column, content: str = "content") -> Column:
-    """The texts of turns, on one line each."""
-    return F.transform(turns, lambda t: F.trim(F.regexp_replace(t[content], r"[\r\n]+", " ")))
-
-
-def with_contents(turns: Column, texts: Column, content: str = "content") -> Column:
-    """The turns with other texts, all else as it was."""
-    return F.transform(F.arrays_zip(turns.alias("t"), texts.alias("x")), lambda p: p["t"].withField(content, p["x"]))
-
-
-def serialised_contents(dialog: Column, translated: Column, target: str = "content_fr") -> Column:
-    """A JSON list of turns with one more text in each, in compact form."""
-    turns = F.from_json(dialog, "array<map<string,string>>")
-    return F.to_json(F.transform(F.arrays_zip(turns.alias("t"), translated.alias("x")), lambda p: F.map_concat(p["t"], F.create_map(F.lit(target), p["x"]))))
-
-
-def entity_description(c: Column, translated: Column, separator: str = " <S> ") -> Column:
-    """A structured entity with another description; a text that is none is replaced whole."""
-    parts = T.entity_parts(c, separator)
-    return F.when(parts.isNull(), translated).when(F.trim(parts[2]) == "", c).otherwise(F.concat_ws(separator, parts[0], parts[1], translated))
-
-
 def suspicious_unchanged(source: Column, translation: Column, min_letters: int = 12) -> Column:
     """Whether to translate again: an English text of so many letters that came back the same."""
     return (T.letter_count(source) >= min_letters) & T.has_english_signal(source) & (T.norm_text(source) == T.norm_text(translation))
@@ -199,45 +172,60 @@ def blocks_of_lines(text: str) -> list[tuple[str, bool]]:
     return [("\n".join(lines), said) for lines, said in out]
 
 
-def action_logs(rows: DataFrame, column: str, translator: str, languages: tuple[str, str] = ("en", "fr"), keys: tuple[str, ...] = ("split", "row_idx"), utterances: bool = False, user: str = "User: ", agent: str = "Agent: ") -> DataFrame:
+def said_in(query: str, send: Callable[[str, int], str], utterances: bool, user: str, agent: str) -> str:
+    """A browsing log with what is said replaced by what `send` (text, number of its record) makes of it. Lines between blank ones go together, and blank ones stay."""
+    out = []
+    for i, record in enumerate(action_records(query, user, agent)):
+        if record.startswith(user):
+            said = record[len(user) :]
+            letters = re.search(r"[^\W\d_]", said)
+            out.append(user + ("\n".join(send(x, i) if keep else x for x, keep in blocks_of_lines(said)) if letters else said))
+        elif utterances:
+            out.append(with_utterance(record, lambda text, *_, i=i: send(text, i), ("", ""), agent))
+        else:
+            out.append(record)
+    return "\n".join(out)
+
+
+def action_logs(rows: DataFrame, column: str, translator: str, languages: tuple[str, str] = ("en", "fr"), keys: tuple[str, ...] = ("split", "row_idx"), utterances: bool = False, user: str = "User: ", agent: str = "Agent: ", answers: AnswerLog | None = None, **policy) -> DataFrame:
     """Browsing logs with what the user says translated, and the agent's utterances if asked for.
 
-    Lines between blank ones are sent together, and blank ones stay. A failed call keeps its text and is the row's error, as are
-    changed numbers of lines and changed actions.
+    The texts of all logs are collected and asked for once, as those of every strategy; then each log is put together again. A failed
+    call keeps its text and is the row's error, as are changed numbers of lines and changed actions.
     """
-    call = TRANSLATORS[translator]
-
-    def one(query: str | None) -> tuple[str | None, str]:
-        if query is None:
-            return None, ""
-        errors: list[str] = []
-
-        def send(text: str, number: int) -> str:
-            try:
-                return call(text, *languages)
-            except Exception as e:  # whatever a service raises is the row's error
-                errors.append(f"line {number}: {type(e).__name__}: {str(e)[:300]}")
-                return text
-
-        out = []
-        for i, record in enumerate(action_records(query, user, agent)):
-            if record.startswith(user):
-                said = record[len(user) :]
-                letters = re.search(r"[^\W\d_]", said)
-                out.append(user + ("\n".join(send(x, i) if keep else x for x, keep in blocks_of_lines(said)) if letters else said))
-            elif utterances:
-                out.append(with_utterance(record, lambda text, *_, i=i: send(text, i), languages, agent))
-            else:
-                out.append(record)
-        return "\n".join(out), "; ".join(errors)
+    policy = {"retries": 0} | policy
 
-    def run(batches):
+    def texts_of(batches):
+        for batch in batches:
+            found: list[list[str]] = []
+            for query in batch.column(column).to_pylist():
+                texts: list[str] = []
+                said_in(query or "", lambda text, i, texts=texts: texts.append(text) or text, utterances, user, agent)
+                found.append(texts)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(found, pa.list_(pa.string()))], names=[*keys, "texts"])
+
+    def put_back(batches):
         for batch in batches:
-            found = [one(q) for q in batch.column(column).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), batch.column(column), pa.array([x for x, _ in found], pa.string()), pa.array([e for _, e in found], pa.string())], names=[*keys, column, "translation", "_failed"])
+            out = []
+            for query, told in zip(batch.column(column).to_pylist(), batch.column("told").to_pylist(), strict=True):
+                known, errors = {t["text"]: (t["translation"], t["error"]) for t in told or ()}, []
+
+                def send(text: str, number: int, known=known, errors=errors) -> str:
+                    translation, error = known.get(text, (None, "no answer"))
+                    if translation is None:
+                        errors.append(f"line {number}: {error}")
+                    return text if translation is None else translation
+
+                out.append((None if query is None else said_in(query, send, utterances, user, agent), "; ".join(errors)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), batch.column(column), pa.array([x for x, _ in out], pa.string()), pa.array([e for _, e in out], pa.string())], names=[*keys, column, "translation", "_failed"])
 
     kinds = dict(rows.dtypes)
-    done = rows.select(*keys, column).mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in (*keys, column)) + ", translation string, _failed string")
+    of_keys = ", ".join(f"{k} {kinds[k]}" for k in keys)
+    logs = rows.select(*keys, column)
+    texts = logs.mapInArrow(texts_of, f"{of_keys}, texts array<string>").select(*keys, F.explode(F.array_distinct("texts")).alias("text"))
+    found = texts.join((answers or AnswerLog(rows.sparkSession)).ask(texts, translator, *languages, **policy), "text")
+    told = found.groupBy(*keys).agg(F.collect_list(F.struct("text", "translation", "error")).alias("told"))
+    done = logs.join(told, list(keys), "left").mapInArrow(put_back, f"{of_keys}, {column} {kinds[column]}, translation string, _failed string")
     lines = lambda c: F.size(F.split(c, "\n"))
     changed = F.when(lines(F.col(column)) != lines(F.col("translation")), "line count changed").when(T.action_sequence(F.col(column)) != T.action_sequence(F.col("translation")), "actions changed")
     return done.withColumn("error", F.concat_ws("; ", F.when(F.col("_failed") != "", F.col("_failed")), changed)).drop("_failed")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scoring as S
 from ..functions import text as T
 from ..operators import align, audit, checks, evaluation, fixes, metrics, report, runs, sampling, stats, strategies
+from ..operators.answers import AnswerLog
 from ..operators.pairs import Rule, aligned, keyed, text_pairs
+from ..operators.ranges import RangeLog
+from ..sources import files
 from ..sources.tables import limited, with_passthrough
 from .catalogue import CUT, DIALOGUES_SQL, FACTS, KEYS, LISTS_SQL, RECORDS, checked, external_dialogues, found_issues, nested_rows, query, records, source_rows, strip_sql, table
 
@@ -381,6 +386,39 @@ def cached_answers(spark, d):
     return runs.with_cache(rows, cache, lambda texts: translate_distinct(texts, "letters"), "p", "en", "fr")[0].select("text", "translation")
 
 
+@query(f"""SELECT 's' || conv_id % 3 AS split, conv_id * 100 + turn AS row_idx, {letters("coalesce(text, '')")} AS text_fr,
+  CASE WHEN conv_id % 3 = 0 AND (conv_id * 100 + turn) % 7 = 0 THEN 3 WHEN conv_id % 3 = 0 THEN 1 ELSE 2 END AS run FROM conversations""")
+def resumed_ranges(spark, d):
+    """A run that ended after its first split, then was taken up, then did what had failed. run: the one that a row is of."""
+    c = table(spark, d, "conversations")
+    rows = c.select(F.concat(F.lit("s"), (F.col("conv_id") % 3).cast("string")).alias("split"), (F.col("conv_id") * 100 + F.col("turn")).alias("row_idx"), F.coalesce("text", F.lit("")).alias("text"))
+    log = RangeLog(spark, f"{files.scratch_dir(spark)}/ranges-{uuid.uuid4().hex[:12]}", 2000)
+
+    def process(number: int, fails):
+        def run(part):
+            failed = F.lit(fails) & (F.col("row_idx") % 7 == 0) & (F.col("split") == "s0")
+            return part.select("split", "row_idx", F.translate("text", "ea", "34").alias("text_fr"), F.lit(number).alias("run"), F.when(failed, "error").otherwise("ok").alias("status"))
+
+        return run
+
+    counts = {r.split: r.n for r in rows.groupBy("split").agg((F.max("row_idx") + 1).alias("n")).collect()}
+    for at in range(0, len(left := [r for r in log.pending(counts) if r[0] == "s0"]), 64):
+        log.write(rows, left[at : at + 64], process(1, True), 1)
+    log.write(rows, [r for r in log.pending(counts)], process(2, False), 2)
+    log.run(rows, process(3, False))
+    return log.records().select("split", "row_idx", "text_fr", "run")
+
+
+@query(f"SELECT text, {letters('text')} AS translation, count(*) AS occurrences, 1 AS sent FROM conversations WHERE text IS NOT NULL GROUP BY text")
+def answers_once(spark, d):
+    """Every distinct text asked for twice, with the rows that its answer has in the log."""
+    log, rows = AnswerLog(spark), table(spark, d, "conversations").where("text is not null")
+    log.ask(rows.where("conv_id % 2 = 0"), "letters")
+    told = log.ask(rows, "letters")
+    counts = rows.groupBy("text").agg(F.count("*").alias("occurrences"))
+    return told.join(counts, "text").join(log.rows().groupBy("text").agg(F.count("*").cast("int").alias("sent")), "text").select("text", "translation", "occurrences", "sent")
+
+
 @query("SELECT event_id, coalesce(user_id % 2, 0) AS kept, 'detail' AS record_type, 1 AS attempt FROM events")
 def record_defaults(spark, d):
     rows = table(spark, d, "events").select("event_id", (F.col("user_id") % 2).alias("kept"))

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from . import files
+
 
 def read_source(spark: SparkSession, kind: str, path: str | None = None, remote: str | None = None, prefer_local: bool = False, max_rows: int = 0) -> DataFrame:
     """A dataset by policy: `disk`, `remote`, or `auto` (remote where one is named, unless local is preferred). A remote name is one that is registered, or a Parquet path. A path that is not there is an error before any job."""
@@ -174,8 +176,8 @@ def write_records(df: DataFrame, path: str, append: bool = False) -> None:
 
 
 def write_report(report: dict, path: str) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(report, ensure_ascii=False, indent=2), encoding="utf-8")
+    """A small JSON file, on the file system that its path names."""
+    files.write_text(SparkSession.active(), path, json.dumps(report, ensure_ascii=False, indent=2))
 
 
 def write_manifest(found: dict, folder: str) -> None:
@@ -184,10 +186,11 @@ def write_manifest(found: dict, folder: str) -> None:
 
 def read_manifest(folder: str) -> dict | None:
     """The side file of a folder; None where there is none. One that is no object, or of another version, is an error."""
-    at = Path(folder, "manifest.json")
-    if not at.exists():
+    at = f"{folder}/manifest.json"
+    text = files.read_text(SparkSession.active(), at)
+    if text is None:
         return None
-    found = json.loads(at.read_text(encoding="utf-8"))
+    found = json.loads(text)
     if not isinstance(found, dict) or found.get("schema_version") != 1:
         raise ValueError(f"{at}: not a manifest of version 1")
     return found
@@ -228,7 +231,7 @@ def export_all(datasets: dict[str, DataFrame], export: dict, folder: str, transf
             df = renamed_splits(df.where(F.col("split").isin(list(wanted))), wanted if isinstance(wanted, dict) else {})
         out[name] = export_splits(df, f"{folder}/{name}")
         splits[name] = sorted(out[name])
-    Path(folder, "README.md").write_text(front_matter(splits), encoding="utf-8")
+    files.write_text(SparkSession.active(), f"{folder}/README.md", front_matter(splits))
     return out
 
 

@@ -288,3 +288,50 @@ def test_fingerprints_of_equal_rows(spark):
 def test_latest_of_equal_orders(spark):
     rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k long, o long, v string")
     assert sorted((r.k, r.v) for r in incremental.latest(rows, ["k"], ["o"]).collect()) == [(1, "b"), (2, "c")]
+
+
+def test_sparse_draws_are_those_of_whole_shuffles():
+    def by_lists(sizes, total, draw):
+        pools, out = [], []
+        for pool in sorted(sizes):
+            places = list(range(sizes[pool]))
+            draw.shuffle(places)
+            pools.append((pool, places))
+        while len(out) < total and any(places for _, places in pools):
+            for pool, places in pools:
+                if places and len(out) < total:
+                    out.append((pool, places.pop()))
+        return out
+
+    choose = random.Random(1)
+    for _ in range(300):
+        seed, rounds = choose.random(), [({p: choose.choice([0, 1, 2, 3, 9, 40]) for p in "abcd"[: choose.randint(1, 4)]}, choose.randint(0, 60)) for _ in range(2)]
+        one, other = random.Random(seed), random.Random(seed)
+        for sizes, total in rounds:  # what is drawn later is the same too
+            assert sampling.drawn_in_turn(sizes, total, one) == by_lists(sizes, total, other)
+
+
+def test_draws_from_large_pools_take_little_memory():
+    import tracemalloc
+
+    tracemalloc.start()
+    found = sampling.drawn_in_turn({"b": 3, "c": 10**8}, 100, random.Random(4))
+    assert tracemalloc.get_traced_memory()[1] < 1 << 20
+    tracemalloc.stop()
+    assert len(found) == len(set(found)) == 100 and sum(p == "b" for p, _ in found) == 3
+
+
+@pytest.mark.parametrize("keys", [(), ("g",)])
+def test_ranks_by_ranges(spark, keys):
+    draw = random.Random(6)
+    rows = [(draw.choice("xy"), draw.choice([draw.random(), 0.5, float(draw.randint(0, 9))])) for _ in range(800)]
+    expected = {}
+    for g, v in rows:
+        mine = [w for h, w in rows if not keys or h == g]
+        expected[g, v] = sum(w < v for w in mine) + (sum(w == v for w in mine) + 1) / 2
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = stats.with_average_ranks(spark.createDataFrame(rows, "g string, v double").repartition(7), ["v"], keys).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(found) == 800 and all(r.v_rank == expected[r.g, r.v] for r in found)
