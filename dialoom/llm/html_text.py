@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,8 +15,11 @@ from .shared import map_arrow
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea noscript template iframe svg math object canvas title select".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style textarea noscript template iframe svg object canvas title select".split())
+#: Elements that are blocks of their own; all others, unknown ones too, are part of the text around them.
+BLOCKS = frozenset(
+    "html head body address article aside blockquote button caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split()
+)
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: A start tag of these ends an open paragraph.
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul figure".split())
@@ -25,16 +29,27 @@ MAIN = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are by their tag no article.
 BESIDE = frozenset("nav footer aside form dialog menu fieldset header button".split())
+#: Of these, and of elements so marked, an article inside is none of the page's own.
+BARS = frozenset("aside nav footer dialog menu".split())
+BAR_MARKS = frozenset("comment comments respond reply replies disqus related recommended teaser teasers promo promotion sponsor sponsored ad ads advert advertisement advertising".split())
+#: What follows "comment" in the mark of a single comment, and what says only whether there are some.
+ONE_COMMENT = frozenset("body item content text entry card inner wrap wrapper".split())
+STATES = frozenset("open closed enabled disabled count link".split())
+#: Words that mark by an id inside an article; others there may name a section.
+ID_MARKS = frozenset("ad ads advert advertisement comment comments respond disqus sidebar newsletter related recommended cookie cookies breadcrumb breadcrumbs pagination pager".split())
+#: First words of a heading over what readers wrote.
+COMMENT_HEADINGS = re.compile(r"(?:\d+ )?comments?\b.{0,12}$|leave a (?:reply|comment)", re.I)
 #: Words of a class, id or role that mark what is not the article.
 BOILERPLATE = frozenset(
-    "ad ads adv advert advertisement advertising sponsor sponsored banner promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar side footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login search share sharing social related recommended comment comments respond reply replies disqus pagination pager widget toolbar copyright legal".split()
+    "ad ads adv advert advertisement advertising sponsor sponsored banner promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar side footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login search share sharing social related recommended comment comments respond reply replies disqus pagination pager widget toolbar copyright legal teaser teasers".split()
 )
 #: Elements that hold others; a part of a word on a paragraph of its own says little.
 HOLDERS = frozenset("div section ul ol dl table tr td".split())
 #: Before a word these say that there is such a thing beside the text, or none.
 ABOUT = frozenset("has no with without hide show".split())
 
-MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+MARKING = frozenset(("class", "id", "role"))
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 STOPS = re.compile(r"[\"'>]")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -53,20 +68,22 @@ MAIN_PRIOR = 4.0
 class Element:
     """An open element: the number of its path of tags from the root, and what tags and marks along it say beforehand."""
 
-    __slots__ = ("block", "children", "depth", "home", "main", "parent", "path", "prior", "tag")
+    __slots__ = ("barred", "block", "children", "depth", "home", "main", "parent", "path", "prior", "tag")
 
-    def __init__(self, parent: Element | None, tag: str, path: int, prior: float, main: bool):
-        self.parent, self.tag, self.path, self.prior, self.main = parent, tag, path, prior, main
+    def __init__(self, parent: Element | None, tag: str, path: int, prior: float, main: bool, barred: bool = False):
+        self.parent, self.tag, self.path, self.prior, self.main, self.barred = parent, tag, path, prior, main, barred
         self.depth = 0 if parent is None else parent.depth + 1
-        inline = parent is not None and tag in INLINE
+        inline = parent is not None and tag not in BLOCKS
         self.block: str = parent.block if inline else tag  # the tag of the block that its text is in
         self.home: Element = self if parent is None else parent.home if inline else parent  # what that block is in
         self.children: list[Element] = []
 
-    def down(self, tag: str, factor: float, paths: dict) -> Element:
-        opens = tag in MAIN and not self.main  # an article is one whatever it is inside of
+    def down(self, tag: str, factor: float, bars: bool, paths: dict) -> Element:
+        # an article is one inside of any layout, but not among comments, teasers or adverts, nor if it is one of these
+        barred = self.barred or bars
+        opens = tag in MAIN and not self.main and not barred
         path = paths.setdefault((self.path, tag, factor), len(paths) + 1)
-        found = Element(self, tag, path, MAIN_PRIOR if opens else self.prior * factor, opens or self.main)
+        found = Element(self, tag, path, MAIN_PRIOR if opens else self.prior * factor, opens or self.main, barred)
         self.children.append(found)
         return found
 
@@ -101,32 +118,48 @@ def common_home(elements: list[Element]) -> Element:
 
 
 class Block:
-    __slots__ = ("element", "parts")
+    __slots__ = ("element", "linked", "parts")
 
     def __init__(self, element: Element):
-        self.element, self.parts = element, []
+        self.element, self.parts, self.linked = element, [], True
 
     def text(self) -> str:
         return SPACE.sub(" ", entities.unescape("".join(self.parts))).strip()
 
 
-def factor_of(tag: str, attributes: str, inside_main: bool) -> float:
-    """What an element's tag and marks count beforehand. A header inside an article is its own."""
+def marks_of(attributes: str) -> Iterator[tuple[str, str]]:
+    """(attribute, word) of the class, id and role of a tag."""
+    for found in ATTRIBUTE.finditer(attributes):
+        name = found[1].lower()
+        if name in MARKING:
+            for word in (found[2] or found[3] or found[4] or "").split():
+                yield name, word
+
+
+def factor_of(tag: str, attributes: str, inside_main: bool) -> tuple[float, bool]:
+    """What an element's tag and marks count beforehand, and whether an article inside is none. A header inside an article is its own."""
     if tag in BESIDE and not (inside_main and tag == "header"):
-        return TAG_PRIOR
-    if tag in MAIN or tag in ("html", "body") or not attributes:
-        return 1.0
-    out = 1.0
-    for found in MARKS.finditer(attributes):
-        for word in (found[1] or found[2] or found[3] or "").split():
-            parts = [w.lower() for w in WORDS.findall(word)]
-            if parts and (parts[0] in ABOUT or inside_main and "header" in parts):
-                continue
-            if len(parts) == 1 and parts[0] in BOILERPLATE:
-                out = min(out, MARK_PRIOR)
-            elif tag in HOLDERS and any(w in BOILERPLATE for w in parts):
-                out = min(out, PART_PRIOR)
-    return out
+        return TAG_PRIOR, tag in BARS
+    if tag in ("html", "body") or not attributes:
+        return 1.0, False
+    out, bars = 1.0, False
+    for name, word in marks_of(attributes):
+        parts = [w.lower() for w in WORDS.findall(word)]
+        if not parts or parts[0] in ABOUT or inside_main and "header" in parts:
+            continue
+        if tag in MAIN:  # what is said of an article: only that it is itself something else
+            if len(parts) == 1 and parts[0] in BAR_MARKS or len(parts) == 2 and parts[0] == "comment" and parts[1] in ONE_COMMENT:
+                out, bars = MARK_PRIOR, True
+            continue
+        if inside_main and name == "id" and not any(w in ID_MARKS for w in parts):
+            continue
+        if len(parts) == 1 and parts[0] in BOILERPLATE:
+            out = min(out, MARK_PRIOR)
+            bars = bars or parts[0] in BAR_MARKS
+        elif tag in HOLDERS and any(w in BOILERPLATE for w in parts):
+            out = min(out, PART_PRIOR)
+            bars = bars or any(w in BAR_MARKS for w in parts) and not any(w in STATES for w in parts)
+    return out, bars
 
 
 def tag_end(page: str, at: int) -> int:
@@ -161,7 +194,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal block
         for element in stack[i:]:
             depth[element.tag] -= 1
-            if element.tag not in INLINE:
+            if element.tag in BLOCKS:
                 block = None
         del stack[i:]
 
@@ -187,6 +220,7 @@ def blocks_of(page: str) -> list[Block]:
                 blocks.append(block)
             if block is not None:
                 block.parts.append(raw)
+                block.linked = block.linked and (bool(depth.get("a")) or raw.isspace())
         if begin == n:
             break
         if page[begin + 1] in "!?":
@@ -213,21 +247,21 @@ def blocks_of(page: str) -> list[Block]:
             if end is None:
                 missing.add(tag)
             at = end.end() if end else n
-            block = block if tag in INLINE else None
+            block = None if tag in BLOCKS else block
             continue
         if tag == "br":
             if block is not None:
                 block.parts.append(" ")
             continue
         if tag in VOID:
-            block = block if tag in INLINE else None
+            block = None if tag in BLOCKS else block
             continue
         implied = CLOSES.get(tag, ()) + (("p",) if tag in ENDS_P else ())
         if implied:
             close(implied, True)
-        if tag not in INLINE:
+        if tag in BLOCKS:
             block = None
-        stack.append(stack[-1].down(tag, factor_of(tag, attributes, stack[-1].main), paths))
+        stack.append(stack[-1].down(tag, *factor_of(tag, attributes, stack[-1].main), paths))
         depth[tag] = depth.get(tag, 0) + 1
     return blocks
 
@@ -256,6 +290,23 @@ def content_scores(blocks: list[Block], texts: list[str]) -> list[float]:
     return [t * (1 + p) for t, p in zip(both(by_text), both(by_marks), strict=True)]
 
 
+def drop_comments(blocks: list[Block], texts: list[str], keep: list[bool]) -> None:
+    """What follows a heading over readers' comments, in the element that it is in, up to another heading of its rank."""
+    over: Element | None = None
+    rank = ""
+    for i, (block, text) in enumerate(zip(blocks, texts, strict=True)):
+        tag = block.element.block
+        if over is not None:
+            home: Element | None = block.element.home
+            while home is not None and home is not over and home.depth > over.depth:
+                home = home.parent
+            if home is not over or tag in HEADINGS and tag <= rank:
+                over = None
+        if over is None and tag in HEADINGS and COMMENT_HEADINGS.match(text):
+            over, rank = block.element.home, tag
+        keep[i] = keep[i] and over is None
+
+
 def main_text(page: str | None) -> str:
     """The main text of a page, one line for each block; empty if there is none.
 
@@ -277,7 +328,10 @@ def main_text(page: str | None) -> str:
     chosen = {p for p, found in of_path.items() if sum(found) / len(found) >= least}
     region = common_home([b.element for b in blocks if b.element.path in chosen])
     inside = region.unmarked()
-    keep = [b.element.path in chosen or b.element in inside for b in blocks]
+    # without an article, blocks that are links only are no text but for their ratios
+    keep = [b.element.path in chosen or b.element in inside and (region.main or not b.linked) for b in blocks]
+    if not region.main:
+        drop_comments(blocks, texts, keep)
     for i in range(len(blocks) - 2, -1, -1):  # the heading of what is kept
         keep[i] = keep[i] or keep[i + 1] and blocks[i].element.block in HEADINGS and blocks[i].element.prior >= region.prior
     return "\n".join(t for t, k in zip(texts, keep, strict=True) if k)

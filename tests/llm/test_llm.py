@@ -604,6 +604,46 @@ def test_marks_beside_the_article():
     assert html_text.main_text(f'<p title="a > b">text</p>{p}') == f"text\n{said}"
 
 
+def test_articles_that_are_not_the_page_s():
+    p = "<p>A long paragraph, with commas, and more than one sentence. It goes on, and on.</p>"
+    said, other = p[3:-4], "<p>What a reader wrote, at some length, with commas, and in several sentences. Really, it is long.</p>"
+    main = f"<main><h1>T</h1>{p * 3}</main>"
+    for beside in (
+        f'<section class="comments"><article class="comment-body">{other * 3}</article></section>', f'<aside><article class="teaser">{other}</article></aside>', f'<div id="disqus_thread"><article>{other * 3}</article></div>',
+        f'<article class="comment">{other * 4}</article>', f'<div class="related-posts"><article><h3>More</h3>{other}</article></div>', f'<footer><main>{other}</main></footer>',
+    ):
+        assert html_text.main_text(f"<body>{main}{beside}</body>") == "\n".join(["T", said, said, said])
+        assert html_text.main_text(f"<body>{beside}<article><h1>T</h1>{p * 3}</article></body>") == "\n".join(["T", said, said, said])
+    # what says that there are comments, or none, bars nothing
+    for c in ("comments-open", "has-comments", "post comments-closed", "main-content"):
+        assert html_text.main_text(f'<body><div class="{c}"><article class="post comments-open">{p * 3}</article></div></body>') == "\n".join([said] * 3)
+    assert html_text.main_text(f'<form><article>{p * 2}</article></form>') == f"{said}\n{said}"
+
+
+def test_marks_are_of_class_id_and_role():
+    p = "<p>A long paragraph, with commas, and more than one sentence. It goes on, and on.</p>"
+    said = p[3:-4]
+    for tag in ('div data-id="comments-12"', 'div data-class="ad"', 'div title="id=comments"', 'section id="legal"', 'section id="search"', 'section id=share', "div aria-id='nav'", 'div xid="ads"'):
+        name = tag.split(" ")[0]
+        assert html_text.main_text(f"<article>{p}<{tag}><p>Inside, short.</p></{name}>{p}</article>") == f"{said}\nInside, short.\n{said}"
+    for tag in ('div id="comments"', "div class=ad", 'section ID="related"', "div CLASS = 'comments'"):
+        name = tag.split(" ")[0]
+        assert html_text.main_text(f"<article>{p}<{tag}><p>Inside, short.</p></{name}>{p}</article>") == f"{said}\n{said}"
+
+
+def test_inline_and_unknown_elements_split_nothing():
+    page = "<article><p>We know that <math><mi>a</mi><mo>=</mo><mn>1</mn></math> holds, <my-tip>for all</my-tip> <ruby>x<rt>y</rt></ruby> and<script>s()</script> more<svg><text>no</text></svg>.</p><p>Next<hr>line</p></article>"
+    assert html_text.main_text(page) == "We know that a=1 holds, for all xy and more.\nNext\nline"
+
+
+def test_pages_without_an_article():
+    p = "<p>A long paragraph, with commas, and more than one sentence. It goes on, and on.</p>"
+    said = p[3:-4]
+    page = f'<body><ul><li><a href="/">Home</a></li><li><a href="/n">News</a> </li></ul><h1>T</h1>{p}<p>See <a>this</a>.</p>{p}<h2>3 Comments</h2><div>{p}</div><p>nice</p></body>'
+    assert html_text.main_text(page) == f"T\n{said}\nSee this.\n{said}"
+    assert html_text.main_text(f"<div><div><h2>Comments</h2><p>nice, good. Yes, and more, and more.</p></div><div><h1>T</h1>{p * 3}</div></div>") == "\n".join(["T", said, said, said])
+
+
 @pytest.mark.parametrize("part", ['<a "', "<div>", "<div>x", "<p><h1>", "<b>", "<!--", "<script>", "<title></titl>", "<a x=\"<b>", "<", "</x ", "<dt><div>"])
 def test_broken_pages_take_linear_time(part):
     import time
