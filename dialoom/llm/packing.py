@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -17,13 +17,24 @@ from .shared import Scratch, map_arrow
 END_ID = 0
 CAPACITY = 2048
 #: Words in the younger of the two halves of what a worker remembers.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
+STOPS = b".,;:!?"
 #: Parts that pieces are numbered in, besides one for each length. Bounds what the driver collects.
 PARTS = 4096
 
 
 #: Texts of many kinds of words and of what is between them, to see if a tokenizer takes words one by one.
-PROBES = ["Plain words, UPPER Case it's don't", "two  spaces", "a  a", "tab\ttab", "line\nline", "\n\n x ", "12 3.14 1,000 a-b_c (x) [y] <z>", "é ÀÉ ｆｕｌｌ 漢字 かな … ... !!", "http://a.b/c?d=e&f x\u0301 \u00a0 end"]
+PROBES = ["Plain words, UPPER Case it's don't", "two  spaces", "a  a", "tab\ttab", "line\nline", "\n\n x ", "12 3.14 1,000 a-b_c (x) [y] <z>", "é ÀÉ ｆｕｌｌ 漢字 かな … ... !!", "http://a.b/c?d=e&f x\u0301 \u00a0 end", "Ends, don't. it's; é, 7. x!? y.., z\u0301, (a), 's.", "unbelievable straße élève größenwahn señorita naïveté λόγος слово 語彙 ﬁx ǆ ª º"]
+
+
+def byte_names() -> dict[int, str]:
+    """The characters that byte-level tokenizers write bytes with: printable ones of Latin-1 as they are, others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_NAMES = byte_names()
 
 
 class CapacityTree:
@@ -106,12 +117,40 @@ def plan_best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[lis
     return plan, bins
 
 
+class Memory(dict):
+    """The ids of words that were met, each encoded when it is first asked for. The older half is forgotten when the younger is full, but for words in use.
+
+    Stops at a word's end are symbols, so after a letter they are looked up by themselves.
+    """
+
+    def __init__(self, ids_of):
+        super().__init__()
+        self.ids_of, self.old = ids_of, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            stem = word.rstrip(STOPS)
+            if len(stem) < len(word) and stem and 97 <= stem[-1] <= 122:
+                found = self[stem] + self[word[len(stem) :]]
+            else:
+                found = self.ids_of(word.decode("utf-8"))
+        self[word] = found
+        return found
+
+    def settle(self) -> None:
+        if len(self) > CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+
+
 @lru_cache(maxsize=2)
 def word_encoder(tokenizer_file: str):
     """text -> the ids of its words as little-endian unsigned 32-bit integers.
 
     A pre-tokenizer that never matches across a space, tab or line feed lets a text be cut there into words that can be
-    encoded, and remembered, one by one. A tokenizer for which that does not give the ids of some fixed texts encodes whole texts.
+    encoded, and remembered, one by one; one that takes runs of letters whole and names bytes lets plain words go to the merges at
+    once. A tokenizer for which that does not give the ids of some fixed texts is used in the plainer way, at last for whole texts.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from array import array
@@ -119,35 +158,26 @@ def word_encoder(tokenizer_file: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
-    ids_of = lambda texts: [array("I", x.ids).tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-    young: dict[bytes, bytes] = {}
-    old: dict[bytes, bytes] = {}
-    by_word = lambda text: b"".join(ids_of([w.encode().lower().decode() for w in re.split(r"[ \t\n]", text)]))
-    if any(by_word(text) != whole for text, whole in zip(PROBES, ids_of(PROBES), strict=True)):
-        return ids_of
+    ids_of = lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    merges = tokenizer.model
+
+    def ids_of_word(text: str) -> bytes:
+        # letters that are lower case and composed already: neither normaliser nor pre-tokenizer has anything to do but to name the bytes
+        if text.isalpha() and text == text.lower() and is_normalized("NFC", text):
+            return array("I", [t.id for t in merges.tokenize(text.encode().decode("latin-1").translate(BYTE_NAMES))]).tobytes()
+        return ids_of(text)
 
     def encode(texts: list[str]) -> list[bytes]:
-        nonlocal young, old
+        memory.settle()
         # what may hold a special token is left to the tokenizer as it is; else A-Z, which it lowers too, is lowered here
-        special = {i: t for i, t in enumerate(texts) if "<|" in t}
-        split = [[] if i in special else t.encode("utf-8", "replace").lower().replace(b"\n", b" ").replace(b"\t", b" ").split(b" ") for i, t in enumerate(texts)]
-        if len(young) > CACHE_WORDS:  # words in use move on, others are forgotten with the older half
-            young, old = {}, young
-        new = []
-        for word in set().union(*split).difference(young):
-            if word in old:
-                young[word] = old[word]
-            else:
-                new.append(word)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            young.update(zip(part, ids_of([w.decode("utf-8") for w in part]), strict=True))
-        out = [b"".join(map(young.__getitem__, words)) for words in split]
-        for i, found in zip(special, ids_of(list(special.values())), strict=True):
-            out[i] = found
-        return out
-
-    return encode
+        return [ids_of(t) if "<|" in t else b"".join(map(memory.__getitem__, words_of(t))) for t in texts]
+
+    words_of = lambda text: text.encode("utf-8", "replace").lower().replace(b"\n", b" ").replace(b"\t", b" ").split(b" ")
+    for each in (ids_of_word, ids_of):  # the first that gives what the tokenizer gives for whole texts
+        memory = Memory(each)
+        if all(b"".join(map(memory.__getitem__, words_of(text))) == ids_of(text) for text in PROBES):
+            return encode
+    return lambda texts: [ids_of(t) for t in texts]
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_file: str, capacity: int, doc_id: str, text: str) -> DataFrame:

@@ -230,3 +230,20 @@ def test_whole_results_on_small_tables(spark):
     toxic = queries.op8_toxicity(spark, sf).collect()
     assert sorted(r.doc_id for r in toxic) == ids and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in toxic)
     assert substrings.GRAM * 2 <= 200
+
+
+def test_words_one_by_one_are_what_the_tokenizer_gives():
+    from array import array
+
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    draw = random.Random(1)
+    parts = [*"aBéÉßİΣς1٣².,;!?:|<'_-ªǅΐıſᾼ가ᄀاﷺ𝐀Åʰक漢", "x\u0301", "\u0301", "'s", "'RE", "<|", "…", " ", "  ", "\t", "\n", "\u00a0", "\u2003", "\r", "\x0b", "\x00", "word", "word,"]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        packing.word_encoder.cache_clear()
+        encode, whole = packing.word_encoder(path(name)), Tokenizer.from_file(path(name))
+        for _ in range(4000):
+            text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 9)))
+            assert encode([text])[0] == array("I", whole.encode(text, add_special_tokens=False).ids).tobytes(), repr(text)
+    packing.word_encoder.cache_clear()
