@@ -1,4 +1,4 @@
-"""Command line: `python -m dialoom.cli COMMAND ...`: check, translate, reformat, inspect, evaluate, benchmark-judge, check-fix, upload, config-show."""
+"""Command line: `python -m dialoom.cli COMMAND ...`: check, translate, reformat, inspect, evaluate, benchmark-judge, check-fix, upload, audit, config-show."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from . import config
 from .functions import text as T
-from .operators import align, checks, evaluation, export, fixes, metrics, report, runs, sampling, stats, strategies
+from .operators import align, audit, checks, evaluation, export, fixes, metrics, report, runs, sampling, stats, strategies
 from .operators.answers import AnswerLog
 from .operators.pairs import aligned, inferred_rules, text_pairs
 from .operators.ranges import RangeLog
@@ -215,6 +215,15 @@ def run_upload(spark: SparkSession, root: str, names: list[str], every: bool, ou
     return 0
 
 
+def run_plan(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Audit the datasets of a plan; 1 if a task failed. What is recorded is not done again."""
+    found = audit.audit_plan(spark, args.plan, args.data, args.out, args.exclude, args.limit_tasks, args.reset, args.at_once)
+    for r in found:
+        label = f"{r['dataset']} {r['lang']} {r['target_config']}/{r['target_split']}"
+        print(f"{label}: rows={r['checked_rows']} issue_rows={r['issue_rows']} errors={r['errors']} warnings={r['warnings']}" if r["status"] == "ok" else f"{label}: {r['status']}: {r['error']}")
+    return int(any(r["status"] == "failed" for r in found))
+
+
 def check_settings(args: argparse.Namespace) -> config.DatasetConfig:
     """The rules of a check, by exactly one of: a dataset's configuration, a quality configuration, a dataset alone (rules by column names)."""
     if sum(map(bool, (args.config, args.quality, args.infer))) != 1:
@@ -257,6 +266,11 @@ def parser() -> argparse.ArgumentParser:
     for flag in ("all", "push", "yes"):
         upload.add_argument(f"--{flag}", action="store_true")
     command("config-show", config=True)
+    plan = command("audit", plan=True, data=True, out=True)
+    plan.add_argument("--exclude", action="append", default=[], help="DATASET:LANG[,LANG]")
+    plan.add_argument("--limit-tasks", type=int, default=0)
+    plan.add_argument("--at-once", type=int, default=4)
+    plan.add_argument("--reset", action="store_true")
     return top
 
 
@@ -265,6 +279,8 @@ def main(arguments: list[str] | None = None) -> int:
     if args.command == "check":
         settings = check_settings(args)
         return run_check(SparkSession.builder.getOrCreate(), settings, args.source or args.translated, args.translated, args.out, args.max_rows_per_split, args.max_issues)
+    if args.command == "audit":
+        return run_plan(SparkSession.builder.getOrCreate(), args)
     payload = config.overridden(config.load(args.config), args.set) if getattr(args, "config", "") else {}
     if args.command == "config-show":
         print(config.from_mapping(payload))

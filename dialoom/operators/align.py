@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_prefix
+from ..sources.objects import read_object
 
 
 def candidate_dialogues(spark, path: str) -> DataFrame:
-    """A JSON object id -> {log: [{text}]} as rows of dialogue_id, turns."""
-    body = F.from_json("value", "map<string,struct<log:array<struct<text:string>>>>")
-    rows = spark.read.text(path, wholetext=True).select(F.explode(body).alias("dialogue_id", "dialogue"))
-    return rows.select("dialogue_id", F.transform("dialogue.log", lambda t: t["text"]).alias("turns"))
+    """A JSON object id -> {log: [{text}]} as rows of dialogue_id, turns; of an id that is there twice the last one. The object is read in parts (see read_object)."""
+    rows = read_object(spark, path).groupBy(F.col("key").alias("dialogue_id")).agg(F.max_by("value", "place").alias("value"))
+    return rows.select("dialogue_id", F.transform(F.from_json("value", "struct<log:array<struct<text:string>>>")["log"], lambda t: t["text"]).alias("turns"))
 
 
 def dialogue_turns(conversations: DataFrame) -> DataFrame:

@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 import ast
+import csv
+import io
 import json
+import threading
+import time
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources import files
+from ..sources.tables import read_plan, read_split
 from . import checks
 from .pairs import KEYS, Rule, aligned, text_pairs
 
@@ -212,27 +222,84 @@ def remaining(plan: DataFrame, done: DataFrame, limit: int = 0) -> DataFrame:
     return todo.orderBy("plan_ord").limit(limit) if limit > 0 else todo
 
 
-def run_audit(plan: DataFrame, done: DataFrame, audit, limit: int = 0) -> list[dict]:
-    """A record of every task that is left, one after the other: what audit(task) gives with status ok, or why it failed. Plans are short lists."""
-    out = []
-    for task in remaining(plan, done, limit).orderBy("plan_ord").collect():
-        row = task.asDict()
+def run_audit(plan: DataFrame, done: DataFrame, audit: Callable[[dict], dict], limit: int = 0, at_once: int = 1, record: Callable[[dict], None] = lambda row: None) -> list[dict]:
+    """A record of every task that is left: what audit(task) gives with status ok, or why it failed. Plans are short lists.
+
+    So many tasks run at once, each as jobs of a pool of its own, which share the cluster where its scheduler is fair (spark.scheduler.mode).
+    record: called with each record as it is made, so that a run that ends goes on with the others.
+    """
+    spark, lock = plan.sparkSession, threading.Lock()
+    tasks = [row.asDict() for row in remaining(plan, done, limit).orderBy("plan_ord").collect()]
+
+    def one(row: dict) -> dict:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"audit-{row['plan_ord']}")
         try:
-            out.append({**row, **audit(row), "status": "ok", "error": ""})
+            out = {**row, **audit(row), "status": "ok", "error": ""}
         except Exception as e:  # a task's failure is its record
-            out.append({**row, "status": "missing_split" if "no parquet files" in str(e) else "failed", "error": f"{type(e).__name__}: {str(e)[:300]}"})
-    return out
+            out = {**row, "status": "missing_split" if "no parquet files" in str(e) else "failed", "error": f"{type(e).__name__}: {str(e)[:300]}"}
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        with lock:
+            record(out)
+        return out
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        return list(pool.map(one, tasks))
+
+
+RECORD = "dataset string, lang string, target_repo string, target_config string, target_split string, status string, error string, rows long, checked_rows long, checked_pairs long, errors long, warnings long, issue_rows long, codes array<struct<o:long,code:string,n:long>>, examples array<struct<row_idx:long,code:string,field:string,source:string,translation:string>>"
+
+
+def audited(spark: SparkSession, root: str, task: dict) -> dict:
+    """What a task of a plan comes to: its rows and pairs, issues by severity, rows that have some, the commonest codes and the first examples."""
+    suffix = task["mode"] == "self_suffix"
+    pairs = [(p["source"], p["target"]) for p in task["pair_list"]]
+    target = read_split(spark, root, task["target_repo"], task["target_config"], task["target_split"], [b for _, b in pairs] + [a for a, _ in pairs if suffix])
+    source = target if suffix else read_split(spark, root, task["source_repo"], task["source_config"], task["source_split"], [a for a, _ in pairs]).withColumn("split", F.lit(task["target_split"]))
+    checked, issues = audit_task(source, target, pairs, task["lang"])
+    checked = checked.withColumn("task", F.lit(0)).persist(StorageLevel.DISK_ONLY)
+    issues = issues.withColumn("task", F.lit(0)).persist(StorageLevel.DISK_ONLY)
+    try:
+        found = task_results(issues, ["task"], checked).drop("task", "example").first()
+        rows = target.count()
+    finally:
+        checked.unpersist()
+        issues.unpersist()
+    return {"rows": rows, **(found.asDict(recursive=True) if found else {"checked_rows": 0, "checked_pairs": 0, "errors": 0, "warnings": 0, "issue_rows": 0})}
+
+
+def audit_plan(spark: SparkSession, plan_path: str, root: str, out: str, exclude: list[str] = (), limit: int = 0, reset: bool = False, at_once: int = 4) -> list[dict]:
+    """Audit what is left of a plan, keep a record of every task as it ends, and write the summary of all; gives the new records."""
+    plan = excluded(read_plan(spark, plan_path), list(exclude)).withColumn("plan_ord", F.monotonically_increasing_id()).withColumn("pair_list", column_pairs(F.coalesce("pairs", F.lit(""))))
+    folder = f"{out}/tasks"
+    if reset:
+        files.delete(spark, folder)
+    before = lambda: spark.read.schema(RECORD).json(folder) if files.names(spark, folder) else spark.createDataFrame([], RECORD)
+
+    def record(row: dict) -> None:
+        kept = {k: v for k, v in row.items() if k not in ("pair_list", "plan_ord")}
+        files.write_text(spark, f"{folder}/{uuid.uuid4().hex}.json", json.dumps({**kept, "made_at": time.time_ns()}, ensure_ascii=False) + "\n")
+
+    new = run_audit(plan, before(), lambda task: audited(spark, root, task), limit, at_once, record)
+    if not files.names(spark, folder):
+        results = before()
+    else:  # the last record of each task
+        kind = before().schema.add("made_at", "long")
+        results = spark.read.schema(kind).json(folder).groupBy(*TASK).agg(F.max_by(F.struct(*(c for c in before().columns if c not in TASK)), "made_at").alias("r")).select(*TASK, "r.*")
+    # a dataset's repositories and configurations are tasks of their own
+    keys = ["dataset", "lang", "target_split"]
+    label = F.concat_ws("/", "target_repo", "target_config", "target_split")
+    named = lambda df: df.withColumn("target_split", label)
+    write_summary(audit_summary(named(plan), named(results).select(*keys, "errors", "warnings", "issue_rows", "codes", "examples"), named(results).select(*keys, "rows")), out)
+    return new
 
 
 def write_summary(summary: DataFrame, folder: str) -> None:
     """The audit's summary as quality_summary.csv and .json: a row for each dataset and language, so it is collected."""
-    import csv
-    from pathlib import Path
-
     rows = [r.asDict(recursive=True) for r in summary.orderBy("dataset", "lang").collect()]
-    Path(folder).mkdir(parents=True, exist_ok=True)
-    Path(folder, "quality_summary.json").write_text(json.dumps(rows, ensure_ascii=False, indent=2), encoding="utf-8")
-    with Path(folder, "quality_summary.csv").open("w", encoding="utf-8", newline="") as f:
-        writer = csv.DictWriter(f, summary.columns)
-        writer.writeheader()
-        writer.writerows({k: json.dumps(v, ensure_ascii=False) if isinstance(v, (list, dict)) else v for k, v in r.items()} for r in rows)
+    files.write_text(summary.sparkSession, f"{folder}/quality_summary.json", json.dumps(rows, ensure_ascii=False, indent=2))
+    table = io.StringIO(newline="")
+    writer = csv.DictWriter(table, summary.columns, lineterminator="\n")
+    writer.writeheader()
+    writer.writerows({k: json.dumps(v, ensure_ascii=False) if isinstance(v, (list, dict)) else v for k, v in r.items()} for r in rows)
+    files.write_text(summary.sparkSession, f"{folder}/quality_summary.csv", table.getvalue())

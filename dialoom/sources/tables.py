@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..operators.runs import RetryPolicy
 from . import files
 
 
@@ -87,6 +89,8 @@ def read_lines(spark: SparkSession, path: str, schema: StructType | str) -> Data
 
 #: name -> (offset, length) -> rows of a dataset that is served page by page, and name -> rows in all.
 PAGES: dict[str, tuple[Callable[[int, int], list[dict]], Callable[[], int]]] = {}
+#: Partitions of a paged scan, at most.
+MOST_PARTITIONS = 10_000
 #: name -> a dataset that some service loads.
 REMOTES: dict[str, Callable[[SparkSession], DataFrame]] = {}
 
@@ -99,25 +103,58 @@ def register_remote(name: str, load: Callable[[SparkSession], DataFrame]) -> Non
     REMOTES[name] = load
 
 
-def read_pages(spark: SparkSession, name: str, schema: str, split: str = "train", size: int = 100, max_rows: int = 0) -> DataFrame:
-    """A paged dataset with split and row_idx: a page is a row of the plan, so pages are fetched where there is room and again where a task is lost."""
-    fetch, total = PAGES[name]
-    n = min(total(), max_rows) if max_rows > 0 else total()
-    kind = spark.createDataFrame([], schema).schema
-    names = [f.name for f in kind]
-    out = StructType([StructField("split", StringType()), StructField("row_idx", LongType()), *kind.fields])
-    arrow = to_arrow_schema(out)
+def paged_source(name: str) -> type[DataSource]:
+    """The data source `pages_NAME` of a registered paged dataset; a page range is a partition, and a page that fails is asked for again.
 
-    def run(batches):
-        for batch in batches:
-            for page in batch.column(0).to_pylist():
-                start = page * size
-                rows = fetch(start, min(size, n - start))
-                columns = [[split] * len(rows), list(range(start, start + len(rows))), *([r.get(c) for r in rows] for c in names)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
-
-    pages = -(-n // size)
-    return spark.range(0, pages, 1, max(1, min(pages, 200))).mapInArrow(run, out)
+    Options: split, size (rows of a page), pages (of a partition), max_rows, retries, sleep. The class holds how pages are
+    fetched, as Spark plans its reads in another process.
+    """
+    found = PAGES[name]
+
+    class Pages(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return f"pages_{name}"
+
+        def reader(self, schema: StructType) -> DataSourceReader:
+            return PagedReader(schema, found, {k.lower(): v for k, v in self.options.items()})
+
+    return Pages
+
+
+class PagedReader(DataSourceReader):
+    def __init__(self, schema: StructType, pages: tuple[Callable[[int, int], list[dict]], Callable[[], int]], options: dict[str, str]):
+        self.fetch, total = pages
+        most = int(options.get("max_rows", 0))
+        self.schema, self.split = schema, options.get("split", "train")
+        self.size, self.pages = int(options.get("size", 100)), int(options.get("pages", 10))
+        self.n = min(total(), most) if most > 0 else total()
+        self.policy = RetryPolicy(int(options.get("retries", 3)), float(options.get("sleep", 1.0)))
+
+    def partitions(self) -> list[InputPartition]:
+        step = self.size * max(self.pages, -(-self.n // (self.size * MOST_PARTITIONS)))
+        return [InputPartition(start) for start in range(0, max(self.n, 1), step)]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(self.schema)
+        step = self.size * max(self.pages, -(-self.n // (self.size * MOST_PARTITIONS)))
+        for start in range(partition.value, min(partition.value + step, self.n), self.size):
+            wanted = min(self.size, self.n - start)
+            rows, attempts, error = self.policy.call(lambda start=start, wanted=wanted: self.fetch(start, wanted))
+            if rows is None:
+                raise OSError(f"rows {start} to {start + wanted}: {error} ({attempts} attempts)")
+            if len(rows) != wanted:
+                raise OSError(f"rows {start} to {start + wanted}: {len(rows)} came")
+            at = {"split": [self.split] * wanted, "row_idx": list(range(start, start + wanted))}
+            columns = [at[f.name] if f.name in at else [r.get(f.name) for r in rows] for f in arrow]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+
+def read_pages(spark: SparkSession, name: str, schema: str, split: str = "train", size: int = 100, max_rows: int = 0, **options) -> DataFrame:
+    """A paged dataset with split and row_idx, by a data source of its own: only the columns of `schema` are taken out of a page, and a lost task asks for its own pages again."""
+    spark.dataSource.register(paged_source(name))
+    kind = StructType([StructField("split", StringType()), StructField("row_idx", LongType()), *spark.createDataFrame([], schema).schema.fields])
+    return spark.read.format(f"pages_{name}").schema(kind).options(split=split, size=size, max_rows=max_rows, **options).load()
 
 
 def cached_columns(spark: SparkSession, files: list[str], columns: list[str], cache: str, retries: int = 3) -> DataFrame:
@@ -145,6 +182,29 @@ def cached_columns(spark: SparkSession, files: list[str], columns: list[str], ca
     return spark.read.parquet(to).select(*wanted)
 
 
+def numbered_files(df: DataFrame) -> DataFrame:
+    """A Parquet read with row_idx: the place of a row in its file, after the rows of the files before. Files are counted from their rows' own numbers, so nothing is sorted or moved."""
+    named = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = named.groupBy("_file").agg((F.max("_row") + 1).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a file
+    starts = sizes.select("_file", before.alias("_start"))
+    return named.join(F.broadcast(starts), "_file").withColumn("row_idx", F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")
+
+
+def read_split(spark: SparkSession, root: str, repo: str, config: str, split: str, columns: list[str]) -> DataFrame:
+    """The named columns of a split, with split and row_idx: a registered dataset, or the Parquet files of root/repo/config/split."""
+    if repo in REMOTES:
+        return REMOTES[repo](spark).where(F.col("split") == split).select("split", "row_idx", *dict.fromkeys(columns))
+    at = f"{root}/{repo}/{config}/{split}"
+    if not any(x.endswith(".parquet") for x in files.names(spark, at)):
+        raise FileNotFoundError(f"no parquet files for {repo} {config}/{split}")
+    df = spark.read.parquet(at)
+    if missing := sorted(set(columns) - set(df.columns)):
+        raise ValueError(f"{repo} {config}/{split} has no column {', '.join(missing)}")
+    df = df if "row_idx" in df.columns else numbered_files(df)
+    return df.select(F.lit(split).alias("split"), "row_idx", *dict.fromkeys(columns))
+
+
 def read_plan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 

@@ -34,14 +34,16 @@ def lists_of(spark, n=50):
 STRATEGIES = [("l", "text_list"), ("d", "dialog_turns_content"), ("j", "serialized_text_list"), ("n", "deep_map_texts"), ("t", "text"), ("t", "structured_entity"), ("q", "weblinx_query")]
 
 
-@pytest.mark.parametrize("column, strategy", STRATEGIES)
-def test_every_strategy_calls_once(spark, tmp_path, column, strategy):
+def test_every_strategy_calls_once(spark, tmp_path):
     sent = counting("counted", tmp_path / "calls")
     source = lists_of(spark, 12).withColumns({"j": F.to_json("l"), "n": F.struct(F.col("t").alias("a")), "q": F.concat(F.lit("User: "), F.col("t"))})
-    done = strategies.translated(source, [Rule(column, "y", strategy)], "counted")
+    done = strategies.translated(source, [Rule(c, f"{c}_{strategy}", strategy) for c, strategy in STRATEGIES], "counted")
     for _ in range(2):
         assert done.where("status = 'ok'").count() == 12
-    assert len(sent()) == len(set(sent())) == 12
+    # lists are one request each, those in JSON the same ones; so are a text, an entity without parts and what a user says
+    assert len(sent()) == len(set(sent())) == 4 * 12
+    r = done.where("row_idx = 3").first()
+    assert (r.t_text, r.q_weblinx_query, r.n_deep_map_texts.a) == (r.t.upper(), f"User: {r.t.upper()}", r.t.upper()) and r.l_text_list == [x.upper() for x in r.l] == json.loads(r.j_serialized_text_list)
 
 
 def test_rules_retries_and_repeats_call_once(spark, tmp_path):

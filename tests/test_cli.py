@@ -170,3 +170,51 @@ def test_reformat_fix_and_upload(spark, tmp_path, capsys):
         cli.main(["upload", "--root", str(tmp_path / "conf"), "--upload", "u", "--out", str(tmp_path / "u"), "--push"])
     with pytest.raises(SystemExit):
         cli.main(["upload", "--root", str(tmp_path / "conf"), "--upload", "none", "--out", str(tmp_path / "u")])
+
+
+def test_audit_of_a_plan(spark, tmp_path, capsys):
+    """Tasks at once, a missing split and a failing task as records, taken up where it was, and the summary."""
+    data = tmp_path / "data"
+    texts = ["please open the door for me", "a quiet evening at the house", "where is the station"]
+    for split in ("train", "test"):
+        both = [(t, t if split == "test" and i == 1 else f"phrase numéro {i}", ["a"]) for i, t in enumerate(texts)]
+        spark.createDataFrame(both, "text string, text_fr string, l array<string>").coalesce(1).write.parquet(str(data / "org/d/default" / split))
+    spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1).write.parquet(str(data / "org/src/en/all"))
+    head = "dataset,lang,mode,target_repo,target_config,target_split,pairs,source_repo,source_config,source_split,note"
+    tasks = [
+        "D,fr,self_suffix,org/d,default,train,text->text_fr,,,,", "D,fr,self_suffix,org/d,default,test,text->text_fr,,,,", "D,fr,source_compare,org/d,default,test,text->text_fr,org/src,en,all,",
+        "E,fr,source_compare,org/none,default,train,text->text_fr,org/src,en,all,", "F,fr,self_suffix,org/d,default,train,nothing->text_fr,,,,", "G,ru,metadata_only,,,,,,,,by hand", "H,fr,self_suffix,org/d,default,train,text->text_fr,,,,",
+    ]
+    (tmp_path / "plan.csv").write_text("\n".join([head, *tasks[:2], *tasks[3:]]) + "\n")
+    arguments = ["audit", "--plan", str(tmp_path / "plan.csv"), "--data", str(data), "--out", str(tmp_path / "o"), "--exclude", "H:fr", "--at-once", "3"]
+    assert cli.main([*arguments, "--limit-tasks", "1"]) == 0
+    assert len(list((tmp_path / "o/tasks").glob("*.json"))) == 1
+    assert cli.main(arguments) == 1
+    said = capsys.readouterr().out
+    assert "D fr default/test: rows=3 issue_rows=1" in said and "missing_split: FileNotFoundError" in said and "F fr default/train: failed: ValueError" in said
+    rows = {r["dataset"]: r for r in json.loads((tmp_path / "o/quality_summary.json").read_text())}
+    assert (rows["D"]["rows"], rows["D"]["issue_rows"], rows["D"]["status"], rows["G"]["status"], rows["H"]["status"]) == (6, 1, "warnings", "metadata_only", "excluded")
+    assert rows["D"]["examples"][0]["row_idx"] == 1
+    # what failed is done again, what was done or missing is not
+    assert cli.main(arguments) == 1 and capsys.readouterr().out.count("\n") == 1
+
+
+def test_tasks_of_an_audit_overlap(spark):
+    import threading
+
+    plan = spark.createDataFrame([(i, "d", "fr", "self_suffix", "r", "c", f"s{i}") for i in range(2)], "plan_ord int, dataset string, lang string, mode string, target_repo string, target_config string, target_split string")
+    done = spark.createDataFrame([], "dataset string, lang string, target_repo string, target_config string, target_split string, status string")
+    both = threading.Barrier(2, timeout=20)
+    found = audit.run_audit(plan, done, lambda task: {"n": both.wait() * 0}, at_once=2)
+    assert [r["status"] for r in found] == ["ok", "ok"]
+
+
+def test_rows_of_files_are_numbered(spark, tmp_path):
+    from dialoom.sources import tables
+
+    for i, n in enumerate((5, 0, 7)):
+        spark.range(10 * i, 10 * i + n).coalesce(1).write.parquet(str(tmp_path / "x"), mode="append")
+    found = tables.numbered_files(spark.read.parquet(str(tmp_path / "x"))).select("id", "row_idx").collect()
+    assert sorted(r.row_idx for r in found) == list(range(12))
+    ordered = [r.id for r in sorted(found, key=lambda r: r.row_idx)]
+    assert ordered in ([*range(5), *range(20, 27)], [*range(20, 27), *range(5)])

@@ -1,11 +1,12 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from dialoom.operators import audit, report, translate
 from dialoom.operators.incremental import latest
-from dialoom.sources import tables
+from dialoom.sources import objects, tables
 
 
 def test_the_later_line_of_a_key(spark, tmp_path):
@@ -91,3 +92,61 @@ def test_report_page():
     found = {"verdict": "pass", "checked_pairs": 1, "errors": 0, "warnings": 1, "recommendation": "review", "guide": [{"rule": "<R>", "n": 1, "label": "l", "meaning": "m", "action": "a"}], "splits": [{"split": "s"}], "issues": [{"code": "c", "split": "s", "source": "</script>"}], "truncated": True}
     page = report.html_page(found, "T")
     assert "&lt;R&gt;" in page and "<\\/script>" in page and page.count("</script>") == 2 and "Not all issues" in page and "join('\\n')" not in page and "'\\n'" in page
+
+
+@pytest.mark.parametrize("block", ["64b", "1000b", "128m"])
+def test_objects_are_read_in_parts(spark, tmp_path, block):
+    """Strings with every mark in them, escapes, nested values, white space: as one task or as many."""
+    draw = random.Random(3)
+    strings = ["", "a", "}", "{", "},{", '"', "\\\\", '\\\\"', "\n", "é漢", "[", "]", ",", ":", '"log"', "}}\\", "x" * 150]
+
+    def value(level):
+        kind = draw.randrange(5 if level else 3)
+        if kind == 3:
+            return [value(level - 1) for _ in range(draw.randint(0, 3))]
+        if kind == 4:
+            return {draw.choice(strings) + str(i): value(level - 1) for i in range(draw.randint(0, 3))}
+        return draw.choice([None, True, -1.5, 7]) if kind == 0 else "".join(draw.choice(strings) for _ in range(draw.randint(0, 4)))
+
+    for k in range(4):
+        expected = {f"{draw.choice(strings)} {i}": value(3) for i in range(40 * k)}
+        at = tmp_path / f"{k}.json"
+        at.write_text("\n " * (k % 2) + json.dumps(expected, ensure_ascii=bool(k % 2), indent=draw.choice([None, 1])) + "\n" * k, encoding="utf-8")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        try:
+            rows = objects.read_object(spark, str(at))
+            found = rows.collect()
+            tasks = objects.pieces(spark, str(at)).rdd.getNumPartitions()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert {r.key: json.loads(r.value) for r in found} == expected and len(found) == len(expected)
+        assert [r.key for r in sorted(found, key=lambda r: r.place)] == list(expected)
+        assert block != "64b" or k < 2 or tasks > 20
+    (tmp_path / "list.json").write_text('[1, {"a": 2}]')
+    assert objects.read_object(spark, str(tmp_path / "list.json")).count() == 0
+
+
+def test_pages_are_asked_for_again(spark, tmp_path):
+    """A server that fails now and then, as partitions of a few pages each; one that fails for good, or lies, ends the job."""
+
+    def fetch(offset, n):
+        mark = tmp_path / str(offset)
+        if offset % 40 == 0 and not mark.exists():
+            mark.touch()
+            raise OSError("busy")
+        return [{"text": f"t{i}", "n": i} for i in range(offset, offset + n)]
+
+    tables.register_pages("shaky", fetch, lambda: 205)
+    rows = tables.read_pages(spark, "shaky", "n long, text string", size=10, pages=3, sleep=0)
+    assert rows.rdd.getNumPartitions() == 7
+    assert sorted((r.row_idx, r.n, r.text) for r in rows.collect()) == [(i, i, f"t{i}") for i in range(205)]
+    assert sorted(int(x.name) for x in tmp_path.iterdir()) == [0, 40, 80, 120, 160, 200]
+    tables.register_pages("down", lambda offset, n: 1 / 0, lambda: 5)
+    tables.register_pages("short", lambda offset, n: [{"n": 1}], lambda: 5)
+    for name, said in (("down", "2 attempts"), ("short", "1 came")):
+        with pytest.raises(Exception, match=said):
+            tables.read_pages(spark, name, "n long", retries=1, sleep=0).collect()
+    tables.register_pages("none", lambda offset, n: [], lambda: 0)
+    assert tables.read_pages(spark, "none", "n long").collect() == []
