@@ -21,6 +21,10 @@ BANDS, ROWS = 32, 4
 FAN = 256
 #: Rounds after which members far from their pivot are described by their differences from it too, instead of having a pivot of their own.
 ROUNDS = 2
+#: A pivot whose members meet more often than this a member is compared in tiles. Both ways find the same links.
+CROWD = 16
+#: Members of a tile and differences of all its members together, about.
+TILE, TILE_DIFFERENCES = 4096, 2_000_000
 #: Words whose hashes a worker remembers; the memory starts anew when it is full.
 CACHE_WORDS = 400_000
 
@@ -225,7 +229,7 @@ def differences(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     return beside_pivots(pairs, texts, shingle, each, ", size long, lost long, added long, differences array<long>")
 
 
-def linkable(described: DataFrame, percent: int) -> DataFrame:
+def linkable(described: DataFrame, percent: int, scratch: Scratch | None = None, name: str = "") -> DataFrame:
     """Pairs a, b of members of one pivot, of different labels, that share enough differences from the pivot to be similar.
 
     described: pivot, node, label, size, lost, added, differences. With s shared differences, x and y share
@@ -234,19 +238,134 @@ def linkable(described: DataFrame, percent: int) -> DataFrame:
     of a pair that is not linked through it one has more, so the pair shares a difference. In one order of a pivot's
     differences, rare ones first, the first shared one has at least s from there on in both, itself included: the pair is
     met at a difference from which on both have enough. Most copies that were edited apart share none of their rare ones.
+
+    Members that are mixtures of the same parts do share them, so nearly all pairs of them would be met. With `scratch`,
+    pivots whose members meet more than CROWD times each are told from counts and go by tiles instead (see tile_links),
+    which give not these pairs but links enough to join what they join. So rows grow with the members, not with their pairs.
     """
     scale = 100 + percent
     measured = described.select("pivot", "node", "label", (100 * F.col("lost") + percent * F.col("added")).alias("g"), ((100 - percent) * F.col("size")).alias("base"), "differences")
     each = measured.select("pivot", "node", "label", "g", "base", F.explode("differences").alias("d"))
     common = each.groupBy("pivot", "d").agg(F.count("*").alias("n")).where("n > 1")
     ranked = each.join(common, ["pivot", "d"]).groupBy("pivot", "node").agg(*(F.first(c).alias(c) for c in ("label", "g", "base")), F.sort_array(F.collect_list(F.struct("n", "d"))).alias("ds"))
-    placed = ranked.select("pivot", "node", "label", "g", "base", F.size("ds").alias("k"), F.posexplode("ds").alias("at", "of"))
+    ranked = ranked.withColumn("far", F.col("g") > F.col("base"))
+    if scratch is None:
+        return met(ranked, scale)
+    ranked = scratch.keep(ranked, f"ranked{name}")
+    at_each = places(ranked, scale).groupBy("pivot", "d").agg(F.count("*").alias("n"), F.count_if("far").alias("far"))
+    members = ranked.groupBy("pivot").agg(F.count("*").alias("members"))
+    crowded = at_each.groupBy("pivot").agg(F.sum(F.col("n").cast("double") * F.col("far")).alias("meetings")).join(members, "pivot").where(f"meetings > {CROWD} * members")
+    crowded = scratch.keep(crowded.select("pivot"), f"crowded{name}")
+    pairs = met(ranked.join(crowded, "pivot", "left_anti"), scale)
+    return pairs if crowded.isEmpty() else pairs.unionByName(tile_links(ranked.join(crowded, "pivot", "left_semi"), scale))
+
+
+def places(ranked: DataFrame, scale: int) -> DataFrame:
+    """The differences at which a member can be met first by one similar to it."""
+    placed = ranked.select("pivot", "node", "label", "g", "base", "far", F.size("ds").alias("k"), F.posexplode("ds").alias("at", "of"))
     rest = F.col("k") - F.col("at")  # differences from here on; those of one member alone are none of them
-    placed = placed.select("pivot", F.col("of.d").alias("d"), "node", "label", "g", (F.col("g") > F.col("base")).alias("far"), (scale * rest - F.col("g") + F.col("base")).alias("most")).where("most >= 0")
+    return placed.select("pivot", F.col("of.d").alias("d"), "node", "label", "g", "far", (scale * rest - F.col("g") + F.col("base")).alias("most")).where("most >= 0")
+
+
+def met(ranked: DataFrame, scale: int) -> DataFrame:
+    placed = places(ranked, scale)
     left = placed.where("far").select("pivot", "d", *(F.col(c).alias(f"{c}_a") for c in ("node", "label", "g", "most")))
     right = placed.select("pivot", "d", *(F.col(c).alias(f"{c}_b") for c in ("node", "label", "g", "most", "far")))
-    met = left.join(right, ["pivot", "d"]).where("label_a <> label_b and g_b <= most_a and g_a <= most_b and (not far_b or node_a < node_b)")
-    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    both = left.join(right, ["pivot", "d"]).where("label_a <> label_b and g_b <= most_a and g_a <= most_b and (not far_b or node_a < node_b)")
+    return both.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def tile_links(ranked: DataFrame, scale: int, tile: int = 0, tile_differences: int = 0) -> DataFrame:
+    """Links a, b between members of one pivot that join all labels which any similar pair of them joins.
+
+    Members are dealt into tiles of bounded numbers of members and of differences; every pair of tiles of which one holds
+    members far from the pivot is a task's group. It counts the shared differences of all its pairs as a product of bit
+    matrices, and sends on one link for each two components that it joins: fewer links than it has members, never its pairs.
+    """
+    count = F.count("*") / (tile or TILE)
+    differences = F.sum(F.size("ds")) / (tile_differences or TILE_DIFFERENCES)
+    kinds = ranked.groupBy("pivot", "far").agg(F.ceil(F.greatest(count, differences)).cast("long").alias("tiles"))
+    numbers = kinds.groupBy("pivot").agg(*(F.coalesce(F.max(F.when(when, F.col("tiles"))), F.lit(0)).alias(c) for c, when in (("fars", F.col("far")), ("nears", ~F.col("far")))))
+    # tiles of far members come first, the others after them
+    at = F.when(F.col("far"), F.pmod(F.xxhash64("node"), F.col("fars"))).otherwise(F.col("fars") + F.pmod(F.xxhash64("node"), F.col("nears")))
+    dealt = ranked.join(numbers.where("fars > 0"), "pivot").withColumn("tile", at)
+    others = F.sequence(F.lit(0).cast("long"), F.when(F.col("far"), F.col("fars") + F.col("nears")).otherwise(F.col("fars")) - 1)
+    sides = dealt.select("pivot", "tile", "node", "label", "g", "base", F.transform("ds", lambda x: x.d).alias("ds"), F.explode(others).alias("other"))
+    sides = sides.select("pivot", F.least("tile", "other").alias("p"), F.greatest("tile", "other").alias("q"), "tile", "node", "label", "g", "base", "ds")
+
+    def links(table: pa.Table) -> pa.Table:
+        p, q, base = (table.column(c)[0].as_py() for c in ("p", "q", "base"))
+        tiles, nodes, labels, g = (table.column(c).to_numpy() for c in ("tile", "node", "label", "g"))
+        lists = table.column("ds").combine_chunks()
+        lengths, values = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
+        rows = np.repeat(np.arange(len(nodes)), lengths)
+        left, right = np.flatnonzero(tiles == p), np.flatnonzero(tiles == q)
+        place = np.empty(len(nodes), np.int64)
+        sides = []
+        for mine, number in ((left, p), (right, q)):
+            place[mine] = np.arange(len(mine))
+            held = tiles[rows] == number
+            sides.append((values[held], place[rows[held]], len(mine)))
+        shared = shared_counts(*sides)
+        names, component = np.unique(labels, return_inverse=True)
+        component, a, b = component.astype(np.int64), [], []
+        root = np.arange(len(names))
+        for i, x in enumerate(left):
+            hits = right[scale * shared[i].astype(np.int64) >= g[x] + g[right] - base]
+            own = root[component[x]]
+            joined, first = np.unique(root[component[hits]], return_index=True)
+            first, joined = first[joined != own], joined[joined != own]
+            if len(joined):
+                a += [int(nodes[x])] * len(joined)
+                b += nodes[hits[first]].tolist()
+                root[np.isin(root, joined)] = own
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return sides.groupBy("pivot", "p", "q").applyInArrow(links, "a long, b long").distinct()
+
+
+def shared_counts(left: tuple, right: tuple) -> np.ndarray:
+    """How many values rows i of left and j of right share. A side: values, the row of each, the number of rows.
+
+    Values that many rows hold are counted by products of matrices, the others pair by pair of rows that hold them.
+    """
+    (x, of_x, n), (y, of_y, m) = left, right
+    names = np.intersect1d(x, y)
+    out = np.zeros((n, m), np.int32)
+    if not len(names):
+        return out
+
+    def known(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(names, values), len(names) - 1)
+        held = names[at] == values
+        order = np.argsort(at[held], kind="stable")
+        return at[held][order], rows[held][order]
+
+    (cx, rx), (cy, ry) = known(x, of_x), known(y, of_y)
+    in_x, in_y = np.bincount(cx, minlength=len(names)), np.bincount(cy, minlength=len(names))
+    dense = in_x * in_y * 64 >= n * m
+    column = np.cumsum(dense) - 1
+    width = int(dense.sum())
+    for at in range(0, width, 2048):
+        parts = []
+        for c, r, rows in ((cx, rx, n), (cy, ry, m)):
+            mine = dense[c] & (column[c] >= at) & (column[c] < at + 2048)
+            bits = np.zeros((rows, min(2048, width - at)), np.float32)
+            bits[r[mine], column[c[mine]] - at] = 1
+            parts.append(bits)
+        out += (parts[0] @ parts[1].T).astype(np.int32)
+    cx, rx = cx[~dense[cx]], rx[~dense[cx]]
+    begin = np.cumsum(in_y) - in_y  # of a value's rows in ry
+    until = np.cumsum(in_y[cx])
+    flat, at = out.reshape(-1), 0
+    while at < len(cx):
+        to = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + (4 << 20), "right")))
+        times = in_y[cx[at:to]]
+        step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        np.add.at(flat, np.repeat(rx[at:to], times) * m + ry[np.repeat(begin[cx[at:to]], times) + step], 1)
+        at = to
+    return out
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, doc_id: str = "doc_id", text: str = "text", scratch: Scratch | None = None, own_ids: bool = False) -> DataFrame:
@@ -257,8 +376,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
        with one pivot, first the member that shares most buckets with others: signatures, then full sets.
     3. In buckets that still have several components, members not far from the pivot are described by their differences
        from it. Pairs of them can be similar only if they share enough of these differences (see linkable); those pairs
-       are compared on full sets. So no pair that could join two components goes without a comparison, and no group is
-       compared pair by pair.
+       are compared on full sets. So no pair that could join two components goes without a comparison. Where most pairs
+       of a group share differences they are counted for all its pairs, in tiles of bit matrices; its pairs never become
+       rows, but the count itself is quadratic in such a group.
     4. Members far from the pivot get a pivot of their own in the next round. As the distance 1 - similarity is a metric, a
        similar pair is either near the pivot with both members or goes on with both. After ROUNDS rounds all that are
        left are described by their differences, however far.
@@ -322,7 +442,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         around = still.where("node <> pivot.node").select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct().join(near.select("a", "b"), ["a", "b"])
         described = scratch.keep(differences(around, texts, shingle), f"described-{step}")
         by_label = labels.put_on(described.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "size", "lost", "added", "differences"))
-        candidates = scratch.keep(linkable(by_label, percent), f"linkable-{step}")
+        candidates = scratch.keep(linkable(by_label, percent, scratch, f"-{step}"), f"linkable-{step}")
         at_pivot = described.where(f"100 * (size - lost) >= {percent} * (size + added)").select("a", "b")
         labels.add(scratch.keep(confirmed(candidates, texts, percent, shingle).unionByName(at_pivot), f"links-by-differences-{step}"))
         release(spark)
@@ -331,7 +451,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         close = described.where(F.col("size") - F.col("lost") >= (floor + 1 - q) * (F.col("size") + F.col("added"))).select(F.col("a").alias("pivot_node"), F.col("b").alias("node"))
         far = still.where("node <> pivot.node").withColumn("pivot_node", F.col("pivot.node")).join(close, ["pivot_node", "node"], "left_anti")
         live = scratch.keep(far.select("band", "node", "weight"), f"live-{step}")
-        scratch.drop(*(f"{x}-{step}" for x in ("mixed", "pairs", "near", "still", "described", "linkable")))
+        scratch.drop(*(f"{x}-{step}" for x in ("mixed", "pairs", "near", "still", "described", "ranked", "crowded", "linkable")))
 
     leasts = classes.select(F.col("node").alias("label"), F.col("least").alias("component"))
     moved = labels.put_on(classes.select("node", "set_key", "least")).where("label <> node").join(leasts, "label").select("set_key", "component")

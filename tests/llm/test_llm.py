@@ -134,6 +134,64 @@ def test_pairs_by_differences_are_whole(spark):
     assert wanted and wanted <= found and len(found) < len(sets) ** 2 / 8
 
 
+def test_shared_counts():
+    draw = random.Random(3)
+    for n, m, often in ((1, 1, 1), (40, 30, 8), (200, 150, 3)):
+        sets = [[{draw.randrange(20) for _ in range(draw.randrange(often + 4))} | {draw.randrange(10**6) % 900 + 50 for _ in range(12)} for _ in range(x)] for x in (n, m)]
+        sides = [(np.array([v for s in side for v in s], np.int64), np.array([i for i, s in enumerate(side) for _ in s], np.int64), len(side)) for side in sets]
+        assert minhash.shared_counts(*sides).tolist() == [[len(a & b) for b in sets[1]] for a in sets[0]]
+    empty = (np.empty(0, np.int64), np.empty(0, np.int64), 3)
+    assert minhash.shared_counts(empty, sides[1]).shape == (3, 150)
+
+
+@pytest.mark.parametrize("tile", [7, 4096])
+def test_tiles_join_what_pairs_join(spark, monkeypatch, tile):
+    """Links of tiles join the labels that all similar pairs of a pivot's members join, each of them similar."""
+    draw, rows, sets = random.Random(5), [], {}
+    for pivot, members in ((0, 90), (1000, 25), (2000, 1)):
+        whole, kinds = set(range(60)), [set(draw.sample(range(60), 15)) for _ in range(12)]
+        for node in range(pivot + 1, pivot + 1 + members):
+            lost = (draw.choice(kinds) | set(draw.sample(range(60), 4))) if draw.random() < 0.7 else set(draw.sample(range(60), draw.randint(0, 9)))
+            sets[node] = (whole - lost) | {draw.randint(100, 104) for _ in range(3)}
+            near_pivot = 100 * len(sets[node] & whole) >= 80 * len(sets[node] | whole)
+            rows.append((pivot, node, pivot if near_pivot else node, 60, len(lost), len(sets[node] - whole), sorted(sets[node] ^ whole)))
+    near = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    label = {r[1]: r[2] for r in rows}
+    group = {r[1]: r[0] for r in rows}
+    wanted = [(a, b) for a in sets for b in sets if a < b and group[a] == group[b] and near(a, b)]
+    monkeypatch.setattr(minhash, "CROWD", 0)
+    monkeypatch.setattr(minhash, "TILE", tile)
+    table = spark.createDataFrame(rows, "pivot long, node long, label long, size long, lost long, added long, differences array<long>")
+    found = [tuple(x) for x in minhash.linkable(table, 80, shared.Scratch(spark, "test")).collect()]
+    assert all(a < b and near(a, b) and label[a] != label[b] for a, b in found)
+    by_label = lambda links: union_find(set(label.values()), [(label[a], label[b]) for a, b in links])
+    assert by_label(found) == by_label(wanted) != by_label([])
+    assert tile == 7 or len(found) < len(sets)
+
+
+def test_mixtures_of_the_same_parts(spark, monkeypatch):
+    """Documents that share half of their optional clauses make no rows of pairs, and those that share more are linked."""
+    draw = random.Random(11)
+    clause = lambda i: " ".join(f"w{i}x{j}" for j in range(10))
+    texts = [" ".join(clause(i) for i in [*range(37), *sorted(draw.sample(range(40, 80), 20))]) for _ in range(200)]
+    for text in texts[:20]:
+        texts.append(text.replace(clause(36), clause(99)))
+    sets = [minhash.shingle_set(t, 5) for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    keep, rows = shared.Scratch.keep, {}
+
+    def counted(self, df, name, by=None):
+        out = keep(self, df, name, by)
+        if name.startswith("linkable"):
+            rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(shared.Scratch, "keep", counted)
+    found = minhash.near_duplicates(docs_of(spark, texts)).collect()
+    assert {r.doc_id: r.component_id for r in found} == union_find(range(len(texts)), links)
+    assert rows and max(rows.values()) < 2 * len(texts)
+
+
 def removed_by_force(bodies, width):
     seen = Counter(b[i : i + width] for b in bodies for i in range(len(b) - width + 1))
     out = []
