@@ -21,7 +21,7 @@ BANDS, ROWS = 32, 4
 FAN = 256
 #: Rounds after which members far from their pivot are described by their differences from it too, instead of having a pivot of their own.
 ROUNDS = 2
-#: A pivot whose members meet more often than this a member is compared in tiles. Both ways find the same links.
+#: A pivot whose members meet more often than this a member is compared in tiles. Both ways join the same components.
 CROWD = 16
 #: Members of a tile and differences of all its members together, about.
 TILE, TILE_DIFFERENCES = 4096, 2_000_000
