@@ -13,6 +13,8 @@ from .runs import cache_key
 
 #: Requests of a task, about; what a lost task or a killed job sends again is at most what its open tasks had.
 REQUESTS = 500
+#: Tasks that requests go to at most, about: each writes a file, and tasks grow beyond REQUESTS rather than become more.
+MOST_TASKS = 2000
 #: Parts of a log that one is opened with; more are put together first.
 MOST_PARTS = 200
 SCHEMA = "key string, text string, translation string, status string, attempts int, error string, run string"
@@ -39,7 +41,7 @@ class AnswerLog:
     def rows(self) -> DataFrame:
         """Every answer there is. Each part is a path of its own: Spark takes reads of one path for the same, however many files it had at the time."""
         parts = self.parts()
-        return self.spark.read.schema(SCHEMA).parquet(*(f"{self.path}/{x}" for x in parts)) if parts else self.spark.createDataFrame([], SCHEMA)
+        return self.spark.read.schema(SCHEMA).parquet(*(f"{self.path}/{x}" for x in parts)) if parts else self.spark.range(0).select(F.from_json(F.lit(None).cast("string"), SCHEMA).alias("a")).select("a.*")
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Write a step of what is made of answers, and read it back; `end` deletes all of these."""
@@ -63,20 +65,21 @@ class AnswerLog:
         """The answer that counts of each of these keys: one that succeeded, else the last one's failure in this run."""
         mine = self.rows().where((F.col("status") == "ok") | (F.col("run") == self.run)).join(keys.select("key"), "key", "left_semi")
         order = F.struct(F.col("status") == "ok", F.col("attempts"), F.col("translation"))
-        return mine.groupBy("key").agg(F.max_by(F.struct("translation", "status", "attempts", "error"), order).alias("a")).select("key", "a.*")
+        return mine.groupBy("key").agg(F.max_by(F.struct("text", "translation", "status", "attempts", "error"), order).alias("a")).select("key", "a.*")
 
     def ask(self, texts: DataFrame, translator: str, source: str = "en", target: str = "fr", again: bool = False, column: str = "text", **policy) -> DataFrame:
         """Each distinct text that is not null with its answer: text, translation, status, attempts, error. Sends what has no answer, and returns when all is written."""
         from .translate import translate_distinct
 
         key = cache_key(F.col("text"), translator, source, target, "again" if again else "")
-        wanted = texts.select(F.col(column).alias("text")).where("text is not null").distinct().withColumn("key", key)
+        wanted = texts.select(F.col(column).alias("text")).where("text is not null").withColumn("key", key)
         known = self.rows().where((F.col("status") == "ok") | (F.col("run") == self.run)).select("key")
-        todo = wanted.join(known, "key", "left_anti").select("text").persist(StorageLevel.DISK_ONLY)
-        if parts := -(-todo.count() // REQUESTS):
-            sent = translate_distinct(todo, translator, source, target, again=again, parts=parts, **policy)
+        todo = wanted.join(known, "key", "left_anti").select("text").distinct().persist(StorageLevel.DISK_ONLY)
+        if n := todo.count():
+            sent = translate_distinct(todo, translator, source, target, again=again, parts=-(-n // max(REQUESTS, n // MOST_TASKS)), **policy)
             rows = sent.select(key.alias("key"), "text", "translation", "status", "attempts", "error", F.lit(self.run).alias("run"))
             # a task's files are in their place when it commits, not when the job does
             rows.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{self.path}/{self.run}-{len(self.parts())}")
         todo.unpersist()
-        return wanted.join(self.best(wanted), "key").select("text", "translation", "status", "attempts", "error")
+        # the texts come from the log, so that only keys are shuffled here
+        return self.best(wanted.select("key").distinct()).select("text", "translation", "status", "attempts", "error")

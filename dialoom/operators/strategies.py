@@ -225,7 +225,7 @@ def translated_lists(lists: DataFrame, translator: str, sizes: list[int], answer
     whole = answers.keep(sent.withColumn("whole", F.when(F.size(parsed) == F.size("batch"), parsed)).drop("marked", "translation"))
     # what came back damaged, item by item and chunk by chunk
     items = whole.where("whole is null").select(*keys, "most", "b", F.posexplode("batch").alias("i", "item"))
-    pieces = items.where(~T.is_blank(F.col("item"))).select(*keys, "b", "i", F.posexplode(by_size("most", sizes, lambda most: T.chunks(F.col("item"), most))).alias("c", "text"))
+    pieces = answers.keep(items.where(~T.is_blank(F.col("item"))).select(*keys, "b", "i", F.posexplode(by_size("most", sizes, lambda most: T.chunks(F.col("item"), most))).alias("c", "text")))
     one = pieces.join(answers.ask(pieces, translator, **policy), "text")
     note = F.when(F.col("status") == "error", F.concat(F.lit("item "), F.col("i").cast("string"), F.lit(" chunk "), F.col("c").cast("string"), F.lit(": "), F.col("error")))
     by_item = one.groupBy(*keys, "b", "i").agg(
@@ -245,7 +245,7 @@ def retried(lists: DataFrame, done: DataFrame, translator: str, sizes: list[int]
     both = lists.join(done, list(keys)).select(*keys, "most", "letters", "error", "attempts", F.posexplode(F.arrays_zip(F.col("items").alias("s"), F.col("done").alias("t"))).alias("i", "p"))
     both = both.select(*keys, "most", "letters", "error", "attempts", "i", "p.s", "p.t")
     same = lambda t: F.coalesce(suspicious_unchanged(F.col("s"), F.col(t), F.col("letters")), F.lit(False))
-    pieces = both.where(same("t")).select(*keys, "i", F.posexplode(by_size("most", sizes, lambda most: T.chunks(F.col("s"), most))).alias("c", "text"))
+    pieces = answers.keep(both.where(same("t")).select(*keys, "i", F.posexplode(by_size("most", sizes, lambda most: T.chunks(F.col("s"), most))).alias("c", "text")))
     again = pieces.join(answers.ask(pieces, translator, again=True, **policy), "text").groupBy(*keys, "i").agg(
         F.array_join(in_order("c", F.coalesce("translation", "text").alias("x")), "").alias("second"),
         F.max(F.when(F.col("status") == "error", 1).otherwise(0)).alias("failed"), F.sum("attempts").alias("tries"),

@@ -98,8 +98,9 @@ def translate_column(rows: DataFrame, source: str, target: str, translator: str,
     the same is an error where that is asked for, so a resumed run sends it again.
     """
     wanted = ~T.is_blank(F.coalesce(F.col(source), F.lit(""))) & passes_guards(F.col(source), guards)
-    pieces = rows.where(wanted).select(*keys, F.posexplode(T.chunks(F.col(source), max_chars)).alias("i", "text"))
-    done = pieces.join((answers or AnswerLog(rows.sparkSession)).ask(pieces, translator, **languages), "text")
+    answers = answers or AnswerLog(rows.sparkSession)
+    pieces = answers.keep(rows.where(wanted).select(*keys, F.posexplode(T.chunks(F.col(source), max_chars)).alias("i", "text")))
+    done = pieces.join(answers.ask(pieces, translator, **languages), "text")
     whole = done.groupBy(*keys).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", F.coalesce("translation", "text").alias("x")))), lambda p: p["x"]), "").alias(target),
         F.max(F.when(F.col("status") == "error", F.col("error"))).alias("error"),
@@ -222,8 +223,9 @@ def action_logs(rows: DataFrame, column: str, translator: str, languages: tuple[
     kinds = dict(rows.dtypes)
     of_keys = ", ".join(f"{k} {kinds[k]}" for k in keys)
     logs = rows.select(*keys, column)
-    texts = logs.mapInArrow(texts_of, f"{of_keys}, texts array<string>").select(*keys, F.explode(F.array_distinct("texts")).alias("text"))
-    found = texts.join((answers or AnswerLog(rows.sparkSession)).ask(texts, translator, *languages, **policy), "text")
+    answers = answers or AnswerLog(rows.sparkSession)
+    texts = answers.keep(logs.mapInArrow(texts_of, f"{of_keys}, texts array<string>").select(*keys, F.explode(F.array_distinct("texts")).alias("text")))
+    found = texts.join(answers.ask(texts, translator, *languages, **policy), "text")
     told = found.groupBy(*keys).agg(F.collect_list(F.struct("text", "translation", "error")).alias("told"))
     done = logs.join(told, list(keys), "left").mapInArrow(put_back, f"{of_keys}, {column} {kinds[column]}, translation string, _failed string")
     lines = lambda c: F.size(F.split(c, "\n"))
