@@ -15,13 +15,13 @@ RATIO_LOW, RATIO_HIGH, RATIO_LETTERS = 0.35, 3.0, 20
 REPEAT_SOURCES, REPEAT_CHARS, REPEAT_EXAMPLES = 5, 500, 5
 
 
-def with_facts(pairs: DataFrame, source: str = "source", translation: str = "translation") -> DataFrame:
+def with_facts(pairs: DataFrame, source: str = "source", translation: str = "translation", ascii_words: bool = False) -> DataFrame:
     """What the checks need of a pair, computed once: the generator keeps the optimizer from putting the functions in at each use."""
     s, t = F.col(source), F.col(translation)
     facts = {
         "source_letters": T.letter_count(s), "translation_letters": T.letter_count(t),
         "source_norm": T.norm_text(s), "translation_norm": T.norm_text(t),
-        "technical": T.technical_reason(s), "signal": T.has_english_signal(s),
+        "technical": T.technical_reason(s, ascii_words), "signal": T.has_english_signal(s),
         "source_markers": T.markers(s), "translation_markers": T.markers(t),
         "entities_leaked": F.array_except(T.entities(t), T.entities(s)),
         "residue": F.size(T.tokens_in(t, T.RESIDUE_WORDS)),
@@ -34,12 +34,13 @@ def issue(severity: str, code: str) -> Column:
     return F.struct(F.lit(severity).alias("severity"), F.lit(code).alias("code"))
 
 
-def check_pairs(pairs: DataFrame, title_allowed: bool = False, min_letters: int = MIN_UNCHANGED_LETTERS) -> DataFrame:
+def check_pairs(pairs: DataFrame, title_allowed: bool = False, min_letters: int = MIN_UNCHANGED_LETTERS, ascii_words: bool = False) -> DataFrame:
     """Pairs with `issues` (array<struct<severity, code>>) in the order of the checks, and `suppressed` (why an unchanged pair is fine).
 
     An empty translation ends a pair's checks, as do a suppressed and an unchanged one; the other checks all run.
+    ascii_words: see technical_reason.
     """
-    facts = with_facts(pairs)
+    facts = with_facts(pairs, ascii_words=ascii_words)
     s, t = F.col("source"), F.col("translation")
     same = (F.col("source_norm") == F.col("translation_norm")) & (F.col("source_norm") != "")
     empty = ~T.is_blank(s) & T.is_blank(t)
