@@ -98,12 +98,18 @@ class RangeLog:
                 spans.append((first, end))
         inside = lambda split, spans: (F.col("split") == split) & reduce(lambda a, b: a | b, ((F.col("row_idx") >= first) & (F.col("row_idx") < end) for first, end in spans))
         mine = rows.where(reduce(lambda a, b: a | b, (inside(split, spans) for split, spans in by_split.items())))
-        # the number of a row's range among these: by the first rows of its split's ranges, which are sorted
+        # the number of a row's range among these, by division where ranges of one length follow each other: no row is held against all
+        runs: list[list] = []  # split, first row, end, rows of a range, number of its first range
+        for i, (split, first, end) in enumerate(ranges):
+            last = runs[-1] if runs else None
+            if last and last[0] == split and last[2] == first and (first - last[1]) % last[3] == 0 and end - first <= last[3]:
+                last[2] = end
+            else:
+                runs.append([split, first, end, max(1, end - first), i])
         number = F.lit(None).cast("int")
-        for split in by_split:
-            firsts = [(i, first) for i, (s, first, _) in enumerate(ranges) if s == split]
-            place = F.size(F.filter(F.array(*(F.lit(first) for _, first in firsts)), lambda first: first <= F.col("row_idx"))) - 1
-            number = F.when(F.col("split") == split, F.get(F.array(*(F.lit(i) for i, _ in firsts)), place)).otherwise(number)
+        for split, first, end, size, i in reversed(runs):
+            here = (F.col("split") == split) & (F.col("row_idx") >= first) & (F.col("row_idx") < end)
+            number = F.when(here, (F.lit(i) + F.floor((F.col("row_idx") - first) / size)).cast("int")).otherwise(number)
         staged = f"{self.path}-{uuid.uuid4().hex[:12]}"
         process(mine).withColumn("_range", number).repartition(max(1, min(len(ranges), 200)), "_range").write.partitionBy("_range").parquet(staged)
         for i, (split, first, end) in enumerate(ranges):

@@ -335,3 +335,17 @@ def test_ranks_by_ranges(spark, keys):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(found) == 800 and all(r.v_rank == expected[r.g, r.v] for r in found)
+
+
+def test_ranges_are_numbered_without_holding_rows_against_each(spark, tmp_path):
+    from dialoom.operators.ranges import RangeLog
+
+    log = RangeLog(spark, str(tmp_path / "r"), 10)
+    rows = spark.range(1035).selectExpr("if(id < 1000, 'a', 'b') AS split", "if(id < 1000, id, id - 1000) AS row_idx")
+    log.write(rows, [("a", 20, 30), ("a", 30, 37)], lambda df: df, 1)
+    log.write(rows, list(log.pending({"a": 1000, "b": 35})), lambda df: df, 1)
+    seen = log.records().groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in seen} == {"a": 1000, "b": 35}
+    every = spark.read.option("basePath", log.path).parquet(log.path).selectExpr("split", "row_idx", "split(range, '~') AS p")
+    assert every.where("p[0] <> split OR row_idx < cast(p[1] AS long) OR row_idx >= cast(p[2] AS long)").count() == 0
+    assert not list(log.pending({"a": 1000, "b": 35}))
