@@ -17,14 +17,14 @@ REPEAT_SOURCES, REPEAT_CHARS, REPEAT_EXAMPLES = 5, 500, 5
 
 def with_facts(pairs: DataFrame, source: str = "source", translation: str = "translation", ascii_words: bool = False) -> DataFrame:
     """What the checks need of a pair, computed once: the generator keeps the optimizer from putting the functions in at each use."""
-    s, t = F.col(source), F.col(translation)
+    s, t, read = F.col(source), F.col(translation), T.as_ascii if ascii_words else str
     facts = {
         "source_letters": T.letter_count(s), "translation_letters": T.letter_count(t),
-        "source_norm": T.norm_text(s), "translation_norm": T.norm_text(t),
-        "technical": T.technical_reason(s, ascii_words), "signal": T.has_english_signal(s),
-        "source_markers": T.markers(s), "translation_markers": T.markers(t),
+        "source_norm": T.norm_text(s, read), "translation_norm": T.norm_text(t, read),
+        "technical": T.technical_reason(s, ascii_words), "signal": T.has_english_signal(s, read),
+        "source_markers": T.markers(s, read), "translation_markers": T.markers(t, read),
         "entities_leaked": F.array_except(T.entities(t), T.entities(s)),
-        "residue": F.size(T.tokens_in(t, T.RESIDUE_WORDS)),
+        "residue": F.size(T.tokens_in(t, T.RESIDUE_WORDS, read)),
     }
     kept = [c for c in pairs.columns if c not in facts]
     return pairs.select(*kept, F.inline(F.array(F.struct(*(f.alias(name) for name, f in facts.items())))))
@@ -41,9 +41,9 @@ def check_pairs(pairs: DataFrame, title_allowed: bool = False, min_letters: int
     ascii_words: see technical_reason.
     """
     facts = with_facts(pairs, ascii_words=ascii_words)
-    s, t = F.col("source"), F.col("translation")
+    s, t, read = F.col("source"), F.col("translation"), T.as_ascii if ascii_words else str
     same = (F.col("source_norm") == F.col("translation_norm")) & (F.col("source_norm") != "")
-    empty = ~T.is_blank(s) & T.is_blank(t)
+    empty = ~T.is_blank(s, read) & T.is_blank(t, read)
     suppressed = F.when(~empty & same & (F.col("technical") != ""), F.col("technical"))
     if title_allowed:
         suppressed = F.coalesce(suppressed, F.when(~empty & (F.col("source_norm") == F.col("translation_norm")) & T.is_title_like(s), "title_like_value"))
@@ -56,7 +56,7 @@ def check_pairs(pairs: DataFrame, title_allowed: bool = False, min_letters: int
         (short & (F.size("source_markers") > 0) & (F.col("source_markers") != F.col("translation_markers")), "placeholder_or_marker_changed"),
         (rated & (ratio < RATIO_LOW), "length_ratio_low"),
         (rated & (ratio > RATIO_HIGH), "length_ratio_high"),
-        (~T.is_blank(t) & (F.col("source_norm") != F.col("translation_norm")) & short & (F.col("translation_letters") >= RATIO_LETTERS) & (F.col("residue") >= RESIDUE_TOKENS) & (F.col("technical") == ""), "english_residue"),
+        (~T.is_blank(t, read) & (F.col("source_norm") != F.col("translation_norm")) & short & (F.col("translation_letters") >= RATIO_LETTERS) & (F.col("residue") >= RESIDUE_TOKENS) & (F.col("technical") == ""), "english_residue"),
     ]
     none = F.array().cast("array<struct<severity:string,code:string>>")
     found = none if title_allowed else F.filter(F.array(*(F.when(rule, issue("warning", code)) for rule, code in later)), lambda x: x.isNotNull())

@@ -16,17 +16,17 @@ FIXABLE = ["unchanged_translation", "english_residue", "html_entity_leak", "plac
 TEMPLATE = 'Translate from {source_lang} to {target_lang} ({domain}). A check found {code}: {message}\nSource:\n{source}\nTranslation:\n{translation}\nAnswer with JSON: {"suggested_translation": "...", "confidence": 0.0, "rationale": "..."}'
 
 
-def cases(issues: DataFrame, most: int = -1) -> DataFrame:
+def cases(issues: DataFrame, most: int = -1, ascii_words: bool = False) -> DataFrame:
     """Issues that say the same of the same texts (up to white space) as one case, the first one's, with their number. metrics.issue_locations has all places.
 
     issues: severity, code, split, row_idx, field, source, translation, and, if there are any, message, duplicate_count. A
-    duplicate counts as often as it stands for. With a limit, the first cases in row order.
+    duplicate counts as often as it stands for. With a limit, the first cases in row order. ascii_words: see technical_reason.
     """
-    defaults = {"message": F.lit(""), "duplicate_count": F.lit(1)}
+    defaults, read = {"message": F.lit(""), "duplicate_count": F.lit(1)}, T.as_ascii if ascii_words else str
     rows = issues.withColumns({k: v for k, v in defaults.items() if k not in issues.columns})
-    rows = rows.where(F.col("code").isin(FIXABLE) & ~T.is_blank(F.coalesce("source", F.lit(""))) & ~T.is_blank(F.coalesce("translation", F.lit(""))))
+    rows = rows.where(F.col("code").isin(FIXABLE) & (T.squeeze(F.coalesce("source", F.lit("")), read) != "") & (T.squeeze(F.coalesce("translation", F.lit("")), read) != ""))
     order = F.struct("split", "row_idx", "field")
-    found = rows.groupBy("code", F.coalesce("message", F.lit("")).alias("message"), T.squeeze(F.col("source")).alias("source"), T.squeeze(F.col("translation")).alias("translation")).agg(
+    found = rows.groupBy("code", F.coalesce("message", F.lit("")).alias("message"), T.squeeze(F.col("source"), read).alias("source"), T.squeeze(F.col("translation"), read).alias("translation")).agg(
         F.sum(F.greatest(F.lit(1), F.coalesce("duplicate_count", F.lit(1)))).cast("long").alias("occurrences"), F.min(order).alias("first"),
     )
     found = found.select("code", "message", "source", "translation", "occurrences", "first.*")

@@ -123,23 +123,23 @@ def split_rows(checked: DataFrame, sizes: DataFrame, more: DataFrame | None = No
 RECORD = ["severity", "code", "message", "source", "translation"]
 
 
-def as_records(issues: DataFrame) -> DataFrame:
-    """Issues with what makes them one record (white space in texts does not count) and its id."""
+def as_records(issues: DataFrame, ascii_words: bool = False) -> DataFrame:
+    """Issues with what makes them one record (white space in texts does not count) and its id. ascii_words: see technical_reason."""
     defaults = {"message": F.lit(""), "duplicate_count": F.lit(1), "occurrence_count": F.lit(1)}
     rows = issues.withColumns({k: v for k, v in defaults.items() if k not in issues.columns})
-    text = lambda c: T.squeeze(F.coalesce(c, F.lit("")))
+    text = lambda c: T.squeeze(F.coalesce(c, F.lit("")), T.as_ascii if ascii_words else str)
     rows = rows.withColumns({"message": F.coalesce("message", F.lit("")), "source": text("source"), "translation": text("translation")})
     return rows.withColumn("record_id", F.sha2(F.to_json(F.struct(*RECORD)), 256))
 
 
-def issue_records(issues: DataFrame) -> DataFrame:
+def issue_records(issues: DataFrame, ascii_words: bool = False) -> DataFrame:
     """Issues of one severity, code and message about the same texts as one record, with the place of the first, its fields and its splits.
 
     occurrences: each issue counts as often as it stands for. Places are a table of their own (issue_locations), as there can be any number.
     """
     n = F.greatest(F.lit(1), F.coalesce("duplicate_count", F.lit(1)), F.coalesce("occurrence_count", F.lit(1))).cast("long")
     distinct = lambda c: F.array_sort(F.collect_set(c))
-    found = as_records(issues).groupBy("record_id", *RECORD).agg(F.sum(n).alias("occurrences"), F.min(F.struct("split", "row_idx", "field")).alias("first"), distinct(T.normal_field(F.col("field"))).alias("fields"), distinct("split").alias("splits"))
+    found = as_records(issues, ascii_words).groupBy("record_id", *RECORD).agg(F.sum(n).alias("occurrences"), F.min(F.struct("split", "row_idx", "field")).alias("first"), distinct(T.normal_field(F.col("field"))).alias("fields"), distinct("split").alias("splits"))
     return found.select("record_id", *RECORD, "occurrences", "first.*", "fields", "splits")
 
 
@@ -215,8 +215,9 @@ def deduplicated(issues: DataFrame, order: list[str]) -> DataFrame:
     return found.select(*issues.columns, "duplicate_count")
 
 
-def fix_cases(issues: DataFrame) -> DataFrame:
+def fix_cases(issues: DataFrame, ascii_words: bool = False) -> DataFrame:
     """Issues worth one request each: same code, source up to white space, and translation."""
     fixable = ["unchanged_translation", "english_residue", "html_entity_leak", "placeholder_or_marker_changed", "empty_translation"]
-    rows = issues.where(F.col("code").isin(fixable) & ~T.is_blank(F.col("source")) & ~T.is_blank(F.col("translation")))
-    return rows.groupBy("code", T.squeeze(F.col("source")).alias("source"), "translation").agg(F.count("*").alias("occurrences"), F.min("row_idx").alias("first_row"))
+    read = T.as_ascii if ascii_words else str
+    rows = issues.where(F.col("code").isin(fixable) & (T.squeeze(F.col("source"), read) != "") & ~T.is_blank(F.col("translation"), read))
+    return rows.groupBy("code", T.squeeze(F.col("source"), read).alias("source"), "translation").agg(F.count("*").alias("occurrences"), F.min("row_idx").alias("first_row"))

@@ -217,7 +217,7 @@ def translated_lists(lists: DataFrame, translator: str, sizes: list[int], answer
     batches = lists.select(*keys, "most", "as_list", F.posexplode(by_size("most", sizes, lambda most: marked_batches(F.col("items"), most))).alias("b", "batch"))
     # blank items have no translation to parse; a list with one goes item by item
     room = by_size("most", sizes, lambda most: F.lit(most if most > 0 else 2**31 - 1))
-    sendable = F.col("as_list") & ~F.exists("batch", T.is_blank) & (F.char_length(T.marked_text(F.col("batch"))) <= room)
+    sendable = F.col("as_list") & ~F.exists("batch", lambda x: T.is_blank(x)) & (F.char_length(T.marked_text(F.col("batch"))) <= room)
     marked = batches.withColumn("marked", F.when(sendable, T.marked_text(F.col("batch"))))
     told = answers.ask(marked, translator, column="marked", **policy)
     sent = marked.join(told.select(F.col("text").alias("marked"), "translation", F.col("attempts").alias("tries"), F.col("error").alias("refused")), "marked", "left")
