@@ -85,9 +85,10 @@ def translate_distinct(texts: DataFrame, translator: str, source: str = "en", ta
             columns = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int32(), pa.string()), strict=True)], names=["text", "translation", "status", "attempts", "error"])
 
-    distinct = texts.select(F.col(column).alias("text")).where("text is not null").distinct()
-    parts = max(parts, spread(texts.sparkSession, limit))
-    distinct = distinct.repartition(parts) if parts > 0 else distinct
+    wanted = texts.select(F.col(column).alias("text")).where("text is not null")
+    least = spread(texts.sparkSession, limit)
+    # dealt by text, they are moved once; few texts that may be asked for at once are dealt evenly
+    distinct = wanted.repartition(parts, "text").distinct() if parts > least else wanted.distinct().repartition(least) if least else wanted.distinct()
     return distinct.mapInArrow(run, "text string, translation string, status string, attempts int, error string")
 
 

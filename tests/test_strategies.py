@@ -122,3 +122,18 @@ def test_several_rules_limits_and_dropped_columns(spark):
     assert done.columns == ["split", "row_idx", "j", "x_fr", "status", "error", "attempts"]
     assert [(r.x_fr, r.j, r.status) for r in done.orderBy("row_idx").collect()] == [("4p3", '["3"]', "ok"), ("{", "{", "error")]
     assert strategies.translated(source.limit(0), [Rule("x", "x_fr", "text")], "letters").count() == 0
+
+
+def test_requests_are_moved_once_and_go_to_bounded_tasks(spark, monkeypatch, tmp_path):
+    from dialoom.operators import answers as A
+    from dialoom.operators.translate import translate_distinct
+
+    texts = spark.range(200).selectExpr("cast(id % 100 as string) as text")
+    dealt = translate_distinct(texts, "letters", parts=4)
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    assert sorted(int(r.text) for r in dealt.collect()) == list(range(100))
+    monkeypatch.setattr(A, "REQUESTS", 1)
+    monkeypatch.setattr(A, "MOST_TASKS", 10)
+    log = A.AnswerLog(spark, str(tmp_path / "answers"))
+    assert log.ask(texts, "letters").count() == 100
+    assert len(list((tmp_path / "answers").glob("*/*.parquet"))) <= 10
