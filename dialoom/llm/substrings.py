@@ -21,6 +21,8 @@ SEGMENT = 2 << 20
 POSITION_BITS = 23
 #: Runs of a bucket that are sorted at once; a larger bucket is split by its next bytes first.
 AT_ONCE = 1000
+#: Parts that the distances of such a bucket are cut into: three rounds come from all distances to single ones.
+SHARES = 8
 #: Suffixes of a bucket that are compared pair by pair; larger buckets are sorted.
 FEW = 6
 
@@ -173,17 +175,18 @@ def body_rows(rows: list[tuple], types: dict = PART_TYPES) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=list(types))
 
 
-def halves(row: tuple, width: int) -> Iterator[tuple]:
-    """A run's starts by the half of the bucket's distances that they are in, each with the bucket that they go to and a digest of all their bytes.
+def shares(row: tuple, width: int) -> Iterator[tuple]:
+    """A run's starts by the share of the bucket's distances that they are in, each with the bucket that they go to and a digest of all their bytes.
 
     All strings whose starts are near to far bytes before the sample place have the bytes from the nearest start to the
     farthest one's end in common, so equal strings go to one bucket. A bucket of one distance holds equal strings alone.
     """
     h, row_id, lo, n, anchor, body, near, far = row
-    middle = (near + far) // 2
-    for p, q in ((near, middle), (middle + 1, far)):
+    step = -(-(far - near + 1) // SHARES)
+    for p in range(near, far + 1, step):
+        q = min(p + step - 1, far)
         first, last = min(anchor, q), max(anchor - n + 1, p)
-        if p > q or first < last:
+        if first < last:
             continue
         skip = anchor - first
         mine = body[skip : skip + first - last + width]
@@ -192,13 +195,15 @@ def halves(row: tuple, width: int) -> Iterator[tuple]:
         yield int.from_bytes(core, "little", signed=True), row_id, lo + skip, first - last + 1, first, mine, p, q, context
 
 
-def halves_by(width: int):
+def shares_by(width: int):
     types = PART_TYPES | {"context": pa.binary()}
 
     def run(batches):
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in PART_TYPES), strict=True)
-            yield body_rows([x for row in rows for x in halves(row, width)], types)
+            for start in range(0, batch.num_rows, AT_ONCE):
+                few = batch.slice(start, AT_ONCE)
+                rows = zip(*(few.column(c).to_pylist() for c in PART_TYPES), strict=True)
+                yield body_rows([x for row in rows for x in shares(row, width)], types)
 
     return run
 
@@ -272,17 +277,19 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
     shown = scratch.keep(texts.select("row_id", "text").join(shown_runs, "row_id").mapInArrow(bodies, PART), "shown")
     release(spark)
 
-    # large buckets: the two halves of the distances from the sample place, each dealt anew by the bytes that its strings have in common
-    small, settled, level = [], [whole], 0
+    # large buckets: the shares of the distances from the sample place, each dealt anew by the bytes that its strings have in common
+    small, split, repeats, level = [], [], [], 0
     while True:
-        large = shown.groupBy("h").count().where(F.col("count") > AT_ONCE).select("h")
-        small.append(shown.join(large, "h", "left_anti"))
-        parts = scratch.keep(shown.join(large, "h", "left_semi").mapInArrow(halves_by(width), f"{PART}, context binary"), f"parts-{level}")
-        if parts.isEmpty():
+        large = scratch.keep(shown.groupBy("h").count().where(F.col("count") > AT_ONCE).select("h"), f"large-{level}")
+        if large.isEmpty():
+            small.append(shown)
             break
+        small.append(shown.join(large, "h", "left_anti"))
+        parts = scratch.keep(shown.join(large, "h", "left_semi").mapInArrow(shares_by(width), f"{PART}, context binary"), f"parts-{level}")
         alike = parts.groupBy("h", "context").agg(F.count("*").alias("copies"), F.min(F.struct("row_id", "lo", "n", "anchor", "body", "near", "far")).alias("run"))
         alike = scratch.keep(alike, f"alike-{level}")
-        settled.append(parts.join(alike.where("copies > 1").select("h", "context"), ["h", "context"]).select("row_id", "lo", (F.col("lo") + F.col("n") - 1).alias("hi")))
+        split.append(parts.select("h", "context", "row_id", "lo", "n"))
+        repeats.append(alike.where("copies > 1").select("h", "context"))
         several = alike.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1").select("h")
         level += 1
         shown = scratch.keep(alike.join(several, "h", "left_semi").select("h", "run.*"), f"shown-{level}")
@@ -312,9 +319,12 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
         close(out)
         yield rows_of(out)
 
-    for part in small:
-        settled.append(part.repartition("h").sortWithinPartitions("h").mapInArrow(sort_buckets, "row_id long, lo long, hi long"))
-    intervals = functools.reduce(DataFrame.unionByName, settled).groupBy("row_id").agg(F.collect_list(F.struct("lo", "hi")).alias("intervals"))
+    # the parts of all rounds at once, as each round costs a step for every partition; buckets of two rounds have other hashes
+    every = lambda tables: functools.reduce(DataFrame.unionByName, tables)
+    settled = [whole, every([t.select("h", "row_id", "lo", "n", "anchor", "body") for t in small]).repartition("h").sortWithinPartitions("h").mapInArrow(sort_buckets, "row_id long, lo long, hi long")]
+    if split:
+        settled.append(every(split).join(every(repeats), ["h", "context"]).select("row_id", "lo", (F.col("lo") + F.col("n") - 1).alias("hi")))
+    intervals = every(settled).groupBy("row_id").agg(F.collect_list(F.struct("lo", "hi")).alias("intervals"))
     intervals = scratch.keep(intervals, "intervals")
     scratch.clear("texts", "intervals")
     release(spark)

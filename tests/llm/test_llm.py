@@ -227,6 +227,24 @@ def test_repeats(spark, monkeypatch, sorted_at_once):
     assert not [t.name for t in spark.catalog.listTables() if "substrings" in t.name]
 
 
+def test_rounds_of_a_large_bucket(spark, monkeypatch):
+    """A bucket that stays large at every distance but one comes down to it in three rounds."""
+    monkeypatch.setattr(substrings, "AT_ONCE", 1)
+    draw, core = random.Random(5), sentences(1, 6)[0]
+    some = lambda n: "".join(draw.choice("abc ") for _ in range(n))
+    texts = [some(150) + core[100 - k : 300 + k] + some(150) for k in range(0, 90, 6)]
+    rounds, keep = [], shared.Scratch.keep
+
+    def counted(self, df, name, by=None):
+        rounds.append(name)
+        return keep(self, df, name, by)
+
+    monkeypatch.setattr(shared.Scratch, "keep", counted)
+    found = {r.doc_id: r.n_removed for r in substrings.remove_repeats(docs_of(spark, texts)).collect()}
+    assert found == {i: sum(m) for i, m in enumerate(removed_by_force([t.encode() for t in texts], 200))}
+    assert 1 <= sum(name.startswith("parts-") for name in rounds) <= 3
+
+
 def runs_of(mark):
     start = None
     for i, m in enumerate([*mark, 0]):
