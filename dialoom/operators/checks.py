@@ -19,7 +19,7 @@ def with_facts(pairs: DataFrame, source: str = "source", translation: str = "tra
     """What the checks need of a pair, computed once: the generator keeps the optimizer from putting the functions in at each use."""
     s, t, read = F.col(source), F.col(translation), T.as_ascii if ascii_words else str
     facts = {
-        "source_letters": T.letter_count(s), "translation_letters": T.letter_count(t),
+        "source_letters": T.letter_count(s, read), "translation_letters": T.letter_count(t, read),
         "source_norm": T.norm_text(s, read), "translation_norm": T.norm_text(t, read),
         "technical": T.technical_reason(s, ascii_words), "signal": T.has_english_signal(s, read),
         "source_markers": T.markers(s, read), "translation_markers": T.markers(t, read),

@@ -66,7 +66,7 @@ def group_metrics(checked: DataFrame, key: str, more: DataFrame | None = None, t
     best = F.slice(F.array_sort(F.collect_list(F.when(F.col("code").isNotNull(), F.struct((-F.col("n")).alias("o"), "code", "n")))), 1, top)
     said = F.array_join(F.transform(best, lambda c: F.concat(c["code"], F.lit(":"), c["n"].cast("string"))), ",")
     both = by_code.groupBy(key).agg(F.sum("pairs").alias("checked_pairs"), F.sum("n").alias("issues"), F.sum("errors").alias("errors"), said.alias("top_codes"))
-    rate = lambda c: F.round(F.try_divide(c, F.col("checked_pairs")), 6)
+    rate = lambda c: T.rounded(F.try_divide(c, F.col("checked_pairs")), 6)
     warnings = F.col("issues") - F.col("errors")
     return both.select(key, "checked_pairs", "issues", "errors", warnings.alias("warnings"), rate(F.col("issues")).alias("issue_rate"), rate(F.col("errors")).alias("error_rate"), rate(warnings).alias("warning_rate"), "top_codes")
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..sources.files import checkpointed
 
 def score_stats(score: str = "score") -> list[Column]:
-    return [F.count(score).alias("n"), F.round(F.avg(score), 3).alias("mean"), F.min(score).alias("min"), F.max(score).alias("max")]
+    return [F.count(score).alias("n"), T.rounded(F.avg(score), 3).alias("mean"), F.min(score).alias("min"), F.max(score).alias("max")]
 
 
 def evaluation_summary(records: DataFrame, keys: list[str]) -> DataFrame:
@@ -24,8 +25,8 @@ def evaluation_summary(records: DataFrame, keys: list[str]) -> DataFrame:
 
 def group_means(records: DataFrame, group: str, group_count: str) -> DataFrame:
     """Balanced mean (of rounded group means) and the mean weighted by the sizes of groups in the whole data."""
-    means = records.where("score is not null").groupBy(group).agg(F.round(F.avg("score"), 3).alias("mean"), F.max(group_count).alias("size"))
-    return means.agg(F.round(F.avg("mean"), 3).alias("balanced_mean"), F.round(F.try_divide(F.sum(F.col("mean") * F.col("size")), F.sum("size")), 3).alias("weighted_mean"))
+    means = records.where("score is not null").groupBy(group).agg(T.rounded(F.avg("score"), 3).alias("mean"), F.max(group_count).alias("size"))
+    return means.agg(T.rounded(F.avg("mean"), 3).alias("balanced_mean"), T.rounded(F.try_divide(F.sum(F.col("mean") * F.col("size")), F.sum("size")), 3).alias("weighted_mean"))
 
 
 def status_counts(records: DataFrame, status: str = "status") -> DataFrame:
@@ -35,7 +36,7 @@ def status_counts(records: DataFrame, status: str = "status") -> DataFrame:
 def pearson(x: str, y: str) -> Column:
     """Null for fewer than two rows or a constant column."""
     a, b = F.when(F.col(y).isNotNull(), F.col(x)), F.when(F.col(x).isNotNull(), F.col(y))
-    return F.round(F.try_divide(F.covar_pop(x, y), F.stddev_pop(a) * F.stddev_pop(b)), 4)
+    return T.rounded(F.try_divide(F.covar_pop(x, y), F.stddev_pop(a) * F.stddev_pop(b)), 4)
 
 
 def earlier_counts(counts: DataFrame, value: str, n: str, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -82,7 +83,7 @@ def kappa(df: DataFrame, x: str, y: str, labels: list[str], quadratic: bool = Fa
     total = F.sum("n")
     del n
     observed, expected = F.sum(F.col("weight") * F.col("n")), F.try_divide(F.sum(F.col("weight") * F.col("row") * F.col("column")), total)
-    return cells.agg(F.round(1 - F.try_divide(observed, expected), 4).alias("kappa"))
+    return cells.agg(T.rounded(1 - F.try_divide(observed, expected), 4).alias("kappa"))
 
 
 def usage_summary(records: DataFrame, *keys: str) -> DataFrame:
@@ -93,10 +94,10 @@ def usage_summary(records: DataFrame, *keys: str) -> DataFrame:
     zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return records.groupBy(*keys).agg(
         F.count_if(asked).alias("requests"), zero("usage_prompt_tokens").alias("prompt_tokens"), zero("usage_completion_tokens").alias("completion_tokens"), zero(total).alias("total_tokens"),
-        F.round(F.sum("usage_cost"), 6).alias("cost"), F.round(F.try_divide(F.sum(total), F.count_if(asked)), 4).alias("mean_tokens"),
-        F.round(F.try_divide(F.sum("usage_cost"), F.count_if(asked)), 4).alias("mean_cost"),
+        T.rounded(F.sum("usage_cost"), 6).alias("cost"), T.rounded(F.try_divide(F.sum(total), F.count_if(asked)), 4).alias("mean_tokens"),
+        T.rounded(F.try_divide(F.sum("usage_cost"), F.count_if(asked)), 4).alias("mean_cost"),
         zero(F.greatest(F.coalesce("attempts", F.lit(1)) - 1, F.lit(0))).alias("retries"), zero("rate_limit_waits").alias("waits"),
-        F.round(F.coalesce(F.sum(wait_seconds(records)), F.lit(0.0)), 4).alias("wait_seconds"),
+        T.rounded(F.coalesce(F.sum(wait_seconds(records)), F.lit(0.0)), 4).alias("wait_seconds"),
     )
 
 
@@ -111,7 +112,7 @@ def benchmark_stats(rows: DataFrame, labels: list[str], *keys: str) -> DataFrame
     """
     rows = rows.withColumn("_all", F.lit(1))
     keys = ("_all", *keys)
-    means = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.round(F.avg("human_score_raw"), 4).alias("mean_human_score"), F.round(F.avg("llm_score"), 4).alias("mean_llm_score"), pearson("human_score_raw", "llm_score").alias("pearson"))
+    means = rows.groupBy(*keys).agg(F.count("*").alias("n"), T.rounded(F.avg("human_score_raw"), 4).alias("mean_human_score"), T.rounded(F.avg("llm_score"), 4).alias("mean_llm_score"), pearson("human_score_raw", "llm_score").alias("pearson"))
     ranked = with_average_ranks(rows, ["human_score_raw", "llm_score"], keys)
     ranks = ranked.groupBy(*keys).agg(pearson("human_score_raw_rank", "llm_score_rank").alias("spearman"))
     place = lambda c: F.array_position(F.array(*(F.lit(x) for x in labels)), F.col(c)) - 1
@@ -121,7 +122,7 @@ def benchmark_stats(rows: DataFrame, labels: list[str], *keys: str) -> DataFrame
     sides = cells.groupBy(*keys).agg(F.collect_set(F.struct("i", "row")).alias("rows"), F.collect_set(F.struct("j", "column")).alias("columns"), F.sum("c").alias("total"), F.sum(F.when(F.col("i") != F.col("j"), F.col("c")).otherwise(0)).alias("differ"), F.sum((F.col("i") - F.col("j")) ** 2 * F.col("c")).alias("apart"))
     products = F.flatten(F.transform("rows", lambda r: F.transform("columns", lambda c: F.struct((r["i"] - c["j"]).alias("d"), (r["row"] * c["column"]).cast("double").alias("p")))))
     expected = lambda weight: F.aggregate(products, F.lit(0.0), lambda s, x: s + weight(x["d"]) * x["p"]) / F.col("total")
-    agreement = lambda observed, weight: F.round(1 - F.try_divide(F.col(observed).cast("double"), expected(weight)), 4)
+    agreement = lambda observed, weight: T.rounded(1 - F.try_divide(F.col(observed).cast("double"), expected(weight)), 4)
     kappas = sides.select(*keys, agreement("differ", lambda d: F.when(d != 0, 1.0).otherwise(0.0)).alias("cohen_kappa"), agreement("apart", lambda d: (d * d).cast("double")).alias("quadratic_weighted_kappa"))
     return means.join(ranks, list(keys), "left").join(kappas, list(keys), "left").drop("_all")
 
