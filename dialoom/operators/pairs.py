@@ -28,15 +28,18 @@ class Rule:
 BOUNDARY_SAMPLE = 2_000
 
 
-def keyed(df: DataFrame, order: list[str], split: str | None = None, blocks: int = 0) -> DataFrame:
+def keyed(df: DataFrame, order: list[str], split: str | None = None, blocks: int = 0, nulls_last: bool = False) -> DataFrame:
     """With split and a dense row_idx inside it: the position by the order columns, as tables have none of their own.
 
+    Nulls come first, as in Spark, or last, as in SQL engines.
+
     Rows are numbered in blocks, ranges of (split, order) that are about equal, and the rows of earlier blocks of the split are
     added; so no task sorts a whole split. Blocks begin at rows that are drawn by a hash, the same ones whenever a task runs again.
     """
     df = df.withColumn("split", F.col(split) if split else F.lit("train"))
     blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    place = F.struct("split", *order)
+    by = [c for name in order for c in ([F.col(name).isNull().alias(f"_no_{name}"), F.col(name)] if nulls_last else [F.col(name)])]
+    place = F.struct("split", *by)
     drawn = df.select(place.alias("place")).orderBy(F.xxhash64("place"), "place").limit(BOUNDARY_SAMPLE).collect()
     kind = df.select(place.alias("place")).schema["place"].dataType
     places = sorted({tuple((x is not None, x) for x in r.place): r.place for r in drawn}.items())
@@ -47,7 +50,7 @@ def keyed(df: DataFrame, order: list[str], split: str | None = None, blocks: int
     counts = dealt.groupBy("split", "_keyed_block").agg(F.count("*").alias("_keyed_n"))
     earlier = F.sum("_keyed_n").over(Window.partitionBy("split").orderBy("_keyed_block").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("split", "_keyed_block", F.coalesce(earlier, F.lit(0)).alias("_keyed_offset"))
-    inside = F.row_number().over(Window.partitionBy("split", "_keyed_block").orderBy(*order)) - 1
+    inside = F.row_number().over(Window.partitionBy("split", "_keyed_block").orderBy(*by)) - 1
     numbered = dealt.withColumn("_keyed_inside", inside).join(offsets.select(F.col("split").alias("_keyed_split"), F.col("_keyed_block").alias("_keyed_at"), "_keyed_offset"), F.col("split").eqNullSafe(F.col("_keyed_split")) & (F.col("_keyed_block") == F.col("_keyed_at")))
     return numbered.withColumn("row_idx", (F.col("_keyed_offset") + F.col("_keyed_inside")).cast("long")).select(*df.columns, "row_idx")
 

@@ -28,6 +28,19 @@ def test_against_oracle(spark, name):
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(list(expected.columns), expected.fetchall())
 
 
+@pytest.mark.parametrize("name", ["issue_counts", "issue_guide", "issue_positions"])
+def test_odd_keys_against_oracle(spark, tmp_path, name):
+    """Ids below zero, and null ids, turns and roles."""
+    text = "please can you tell me what should then be done with it"
+    told = [(i, t, "user" if t % 2 else "system", text) for i in range(-4, 3) for t in range(8)] + [(None, t, "user", text) for t in range(3)] + [(9, t, None, text + " too") for t in range(8)] + [(7, None, "user", text)]
+    spark.createDataFrame(told, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    df = catalogue.queries()[name](spark, str(tmp_path))
+    expected = con.sql(catalogue.oracle_sql()[name])
+    assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(list(expected.columns), expected.fetchall())
+
+
 def test_translate_text_takes_long_and_null_turns(spark, tmp_path):
     texts = ["word " * 700, "x" * 6000, None, "", "12 34", "short one"]
     spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(texts)], "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
