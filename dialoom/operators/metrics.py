@@ -132,6 +132,14 @@ def as_records(issues: DataFrame, ascii_words: bool = False) -> DataFrame:
     return rows.withColumn("record_id", F.sha2(F.to_json(F.struct(*RECORD)), 256))
 
 
+FIRST = ["first.split", "first.row_idx", "first.field"]
+
+
+def first_place() -> Column:
+    """The least place of a group; nulls come last, as in SQL engines."""
+    return F.min(F.struct(F.col("split").isNull().alias("no_split"), "split", "row_idx", F.col("field").isNull().alias("no_field"), "field"))
+
+
 def issue_records(issues: DataFrame, ascii_words: bool = False) -> DataFrame:
     """Issues of one severity, code and message about the same texts as one record, with the place of the first, its fields and its splits.
 
@@ -139,8 +147,8 @@ def issue_records(issues: DataFrame, ascii_words: bool = False) -> DataFrame:
     """
     n = F.greatest(F.lit(1), F.coalesce("duplicate_count", F.lit(1)), F.coalesce("occurrence_count", F.lit(1))).cast("long")
     distinct = lambda c: F.array_sort(F.collect_set(c))
-    found = as_records(issues, ascii_words).groupBy("record_id", *RECORD).agg(F.sum(n).alias("occurrences"), F.min(F.struct("split", "row_idx", "field")).alias("first"), distinct(T.normal_field(F.col("field"))).alias("fields"), distinct("split").alias("splits"))
-    return found.select("record_id", *RECORD, "occurrences", "first.*", "fields", "splits")
+    found = as_records(issues, ascii_words).groupBy("record_id", *RECORD).agg(F.sum(n).alias("occurrences"), first_place().alias("first"), distinct(T.normal_field(F.col("field"))).alias("fields"), distinct("split").alias("splits"))
+    return found.select("record_id", *RECORD, "occurrences", *FIRST, "fields", "splits")
 
 
 def issue_locations(issues: DataFrame) -> DataFrame:
@@ -175,7 +183,7 @@ def filtered_records(records: DataFrame, severity: str = "", code: str = "", spl
 
 def page(records: DataFrame, number: int, size: int = 50) -> DataFrame:
     """One page of records: errors first, then by how much they stand for."""
-    order = [F.when(F.col("severity") == "error", 0).otherwise(1), F.desc("occurrences"), "code", "split", "row_idx", "field", "source"]
+    order = [F.when(F.col("severity") == "error", 0).otherwise(1), F.desc("occurrences"), "code", F.asc_nulls_last("split"), "row_idx", F.asc_nulls_last("field"), "source"]
     return records.orderBy(*order).offset(number * size).limit(size)
 
 

@@ -28,7 +28,7 @@ def test_against_oracle(spark, name):
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(list(expected.columns), expected.fetchall())
 
 
-@pytest.mark.parametrize("name", ["issue_counts", "issue_guide", "issue_positions"])
+@pytest.mark.parametrize("name", ["issue_counts", "issue_guide", "issue_positions", "issue_records"])
 def test_odd_keys_against_oracle(spark, tmp_path, name):
     """Ids below zero, and null ids, turns and roles."""
     text = "please can you tell me what should then be done with it"
