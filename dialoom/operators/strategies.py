@@ -35,6 +35,7 @@ class Strategy:
     broken: Callable[[Column, dict], Column] | None = None
     as_list: bool = True  # texts belong together and go as one marked text
     retries: bool = True  # an English text that came back the same is sent again where a rule asks for it
+    of_texts: bool = False  # the value is made of the translations alone
 
 
 REGISTRY: dict[str, Strategy] = {}
@@ -155,7 +156,7 @@ def of_entries(entries: Callable) -> Callable:
     return lambda kind, value, options: F.transform(entries(kind, value, options), lambda e: e["text"])
 
 
-register_strategy("text", Strategy(lambda k, v, o: F.array(F.coalesce(v.cast("string"), F.lit(""))), lambda k, v, o, new: new[0], scalar, as_list=False))
+register_strategy("text", Strategy(lambda k, v, o: F.array(F.coalesce(v.cast("string"), F.lit(""))), lambda k, v, o, new: new[0], scalar, as_list=False, of_texts=True))
 register_strategy("text_list", Strategy(lambda k, v, o: blank_as_empty(v), lambda k, v, o, new: new, list_of_scalars))
 register_strategy("dialog_turns_content", Strategy(contents, turns_with, list_of_turns))
 register_strategy("serialized_dialog_turns_content", Strategy(json_contents, json_turns_with, string, bad_json_turns, retries=False))
@@ -212,12 +213,37 @@ def by_size(column: str, sizes: list[int], f: Callable[[int], Column]) -> Column
     return out
 
 
+def noted() -> Column:
+    """What is said of a chunk that failed."""
+    return F.when(F.col("status") == "error", F.concat(F.lit("item "), F.col("i").cast("string"), F.lit(" chunk "), F.col("c").cast("string"), F.lit(": "), F.col("error")))
+
+
+def translated_items(lists: DataFrame, translator: str, sizes: list[int], answers: AnswerLog, keys: tuple[str, ...], together: tuple[str, ...], **policy) -> DataFrame:
+    """As `translated_lists`, item by item and chunk by chunk. Texts are moved three times: to be asked for once, to their places, and to the rows (of equal `together`); what a step has shuffled or needed is gone before the next one."""
+    batches = lists.select(*keys, "most", F.posexplode(by_size("most", sizes, lambda most: marked_batches(F.col("items"), most))).alias("b", "batch"))
+    items = batches.select(*keys, "most", "b", F.posexplode("batch").alias("i", "item")).withColumn("blank", T.is_blank(F.col("item")))
+    cut = F.when(F.col("blank"), F.array("item")).otherwise(by_size("most", sizes, lambda most: T.chunks(F.col("item"), most)))
+    pieces = items.select(*keys, "b", "i", "blank", F.posexplode(cut).alias("c", "text")).withColumn("key", F.when(~F.col("blank"), answers.key("text", translator, **policy)))
+    at = (*keys, "b", "i", "c")
+    with answers.kept(pieces) as written:
+        answers.send(answers.unanswered(written.where("key is not null").select("key", "text")), translator, **policy)
+        places = answers.keep(written.select(*at, "key", F.when(F.col("blank"), F.col("text")).alias("said")))
+    answered = answers.told(places.where("key is not null").drop("said")).drop("key")
+    found = answers.keep(answered.unionByName(places.where("key is null").select(*at, "said"), allowMissingColumns=True))
+    by_item = found.repartition(*together).groupBy(*keys, "b", "i").agg(
+        F.array_join(in_order("c", F.col("said").alias("x")), "").alias("x"),
+        F.concat_ws("; ", F.array_sort(F.collect_list(noted()))).alias("error"), F.sum("attempts").alias("tries"),
+    )
+    by_batch = by_item.groupBy(*keys, "b").agg(in_order("i", "x").alias("x"), F.concat_ws("; ", F.array_sort(F.collect_list(F.when(F.col("error") != "", F.col("error"))))).alias("error"), F.coalesce(F.sum("tries"), F.lit(0)).alias("tries"))
+    return by_batch.groupBy(*keys).agg(F.flatten(in_order("b", "x")).alias("done"), F.concat_ws("; ", in_order("b", F.when(F.col("error") != "", F.col("error")).alias("x"))).alias("error"), F.sum("tries").alias("attempts"))
+
+
 def translated_lists(lists: DataFrame, translator: str, sizes: list[int], answers: AnswerLog, keys: tuple[str, ...] = ("split", "row_idx"), **policy) -> DataFrame:
-    """keys, items, most (one of `sizes`: characters of a request), as_list -> keys, done (as many texts), error, attempts. Equal requests are sent once."""
-    batches = lists.select(*keys, "most", "as_list", F.posexplode(by_size("most", sizes, lambda most: marked_batches(F.col("items"), most))).alias("b", "batch"))
+    """keys, items, most (one of `sizes`: characters of a request) -> keys, done (as many texts), error, attempts. Equal requests are sent once."""
+    batches = lists.select(*keys, "most", F.posexplode(by_size("most", sizes, lambda most: marked_batches(F.col("items"), most))).alias("b", "batch"))
     # blank items have no translation to parse; a list with one goes item by item
     room = by_size("most", sizes, lambda most: F.lit(most if most > 0 else 2**31 - 1))
-    sendable = F.col("as_list") & ~F.exists("batch", lambda x: T.is_blank(x)) & (F.char_length(T.marked_text(F.col("batch"))) <= room)
+    sendable = ~F.exists("batch", lambda x: T.is_blank(x)) & (F.char_length(T.marked_text(F.col("batch"))) <= room)
     marked = batches.withColumn("marked", F.when(sendable, T.marked_text(F.col("batch"))))
     told = answers.ask(marked, translator, column="marked", **policy)
     sent = marked.join(told.select(F.col("text").alias("marked"), "translation", F.col("attempts").alias("tries"), F.col("error").alias("refused")), "marked", "left")
@@ -227,10 +253,9 @@ def translated_lists(lists: DataFrame, translator: str, sizes: list[int], answer
     items = whole.where("whole is null").select(*keys, "most", "b", F.posexplode("batch").alias("i", "item"))
     pieces = answers.keep(items.where(~T.is_blank(F.col("item"))).select(*keys, "b", "i", F.posexplode(by_size("most", sizes, lambda most: T.chunks(F.col("item"), most))).alias("c", "text")))
     one = pieces.join(answers.ask(pieces, translator, **policy), "text")
-    note = F.when(F.col("status") == "error", F.concat(F.lit("item "), F.col("i").cast("string"), F.lit(" chunk "), F.col("c").cast("string"), F.lit(": "), F.col("error")))
     by_item = one.groupBy(*keys, "b", "i").agg(
         F.array_join(in_order("c", F.coalesce("translation", "text").alias("x")), "").alias("said"),
-        F.concat_ws("; ", F.array_sort(F.collect_list(note))).alias("error"), F.sum("attempts").alias("tries"),
+        F.concat_ws("; ", F.array_sort(F.collect_list(noted()))).alias("error"), F.sum("attempts").alias("tries"),
     )
     found = items.join(by_item, [*keys, "b", "i"], "left")
     by_batch = found.groupBy(*keys, "b").agg(in_order("i", F.coalesce("said", "item").alias("x")).alias("singly"), F.concat_ws("; ", F.array_sort(F.collect_list(F.when(F.col("error") != "", F.col("error"))))).alias("failed"), F.coalesce(F.sum("tries"), F.lit(0)).alias("more"))
@@ -272,19 +297,27 @@ def request(number: int, rule: Rule, kind: DataType) -> Column:
     items = strategy.texts(kind, value, options)
     guards = F.coalesce(passes_guards(F.array_join(items, " "), options.get("guards", options.get("skip_if"))), F.lit(True))
     letters = int(options.get("unchanged_min_letters", 12)) if strategy.retries and options.get("retry_unchanged") else None
-    asked = F.struct(F.lit(number).alias("rule"), items.alias("items"), F.lit(int(options.get("max_chunk_chars", MAX_CHARS))).alias("most"), F.lit(strategy.as_list).alias("as_list"), F.lit(letters).cast("int").alias("letters"))
+    asked = F.struct(F.lit(number).alias("rule"), items.alias("items"), F.lit(int(options.get("max_chunk_chars", MAX_CHARS))).alias("most"), F.lit(letters).cast("int").alias("letters"))
     return F.when(value.isNotNull() & broken_value(rule, kind).isNull() & guards & (F.size(items) > 0), asked)
 
 
 def translated_texts(rows: DataFrame, rules: list[tuple[int, Rule]], translator: str, answers: AnswerLog, keys: tuple[str, ...], **policy) -> DataFrame:
-    """keys, told: for each row that asks for anything a map from the number of a rule to (done, error, attempts). One stage for all rules."""
-    asked = F.array_compact(F.array(*(request(i, rule, rows.schema[rule.source].dataType) for i, rule in rules)))
-    lists = rows.select(*keys, F.explode(asked).alias("q")).select(*keys, "q.*")
+    """keys, told: for each row that asks for anything a map from the number of a rule to (done, error, attempts). One stage for all rules that send lists, one for all others."""
+    def lists_of(rules: list[tuple[int, Rule]]) -> DataFrame:
+        asked = F.array_compact(F.array(*(request(i, rule, rows.schema[rule.source].dataType) for i, rule in rules)))
+        return rows.select(*keys, F.explode(asked).alias("q")).select(*keys, "q.*")
+
     of_rule, sizes = (*keys, "rule"), sorted({int(rule.options.get("max_chunk_chars", MAX_CHARS)) for _, rule in rules})
-    done = translated_lists(lists, translator, sizes, answers, of_rule, **policy)
-    if any(REGISTRY[rule.strategy].retries and rule.options.get("retry_unchanged") for _, rule in rules):
-        done = retried(lists, done, translator, sizes, answers, of_rule, **policy)
-    return answers.keep(done.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rule", F.struct("done", "error", "attempts")))).alias("_told")))
+    listed, single = ([(i, rule) for i, rule in rules if REGISTRY[rule.strategy].as_list == x] for x in (True, False))
+    again = any(REGISTRY[rule.strategy].retries and rule.options.get("retry_unchanged") for _, rule in rules)
+    parts = [translated_lists(lists_of(listed), translator, sizes, answers, of_rule, **policy)] if listed else []
+    parts += [translated_items(lists_of(single), translator, sizes, answers, of_rule, keys, **policy)] if single else []
+    done = parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0]
+    if again:
+        done = retried(lists_of(rules), done, translator, sizes, answers, of_rule, **policy)
+    told = done.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rule", F.struct("done", "error", "attempts")))).alias("_told"))
+    # what items are put together from is written already
+    return answers.keep(told) if listed or again else told
 
 
 def translated_logs(rows: DataFrame, rule: Rule, translator: str, answers: AnswerLog, keys: tuple[str, ...], **policy) -> DataFrame:
@@ -308,7 +341,9 @@ def translated(rows: DataFrame, rules: list[Rule], translator: str, keys: tuple[
     answers = answers or AnswerLog(rows.sparkSession)
     rows = rows.where(F.col(keys[-1]) < limit) if limit > 0 else rows
     plain = [(i, rule) for i, rule in enumerate(rules) if rule.strategy != "weblinx_query"]
-    out = rows.join(translated_texts(rows, plain, translator, answers, keys, **policy), list(keys), "left") if plain else rows.withColumn("_told", F.lit(None))
+    # a value that is made of its translations goes along only where nothing is asked for it
+    unasked = {f"_unasked{i}": F.when(request(i, rule, rows.schema[rule.source].dataType).isNull(), F.col(rule.source)) for i, rule in plain if REGISTRY[rule.strategy].of_texts}
+    out = rows.withColumns(unasked).join(translated_texts(rows, plain, translator, answers, keys, **policy), list(keys), "left") if plain else rows.withColumn("_told", F.lit(None))
     targets, errors, attempts = {}, [], F.lit(0).cast("long")
     for i, rule in enumerate(rules):
         value, kind = F.col(rule.source), rows.schema[rule.source].dataType
@@ -317,7 +352,8 @@ def translated(rows: DataFrame, rules: list[Rule], translator: str, keys: tuple[
             targets[rule.target], error = F.col(f"_log{i}.translation"), F.col(f"_log{i}.error")
         else:
             told = F.try_element_at("_told", F.lit(i))
-            targets[rule.target] = F.when(told["done"].isNull(), value).otherwise(REGISTRY[rule.strategy].value(kind, value, rule.options, told["done"]))
+            as_it_was = F.col(f"_unasked{i}") if f"_unasked{i}" in unasked else value
+            targets[rule.target] = F.when(told["done"].isNull(), as_it_was).otherwise(REGISTRY[rule.strategy].value(kind, value, rule.options, told["done"]))
             error = F.concat_ws("; ", broken_value(rule, kind), F.when(told["error"] != "", told["error"]))
             attempts = attempts + F.coalesce(told["attempts"], F.lit(0))
         errors.append(F.when(error != "", error))

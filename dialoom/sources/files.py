@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,6 +81,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Whether Spark deletes what a query has shuffled when the query ends, not when the driver's memory is next cleaned.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """For writes whose plan nobody runs again: what they shuffled is gone when they end."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder, so that all who read them read the same; Spark deletes them once nobody does."""
     context = df.sparkSession.sparkContext

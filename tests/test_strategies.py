@@ -137,3 +137,35 @@ def test_requests_are_moved_once_and_go_to_bounded_tasks(spark, monkeypatch, tmp
     log = A.AnswerLog(spark, str(tmp_path / "answers"))
     assert log.ask(texts, "letters").count() == 100
     assert len(list((tmp_path / "answers").glob("*/*.parquet"))) <= 10
+
+
+def test_texts_are_moved_few_times(spark, tmp_path):
+    """What one text rule leaves on disk, answers and shuffled files together, is a few times its texts."""
+    import os
+    import random
+
+    from dialoom.operators.answers import AnswerLog
+
+    draw = random.Random(1)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789 ", k=9000)) for _ in range(600)]
+    on_disk = lambda top: sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(top) for f in files)
+    local = [x.getPath() for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    before = sum(map(on_disk, local))
+    done = strategies.translated(rows(spark, texts, "string"), [Rule("x", "y", "text")], "letters", answers=AnswerLog(spark, str(tmp_path / "log")))
+    assert done.select("row_idx", "y").where("y like '%3%'").count() == 600
+    assert sum(map(on_disk, local)) - before + on_disk(tmp_path) < 4 * sum(map(len, texts))
+
+
+def test_texts_with_lists_blanks_and_copies(spark, tmp_path):
+    """Texts, blank or not, in pieces or not, beside lists: equal requests are sent once, and pieces come back in order."""
+    from dialoom.operators.answers import AnswerLog
+
+    texts = ["bear", "bear", None, "", " " * 50, "a" * 25 + " " * 30 + "e" * 7, "e\U0001f600a " * 9, "bear tea", "a b " * 100]
+    source = rows(spark, texts, "string").withColumn("l", F.array("x", F.lit(" ")))
+    log = AnswerLog(spark, str(tmp_path / "log"))
+    done = strategies.translated(source, [Rule("x", "y", "text", {"max_chunk_chars": 10}), Rule("l", "m", "text_list")], "letters", answers=log)
+    assert [(r.y, r.m, r.status) for r in done.orderBy("row_idx").collect()] == [(t and swap(t), [swap(t or ""), " "], "ok") for t in texts]
+    asked = log.rows().count()
+    assert asked == log.rows().select("key").distinct().count()
+    alone = strategies.translated(source, [Rule("x", "x", "text", {"max_chunk_chars": 10})], "letters", answers=log)
+    assert [r.x for r in alone.orderBy("row_idx").collect()] == [t and swap(t) for t in texts] and log.rows().count() == asked
